@@ -24,7 +24,7 @@ def ledger_by_month(tables: Mapping[str, DataFrame], first: Period, last: Period
     classified = movements(detail, tables["movement_header"]).withColumns(rb.SYSTEM1_BUCKETS.columns())
     valued = tables["positions"].withColumn("CD_OG", filled("CD_OG", FREE))
     months = backfill(
-        classified, "DT_INVEST", rb.SYSTEM1_BUCKETS.buckets, valued, "DT_POSITION", "PM_AXIOME", KEYS, first, last)
+        classified, "DT_INVEST", rb.SYSTEM1_BUCKETS.buckets, valued, "DT_POSITION", "PM", KEYS, first, last)
     return drop_inactive(rb.SYSTEM1_BUCKETS.derive(months), ["period", "ID_CONTRAT"], (*ACTIVITY, *FEES), activity)
 
 

@@ -22,14 +22,13 @@ def segments(table: DataFrame) -> DataFrame:
     return one_per_key(coded, ["CODE_PRODUIT", "CODE_UT"], ["SEGMENT"])
 
 
-def network(table: DataFrame, banking_partner: str | None = None) -> DataFrame:
-    """Distribution network by portfolio.
+def network(table: DataFrame, banking_partner: str | None = None, prefix: str = "") -> DataFrame:
+    """Distribution network by portfolio.  ``prefix`` is stripped from the source columns.
 
     Codes are padded before the duplicates go, so that two spellings of one portfolio
     cannot both stay.  ``banking_partner`` is the id part of the portfolio that is always
     shown under the banking channel.
     """
-    prefix = "KAGFGPTF_"
     bare = table.select(*[F.col(c).alias(c.removeprefix(prefix)) for c in table.columns])
     partner = F.col("ID").contains(banking_partner) if banking_partner else F.lit(False)
     shown = bare.select(

@@ -25,9 +25,9 @@ def positions(table: DataFrame, period: Period) -> DataFrame:
     known = table.withColumn("CD_OG", filled("CD_OG", FREE))
     return snapshot_pair(
         known, KEYS, "DT_POSITION", period.previous_year_end, period.end,
-        opening_cols={"PM_DEBUT": "PM_AXIOME", "NB_UC_DEBUT": "NMBR_UC", "VL_DEBUT": "VL_RACHAT"},
+        opening_cols={"PM_DEBUT": "PM", "NB_UC_DEBUT": "NMBR_UC", "VL_DEBUT": "VL_RACHAT"},
         closing_cols={
-            "PM_FIN": "PM_AXIOME", "NB_UC_FIN": "NMBR_UC", "VL_FIN": "VL_RACHAT",
+            "PM_FIN": "PM", "NB_UC_FIN": "NMBR_UC", "VL_FIN": "VL_RACHAT",
             "MT_NON_INVESTI": "MT_NON_INVESTI", "DT_VL_FIN": "DT_POSITION",
         },
     )
@@ -119,7 +119,7 @@ def system1(
         ["ID_CONTRAT"], ["CD_PROD"], "SITUATION_CLOTURE", "En erreur",
     )
     distributors = one_per_key(
-        tables["distributors"].select(pad_code("CD_AWS", 10).alias("CODE_PORTEFEUILLE"), F.col("LB_RESEAU").alias("LB_CANAL")),
+        tables["distributors"].select(pad_code("CD_DISTRIBUTEUR", 10).alias("CODE_PORTEFEUILLE"), F.col("LB_RESEAU").alias("LB_CANAL")),
         ["CODE_PORTEFEUILLE"], ["LB_CANAL"],
     )
     described = lookup_chain(base_ledger(tables, period, activity), [

@@ -33,13 +33,13 @@ def flow_window(period: Period):
 def valuations(table: DataFrame, contracts: DataFrame, limit, name: str) -> DataFrame:
     """All amounts of the newest valuation date of each contract x unit, live contracts only."""
     rows = table.filter(F.col("LIBELLE_TYPE_MONTANT") == VALUED_TYPE).select(
-        pad_code("NUMERO_ADHESION_AXA", 16).alias("NUMERO_CONTRAT"),
+        pad_code("NUMERO_CONTRAT", 16).alias("NUMERO_CONTRAT"),
         filled("CODE_ISIN", UNKNOWN).alias("CODE_ISIN"),
         "CODE_SUPPORT", "CODE_UT", "LIBELLE_SUPPORT", "CODE_TYPE_CONTRAT",
         F.col("MONTANT").alias(name), "DATE_VALORISATION",
     ).distinct()
     newest = as_of(rows, ["NUMERO_CONTRAT", "CODE_UT"], "DATE_VALORISATION", day(limit), keep_ties=True)
-    status = contracts.select(pad_code("NUMERO_ADHESION_AXA", 16).alias("NUMERO_CONTRAT"), "STATUT")
+    status = contracts.select(pad_code("NUMERO_CONTRAT", 16).alias("NUMERO_CONTRAT"), "STATUT")
     return live_only(newest, status, ["NUMERO_CONTRAT"], F.col("STATUT") == "En cours")
 
 
@@ -81,15 +81,15 @@ def movements(tables: Mapping[str, DataFrame], period: Period) -> DataFrame:
     unique = ["NUMERO_ADHESION", "NUMERO_OPERATION", "CODE_ISIN", "LIBELLE_SUPPORT", "CATEGORIE_TYPE_MONTANT"]
     detail = one_per_key(
         tables["operation_detail"].filter(F.col("LIBELLE_TYPE_TRANSACTION").isin(*rb.SYSTEM3_FAMILIES)),
-        unique, ["NUMERO_ADHESION_AXA", "CODE_SUPPORT", "CODE_UT", "DETAIL_TRANSACTION", "MONTANT", "CODE_CONVENTION_GESTION"],
-    ).withColumn("NUMERO_CONTRAT", pad_code("NUMERO_ADHESION_AXA", 16))
+        unique, ["NUMERO_CONTRAT", "CODE_SUPPORT", "CODE_UT", "DETAIL_TRANSACTION", "MONTANT", "CODE_CONVENTION_GESTION"],
+    ).withColumn("NUMERO_CONTRAT", pad_code("NUMERO_CONTRAT", 16))
     header = (
         tables["operations"]
         .filter(F.col("LIBELLE_TYPE_TRANSACTION").isin(*rb.SYSTEM3_FAMILIES) & F.col("DATE_JOURNALIER").between(start, end))
-        .select(pad_code("NUMERO_ADHESION_AXA", 16).alias("NUMERO_CONTRAT"), "NUMERO_OPERATION", "NUMERO_ADHESION", "CODE_UV", "LIBELLE_PAIEMENT")
+        .select(pad_code("NUMERO_CONTRAT", 16).alias("NUMERO_CONTRAT"), "NUMERO_OPERATION", "NUMERO_ADHESION", "CODE_UV", "LIBELLE_PAIEMENT")
         .distinct()
     )
-    rows = header_driven(detail.drop("NUMERO_ADHESION_AXA"), header, operation)
+    rows = header_driven(detail, header, operation)
     return rows.withColumns({
         "TYPE_SUPPORT": rb.SUPPORT_TYPE_3.column(),
         "CODE_ISIN": filled("CODE_ISIN", UNKNOWN),
@@ -121,7 +121,7 @@ def contracts(table: DataFrame, persons: DataFrame, conventions: DataFrame, name
         ["CODE_CONVENTION_GESTION"], ["PROFIL_GESTION"],
     )
     described = lookup(table, convention, ["CODE_CONVENTION_GESTION"], unique=True).select(
-        pad_code("NUMERO_ADHESION_AXA", 16).alias("NUMERO_CONTRAT"),
+        pad_code("NUMERO_CONTRAT", 16).alias("NUMERO_CONTRAT"),
         pad_code("CODE_PORTEFEUILLE", 10).alias("CODE_PORTEFEUILLE"),
         F.col("DATE_DEBUT_EFFET_CONTRAT").alias("DATE_EFFET"),
         F.col("DATE_ANNULATION").alias("DATE_TERME"),
@@ -136,7 +136,7 @@ def contracts(table: DataFrame, persons: DataFrame, conventions: DataFrame, name
     single = one_per_key(described, ["NUMERO_CONTRAT"], [F.col("DATE_EFFET").desc_nulls_last(), "NOM_PRODUIT", "SITUATION_CLOTURE"])
     holders = one_per_key(
         persons.select(
-            pad_code("NUMERO_ADHESION_AXA", 16).alias("NUMERO_CONTRAT"),
+            pad_code("NUMERO_CONTRAT", 16).alias("NUMERO_CONTRAT"),
             F.col("NUMERO_PERSONNE").alias("NUMERO_CLIENT"), rb.PERSON_TYPE_3.column().alias("TYPE_PRSN")),
         ["NUMERO_CONTRAT"], ["NUMERO_CLIENT", "TYPE_PRSN"],
     )
