@@ -43,16 +43,19 @@ def label_per_code(df: DataFrame, code: str, label: str, prefer: Column) -> Data
     ]).drop("__prefer")
 
 
-def flag_one_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], flag: str) -> DataFrame:
+def flag_one_per_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], flag: str, null_keys: bool = True
+) -> DataFrame:
     """Add 1 on the first row of each key and 0 on the others.
 
     The first row is found by a partial aggregate and joined back, so rows of a hot key
     are not gathered in one window.  ``order_by`` must tell the rows of a key apart;
     rows equal in all of it are all flagged.
     """
-    order = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order_by])
-    first = df.groupBy(*keys).agg(F.min(order).alias("__first"))
-    joined = null_safe_join(df.withColumn("__order", order), first, keys, "left")
+    order = F.expr("struct(" + ", ".join(f"`{c}` IS NULL, `{c}`" for c in order_by) + ")")
+    ordered = df.withColumn("__order", order)
+    first = ordered.groupBy(*keys).agg(F.min("__order").alias("__first"))
+    joined = null_safe_join(ordered, first, keys, "left") if null_keys else ordered.join(first, list(keys), "left")
     return joined.withColumn(flag, F.col("__order").eqNullSafe(F.col("__first")).cast("int")).drop("__order", "__first")
 
 

@@ -18,7 +18,7 @@ def unique_dimension(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     others = [c for c in dim.columns if c not in keys]
     counted = dim.dropna(subset=list(keys)).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in others]
+        F.expr("count(1) AS __n"), *[F.expr(f"first(`{c}`) AS `{c}`") for c in others]
     )
     message = F.concat(F.lit(f"repeated key {list(keys)}: "), F.to_json(F.struct(*keys)))
     # A filter leaves the keys untouched, so the join can use the aggregate's partitioning.

@@ -46,9 +46,9 @@ def as_of_snapshot(df: DataFrame, snapshot_col: str, limit: dt.date | str) -> Da
 
 def summed(df: DataFrame, keys: Sequence[str], measures: Sequence[str], attributes: Mapping[str, str] | None = None) -> DataFrame:
     """Sums of the measures per key, null sums as 0; attributes kept by ``max`` or ``min``."""
-    picks = {"max": F.max, "min": F.min}
-    extra = [picks[how](name).alias(name) for name, how in (attributes or {}).items()]
-    return df.groupBy(*keys).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures], *extra)
+    sums = [F.expr(f"coalesce(sum(`{m}`), 0) AS `{m}`") for m in measures]
+    extra = [F.expr(f"{how}(`{name}`) AS `{name}`") for name, how in (attributes or {}).items()]
+    return df.groupBy(*keys).agg(*sums, *extra)
 
 
 def stacked_sum(
@@ -153,23 +153,26 @@ def live_only(positions: DataFrame, contracts: DataFrame, keys: Sequence[str], l
     return positions.join(contracts.filter(live).select(*keys), list(keys), "left_semi")
 
 
-def drop_inactive(df: DataFrame, group: Sequence[str], measures: Sequence[str], mode: str = "signed") -> DataFrame:
+def drop_inactive(
+    df: DataFrame, group: Sequence[str], measures: Sequence[str], mode: str = "signed", null_keys: bool = True
+) -> DataFrame:
     """Drop whole groups without activity.
 
     ``signed`` keeps the inherited rule: a group whose amounts cancel out to 0 is dropped.
-    ``absolute`` drops only groups in which every amount is 0.
+    ``absolute`` drops only groups in which every amount is 0.  Where the group columns are
+    never null, ``null_keys=False`` gives a plain equi-join that later joins can build on.
     """
     if mode not in ("signed", "absolute"):
         raise ValueError(f"unknown mode {mode!r}")
-    amounts = [F.coalesce(F.col(m), F.lit(0)) for m in measures]
-    if mode == "absolute":
-        amounts = [F.abs(a) for a in amounts]
-    total = reduce(lambda a, b: a + b, amounts)
-    active = df.groupBy(*group).agg(F.sum(total).alias("__total")).filter(F.col("__total") != 0)
-    return null_safe_join(df, active.drop("__total"), group, "left_semi")
+    terms = [f"coalesce(`{m}`, 0)" for m in measures]
+    total = " + ".join(f"abs({t})" for t in terms) if mode == "absolute" else " + ".join(terms)
+    active = df.groupBy(*group).agg(F.expr(f"sum({total}) AS __total")).filter("__total <> 0").drop("__total")
+    if null_keys:
+        return null_safe_join(df, active, group, "left_semi")
+    return df.join(active, list(group), "left_semi")
 
 
 def drop_empty_rows(df: DataFrame, label: str, measures: Sequence[str]) -> DataFrame:
     """Drop rows without a label whose measures are all 0 or missing; the null case is written out."""
-    empty = reduce(lambda a, b: a & b, [F.coalesce(F.col(m), F.lit(0)) == 0 for m in measures])
-    return df.filter(F.col(label).isNotNull() | ~empty)
+    some = " OR ".join(f"coalesce(`{m}`, 0) <> 0" for m in measures)
+    return df.filter(f"`{label}` IS NOT NULL OR {some}")

@@ -56,12 +56,12 @@ def either(*predicates: str) -> str:
     return "(" + ") OR (".join(predicates) + ")"
 
 
-def _label(value: object) -> Column:
+def _label(value: object) -> str:
     if isinstance(value, RuleSet):
-        return value.column()
+        return value.sql()
     if isinstance(value, FromColumn):
-        return F.expr(value.expression)
-    return value if isinstance(value, Column) else F.lit(value)
+        return f"({value.expression})"
+    return quoted(value)
 
 
 @dataclass(frozen=True)
@@ -71,14 +71,16 @@ class RuleSet:
     rules: Sequence[tuple[str, object]]
     default: object = NO_DEFAULT
 
-    def column(self) -> Column:
+    def sql(self) -> str:
+        """The rules as one ``CASE`` expression."""
         if not self.rules:
             return _label(self.default)
-        (first, label), *rest = self.rules
-        case = F.when(F.expr(first), _label(label))
-        for predicate, label in rest:
-            case = case.when(F.expr(predicate), _label(label))
-        return case if self.default is NO_DEFAULT else case.otherwise(_label(self.default))
+        whens = " ".join(f"WHEN {predicate} THEN {_label(label)}" for predicate, label in self.rules)
+        default = "" if self.default is NO_DEFAULT else f" ELSE {_label(self.default)}"
+        return f"CASE {whens}{default} END"
+
+    def column(self) -> Column:
+        return F.expr(self.sql())
 
 
 def relabel(df: DataFrame, stages: Sequence[tuple[str, RuleSet]]) -> DataFrame:
@@ -109,35 +111,30 @@ class BucketSet:
     def names(self) -> list[str]:
         return [*self.buckets, *self.differences, *self.totals]
 
-    def _case(self, bucket: str) -> Column:
-        amount = F.expr(self.amount)
-        case = None
-        for name, predicate, sign in self.rules:
-            if name != bucket:
-                continue
-            signed = amount if sign > 0 else -amount
-            case = F.when(F.expr(predicate), signed) if case is None else case.when(F.expr(predicate), signed)
-        return case.otherwise(0)
+    def _case(self, bucket: str) -> str:
+        whens = " ".join(
+            f"WHEN {predicate} THEN {'' if sign > 0 else '-'}({self.amount})"
+            for name, predicate, sign in self.rules if name == bucket
+        )
+        return f"CASE {whens} ELSE 0 END"
 
     def columns(self) -> dict[str, Column]:
         """Row-level bucket columns."""
-        return {name: self._case(name) for name in self.buckets}
+        return {name: F.expr(self._case(name)) for name in self.buckets}
 
     def classify(self, df: DataFrame) -> DataFrame:
         """Buckets, differences and totals as columns of each row."""
         return self.derive(df.withColumns(self.columns()))
 
     def sums(self) -> list[Column]:
-        return [F.coalesce(F.sum(self._case(name)), F.lit(0)).alias(name) for name in self.buckets]
+        return [F.expr(f"coalesce(sum({self._case(name)}), 0) AS {name}") for name in self.buckets]
 
     def derive(self, df: DataFrame) -> DataFrame:
         """Add differences, then totals, to a frame that has the buckets."""
         if self.differences:
-            df = df.withColumns({n: F.col(a) - F.col(b) for n, (a, b) in self.differences.items()})
+            df = df.selectExpr("*", *[f"{a} - {b} AS {n}" for n, (a, b) in self.differences.items()])
         if self.totals:
-            df = df.withColumns(
-                {n: reduce(lambda x, y: x + y, [F.col(p) for p in parts]) for n, parts in self.totals.items()}
-            )
+            df = df.selectExpr("*", *[f"{' + '.join(parts)} AS {n}" for n, parts in self.totals.items()])
         return df
 
     def aggregate(self, df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:

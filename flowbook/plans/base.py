@@ -29,10 +29,10 @@ KEYS = (
 SPLIT_TYPES = ("UC", "EURO", "EUROCROISSANCE")
 SPLIT_MEASURES = tuple(f"{m}_{t}" for m in ("Arbitrage_Entrant", "Arbitrage_Sortant") for t in SPLIT_TYPES)
 MEASURES = (*FLOW_MEASURES, *SPLIT_MEASURES, *POSITION_MEASURES)
-# What tells the rows of one contract apart; the counted row is the first in this order.
+# The descriptive columns of a canonical row, and the order in which a contract's counted row is first.
+DESCRIPTORS = (*DESCRIPTORS_BEFORE, *DESCRIPTORS_AFTER)
 COUNT_ORDER = (
-    "CODE_ISIN", "CODE_UT", "SYSTEME", *[c for c in (*DESCRIPTORS_BEFORE, *DESCRIPTORS_AFTER)
-    if c not in ("NUMERO_CONTRAT", "CODE_ISIN", "CODE_UT", "SYSTEME", "LB_CANAL")], "CANAL", "RESEAU",
+    "CODE_ISIN", "CODE_UT", "SYSTEME", *[c for c in DESCRIPTORS if c not in ("NUMERO_CONTRAT", "CODE_ISIN", "CODE_UT", "SYSTEME")],
 )
 
 
@@ -74,10 +74,14 @@ def monthly_base(
     ``systems``: canonical frames.  ``dims``: network, clients, contract_file,
     product_tags, wealth_clients, legal_persons, partner_portfolios, each with one row
     per key (see the functions above and in ``dimensions``).
-    Inactive contracts go first: the test needs canonical columns only, and what it drops
-    is not looked up.
+
+    Rows are summed over the canonical descriptions before anything is looked up: every
+    later column depends on those, so the wide row never passes an aggregate.  Inactive
+    contracts go first, and what they drop is not looked up.
     """
-    stacked = drop_inactive(stack(systems, COLUMNS), ["NUMERO_CONTRAT"], ACTIVITY, activity)
+    active = drop_inactive(stack(systems, COLUMNS), ["NUMERO_CONTRAT"], ACTIVITY, activity, null_keys=False)
+    single = summed(active, DESCRIPTORS, (*FLOW_MEASURES, *POSITION_MEASURES))
+    stacked = flag_one_per_key(single, ["NUMERO_CONTRAT"], COUNT_ORDER, "CNT", null_keys=False)
     channels = inline_lookup(
         stacked.sparkSession, rb.channel_rows(names), ["CANAL_RDU_PRINCIPAL", "LIBNAME_RESEAU", "LIBNAME_CANAL"])
     keyed = stacked.withColumn("CLE", composite_key("CODE_PRODUIT", "CODE_UT")).withColumnRenamed("NUMERO_CLIENT", "NUMERO_CLIENT_1")
@@ -86,13 +90,13 @@ def monthly_base(
         "CANAL_RDU_PRINCIPAL")
     clients = dims["clients"].drop("CANAL_DISTRIBUTION", "ITFAMPRO", "ITFAMRIS", "CDCATPR")
     described = lookup_chain(keyed, [
-        Lookup(network, ["CODE_PORTEFEUILLE"], unique=True),
-        Lookup(channels, ["CANAL_RDU_PRINCIPAL"], unique=True),
-        Lookup(dims["product_tags"], ["CLE"], unique=True),
-        Lookup(dims["partner_portfolios"], ["CODE_PORTEFEUILLE"], unique=True),
         Lookup(clients, ["NUMERO_CONTRAT"], unique=True),
         Lookup(dims["contract_file"], ["NUMERO_CONTRAT"], unique=True),
         Lookup(dims["legal_persons"], ["NUMERO_CONTRAT"], unique=True),
+        Lookup(network, ["CODE_PORTEFEUILLE"], unique=True),
+        Lookup(dims["partner_portfolios"], ["CODE_PORTEFEUILLE"], unique=True),
+        Lookup(channels, ["CANAL_RDU_PRINCIPAL"], unique=True),
+        Lookup(dims["product_tags"], ["CLE"], unique=True),
         Lookup(dims["wealth_clients"], ["NUMERO_CLIENT_2"], unique=True),
     ])
     labelled = relabel(described, [
@@ -111,9 +115,7 @@ def monthly_base(
         **split_by_label("Arbitrage_Entrant", "TYPE_SUPPORT", SPLIT_TYPES),
         **split_by_label("Arbitrage_Sortant", "TYPE_SUPPORT", SPLIT_TYPES),
     })
-    base = summed(measured, KEYS, MEASURES)
-    counted = flag_one_per_key(base, ["NUMERO_CONTRAT"], COUNT_ORDER, "CNT")
-    return counted.withColumn("Affaire_Nouvelle", new_business("DATE_EFFET", period.year, "Collecte_Brute_TOTALE")).select(
+    return measured.withColumn("Affaire_Nouvelle", new_business("DATE_EFFET", period.year, "Collecte_Brute_TOTALE")).select(
         *KEYS, "CNT", "Affaire_Nouvelle", *MEASURES)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Names and order of the canonical row.
 DESCRIPTORS_BEFORE = (
@@ -30,9 +29,9 @@ AMOUNT = "decimal(28,2)"
 
 def canonical(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """The canonical columns in order and with fixed types; ``extra`` measures follow."""
-    def typed(name: str):
+    def typed(name: str) -> str:
         if name in MEASURES or name in extra:
-            return F.col(name).cast(AMOUNT).alias(name)
-        return F.col(name).cast("date" if name in DATES else "string").alias(name)
+            return f"CAST({name} AS {AMOUNT}) AS {name}"
+        return f"CAST({name} AS {'DATE' if name in DATES else 'STRING'}) AS {name}"
 
-    return df.select(*[typed(c) for c in (*COLUMNS, *extra)])
+    return df.selectExpr(*[typed(c) for c in (*COLUMNS, *extra)])

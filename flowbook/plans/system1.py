@@ -56,7 +56,7 @@ def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str =
         (*rb.SYSTEM1_BUCKETS.names, "MT_NON_INVESTI"),
         attributes={c: "max" for c in ("DT_VL_FIN", "VL_DEBUT", "NB_UC_DEBUT", "VL_FIN", "NB_UC_FIN")},
     )
-    return drop_inactive(combined, ["ID_CONTRAT"], (*ACTIVITY, *FEES), activity)
+    return drop_inactive(combined, ["ID_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
 
 
 def options(products: DataFrame, packs: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str =
     buckets = rb.system2_buckets(legacy_switches)
     combined = ledger(
         moved, held, KEYS, (*buckets.names, "Arbitrage_Net"), attributes={"DT_VL_FIN": "max", "NOM_SUPPORT": "max"})
-    return drop_inactive(combined, ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity)
+    return drop_inactive(combined, ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
 
 
 def contracts(table: DataFrame, persons: DataFrame) -> DataFrame:

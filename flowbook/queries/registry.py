@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,18 +25,24 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@lru_cache(maxsize=None)
+def _read(application: str, spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table.  The reader is kept per application: its schema is read once, its data every time."""
+    return _read(spark.sparkContext.applicationId, spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def shown(df: DataFrame) -> DataFrame:
     """Decimals as double and integers as bigint, the types results are compared in."""
-    casts = {}
-    for field in df.schema.fields:
+    def typed(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, T.DecimalType):
-            casts[field.name] = F.col(f"`{field.name}`").cast("double")
-        elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            casts[field.name] = F.col(f"`{field.name}`").cast("bigint")
-    return df.withColumns(casts) if casts else df
-
+            return f"CAST({name} AS DOUBLE) AS {name}"
+        if isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
+            return f"CAST({name} AS BIGINT) AS {name}"
+        return name
 
+    return df.selectExpr(*[typed(f) for f in df.schema.fields])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Period
+from ..session import working_folder
+from ..sources.tables import read_month
 from ..plans import base as base_plan
 from ..plans import dimensions, reports
 from ..plans.system1 import system1
@@ -15,6 +17,26 @@ from . import system_sql as sq
 from .registry import query, shown
 
 PERIOD = Period(1998, 6)
+_FOLDERS: dict[tuple[str, str, str], str] = {}
+
+
+def intermediate(spark, sf_dir, name, write):
+    """The folder of an intermediate table, written on first use within an application.
+
+    As in the monthly workflow, each system, the base and the reports are jobs of their own
+    that meet in stored tables: a lost executor costs one job's work, and no plan spans them all.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FOLDERS:
+        folder = working_folder(spark, name)
+        write(folder)
+        _FOLDERS[key] = folder
+    return _FOLDERS[key]
+
+
+def stored_rows(spark, sf_dir, name, build):
+    folder = intermediate(spark, sf_dir, name, lambda f: build(spark, sf_dir).write.mode("overwrite").parquet(f))
+    return spark.read.parquet(folder)
 
 
 def segments(spark, sf_dir):
@@ -69,7 +91,7 @@ def client_dimension(spark, sf_dir):
     return clients(spark, sf_dir)
 
 
-def base(spark, sf_dir):
+def build_base(spark, sf_dir):
     dims = {
         "network": network(spark, sf_dir),
         "clients": clients(spark, sf_dir),
@@ -79,14 +101,20 @@ def base(spark, sf_dir):
         "legal_persons": base_plan.legal_persons(st.LEGAL_PERSONS.frame(spark, sf_dir)),
         "partner_portfolios": base_plan.partner_portfolios(st.PARTNER_PORTFOLIOS.frame(spark, sf_dir)),
     }
-    systems = [rows3(spark, sf_dir), rows1(spark, sf_dir), rows2(spark, sf_dir)]
+    systems = [stored_rows(spark, sf_dir, name, build) for name, build in (("system3", rows3), ("system1", rows1), ("system2", rows2))]
     return base_plan.monthly_base(systems, dims, PERIOD, flagged_portfolio="0000000012")
 
 
+def base(spark, sf_dir):
+    """The stored month of the base."""
+    folder = intermediate(spark, sf_dir, "base", lambda f: base_plan.store(build_base(spark, sf_dir), f, PERIOD))
+    return read_month(spark, folder, PERIOD).drop("func_month")
+
+
 @query("monthly_base", f"WITH {sq.BASE} SELECT * REPLACE ({sq.as_double((*sq.BASE_MEASURES, 'Affaire_Nouvelle'))}) FROM base")
 def monthly_base(spark, sf_dir):
     """The consolidated base: 51 descriptions, counter, new business and 24 measures."""
-    return shown(base(spark, sf_dir))
+    return shown(build_base(spark, sf_dir))
 
 
 _SEGMENTED = """

@@ -42,12 +42,11 @@ class StandIn:
             rows = table(spark, sf_dir, self.source)
         if self.where:
             rows = rows.filter(self.where)
-        columns = [F.expr(expression).alias(name) for name, expression in self.columns.items()]
+        named = {name: f"{expression} AS `{name}`" for name, expression in self.columns.items()}
         if self.group_by:
-            aggregates = [c for (n, e), c in zip(self.columns.items(), columns) if _is_aggregate(e)]
-            keys = [c for (n, e), c in zip(self.columns.items(), columns) if not _is_aggregate(e)]
-            return rows.groupBy(*keys).agg(*aggregates)
-        chosen = rows.select(*columns)
+            keys = [F.expr(named[n]) for n, e in self.columns.items() if not _is_aggregate(e)]
+            return rows.groupBy(*keys).agg(*[F.expr(named[n]) for n, e in self.columns.items() if _is_aggregate(e)])
+        chosen = rows.selectExpr(*named.values())
         return chosen.distinct() if self.distinct else chosen
 
 

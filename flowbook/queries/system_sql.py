@@ -226,10 +226,10 @@ cl AS (SELECT lpad(c.NMCLI, 10, '0') AS "NUMERO_CLIENT_2", NMPERS AS "NUMERO_ABO
   QUALIFY ROW_NUMBER() OVER (PARTITION BY "NUMERO_CONTRAT" ORDER BY "NUMERO_CLIENT_2") = 1)
 """
 
-CHANNELS = ("AGA", "A2P", "A2P", "AEP", "AEP", "JURIDICA", "COURTIER MSC", "DELEGUE MSC", "MONVOISIN", "ASSU2000", "UNOFI", "ASTRAL", "CII2",
+CHANNELS = ("PHONE ASSUR", "AGA", "A2P", "A2P", "AEP", "AEP", "JURIDICA", "COURTIER MSC", "DELEGUE MSC", "MONVOISIN", "ASSU2000", "UNOFI", "ASTRAL", "CII2",
             "COURTIERS GENERALISTES", "HOUSE PARTENAIRE", "HOUSE PARTENAIRE", "HOUSE PARTENAIRE", "DIVERS HOUSE", "COURTIERS GENERALISTES", "PTF DE FORMATION",
             "COURTIERS GENERALISTES", "COURTIERS GENERALISTES", "COURTIERS GENERALISTES", "PARTENAIRE BANCAIRE")
-_CHANNEL_VALUES = ", ".join(f"('{n:03d}', '{name}')" for n, name in enumerate(("DIVERS", *CHANNELS), 9) if n >= 10)
+_CHANNEL_VALUES = ", ".join(f"('{n:03d}', '{name}')" for n, name in enumerate(CHANNELS, 9))
 
 BASE_KEYS = (
     "NUMERO_CONTRAT", "CODE_PRODUIT", "NOM_PRODUIT", "SITUATION_CLOTURE", "DATE_EFFET", "DATE_TERME", "DT_VL_FIN", "CODE_ISIN", "NOM_SUPPORT", "SUPPORT_SPECIFIQUE", "CODE_UT",
@@ -240,7 +240,7 @@ BASE_KEYS = (
 )
 _ORDER = (
     "CODE_ISIN", "CODE_UT", "SYSTEME", "CODE_PRODUIT", "NOM_PRODUIT", "SITUATION_CLOTURE", "DATE_EFFET", "DATE_TERME", "DT_VL_FIN", "NOM_SUPPORT", "SUPPORT_SPECIFIQUE",
-    "TYPE_SUPPORT", "TYPE_GESTION", "PROFIL_GESTION", "CODE_PORTEFEUILLE", "UJ", "NUMERO_CLIENT", "TYPE_PRSN", "SEGMENT", "TOP_RETRAITE", "CANAL", "RESEAU",
+    "TYPE_SUPPORT", "TYPE_GESTION", "PROFIL_GESTION", "CODE_PORTEFEUILLE", "UJ",
 )
 _SPLITS = {f"Arbitrage_{d}_{t}": (f"Arbitrage_{d}", t) for d in ("Entrant", "Sortant") for t in ("UC", "EURO", "EUROCROISSANCE")}
 BASE_MEASURES = (*CANONICAL_MEASURES, *_SPLITS)

@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import Period
 
-# Fixed pattern of a monthly file name: kind, month, year.
-MONTHLY_NAME = r"([A-Za-z]+)_(\d{1,2})_(\d{4})\.csv$"
+# Fixed pattern of a monthly file name: kind, month, year.  The name may be a file, or a folder
+# of part files as Spark writes them.
+MONTHLY_NAME = r"([A-Za-z]+)_(\d{1,2})_(\d{4})\.csv(?:/|$)"
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, sep: str = ";") -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, sep: str = ";") -> DataFrame:
     """CSV with a header and a declared schema: no inference pass, and no type that varies by file.
 
     The header of every file is checked against the schema.
@@ -28,19 +29,19 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 
 def file_names(spark: SparkSession, root: str) -> DataFrame:
-    """Names of the monthly files under a folder, with kind, month and year.
+    """The monthly files under a folder, with kind, month and year.
 
     Only the listing is read: the content column of the binary source is not selected.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(root).select("path")
-    name = F.element_at(F.split("path", "/"), -1)
+    listing = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(root).select("path")
+    )
     return listing.select(
-        "path",
-        name.alias("file_name"),
-        F.regexp_extract(name, MONTHLY_NAME, 1).alias("kind"),
-        F.regexp_extract(name, MONTHLY_NAME, 2).try_cast("int").alias("month"),
-        F.regexp_extract(name, MONTHLY_NAME, 3).try_cast("int").alias("year"),
-    ).filter(F.col("month").isNotNull())
+        F.regexp_extract("path", f"^(.*?{MONTHLY_NAME})", 1).alias("path"),
+        F.regexp_extract("path", MONTHLY_NAME, 1).alias("kind"),
+        F.regexp_extract("path", MONTHLY_NAME, 2).try_cast("int").alias("month"),
+        F.regexp_extract("path", MONTHLY_NAME, 3).try_cast("int").alias("year"),
+    ).filter(F.col("month").isNotNull()).distinct()
 
 
 def chosen_files(names: DataFrame, today: Period) -> DataFrame:
@@ -53,7 +54,7 @@ def chosen_files(names: DataFrame, today: Period) -> DataFrame:
     return names.filter(december | ((F.col("year") == today.year) & (F.col("month") == newest)))
 
 
-def read_monthly_files(spark: SparkSession, root: str, schemas: dict[str, T.StructType], today: Period) -> DataFrame:
+def read_monthly_files(spark: SparkSession, root: str, schemas: dict[str, T.StructType | str], today: Period) -> DataFrame:
     """The chosen files of every kind, stacked by name, with provenance columns.
 
     The list of paths is as long as the number of chosen files (one per kind and year), so
@@ -74,12 +75,13 @@ def read_monthly_files(spark: SparkSession, root: str, schemas: dict[str, T.Stru
 
 
 def with_provenance(df: DataFrame, today: Period) -> DataFrame:
-    name = F.col("_metadata.file_name")
+    path = F.col("_metadata.file_path")
+    part = [F.regexp_extract(path, MONTHLY_NAME, i) for i in (1, 2, 3)]
     return df.select(
         "*",
-        name.alias("periode"),
-        F.regexp_extract(name, MONTHLY_NAME, 2).cast("int").alias("mois_fichier"),
-        F.regexp_extract(name, MONTHLY_NAME, 3).cast("int").alias("annee_fichier"),
+        F.concat(F.concat_ws("_", *part), F.lit(".csv")).alias("periode"),
+        part[1].cast("int").alias("mois_fichier"),
+        part[2].cast("int").alias("annee_fichier"),
         F.lit(today.month).alias("mois_actuel"),
         F.lit(today.year).alias("annee_actuelle"),
     )

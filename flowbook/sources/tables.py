@@ -68,11 +68,19 @@ def write_month(df: DataFrame, root: str, period: Period, column: str = "func_mo
     tagged = df.withColumn(column, F.lit(period.key))
     if within:
         tagged = tagged.sortWithinPartitions(*within)
-    write_partitions(tagged, root, [column])
+    _replace_partitions(tagged, root, [column])
 
 
 def write_partitions(df: DataFrame, root: str, columns: Sequence[str]) -> None:
-    """Write partitions, replacing exactly those that the frame has."""
+    """Write partitions, replacing exactly those that the frame has.
+
+    Rows are rebalanced by partition first: small partitions get one file, and a partition
+    that holds most of the rows is split over several tasks.
+    """
+    _replace_partitions(df.hint("rebalance", *columns), root, columns)
+
+
+def _replace_partitions(df: DataFrame, root: str, columns: Sequence[str]) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -98,6 +106,6 @@ def export_csv(df: DataFrame, path: str, sep: str = ";") -> None:
     (df.withColumns(dates) if dates else df).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
-def declared(columns: Mapping[str, str]) -> T.StructType:
-    """A schema from name -> type text."""
-    return T.StructType([T.StructField(n, T.DataType.fromDDL(t)) for n, t in columns.items()])
+def declared(columns: Mapping[str, str]) -> str:
+    """A schema, as DDL text, from name -> type."""
+    return ", ".join(f"`{name}` {type_}" for name, type_ in columns.items())
