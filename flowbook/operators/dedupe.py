@@ -83,12 +83,15 @@ def current_else_archive(
     order_by: Sequence[Column | str],
     status_col: str,
     archived_status: str,
+    source_col: str | None = None,
 ) -> DataFrame:
     """The current row of each key, else its archived row with a marked status.
 
-    Sources are ranked instead of tested by status, so a current row with a null status stays.
+    Sources are ranked instead of tested by status, so a current row with a null status
+    stays.  ``source_col`` keeps the rank: 0 for current, 1 for archived.
     """
-    live = current.withColumn("__source", F.lit(0))
-    old = archive.withColumn(status_col, F.lit(archived_status)).withColumn("__source", F.lit(1))
-    picked = one_per_key(live.unionByName(old), keys, ["__source", *order_by])
-    return picked.drop("__source")
+    rank = source_col or "__source"
+    live = current.withColumn(rank, F.lit(0))
+    old = archive.withColumns({status_col: F.lit(archived_status), rank: F.lit(1)})
+    picked = one_per_key(live.unionByName(old), keys, [rank, *order_by])
+    return picked if source_col else picked.drop(rank)

@@ -12,18 +12,18 @@ from pyspark.sql import types as T
 
 
 def unique_dimension(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The dimension, with a run-time error if a key has more than one row.
+    """The dimension with one row per key; a run-time error if a key has two different rows.
 
     A lookup on a repeated key would multiply facts, so the check is part of the plan.
+    Repeats of the same row count as that row.
     """
     others = [c for c in dim.columns if c not in keys]
-    counted = dim.dropna(subset=list(keys)).groupBy(*keys).agg(
-        F.expr("count(1) AS __n"), *[F.expr(f"first(`{c}`) AS `{c}`") for c in others]
-    )
+    row = F.struct(*others) if others else F.struct(F.lit(1))
+    ends = dim.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(row).alias("__row"), F.max(row).alias("__other"))
     message = F.concat(F.lit(f"repeated key {list(keys)}: "), F.to_json(F.struct(*keys)))
     # A filter leaves the keys untouched, so the join can use the aggregate's partitioning.
-    checked = F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return counted.filter(checked).select(*dim.columns)
+    checked = F.when(~F.col("__row").eqNullSafe(F.col("__other")), F.raise_error(message).cast("boolean")).otherwise(True)
+    return ends.filter(checked).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*dim.columns)
 
 
 def lookup(

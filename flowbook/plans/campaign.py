@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Period
-from ..functions.codes import filled, pad_code
+from ..functions.codes import filled
 from ..operators.backfill import backfill
-from ..operators.dedupe import current_else_archive
 from ..operators.joins import lookup
 from ..operators.positions import drop_inactive
 from . import rulebook as rb
@@ -47,11 +46,7 @@ def campaign_history(
         .groupBy("period", "ID_CONTRAT", F.col("CD_FUND").alias("CODE_ISIN"))
         .agg(F.sum("Collecte_Brute_TOTALE").alias("Collecte_Brute_TOTALE"))
     )
-    known = current_else_archive(
-        contracts(tables["contracts"], tables["persons"], tables["products"]),
-        contracts(tables["contracts_archive"], tables["persons_archive"], tables["products"]),
-        ["ID_CONTRAT"], ["CD_PROD"], "SITUATION_CLOTURE", "En erreur",
-    ).select("ID_CONTRAT", pad_code("CODE_PORTEFEUILLE", 10).alias("CODE_PORTEFEUILLE"))
+    known = contracts(tables).select("ID_CONTRAT", "CODE_PORTEFEUILLE")
     channelled = lookup(
         lookup(inflow, known, ["ID_CONTRAT"], unique=True), network, ["CODE_PORTEFEUILLE"], ["CANAL_RDU_PRINCIPAL"], unique=True)
     return channelled.groupBy(

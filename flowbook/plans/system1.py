@@ -35,8 +35,8 @@ def positions(table: DataFrame, period: Period) -> DataFrame:
 
 def movements(detail: DataFrame, header: DataFrame) -> DataFrame:
     """Settled movements: detail rows whose header says so, one header per movement."""
-    headers = header.select("ID_CONTRAT", "ID_MVT", "LB_STATUT", "LB_TYPE_MVT").distinct()
-    heads = unique_dimension(headers.filter(F.col("LB_STATUT") == "Soldé"), ["ID_CONTRAT", "ID_MVT"])
+    closed = header.filter(F.col("LB_STATUT") == "Soldé").select("ID_CONTRAT", "ID_MVT", "LB_TYPE_MVT")
+    heads = unique_dimension(closed, ["ID_CONTRAT", "ID_MVT"])
     rows = settled(detail, heads, ["ID_CONTRAT", "ID_MVT"], F.lit(True))
     return rows.withColumn("CD_OG", filled("CD_OG", FREE))
 
@@ -79,15 +79,19 @@ def supports(table: DataFrame) -> DataFrame:
     )
 
 
-def contracts(table: DataFrame, persons: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per contract with its product and its subscriber."""
-    person = one_per_key(
-        persons.filter(F.col("LB_ROLE") == "Souscripteur").select("ID_CONTRAT", "REFERENCE_CLIENT", "TYPE_PRSN"),
-        ["ID_CONTRAT"], ["REFERENCE_CLIENT", "TYPE_PRSN"],
+def contracts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every contract once: its current row, else its archived one, with product and subscriber.
+
+    A current contract takes its subscriber from the current persons, an archived one from
+    the archive, so persons are kept per source.
+    """
+    picked = current_else_archive(
+        tables["contracts"], tables["contracts_archive"], ["ID_CONTRAT"],
+        [F.col("DT_SOUSCRIPTION").desc_nulls_last(), "CD_PROD", "LB_STATUS"], "LB_STATUS", "En erreur", source_col="source",
     )
-    named = lookup(table, products.select("CD_PROD", F.col("LB_PROD").alias("NOM_PRODUIT")), ["CD_PROD"])
+    named = lookup(picked, tables["products"].select("CD_PROD", F.col("LB_PROD").alias("NOM_PRODUIT")), ["CD_PROD"])
     described = named.select(
-        "ID_CONTRAT", "CD_PROD", "NOM_PRODUIT",
+        "ID_CONTRAT", "source", "CD_PROD", "NOM_PRODUIT",
         F.col("LB_STATUS").alias("SITUATION_CLOTURE"),
         F.col("DT_SOUSCRIPTION").alias("DATE_EFFET"),
         F.col("DT_CLOTURE").alias("DATE_TERME"),
@@ -95,8 +99,12 @@ def contracts(table: DataFrame, persons: DataFrame, products: DataFrame) -> Data
         F.col("CD_UJ").alias("UJ"),
         rb.RETIREMENT_1.column().alias("TOP_RETRAITE"),
     )
-    single = one_per_key(described, ["ID_CONTRAT"], [F.col("DATE_EFFET").desc_nulls_last(), "CD_PROD", "SITUATION_CLOTURE"])
-    return lookup(single, person, ["ID_CONTRAT"], unique=True)
+    persons = tables["persons"].withColumn("source", F.lit(0)).unionByName(tables["persons_archive"].withColumn("source", F.lit(1)))
+    subscribers = one_per_key(
+        persons.filter(F.col("LB_ROLE") == "Souscripteur").select("ID_CONTRAT", "source", "REFERENCE_CLIENT", "TYPE_PRSN"),
+        ["ID_CONTRAT", "source"], ["REFERENCE_CLIENT", "TYPE_PRSN"],
+    )
+    return lookup(described, subscribers, ["ID_CONTRAT", "source"], unique=True).drop("source")
 
 
 def system1(
@@ -113,11 +121,6 @@ def system1(
     supports, persons, persons_archive, contracts, contracts_archive, products, distributors.
     ``extra`` adds measures that the canonical row leaves out (fees, MT_NON_INVESTI).
     """
-    all_contracts = current_else_archive(
-        contracts(tables["contracts"], tables["persons"], tables["products"]),
-        contracts(tables["contracts_archive"], tables["persons_archive"], tables["products"]),
-        ["ID_CONTRAT"], ["CD_PROD"], "SITUATION_CLOTURE", "En erreur",
-    )
     distributors = one_per_key(
         tables["distributors"].select(pad_code("CD_DISTRIBUTEUR", 10).alias("CODE_PORTEFEUILLE"), F.col("LB_RESEAU").alias("LB_CANAL")),
         ["CODE_PORTEFEUILLE"], ["LB_CANAL"],
@@ -125,7 +128,7 @@ def system1(
     described = lookup_chain(base_ledger(tables, period, activity), [
         Lookup(options(tables["option_products"], tables["option_packs"]), ["CD_OG"], unique=True),
         Lookup(supports(tables["supports"]), ["CD_FUND"], unique=True),
-        Lookup(all_contracts, ["ID_CONTRAT"], unique=True),
+        Lookup(contracts(tables), ["ID_CONTRAT"], unique=True),
         Lookup(distributors, ["CODE_PORTEFEUILLE"], unique=True),
     ])
     coded = described.withColumns({

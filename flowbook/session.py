@@ -17,6 +17,10 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A plan of the monthly base has more generated classes than the default cache of 100.
+    "spark.sql.codegen.cache.maxEntries": "2000",
+    # No Python call-site lookup for each column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
