@@ -11,7 +11,7 @@ from ..operators.cube import CubeSpec, Dimension
 from ..operators.joins import stack_missing
 from ..operators.rules import FromColumn, RuleSet
 from ..plans.cube_studies import budget_study, contract_lookup, surrender_study
-from .registry import query, shown, table
+from .registry import query, shown, table, wide_table
 
 MONEY = "decimal(18,2)"
 NETWORK4 = ("A2P", "AG (AGGX)", "Autres Salariés", "DOM-TOM", "Partenariats Distribution", "CGP", "Courtiers généralistes (hors MGARD)", "-")
@@ -39,7 +39,7 @@ def sql_pick(values, expression):
 
 def cube(spark, sf_dir) -> CubeSpec:
     """The cube over the test tables."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = wide_table(spark, sf_dir, "lineitem")
     date = F.col("l_shipdate").cast("date")
     fact = lines.select(
         "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", F.col("l_tax").cast(MONEY).alias("l_tax"),

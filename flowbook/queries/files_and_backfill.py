@@ -14,7 +14,7 @@ from ..sources.files import chosen_files, file_names, read_monthly_files
 from ..sources.tables import declared, read_day, read_month, write_month, write_partitions
 from . import standins as st
 from . import system_sql as sq
-from .registry import query, shown, table
+from .registry import query, shown, table, wide_table
 from .reports_and_systems import intermediate, network
 
 MONEY = "decimal(18,2)"
@@ -123,7 +123,7 @@ def monthly_files(spark, sf_dir):
     A file of that name is a folder of part files, as Spark writes it.
     """
     def write(folder):
-        lines = table(spark, sf_dir, "lineitem").withColumns({
+        lines = wide_table(spark, sf_dir, "lineitem").withColumns({
             "d": F.col("l_shipdate").cast("date"), "amount": F.col("l_extendedprice").cast(MONEY)})
         common = {
             "NUMERO_CONTRAT": F.when(F.col("l_suppkey") % 10 == 0, "0").otherwise(F.concat(F.lit("C"), "l_orderkey")),

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .registry import table
+from .registry import table, wide_table
 
 LINES_WITH_ORDERS = "lineitem JOIN orders ON l_orderkey = o_orderkey"
 
@@ -36,10 +36,11 @@ class StandIn:
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         if self.source == LINES_WITH_ORDERS:
-            lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+            lines, orders = wide_table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
             rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         else:
-            rows = table(spark, sf_dir, self.source)
+            read = wide_table if self.source == "lineitem" else table
+            rows = read(spark, sf_dir, self.source)
         if self.where:
             rows = rows.filter(self.where)
         named = {name: f"{expression} AS `{name}`" for name, expression in self.columns.items()}

@@ -32,6 +32,16 @@ def read_table(
     return as_of_snapshot(table, snapshot_col, limit or dt.date(9999, 12, 31))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan spread over all cores where its files give fewer splits than there are cores.
+
+    A file with one large row group is read by one task, and so is everything up to the
+    next shuffle.  Inputs with enough splits, as any large table has, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_day(spark: SparkSession, root: str, day: dt.date, columns: Sequence[str] = (
     "func_partitioning_year", "func_partitioning_month", "func_partitioning_day",
 )) -> DataFrame:
