@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Period
+from ..session import computed_once
 from .positions import stacked_sum
 
 
@@ -84,7 +85,7 @@ def backfill(
     The opening value of a month is the closing value of the December before its year.
     """
     opening_from = Period(first.year - 1, 12)
-    held = carried_forward(positions, keys, position_date, value, opening_from, last)
+    held = computed_once(carried_forward(positions, keys, position_date, value, opening_from, last), "held")
     closing = held.filter(F.col("period") >= _first(first)).withColumnRenamed(value, names[1])
     december = held.filter(F.month("period") == 12)
     starts = F.greatest(F.add_months("period", 1), _first(first))

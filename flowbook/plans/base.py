@@ -15,6 +15,7 @@ from ..operators.joins import Lookup, inline_lookup, lookup_chain, stack
 from ..operators.positions import drop_inactive, summed
 from ..operators.rules import relabel
 from ..sources.tables import write_month
+from ..session import computed_once
 from . import rulebook as rb
 from .canonical import ACTIVITY, COLUMNS, DESCRIPTORS_AFTER, DESCRIPTORS_BEFORE, FLOW_MEASURES, POSITION_MEASURES
 
@@ -80,7 +81,7 @@ def monthly_base(
     contracts go first, and what they drop is not looked up.
     """
     active = drop_inactive(stack(systems, COLUMNS), ["NUMERO_CONTRAT"], ACTIVITY, activity, null_keys=False)
-    single = summed(active, DESCRIPTORS, (*FLOW_MEASURES, *POSITION_MEASURES))
+    single = computed_once(summed(active, DESCRIPTORS, (*FLOW_MEASURES, *POSITION_MEASURES)), "base-rows")
     stacked = flag_one_per_key(single, ["NUMERO_CONTRAT"], COUNT_ORDER, "CNT", null_keys=False)
     channels = inline_lookup(
         stacked.sparkSession, rb.channel_rows(names), ["CANAL_RDU_PRINCIPAL", "LIBNAME_RESEAU", "LIBNAME_CANAL"])

@@ -12,6 +12,7 @@ from ..functions.codes import filled
 from ..operators.backfill import backfill
 from ..operators.joins import lookup
 from ..operators.positions import drop_inactive
+from ..session import computed_once
 from . import rulebook as rb
 from .canonical import ACTIVITY
 from .system1 import FEES, FREE, KEYS, contracts, movements
@@ -24,7 +25,7 @@ def ledger_by_month(tables: Mapping[str, DataFrame], first: Period, last: Period
     valued = tables["positions"].withColumn("CD_OG", filled("CD_OG", FREE))
     months = backfill(
         classified, "DT_INVEST", rb.SYSTEM1_BUCKETS.buckets, valued, "DT_POSITION", "PM", KEYS, first, last)
-    return drop_inactive(rb.SYSTEM1_BUCKETS.derive(months), ["period", "ID_CONTRAT"], (*ACTIVITY, *FEES), activity)
+    return drop_inactive(computed_once(rb.SYSTEM1_BUCKETS.derive(months), "ledger-months"), ["period", "ID_CONTRAT"], (*ACTIVITY, *FEES), activity)
 
 
 def campaign_history(

@@ -12,6 +12,7 @@ from ..functions.codes import filled, pad_code
 from ..operators.dedupe import current_else_archive, one_per_key
 from ..operators.joins import Lookup, lookup, lookup_chain, settled, unique_dimension
 from ..operators.positions import drop_inactive, ledger, snapshot_pair
+from ..session import computed_once
 from . import rulebook as rb
 from .canonical import ACTIVITY, canonical
 
@@ -56,7 +57,7 @@ def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str =
         (*rb.SYSTEM1_BUCKETS.names, "MT_NON_INVESTI"),
         attributes={c: "max" for c in ("DT_VL_FIN", "VL_DEBUT", "NB_UC_DEBUT", "VL_FIN", "NB_UC_FIN")},
     )
-    return drop_inactive(combined, ["ID_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
+    return drop_inactive(computed_once(combined, "ledger1"), ["ID_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
 
 
 def options(products: DataFrame, packs: DataFrame) -> DataFrame:

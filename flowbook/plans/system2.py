@@ -13,6 +13,7 @@ from ..operators.dedupe import group_totals, one_per_key
 from ..operators.flows import motive_flags, units_times_price
 from ..operators.joins import Lookup, lookup, lookup_chain, unique_dimension
 from ..operators.positions import drop_empty_rows, drop_inactive, ledger, open_close
+from ..session import computed_once
 from . import rulebook as rb
 from .canonical import ACTIVITY, canonical
 
@@ -101,7 +102,7 @@ def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str =
     buckets = rb.system2_buckets(legacy_switches)
     combined = ledger(
         moved, held, KEYS, (*buckets.names, "Arbitrage_Net"), attributes={"DT_VL_FIN": "max", "NOM_SUPPORT": "max"})
-    return drop_inactive(combined, ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
+    return drop_inactive(computed_once(combined, "ledger2"), ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
 
 
 def contracts(table: DataFrame, persons: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from ..functions.codes import filled, pad_code
 from ..operators.dedupe import one_per_key
 from ..operators.joins import Lookup, header_driven, lookup, lookup_chain
 from ..operators.positions import as_of, drop_inactive, ledger, live_only, open_close
+from ..session import computed_once
 from . import rulebook as rb
 from .canonical import ACTIVITY, canonical
 
@@ -102,7 +103,7 @@ def flows(tables: Mapping[str, DataFrame], period: Period, activity: str = "sign
         *rb.SYSTEM3_BUCKETS.sums(), *rb.SYSTEM3_FEES.sums(), F.max("LIBELLE_SUPPORT").alias("LIBELLE_SUPPORT"))
     derived = rb.SYSTEM3_BUCKETS.derive(summed)
     measures = ("Collecte_Brute_TOTALE", "Prestation_TOTALE", "Arbitrage_Entrant", "Arbitrage_Sortant", *FEES)
-    return drop_inactive(derived, ["NUMERO_CONTRAT"], measures, activity, null_keys=False)
+    return drop_inactive(computed_once(derived, "flows3"), ["NUMERO_CONTRAT"], measures, activity, null_keys=False)
 
 
 def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str = "signed") -> DataFrame:
@@ -111,7 +112,7 @@ def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str =
         (*rb.SYSTEM3_BUCKETS.names, *rb.SYSTEM3_FEES.names),
         attributes={"DT_VL_FIN": "max", "LIBELLE_SUPPORT": "max"},
     )
-    return drop_inactive(combined, ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
+    return drop_inactive(computed_once(combined, "ledger3"), ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
 
 
 def contracts(table: DataFrame, persons: DataFrame, conventions: DataFrame, names: rb.Names) -> DataFrame:

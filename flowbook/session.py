@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on.  ANSI is Spark 4's default and is stated because the
 # operators use the try_* functions where dirty input must become null instead of
@@ -48,3 +48,14 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="flowbook-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def computed_once(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to the working folder and read back.
+
+    For a frame that several branches of a plan need: its sources are scanned once, the
+    branches prune the columns they read, and a lost executor repeats a branch, not the scan.
+    """
+    folder = working_folder(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
