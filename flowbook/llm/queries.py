@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import working_folder
-from . import entropy_balancing, host_reputation, mixture_packing, wavelet
+from . import bwt_merge, chosen_path, entropy_balancing, host_reputation, mixture_packing, ngram_quality, recompression, stable_projection_nn, trie_counts, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,38 @@ def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_entropy_balancing")
 def op9_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entropy_balancing.mix(table(spark, sf_dir, "documents"), keep=["doc_id", "source"])
+
+
+@query("op2_ngram_quality")
+def op2_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = ngram_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score", "threshold",
+    )
+
+
+@query("op6_trie_token_counts")
+def op6_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op7_stable_projection_nn")
+def op7_stable_projection_nn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stable_projection_nn.search(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_chosen_path_join")
+def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(table(spark, sf_dir, "documents")).drop("tid")
+
+
+@query("op8_recompression_dedup")
+def op8_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompression.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op10_bwt_merge_dedup")
+def op10_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bwt_merge.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
