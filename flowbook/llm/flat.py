@@ -61,8 +61,8 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
         lo = hi
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, end byte and text number of each word."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end byte and text number of each word; ``cuts`` are bytes at which a word is cut in two as well."""
     solid = ~_SPACE[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
@@ -72,6 +72,8 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     edges = edges[(edges > 0) & (edges < len(data))]
     begins[edges] = solid[edges]
     ends[edges - 1] = solid[edges - 1]
+    if cuts is not None:
+        begins[cuts], ends[cuts - 1] = True, True
     first = np.flatnonzero(begins)
     return first, np.flatnonzero(ends) + 1, np.searchsorted(offsets, first, "right") - 1
 
@@ -92,9 +94,9 @@ def span_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray, limit: int
     return out
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte, end byte and text number of each word."""
-    first, end, text = word_spans(data, offsets)
+    first, end, text = word_spans(data, offsets, cuts)
     return span_hashes(data, first, end), first, end, text
 
 

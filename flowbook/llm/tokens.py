@@ -15,6 +15,12 @@ from .flat import word_hashes
 END_ID = 2
 # Python takes these for white space and the tokenizers library does not; texts with them go to the library whole.
 _UNLIKE = re.compile("[\x1c-\x1f]")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+# 1: ASCII letters, 2: ASCII marks but the apostrophe.  A piece never spans both.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[[c for c in (*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)) if c != 0x27]] = 2
 
 
 def default_path() -> str:
@@ -38,7 +44,7 @@ class Encoder:
 
     Where the file normalises by NFC, white space and lower case and splits by a pattern into byte-level pieces
     (``default_path`` does), each different word of a batch is encoded once, from pieces that the library's model
-    encodes; about ``remembered`` words and pieces are kept for the next batches.  Whole texts go to the library for any other file, and where a text holds a
+    encodes; about ``remembered`` pieces are kept for the next batches.  Whole texts go to the library for any other file, and where a text holds a
     special token's string or a separator character.
     """
 
@@ -51,7 +57,8 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.bits = max(1, (size - 1).bit_length())
-        self.remembered, self.known, self.words, self.letters = remembered, {}, {}, _ByteLetters()
+        self.remembered, self.letters = remembered, _ByteLetters()
+        self._forget()
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
@@ -65,28 +72,46 @@ class Encoder:
             and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"] and made["model"]["type"] == "BPE"
         ):
             # White space as Unicode has it; Python's class also takes the separators 1C-1F.
-            self.pieces = regex.compile(cuts[0]["pattern"]["Regex"].replace(r"[^\s", r"[^\t-\r\x85\p{Z}"))
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        return np.array([x.id for x in self.model.tokenize(piece.translate(self.letters))], self.dtype).tobytes()
-
-    def _text(self, text: str) -> bytes:
-        if self.pieces is None or _UNLIKE.search(text) or any(s in text for s in self.special):
-            return self._whole(text)
-        if not unicodedata.is_normalized("NFC", text):
+            self.pieces = regex.compile(cuts[0]["pattern"]["Regex"].replace(r"[^\s", r"[^\t-\r\x85\p{Z}") + r"|\n")
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces by the model and put their ids at the end of the pool."""
+        tokenize, letters = self.model.tokenize, self.letters
+        found = [tokenize(p.translate(letters)) for p in pieces]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter((x.id for one in found for x in one), self.dtype, int(sizes.sum()))
+        self.known.update(zip(pieces, range(len(self.starts), len(self.starts) + len(pieces))))
+        self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes) - sizes))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.pool = np.concatenate((self.pool, ids))
+
+    def _forget(self) -> None:
+        self.known = {"\n": -1}
+        self.starts, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+
+    def _words(self, words: list[bytes], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one after the other, and how many each has."""
+        text = b"\n".join(words).decode()
+        if not plain and (_UNLIKE.search(text) or any(s in text for s in self.special)):
+            parts = [self._whole(w.decode()) for w in words]
+            return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        if not plain:
             text = unicodedata.normalize("NFC", text)
         # The library lowers each character alone, so a sigma at a word's end stays an ordinary one.
         pieces = self.pieces.findall(text.replace("Σ", "σ").lower())
-        known = self.known
-        if len(known) > self.remembered:
-            known.clear()
-        for p in pieces:
-            if p not in known:
-                known[p] = self._piece(p)
-        return b"".join([known[p] for p in pieces])
+        if len(self.known) > self.remembered:
+            self._forget()
+        self._learn(list(set(pieces).difference(self.known)))
+        index = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        word = np.cumsum(index < 0)[index >= 0]
+        index = index[index >= 0]
+        sizes = self.sizes[index]
+        ends = np.cumsum(sizes)
+        ids = self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[index] - (ends - sizes), sizes)]
+        return ids, np.bincount(word, sizes, len(words)).astype(np.int64)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """The ids of consecutive texts, given as bytes and offsets, each with ``end_id`` after it; and the offsets of the ids."""
@@ -94,21 +119,23 @@ class Encoder:
         texts = len(offsets) - 1
         if self.pieces is None:
             parts = [self._whole(raw[a:b].decode()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            owner = np.arange(texts)
-            which = owner
+            owner = which = np.arange(texts)
+            pool, sizes = np.concatenate([np.zeros(0, self.dtype), *parts]), np.array([len(p) for p in parts], np.int64)
         else:
-            hashes, first, end, owner = word_hashes(data, offsets)
+            # Words are lowered and cut between letters and marks before they are told apart, where that is safe.
+            cuts, text = None, raw.decode()
+            low = _LOWER[data]
+            lowered = low.tobytes()
+            plain = not (_UNLIKE.search(text) or any(s in text for s in self.special)) and all(
+                unicodedata.is_normalized("NFC", t) for t in (text, lowered.decode()))
+            if plain:
+                kind = _KIND[data]
+                cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+                data, raw = low, lowered
+            hashes, first, end, owner = word_hashes(data, offsets, cuts)
             _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
             words = [raw[a:b] for a, b in zip(first[at].tolist(), end[at].tolist())]
-            seen = self.words
-            if len(seen) > self.remembered:
-                seen.clear()
-            for w in words:
-                if w not in seen:
-                    seen[w] = self._text(w.decode())
-            parts = [seen[w] for w in words]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
-        pool = np.frombuffer(b"".join(parts), self.dtype)
+            pool, sizes = self._words(words, plain) if words else (np.zeros(0, self.dtype), np.zeros(0, np.int64))
         starts = np.cumsum(sizes) - sizes
         counts = sizes[which]
         ends = np.cumsum(counts)
@@ -116,8 +143,11 @@ class Encoder:
         out_offsets[1:] = np.cumsum(np.bincount(owner, counts, texts).astype(np.int64) + 1)
         out = np.full(int(out_offsets[-1]), end_id, self.dtype)
         if len(counts):
-            steps = np.arange(int(ends[-1]))
-            out[steps + np.repeat(owner, counts)] = pool[steps + np.repeat(starts[which] - (ends - counts), counts)]
+            steps = np.arange(int(ends[-1]), dtype=np.int64)
+            put = steps.copy()
+            put += np.repeat(owner, counts)
+            steps += np.repeat(starts[which] - (ends - counts), counts)
+            out[put] = pool[steps]
         return out, out_offsets
 
 

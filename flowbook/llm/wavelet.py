@@ -47,13 +47,13 @@ class WaveletMatrix:
         ranks = np.zeros((bits, blocks), "<u4")
         zeros, rest = [], ids
         for level in range(bits):
-            ones = (rest >> (bits - 1 - level)) & 1 == 1
+            ones = ((rest >> (bits - 1 - level)) & 1).astype(bool)
             packed = np.packbits(ones, bitorder="little")
             planes[level, :len(packed)] = packed
             sums = np.bitwise_count(planes[level]).reshape(blocks, -1).sum(axis=1)
             ranks[level, 1:] = np.cumsum(sums)[:-1]
             zeros.append(n - int(sums.sum()))
-            rest = np.concatenate((rest[~ones], rest[ones]))
+            rest = np.concatenate((np.compress(~ones, rest), np.compress(ones, rest)))
         return cls(n, bits, zeros, planes.tobytes(), ranks.tobytes())
 
     def _bit(self, level: int, i: int) -> int:
@@ -112,9 +112,9 @@ class WaveletMatrix:
         values = np.zeros(self.n, np.uint32)
         for level in reversed(range(self.bits)):
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            values[self.zeros[level]:] |= np.uint32(1 << (self.bits - 1 - level))
             before = np.empty_like(values)
-            before[~ones] = values[:self.zeros[level]]
-            before[ones] = values[self.zeros[level]:] | np.uint32(1 << (self.bits - 1 - level))
+            before[np.concatenate((np.flatnonzero(~ones), np.flatnonzero(ones)))] = values
             values = before
         return values
 
@@ -167,7 +167,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str | None = None
 
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for lo, hi, data, offsets in slices(batch.column("text"), 4 << 20):
+            for lo, hi, data, offsets in slices(batch.column("text"), 8 << 20):
                 found, at = enc.encode(data, offsets, end_id)
                 for k in range(hi - lo):
                     ids.append(found[at[k]:at[k + 1]])
