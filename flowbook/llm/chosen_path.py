@@ -88,7 +88,7 @@ def digest(items: np.ndarray) -> bytes:
 
 
 def _described(docs: DataFrame, sketches: bool) -> DataFrame:
-    """``doc_id, tid`` (the digest of the shingle set, null without words) with the sketch, or with the text."""
+    """``doc_id, th, tid`` (hash of the text; digest of the shingle set, null without words) with the sketch, or with the text."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,10 +96,12 @@ def _described(docs: DataFrame, sketches: bool) -> DataFrame:
                 sets = shingle_sets(data, offsets)
                 tids = pa.array([digest(s) if len(s) else None for s in sets], pa.binary())
                 more = pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary()) if sketches else batch.column("text").slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), tids, more], names=["doc_id", "tid", "more"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("th").slice(lo, hi - lo), tids, more], names=["doc_id", "th", "tid", "more"])
 
     kind = "binary" if sketches else "string"
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(describe, f"doc_id long, tid binary, more {kind}")
+    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    named = lean.mapInArrow(describe, f"doc_id long, th long, tid binary, more {kind}")
     return named.withColumnRenamed("more", "sketch" if sketches else "text")
 
 
@@ -250,11 +252,12 @@ def _verify(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
 
 
 def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """``doc_id, tid, class_id, n_links, n_texts`` per document.
+    """``doc_id, th, tid, class_id, n_links, n_texts, keeps`` per document; ``th`` is ``xxhash64`` of the text.
 
     Needs ``doc_id, text``; other columns are ignored.  Two documents are linked if the Jaccard similarity of their
     shingle sets is at least ``similarity``; ``n_links`` counts the linked documents, ``n_texts`` the linked texts with
-    another set.  ``class_id`` is the smallest ``doc_id`` of those connected by links (null if none has one).  A text
+    another set.  ``class_id`` is the smallest ``doc_id`` of those connected by links (null if none has one);
+    ``keeps`` marks that document and its copies with the same id, and every document without words.  A text
     of one to four words has one shingle; a null text or one without words has no ``tid``, no links and a class of
     its own.  Documents with equal sets are one text with copies, so they are not compared with each other; repeated
     rows count as copies.  An empty table gives no rows.  The sets are verified whole; the sketches only choose whom
@@ -288,11 +291,13 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     counts = linked.groupBy("tid").agg(F.sum("n_texts").alias("n_texts"), F.sum("n_docs").alias("n_docs"))
     roots = components(linked.select(F.col("tid").alias("v"), F.col("root").alias("u")))
     named = texts.select("tid", "rep", "n").join(roots.select(F.col("v").alias("tid"), "root"), "tid", "left").withColumn("root", F.coalesce("root", "tid"))
-    classes = named.groupBy("root").agg(F.min("rep").alias("class_id"))
+    first = F.struct(F.col("rep").isNull(), F.col("rep"), F.col("tid"))
+    classes = named.groupBy("root").agg(F.min("rep").alias("class_id"), F.min_by("tid", first).alias("keeper"))
     found = named.join(classes, "root").join(counts, "tid", "left").select(
-        F.col("tid").alias("tid_"), "class_id", (F.col("n") - 1 + F.coalesce("n_docs", F.lit(0))).alias("n_links"), F.coalesce("n_texts", F.lit(0)).alias("n_texts"),
+        F.col("tid").alias("tid_"), "class_id", (F.col("tid") == F.col("keeper")).alias("kept"), (F.col("n") - 1 + F.coalesce("n_docs", F.lit(0))).alias("n_links"), F.coalesce("n_texts", F.lit(0)).alias("n_texts"),
     )
-    return described.select("doc_id", "tid").join(found, F.col("tid") == F.col("tid_"), "left").select(
-        "doc_id", "tid", F.when(F.col("tid").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    return described.select("doc_id", "th", "tid").join(found, F.col("tid") == F.col("tid_"), "left").select(
+        "doc_id", "th", "tid", F.when(F.col("tid").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_texts", F.lit(0)).cast("long").alias("n_texts"),
+        (F.col("tid").isNull() | (F.col("kept") & F.col("doc_id").eqNullSafe(F.col("class_id")))).alias("keeps"),
     )

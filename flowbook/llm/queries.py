@@ -114,7 +114,7 @@ def op7_stable_projection_nn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_chosen_path_join")
 def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.join(table(spark, sf_dir, "documents")).drop("tid")
+    return chosen_path.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_texts")
 
 
 @query("op8_recompression_dedup")

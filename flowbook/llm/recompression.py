@@ -10,12 +10,13 @@ names (see ``repeats``) find what is shared and verify it window by window.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import computed_once
 from .flat import mix, rolling, slices, word_hashes, word_spans
@@ -88,10 +89,10 @@ def marks_of(hashes: np.ndarray, text: np.ndarray, window: int = WINDOW) -> tupl
     return name, where, many
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, text, n_words, n_removed, kept`` per document; ``kept`` is the kept words joined by one space.
+def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, th, n_words, n_removed, kept`` per document; ``kept`` is the kept words joined by one space.
 
-    Needs ``doc_id, text``; other columns are ignored.  A word goes if a window of ``window`` words that covers it also
+    Needs ``doc_id, text``; the columns in ``carry`` come along as ``c_`` and their name, others are ignored.  A word goes if a window of ``window`` words that covers it also
     starts in a document with a smaller ``doc_id``, judged on the input.  A null or empty text, and one shorter than
     the window, stays as it is.  A document with a null ``doc_id`` has no place in the order: it is kept whole and
     removes nothing.  Rows with one ``doc_id`` are not compared with each other; each gets its own result.  An
@@ -140,7 +141,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             "name", "content", F.col("i").cast("long").alias("i"), F.lit(1).cast("long").alias("m"),
         )
 
-    joined = with_spans(docs, covered(marks, look))
+    joined = with_spans(docs, covered(marks, look), carry)
+    carried = joined.select(*[f"`c_{c}`" for c in carry]).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +163,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     rows.append((b - a, int((~stay).sum()), kept))
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc").slice(lo, hi - lo), batch.column("th").slice(lo, hi - lo), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                    pa.array([r[2] for r in rows], pa.binary()).cast(pa.string()),
-                ], names=["doc_id", "th", "n_words", "n_removed", "kept"])
+                    pa.array([r[2] for r in rows], pa.binary()).cast(pa.string()), *[batch.column(c).slice(lo, hi - lo) for c in carried.names],
+                ], names=["doc_id", "th", "n_words", "n_removed", "kept", *carried.names])
 
-    return joined.mapInArrow(cut, "doc_id long, th long, n_words long, n_removed long, kept string")
+    own = T.StructType.fromDDL("doc_id long, th long, n_words long, n_removed long, kept string")
+    return joined.mapInArrow(cut, T.StructType(own.fields + carried.fields))

@@ -12,7 +12,7 @@ at the same number in their mark, and everything else is decided there:
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,9 +40,10 @@ def name_filter(names: DataFrame) -> np.ndarray:
     return out
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """``doc, th, text``: the document's id, a hash of its text to tell rows with one id apart, and the text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), "text")
+    kept = [F.col(f"`{c}`").alias(f"c_{c}") for c in carry]
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), "text", *kept)
 
 
 def covered(marks: DataFrame, look: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -66,12 +67,12 @@ def covered(marks: DataFrame, look: Callable[[DataFrame], DataFrame]) -> DataFra
     return computed_once(whole.unionByName(part), "covered")
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``doc, th, text, spans``: every document with the array of its covered runs (null without one)."""
+def with_spans(docs: DataFrame, spans: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc, th, text, spans`` and the carried columns (as ``c_`` and their name): every document with the array of its covered runs."""
     held = spans.groupBy("doc", "th").agg(F.collect_set(F.struct("p", "n")).alias("spans"))
     held = held.select(F.col("doc").alias("doc_"), F.col("th").alias("th_"), "spans")
-    texts = keyed(docs)
-    return texts.join(held, (F.col("doc") == F.col("doc_")) & (F.col("th") == F.col("th_")), "left").select("doc", "th", "text", "spans")
+    texts = keyed(docs, carry)
+    return texts.join(held, (F.col("doc") == F.col("doc_")) & (F.col("th") == F.col("th_")), "left").drop("doc_", "th_")
 
 
 def owners(low: np.ndarray, high: np.ndarray, rank: np.ndarray, windows: int) -> np.ndarray:
