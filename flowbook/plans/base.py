@@ -25,7 +25,7 @@ KEYS = (
     "NOM_PRENOM_SOUSCRIPTEUR", "DATE_NAISSANCE", "CODE_CSP", "ADRESSE", "CODE_POSTAL", "VILLE", "PAYS", "EMAIL",
     "LIBELLE_COMMERCIAL", "LIBELLE_COMMERCIAL_CRM", "APPORTEUR", "CODE_DELEGATION", "DELEGATION", "CODE_REGION", "REGION",
     "CODE_GESTIONNAIRE", "CANAL_RDU_PRINCIPAL", "CANAL", "RESEAU", "SEGPAT", "SOUS_SEGPAT", "CIVILITE_PM", "NATURE_PMO",
-    "TOP_ONE", "SEGMENT", "SEGMENTATION", "TOP_TMGA", "TISSIER", "TOP_RETRAITE", "SYSTEME",
+    "TOP_ONE", "SEGMENT", "SEGMENTATION", "TOP_TMGA", "TOP_PORTEFEUILLE", "TOP_RETRAITE", "SYSTEME",
 )
 SPLIT_TYPES = ("UC", "EURO", "EUROCROISSANCE")
 SPLIT_MEASURES = tuple(f"{m}_{t}" for m in ("Arbitrage_Entrant", "Arbitrage_Sortant") for t in SPLIT_TYPES)
@@ -105,7 +105,7 @@ def monthly_base(
         ("TYPE_UC", rb.FUND_SUBTYPE),
         ("TOP_ONE", rb.wealth_flag(names)),
         ("TOP_TMGA", rb.TAGGED_PRODUCT),
-        ("TISSIER", rb.portfolio_flag(flagged_portfolio)),
+        ("TOP_PORTEFEUILLE", rb.portfolio_flag(flagged_portfolio)),
         *rb.person_type_base(names),
         ("LIBELLE_COMMERCIAL_CRM", rb.crm_column("LIBELLE_COMMERCIAL_GP", "LIBELLE_COMMERCIAL_PF", rb.FromColumn("LIBELLE_COMMERCIAL"))),
         ("SEGMENTATION", rb.crm_column("SEGMENTATION_GP", "SEGMENTATION_PF", " ")),

@@ -16,7 +16,7 @@ from ..operators.rules import RuleSet, relabel
 from . import rulebook as rb
 
 # Standard filters and indicator members.
-SOURCE_CODE = "VISSOC_NSM"
+SOURCE_CODE = "VIE_SOC"
 SAVINGS = "Total Epargne Individuelle"
 PROTECTION = "Total Prévoyance"
 SAVINGS_SUPPORT = "Support Epargne"

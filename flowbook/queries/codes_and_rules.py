@@ -113,22 +113,22 @@ def string_fns(spark, sf_dir):
 
 LABELLED = """
 c AS (SELECT c_custkey, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)) AS amount,
-  CASE c_nationkey % 12 WHEN 0 THEN 'RESEAU A2P EST' WHEN 1 THEN 'AEP PRIAM' WHEN 2 THEN 'AGENTS GENERAUX'
+  CASE c_nationkey % 12 WHEN 0 THEN 'RESEAU A2P EST' WHEN 1 THEN 'AEP MUTUELLE' WHEN 2 THEN 'AGENTS GENERAUX'
     WHEN 3 THEN 'GESTION PRIVEE' WHEN 4 THEN 'Partenariats Bancaires' WHEN 5 THEN 'PARTENAIRE ASSURANCE'
     WHEN 6 THEN 'CGPI' WHEN 7 THEN 'Courtiers Généralistes' WHEN 8 THEN 'ESPACE CONSEIL DOM'
-    WHEN 9 THEN 'PLATEFORMES PRIAM' WHEN 10 THEN 'ND' END AS label,
+    WHEN 9 THEN 'PLATEFORMES MUTUELLE' WHEN 10 THEN 'ND' END AS label,
   CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'SYS1' WHEN c_mktsegment = 'FURNITURE' THEN 'SYS2' ELSE 'SYS3' END AS system,
   CASE WHEN c_acctbal > 5000 THEN 'GP' WHEN c_acctbal > 0 THEN 'XX' END AS sub_segment
   FROM customer),
-r AS (SELECT *, CASE WHEN contains(label, 'A2P') THEN 'A2P' WHEN label = 'AEP PRIAM' THEN 'AEP' WHEN label = 'AGENTS GENERAUX' THEN 'AGA'
+r AS (SELECT *, CASE WHEN contains(label, 'A2P') THEN 'A2P' WHEN label = 'AEP MUTUELLE' THEN 'AEP' WHEN label = 'AGENTS GENERAUX' THEN 'AGA'
     WHEN label = 'GESTION PRIVEE' THEN 'GESTION PRIVEE DIRECTE' WHEN label = 'Partenariats Bancaires' THEN 'PARTENAIRE BANCAIRE'
     WHEN label = 'PARTENAIRE ASSURANCE' THEN 'PARTENAIRE DISTRIBUTION' WHEN label = 'CGPI' THEN 'CGPI'
     WHEN label = 'Courtiers Généralistes' THEN 'COURTIERS GENERALISTES' WHEN label = 'ESPACE CONSEIL DOM' THEN 'DOM-TOM'
-    WHEN label = 'PLATEFORMES PRIAM' THEN 'PRIAM' ELSE label END AS network FROM c)
+    WHEN label = 'PLATEFORMES MUTUELLE' THEN 'MUTUELLE' ELSE label END AS network FROM c)
 """
 NETWORK_LABELS = (
-    "RESEAU A2P EST", "AEP PRIAM", "AGENTS GENERAUX", "GESTION PRIVEE", "Partenariats Bancaires", "PARTENAIRE ASSURANCE",
-    "CGPI", "Courtiers Généralistes", "ESPACE CONSEIL DOM", "PLATEFORMES PRIAM", "ND",
+    "RESEAU A2P EST", "AEP MUTUELLE", "AGENTS GENERAUX", "GESTION PRIVEE", "Partenariats Bancaires", "PARTENAIRE ASSURANCE",
+    "CGPI", "Courtiers Généralistes", "ESPACE CONSEIL DOM", "PLATEFORMES MUTUELLE", "ND",
 )
 
 

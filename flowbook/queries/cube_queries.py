@@ -14,8 +14,8 @@ from ..plans.cube_studies import budget_study, contract_lookup, surrender_study
 from .registry import query, shown, table, wide_table
 
 MONEY = "decimal(18,2)"
-NETWORK4 = ("A2P", "AG (AGGX)", "Autres Salariés", "DOM-TOM", "Partenariats Distribution", "CGP", "Courtiers généralistes (hors MGARD)", "-")
-NETWORK3 = ("Partenariats bancaires hors Neuflize et Natio", "Gestion Privée Directe", "Partenariat bancaire Neuflize", "-", "-")
+NETWORK4 = ("A2P", "AG (AGGX)", "Autres Salariés", "DOM-TOM", "Partenariats Distribution", "CGP", "Courtiers généralistes (hors dommages)", "-")
+NETWORK3 = ("Partenariats bancaires hors banque privée", "Gestion Privée Directe", "Partenariat banque privée", "-", "-")
 REGIONS = ("Ile de France", "Nord-est", "Ouest", "Sud-est", "Sud-ouest", "Corse")
 SURRENDERS = ("-", "Rachat total", "Rachat partiel", "Rachat programmé", "-", "-", "-", "-")
 COUNTS = ("-", "-", "-", "-", "Nombre de rachats totaux", "Nombre de rachats partiels", "-", "-")
@@ -56,7 +56,7 @@ def cube(spark, sf_dir) -> CubeSpec:
         F.col("l_returnflag").alias("L2_OBJ_COD"),
         RuleSet([("l_returnflag = 'A'", "Saisie manuelle HOUSELUX")], FromColumn("concat('Source ', l_returnflag)")).column().alias("L2_OBJ_LBR"),
         RuleSet([("l_returnflag = 'N'", "Alimentations manuelles")], "Automatique").column().alias("L4_OBJ_LBR"),
-        RuleSet([("l_returnflag IN ('A', 'N')", "VISSOC_NSM")], "AUTRE").column().alias("L6_OBJ_COD"),
+        RuleSet([("l_returnflag IN ('A', 'N')", "VIE_SOC")], "AUTRE").column().alias("L6_OBJ_COD"),
     )
     network = suppliers.select(
         "s_suppkey",
@@ -112,15 +112,15 @@ CUBE = f"""
 cube AS (SELECT CAST(l_shipdate AS DATE) AS dc, CAST(l_shipdate AS DATE) + l_linenumber AS de, CAST(date_trunc('month', l_shipdate) AS DATE) AS fm,
   lpad(CAST(l_orderkey AS VARCHAR), 16, '0') AS cta, l_linestatus, l_returnflag, l_linenumber AS ln, CAST(l_tax AS DECIMAL(18,2)) AS tax,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS v, s_name, s_nationkey, s_suppkey, p_type, p_size, p_brand,
-  CASE WHEN l_returnflag IN ('A','N') THEN 'VISSOC_NSM' ELSE 'AUTRE' END AS src6,
+  CASE WHEN l_returnflag IN ('A','N') THEN 'VIE_SOC' ELSE 'AUTRE' END AS src6,
   {sql_pick(NETWORK4, "s_nationkey % 8")} AS n4, {sql_pick(NETWORK3, "s_nationkey % 5")} AS n3, s_nationkey < 22 AS in_network,
   {sql_pick(REGIONS, "s_nationkey % 6")} AS reg, {sql_pick(SURRENDERS, "l_linenumber")} AS l5, {sql_pick(COUNTS, "l_linenumber")} AS l6,
   {sql_pick(FAMILIES, "l_linenumber")} AS l7, {sql_pick(KINDS, "l_linenumber")} AS l9, {sql_pick(DETAILS, "l_linenumber")} AS l4
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey),
 net AS (SELECT *, CASE WHEN n4 = 'A2P' THEN 'A2P' WHEN n4 = 'AG (AGGX)' THEN 'AGA' WHEN n4 = 'Autres Salariés' THEN 'AEP' WHEN n4 = 'DOM-TOM' THEN 'DOM-TOM'
-    WHEN n3 = 'Partenariats bancaires hors Neuflize et Natio' THEN 'Partenariats Bancaires' WHEN n4 = 'Partenariats Distribution' THEN 'Partenariats Distribution'
-    WHEN n4 = 'CGP' THEN 'CGP' WHEN n4 = 'Courtiers généralistes (hors MGARD)' THEN 'Courtiers' WHEN n3 = 'Gestion Privée Directe' THEN 'Gestion Privée Directe'
-    WHEN s_nationkey % 3 = 0 THEN 'House Partenaires' WHEN n3 = 'Partenariat bancaire Neuflize' THEN 'Neuflize' ELSE 'Autres' END AS network FROM cube)
+    WHEN n3 = 'Partenariats bancaires hors banque privée' THEN 'Partenariats Bancaires' WHEN n4 = 'Partenariats Distribution' THEN 'Partenariats Distribution'
+    WHEN n4 = 'CGP' THEN 'CGP' WHEN n4 = 'Courtiers généralistes (hors dommages)' THEN 'Courtiers' WHEN n3 = 'Gestion Privée Directe' THEN 'Gestion Privée Directe'
+    WHEN s_nationkey % 3 = 0 THEN 'House Partenaires' WHEN n3 = 'Partenariat banque privée' THEN 'Banque privée' ELSE 'Autres' END AS network FROM cube)
 """
 
 
@@ -184,7 +184,7 @@ def cube_indicator(spark, sf_dir):
 
 @query("surrender_study", f"""
 WITH {CUBE},
-b AS (SELECT * FROM net WHERE src6 = 'VISSOC_NSM' AND in_network AND p_size <= 45 AND p_type <> 'PROMO' AND p_size > 10 AND year(fm) BETWEEN 1997 AND 1999),
+b AS (SELECT * FROM net WHERE src6 = 'VIE_SOC' AND in_network AND p_size <= 45 AND p_type <> 'PROMO' AND p_size > 10 AND year(fm) BETWEEN 1997 AND 1999),
 u AS (SELECT dc, de, fm, l_returnflag, l5, NULL AS l6, 'L8-' || ln % 2 AS l8, network, SUM(v) AS m FROM b WHERE l5 <> '-' GROUP BY ALL
   UNION ALL SELECT dc, de, fm, l_returnflag, NULL, l6, 'L8-' || ln % 2, NULL, SUM(v) FROM b WHERE l6 <> '-' GROUP BY ALL)
 SELECT dc AS "maille_fine_DATE_COMPTABLE", de AS "maille_fine_DATE_EFFET", fm AS "maille_fine_func_month", l_returnflag AS "source_L2_OBJ_COD",
@@ -204,7 +204,7 @@ APE = RuleSet([("l_tax < 0.02", "APE EPARGNE - REGULAR"), ("l_tax < 0.04", "APE
 @query("cube_budget", f"""
 WITH {CUBE},
 b AS (SELECT *, CASE WHEN p_type = 'LARGE' THEN 'RETRAITE' WHEN p_type = 'PROMO' THEN 'PREVOYANCE' ELSE 'EPARGNE' END AS kind FROM net
-      WHERE src6 = 'VISSOC_NSM' AND in_network AND year(fm) BETWEEN 1997 AND 1999),
+      WHERE src6 = 'VIE_SOC' AND in_network AND year(fm) BETWEEN 1997 AND 1999),
 n AS (SELECT *, CASE WHEN ln = 3 THEN 'Affaires nouvelles à PP non temporaire nettes de sans effet' WHEN ln = 4 THEN 'Affaires nouvelles à VLP net de sans effet'
         WHEN ln = 7 THEN 'Emissions Vie PUVL Total' WHEN ln = 6 THEN 'Emissions PP (yc OD)' WHEN ln IN (1, 2) THEN 'Prestations y compris acceptations' ELSE 'ND' END AS nature,
         CASE WHEN ln = 7 THEN 'Emissions Vie VLP' ELSE '0' END AS detail FROM b WHERE p_size <= 45
@@ -212,7 +212,7 @@ n AS (SELECT *, CASE WHEN ln = 3 THEN 'Affaires nouvelles à PP non temporaire n
 r AS (SELECT *, CASE WHEN network IN ('Courtiers','AGA','AEP') THEN CASE reg WHEN 'Ile de France' THEN 'ILE DE France' WHEN 'Nord-est' THEN 'NORD EST' WHEN 'Ouest' THEN 'OUEST'
         WHEN 'Sud-est' THEN 'SUD EST' WHEN 'Sud-ouest' THEN 'SUD OUEST' ELSE 'Divers' END
       WHEN network IN ('CGP','Gestion Privée Directe','Partenariats Distribution','Partenariats Bancaires') THEN 'HOUSE WEALTH MANAGEMENT'
-      WHEN network = 'A2P' THEN 'A2P' WHEN network IN ('Neuflize','DOM-TOM','House Partenaires') THEN 'AUTRES' ELSE ' ' END AS region FROM n
+      WHEN network = 'A2P' THEN 'A2P' WHEN network IN ('Banque privée','DOM-TOM','House Partenaires') THEN 'AUTRES' ELSE ' ' END AS region FROM n
   WHERE nature <> 'ND' AND kind <> 'PREVOYANCE')
 SELECT CASE WHEN l_linestatus = 'O' THEN 'SA yc FPRS' ELSE 'AUTRES SA' END AS "UJ", kind AS "TOP_EPAR_RET_PREV", CASE WHEN l_returnflag = 'A' THEN 'OUI' ELSE 'NON' END AS "VISION_LUX",
   CASE WHEN l_returnflag = 'N' THEN 'Alimentations manuelles' WHEN l_returnflag = 'A' THEN 'Saisie manuelle HOUSELUX' ELSE 'Source ' || l_returnflag END AS "SYSTEME",
@@ -231,7 +231,7 @@ def cube_budget(spark, sf_dir):
 @query("cube_contract_lookup", f"""
 WITH {CUBE}
 SELECT cta AS "maille_fine_CTA_NUMERO", l4 AS "indicateurs_L4_LBR_DESC", l6 AS "indicateurs_L6_LBR_DESC", l7 AS "indicateurs_L7_LBR_DESC", CAST(SUM(v) AS DOUBLE) AS "Value"
-FROM cube WHERE src6 = 'VISSOC_NSM' AND in_network AND p_size <= 45 AND p_type <> 'PROMO' AND year(fm) = 1998
+FROM cube WHERE src6 = 'VIE_SOC' AND in_network AND p_size <= 45 AND p_type <> 'PROMO' AND year(fm) = 1998
   AND l7 IN ('Prestations y compris acceptations', 'Emissions Totales') AND l9 = '> Autres indicateurs (Montant)'
   AND cta IN (SELECT lpad(CAST(n AS VARCHAR), 16, '0') FROM range(0, 400) r(n)) GROUP BY ALL
 """)

@@ -54,10 +54,10 @@ def composite_lookup(spark, sf_dir):
 
 
 @query("channel_lookup", """
-WITH c(code, network, channel) AS (VALUES ('001','GUICHET NATIO',''), ('002','PLATEFORME NATIO',''), ('003','DOM-TOM',''), ('004','DOM-TOM',''), ('005','ESPACES HOUSE',''),
-  ('006','MICHELIN',''), ('007','MICHELIN',''), ('008','MICHELIN',''), ('009','PHONE ASSUR',''), ('010','AGA','RESEAU PROPRIETAIRE'), ('011','A2P','RESEAU PROPRIETAIRE'),
-  ('012','A2P','RESEAU PROPRIETAIRE'), ('013','AEP','RESEAU PROPRIETAIRE'), ('014','AEP','RESEAU PROPRIETAIRE'), ('015','JURIDICA',''), ('016','COURTIER MSC','RESEAU TIERS'),
-  ('017','DELEGUE MSC','RESEAU TIERS'), ('018','MONVOISIN','RESEAU TIERS'), ('019','ASSU2000','RESEAU TIERS'), ('020','UNOFI','RESEAU TIERS'), ('021','ASTRAL','RESEAU TIERS'),
+WITH c(code, network, channel) AS (VALUES ('001','GUICHET BANCAIRE',''), ('002','PLATEFORME BANCAIRE',''), ('003','DOM-TOM',''), ('004','DOM-TOM',''), ('005','ESPACES HOUSE',''),
+  ('006','ENTREPRISE',''), ('007','ENTREPRISE',''), ('008','ENTREPRISE',''), ('009','PHONE ASSUR',''), ('010','AGA','RESEAU PROPRIETAIRE'), ('011','A2P','RESEAU PROPRIETAIRE'),
+  ('012','A2P','RESEAU PROPRIETAIRE'), ('013','AEP','RESEAU PROPRIETAIRE'), ('014','AEP','RESEAU PROPRIETAIRE'), ('015','PROTECTION JURIDIQUE',''), ('016','COURTIER MSC','RESEAU TIERS'),
+  ('017','DELEGUE MSC','RESEAU TIERS'), ('018','COURTIER A','RESEAU TIERS'), ('019','COURTIER B','RESEAU TIERS'), ('020','COURTIER C','RESEAU TIERS'), ('021','ASTRAL','RESEAU TIERS'),
   ('022','CII2','RESEAU TIERS'), ('023','COURTIERS GENERALISTES','RESEAU TIERS'), ('024','HOUSE PARTENAIRE',''), ('025','HOUSE PARTENAIRE',''), ('026','HOUSE PARTENAIRE',''))
 SELECT lpad(CAST(c_nationkey + 1 AS VARCHAR), 3, '0') AS code, network, channel, COUNT(*) AS customers
 FROM customer LEFT JOIN c ON code = lpad(CAST(c_nationkey + 1 AS VARCHAR), 3, '0') GROUP BY ALL

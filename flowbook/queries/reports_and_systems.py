@@ -118,12 +118,12 @@ def monthly_base(spark, sf_dir):
 
 
 _SEGMENTED = """
-m0 AS (SELECT * REPLACE (CASE WHEN NOM_PRODUIT = 'PER AMADEO' THEN 'PER' ELSE COALESCE(SEGPAT, 'ND') END AS SEGPAT, COALESCE(RESEAU, 'ND') AS RESEAU,
+m0 AS (SELECT * REPLACE (CASE WHEN NOM_PRODUIT = 'PER INDIVIDUEL A' THEN 'PER' ELSE COALESCE(SEGPAT, 'ND') END AS SEGPAT, COALESCE(RESEAU, 'ND') AS RESEAU,
     CASE WHEN TYPE_SUPPORT IN ('EURO', 'EUROCROISSANCE') THEN 'EURO' ELSE 'UC' END AS TYPE_SUPPORT),
     Collecte_Brute_TOTALE - Prestation_TOTALE + Arbitrage_Entrant - Arbitrage_Sortant AS "Collecte_Nette",
     CASE WHEN CNT = 1 AND year(DATE_EFFET) = 1998 THEN 1 ELSE 0 END AS top_an FROM base),
 m1 AS (SELECT *, CASE WHEN SEGPAT IN ('NON SEGMENTE', 'ND') THEN CASE
-      WHEN RESEAU IN ('A2P','AEP','AGA','HOUSE PARTENAIRE','DIVERS HOUSE','DOM-TOM','GUICHET NATIO','ND') THEN 'GRAND PUBLIC'
+      WHEN RESEAU IN ('A2P','AEP','AGA','HOUSE PARTENAIRE','DIVERS HOUSE','DOM-TOM','GUICHET BANCAIRE','ND') THEN 'GRAND PUBLIC'
       WHEN RESEAU IN ('PARTENAIRE BANCAIRE','PARTENAIRE DISTRIBUTION','GESTION PRIVEE DIRECTE') THEN 'GESTION PRIVEE'
       WHEN RESEAU IN ('CGPI','COURTIERS GENERALISTES') THEN 'AFFLUENT' ELSE SEGPAT END ELSE SEGPAT END AS "SEG" FROM m0),
 kinds AS (SELECT NOM_PRODUIT AS np, CASE WHEN COUNT(DISTINCT TYPE_SUPPORT) > 1 THEN 'MULTISUPPORT' WHEN MAX(TYPE_SUPPORT) = 'EURO' THEN 'MONOSUPPORT_EURO' ELSE 'MONOSUPPORT_UC' END AS kind

@@ -156,7 +156,7 @@ SYSTEM1 = {
     "contracts_archive": StandIn("customer", _S1_CONTRACT),
     "products": StandIn("nation", {
         "CD_PROD": text("n_nationkey"),
-        "LB_PROD": "CASE WHEN n_nationkey % 5 = 0 THEN 'PER AMADEO' ELSE concat('Produit ', n_name) END",
+        "LB_PROD": "CASE WHEN n_nationkey % 5 = 0 THEN 'PER INDIVIDUEL A' ELSE concat('Produit ', n_name) END",
     }),
     "distributors": StandIn("nation", {"CD_DISTRIBUTEUR": text("n_nationkey"), "LB_RESEAU": "concat('Canal ', n_regionkey)"}),
 }

@@ -226,7 +226,7 @@ cl AS (SELECT lpad(c.NMCLI, 10, '0') AS "NUMERO_CLIENT_2", NMPERS AS "NUMERO_ABO
   QUALIFY ROW_NUMBER() OVER (PARTITION BY "NUMERO_CONTRAT" ORDER BY "NUMERO_CLIENT_2") = 1)
 """
 
-CHANNELS = ("PHONE ASSUR", "AGA", "A2P", "A2P", "AEP", "AEP", "JURIDICA", "COURTIER MSC", "DELEGUE MSC", "MONVOISIN", "ASSU2000", "UNOFI", "ASTRAL", "CII2",
+CHANNELS = ("PHONE ASSUR", "AGA", "A2P", "A2P", "AEP", "AEP", "PROTECTION JURIDIQUE", "COURTIER MSC", "DELEGUE MSC", "COURTIER A", "COURTIER B", "COURTIER C", "ASTRAL", "CII2",
             "COURTIERS GENERALISTES", "HOUSE PARTENAIRE", "HOUSE PARTENAIRE", "HOUSE PARTENAIRE", "DIVERS HOUSE", "COURTIERS GENERALISTES", "PTF DE FORMATION",
             "COURTIERS GENERALISTES", "COURTIERS GENERALISTES", "COURTIERS GENERALISTES", "PARTENAIRE BANCAIRE")
 _CHANNEL_VALUES = ", ".join(f"('{n:03d}', '{name}')" for n, name in enumerate(CHANNELS, 9))
@@ -236,7 +236,7 @@ BASE_KEYS = (
     "TYPE_SUPPORT", "TYPE_GESTION", "PROFIL_GESTION", "TYPE_UC", "CODE_PORTEFEUILLE", "NUMERO_CLIENT", "NUMERO_ABONNE", "UJ", "TYPE_PRSN", "CIVILITE",
     "NOM_PRENOM_SOUSCRIPTEUR", "DATE_NAISSANCE", "CODE_CSP", "ADRESSE", "CODE_POSTAL", "VILLE", "PAYS", "EMAIL", "LIBELLE_COMMERCIAL", "LIBELLE_COMMERCIAL_CRM", "APPORTEUR",
     "CODE_DELEGATION", "DELEGATION", "CODE_REGION", "REGION", "CODE_GESTIONNAIRE", "CANAL_RDU_PRINCIPAL", "CANAL", "RESEAU", "SEGPAT", "SOUS_SEGPAT", "CIVILITE_PM", "NATURE_PMO",
-    "TOP_ONE", "SEGMENT", "SEGMENTATION", "TOP_TMGA", "TISSIER", "TOP_RETRAITE", "SYSTEME",
+    "TOP_ONE", "SEGMENT", "SEGMENTATION", "TOP_TMGA", "TOP_PORTEFEUILLE", "TOP_RETRAITE", "SYSTEME",
 )
 _ORDER = (
     "CODE_ISIN", "CODE_UT", "SYSTEME", "CODE_PRODUIT", "NOM_PRODUIT", "SITUATION_CLOTURE", "DATE_EFFET", "DATE_TERME", "DT_VL_FIN", "NOM_SUPPORT", "SUPPORT_SPECIFIQUE",
@@ -268,13 +268,13 @@ b3 AS (SELECT *, COALESCE(raw, LB_CANAL) AS n0 FROM b2),
 b4 AS (SELECT *, CASE WHEN n0 = 'AGENTS GENERAUX' THEN 'AGA' WHEN n0 = 'Courtiers Généralistes' THEN 'COURTIERS GENERALISTES' ELSE n0 END AS n1 FROM b3),
 b5 AS (SELECT *, CASE WHEN n1 = 'ND' AND SYSTEME = 'SYS3' THEN RESEAU_SAS ELSE n1 END AS net, CASE WHEN lc0 IS NULL AND SYSTEME = 'SYS3' THEN LIBELLE_COMMERCIAL_SAS ELSE lc0 END AS lc FROM b4),
 b6 AS (SELECT *, CASE WHEN net IN ('A2P', 'AEP', 'AGA') THEN 'RESEAU PROPRIETAIRE'
-    WHEN net IN ('COURTIER MSC','DELEGUE MSC','MONVOISIN','ASSU2000','UNOFI','ASTRAL','CII2','COURTIERS GENERALISTES','PARTENAIRE BANCAIRE','PARTENAIRE DISTRIBUTION','CGPI') THEN 'RESEAU TIERS'
+    WHEN net IN ('COURTIER MSC','DELEGUE MSC','COURTIER A','COURTIER B','COURTIER C','ASTRAL','CII2','COURTIERS GENERALISTES','PARTENAIRE BANCAIRE','PARTENAIRE DISTRIBUTION','CGPI') THEN 'RESEAU TIERS'
     WHEN net = 'GESTION PRIVEE DIRECTE' THEN 'GESTION PRIVEE' ELSE 'AUTRES' END AS c0 FROM b5),
 b7 AS (SELECT *, CASE WHEN c0 = 'RESEAU PROPRIETAIRE' AND (SOUS_SEGPAT = 'GP' OR SYSTEME = 'SYS1') THEN 'GESTION PRIVEE' ELSE c0 END AS c1 FROM b6),
 b8 AS (SELECT *, CASE WHEN SYSTEME = 'SYS1' OR c1 IN ('RESEAU TIERS', 'GESTION PRIVEE') THEN 1 ELSE 0 END AS one FROM b7),
 b9 AS (SELECT * EXCLUDE (net, c1, lc), net AS "RESEAU", c1 AS "CANAL", lc AS "LIBELLE_COMMERCIAL", CAST(one AS BIGINT) AS "TOP_ONE", COALESCE(NUMERO_CLIENT_2, client1) AS "NUMERO_CLIENT",
     CASE CODE_ISIN WHEN 'FR0011129717' THEN 'ASI' WHEN 'FR0013076031' THEN 'ASIS' ELSE '' END AS "TYPE_UC", CASE WHEN TMGA = 'O' THEN 'O' ELSE 'N' END AS "TOP_TMGA",
-    CASE WHEN contains(CODE_PORTEFEUILLE, '0000000012') THEN 'Oui' ELSE 'Non' END AS "TISSIER",
+    CASE WHEN contains(CODE_PORTEFEUILLE, '0000000012') THEN 'Oui' ELSE 'Non' END AS "TOP_PORTEFEUILLE",
     COALESCE(CASE WHEN SYSTEME = 'SYS2' AND TYPE = 'DOUBLE PROFIL' AND CIVILITE_PM = 'SARL' THEN 'MOR' WHEN SYSTEME = 'SYS2' AND TYPE = 'FICHE PM' THEN 'MOR'
       WHEN SYSTEME = 'SYS2' AND TYPE = 'DOUBLE PROFIL' AND CIVILITE_PM <> 'SARL' THEN 'PHY' WHEN SYSTEME = 'SYS2' AND TYPE = 'FICHE PP' THEN 'PHY'
       WHEN SYSTEME = 'SYS2' AND TYPE NOT IN ('DOUBLE PROFIL', 'FICHE PM', 'FICHE PP') THEN 'ND' ELSE type1 END, 'PHY') AS "TYPE_PRSN",
