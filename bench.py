@@ -24,7 +24,7 @@ HEADLINE = (
 
 def main() -> None:
     from flowbook.queries import QUERIES
-    from flowbook.session import build_session
+    from flowbook.session import build_session, clear_working_folder
 
     spark = build_session(
         "bench", f"local[{CPUS}]", spark_sql_shuffle_partitions=CPUS, spark_ui_enabled="false", spark_driver_memory="12g",
@@ -42,6 +42,7 @@ def main() -> None:
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
         "sf": float(sf.group(1)) if sf else None,
     }))
+    clear_working_folder(spark)
     spark.stop()
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import day
+from .joins import unique_dimension
 from .rules import RuleSet
 
 
@@ -104,6 +105,9 @@ class CubeSpec:
                 table = table.filter(F.col(level).isin(*values))
             side = table.select(F.col(dim.key).alias("__key"), *[F.col(c).alias(f"{name}_{c}") for c in columns])
             how = ("inner" if columns else "left_semi") if restricted else "left"
+            if columns:
+                # A repeated member would multiply the value, so it fails.
+                side = unique_dimension(side, ["__key"])
             rows = rows.join(side, rows[dim.fact_key] == side["__key"], how).drop("__key")
         return rows.withColumns({f"indicateur_{n}": r.column() for n, r in self.indicators.items()})
 

@@ -44,7 +44,7 @@ def label_per_code(df: DataFrame, code: str, label: str, prefer: Column) -> Data
 
 
 def flag_one_per_key(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], flag: str, null_keys: bool = True
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], flag: str
 ) -> DataFrame:
     """Add 1 on the first row of each key and 0 on the others.
 
@@ -55,7 +55,7 @@ def flag_one_per_key(
     order = F.expr("struct(" + ", ".join(f"`{c}` IS NULL, `{c}`" for c in order_by) + ")")
     ordered = df.withColumn("__order", order)
     first = ordered.groupBy(*keys).agg(F.min("__order").alias("__first"))
-    joined = null_safe_join(ordered, first, keys, "left") if null_keys else ordered.join(first, list(keys), "left")
+    joined = null_safe_join(ordered, first, keys, "left")
     return joined.withColumn(flag, F.col("__order").eqNullSafe(F.col("__first")).cast("int")).drop("__order", "__first")
 
 

@@ -94,25 +94,24 @@ def snapshot_pair(
     closing: dt.date,
     opening_cols: Mapping[str, str],
     closing_cols: Mapping[str, str],
+    added: Sequence[str],
 ) -> DataFrame:
-    """The newest row of each key at two dates, from one scan and one shuffle.
+    """The values of each key's newest date on or before two limits, from one scan and one shuffle of dated sums.
 
-    The column maps are result name -> source name.  Rows of a key with the same date are
-    told apart by the values themselves (the greatest wins), so the result is defined.
+    The column maps are result name -> source name.  Rows of one key and date are one position: the columns
+    ``added`` are summed over them, the others (rates, dates) take the greatest.  Both steps combine on the map side.
     """
-    def newest(limit: dt.date, cols: Mapping[str, str]) -> Column:
-        row = F.struct(F.col(date_col), *[F.col(source).alias(name) for name, source in cols.items()])
-        return F.max(F.when(F.col(date_col) <= day(limit), row))
-
-    pair = df.filter(F.col(date_col) <= day(closing)).groupBy(*keys).agg(
-        newest(opening, opening_cols).alias("__open"), newest(closing, closing_cols).alias("__close")
-    )
-    return pair.select(
-        *keys,
-        *[F.col(f"__open.{n}").alias(n) for n in opening_cols],
-        *[F.col(f"__close.{n}").alias(n) for n in closing_cols],
+    sources = list(dict.fromkeys([*opening_cols.values(), *closing_cols.values()]))
+    dated = df.filter(F.col(date_col) <= day(closing)).groupBy(*keys, date_col).agg(
+        *[(F.sum(c) if c in added else F.max(c)).alias(c) for c in sources if c != date_col]
     )
 
+    def newest(limit: dt.date, cols: Mapping[str, str]) -> list[Column]:
+        when = F.when(F.col(date_col) <= day(limit), F.col(date_col))
+        return [F.max_by(source, when).alias(name) for name, source in cols.items()]
+
+    return dated.groupBy(*keys).agg(*newest(opening, opening_cols), *newest(closing, closing_cols))
+
 
 def open_close_as_of(
     df: DataFrame,
@@ -154,22 +153,19 @@ def live_only(positions: DataFrame, contracts: DataFrame, keys: Sequence[str], l
 
 
 def drop_inactive(
-    df: DataFrame, group: Sequence[str], measures: Sequence[str], mode: str = "signed", null_keys: bool = True
+    df: DataFrame, group: Sequence[str], measures: Sequence[str], mode: str = "signed"
 ) -> DataFrame:
     """Drop whole groups without activity.
 
     ``signed`` keeps the inherited rule: a group whose amounts cancel out to 0 is dropped.
-    ``absolute`` drops only groups in which every amount is 0.  Where the group columns are
-    never null, ``null_keys=False`` gives a plain equi-join that later joins can build on.
+    ``absolute`` drops only groups in which every amount is 0.  Rows with a null key are a group like any other.
     """
     if mode not in ("signed", "absolute"):
         raise ValueError(f"unknown mode {mode!r}")
     terms = [f"coalesce(`{m}`, 0)" for m in measures]
     total = " + ".join(f"abs({t})" for t in terms) if mode == "absolute" else " + ".join(terms)
     active = df.groupBy(*group).agg(F.expr(f"sum({total}) AS __total")).filter("__total <> 0").drop("__total")
-    if null_keys:
-        return null_safe_join(df, active, group, "left_semi")
-    return df.join(active, list(group), "left_semi")
+    return null_safe_join(df, active, group, "left_semi")
 
 
 def drop_empty_rows(df: DataFrame, label: str, measures: Sequence[str]) -> DataFrame:

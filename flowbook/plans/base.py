@@ -80,9 +80,9 @@ def monthly_base(
     later column depends on those, so the wide row never passes an aggregate.  Inactive
     contracts go first, and what they drop is not looked up.
     """
-    active = drop_inactive(stack(systems, COLUMNS), ["NUMERO_CONTRAT"], ACTIVITY, activity, null_keys=False)
+    active = drop_inactive(stack(systems, COLUMNS), ["NUMERO_CONTRAT"], ACTIVITY, activity)
     single = computed_once(summed(active, DESCRIPTORS, (*FLOW_MEASURES, *POSITION_MEASURES)), "base-rows")
-    stacked = flag_one_per_key(single, ["NUMERO_CONTRAT"], COUNT_ORDER, "CNT", null_keys=False)
+    stacked = flag_one_per_key(single, ["NUMERO_CONTRAT"], COUNT_ORDER, "CNT")
     channels = inline_lookup(
         stacked.sparkSession, rb.channel_rows(names), ["CANAL_RDU_PRINCIPAL", "LIBNAME_RESEAU", "LIBNAME_CANAL"])
     keyed = stacked.withColumn("CLE", composite_key("CODE_PRODUIT", "CODE_UT")).withColumnRenamed("NUMERO_CLIENT", "NUMERO_CLIENT_1")

@@ -38,10 +38,14 @@ def campaign_history(
 ) -> DataFrame:
     """Gross inflow of the campaign funds by reporting month, network and fund.
 
-    The ledger is cut to the campaign funds and summed per contract before the
-    contract and network lookups.
+    Movements and positions are cut to contracts that ever moved a campaign fund before the ledger is built; all
+    funds of those stay, as the activity test is per contract.  The ledger is cut to the campaign funds and summed
+    per contract before the contract and network lookups.
     """
-    months = ledger_by_month(tables, first, last, activity)
+    detail = tables["movement_detail"]
+    holders = detail.filter(F.col("CD_FUND").isin(*funds)).select("ID_CONTRAT").distinct()
+    cut = {name: tables[name].join(holders, ["ID_CONTRAT"], "left_semi") for name in ("movement_detail", "positions")}
+    months = ledger_by_month({**tables, **cut}, first, last, activity)
     inflow = (
         months.filter(F.col("CD_FUND").isin(*funds))
         .groupBy("period", "ID_CONTRAT", F.col("CD_FUND").alias("CODE_ISIN"))

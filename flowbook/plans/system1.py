@@ -22,7 +22,10 @@ FREE = "libre"
 
 
 def positions(table: DataFrame, period: Period) -> DataFrame:
-    """Opening and closing valuation of each contract x support x option from one scan."""
+    """Opening and closing valuation of each contract x support x option from one scan.
+
+    The newest date of each key counts; several rows of that date are one position and are added up.
+    """
     known = table.withColumn("CD_OG", filled("CD_OG", FREE))
     return snapshot_pair(
         known, KEYS, "DT_POSITION", period.previous_year_end, period.end,
@@ -31,12 +34,17 @@ def positions(table: DataFrame, period: Period) -> DataFrame:
             "PM_FIN": "PM", "NB_UC_FIN": "NMBR_UC", "VL_FIN": "VL_RACHAT",
             "MT_NON_INVESTI": "MT_NON_INVESTI", "DT_VL_FIN": "DT_POSITION",
         },
+        added=["PM", "NMBR_UC", "MT_NON_INVESTI"],
     )
 
 
 def movements(detail: DataFrame, header: DataFrame) -> DataFrame:
-    """Settled movements: detail rows whose header says so, one header per movement."""
-    closed = header.filter(F.col("LB_STATUT") == "Soldé").select("ID_CONTRAT", "ID_MVT", "LB_TYPE_MVT")
+    """Settled movements: detail rows whose header says so, one header per movement.
+
+    Headers are cut to the movements at hand before they are checked for repeats.
+    """
+    closed = header.filter(F.col("LB_STATUT") == "Soldé").select("ID_CONTRAT", "ID_MVT", "LB_TYPE_MVT").join(
+        detail.select("ID_CONTRAT", "ID_MVT"), ["ID_CONTRAT", "ID_MVT"], "left_semi")
     heads = unique_dimension(closed, ["ID_CONTRAT", "ID_MVT"])
     rows = settled(detail, heads, ["ID_CONTRAT", "ID_MVT"], F.lit(True))
     return rows.withColumn("CD_OG", filled("CD_OG", FREE))
@@ -57,7 +65,7 @@ def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str =
         (*rb.SYSTEM1_BUCKETS.names, "MT_NON_INVESTI"),
         attributes={c: "max" for c in ("DT_VL_FIN", "VL_DEBUT", "NB_UC_DEBUT", "VL_FIN", "NB_UC_FIN")},
     )
-    return drop_inactive(computed_once(combined, "ledger1"), ["ID_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
+    return drop_inactive(computed_once(combined, "ledger1"), ["ID_CONTRAT"], (*ACTIVITY, *FEES), activity)
 
 
 def options(products: DataFrame, packs: DataFrame) -> DataFrame:

@@ -71,11 +71,13 @@ def movements(supports: DataFrame, acts: DataFrame, contracts: DataFrame, period
     })
     totalled = group_totals(priced, ["NUMERO_CONTRAT", "NUMERO_ACTE", "CODE_ACTE_COURT"], {"CUMUL": F.sum("MONTANT_NET")})
     created = totalled.filter(F.col("SENS_ACTE") == "Création")
-    act = unique_dimension(
-        acts.select(*ACT, "LIBELLE_MOTIF_ACTE", "LIBELLE_ACTE_COMPLEMENT", "MONTANT_CLIENT"), ACT)
+    # Acts and contract history are cut to the period's movements before they are grouped.
+    mine = acts.select(*ACT, "LIBELLE_MOTIF_ACTE", "LIBELLE_ACTE_COMPLEMENT", "MONTANT_CLIENT").join(dated.select(*ACT), list(ACT), "left_semi")
+    act = unique_dimension(mine, ACT)
+    history = contracts.join(dated.select("NUMERO_CONTRAT"), ["NUMERO_CONTRAT"], "left_semi")
     share = F.try_divide(F.col("MONTANT_NET") * F.col("MONTANT_CLIENT"), F.col("CUMUL"))
     return lookup_chain(created, [
-        Lookup(act, ACT, unique=True), Lookup(transfer_flags(contracts), ["NUMERO_CONTRAT"], unique=True),
+        Lookup(act, ACT, unique=True), Lookup(transfer_flags(history), ["NUMERO_CONTRAT"], unique=True),
     ]).withColumn("MONTANT_BRUT", filled(share, 0))
 
 
@@ -102,7 +104,7 @@ def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str =
     buckets = rb.system2_buckets(legacy_switches)
     combined = ledger(
         moved, held, KEYS, (*buckets.names, "Arbitrage_Net"), attributes={"DT_VL_FIN": "max", "NOM_SUPPORT": "max"})
-    return drop_inactive(computed_once(combined, "ledger2"), ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
+    return drop_inactive(computed_once(combined, "ledger2"), ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity)
 
 
 def contracts(table: DataFrame, persons: DataFrame) -> DataFrame:

@@ -80,16 +80,18 @@ def movements(tables: Mapping[str, DataFrame], period: Period) -> DataFrame:
     start, end = flow_window(period)
     operation = ["NUMERO_CONTRAT", "NUMERO_OPERATION", "NUMERO_ADHESION"]
     unique = ["NUMERO_ADHESION", "NUMERO_OPERATION", "CODE_ISIN", "LIBELLE_SUPPORT", "CATEGORIE_TYPE_MONTANT"]
-    detail = one_per_key(
-        tables["operation_detail"].filter(F.col("LIBELLE_TYPE_TRANSACTION").isin(*rb.SYSTEM3_FAMILIES)),
-        unique, ["NUMERO_CONTRAT", "CODE_SUPPORT", "CODE_UT", "DETAIL_TRANSACTION", "MONTANT", "CODE_CONVENTION_GESTION"],
-    ).withColumn("NUMERO_CONTRAT", pad_code("NUMERO_CONTRAT", 16))
     header = (
         tables["operations"]
         .filter(F.col("LIBELLE_TYPE_TRANSACTION").isin(*rb.SYSTEM3_FAMILIES) & F.col("DATE_JOURNALIER").between(start, end))
         .select(pad_code("NUMERO_CONTRAT", 16).alias("NUMERO_CONTRAT"), "NUMERO_OPERATION", "NUMERO_ADHESION", "CODE_UV", "LIBELLE_PAIEMENT")
         .distinct()
     )
+    # Detail of other years goes before it is ranked; repeats share operation and adhesion number, so the cut takes whole groups.
+    wanted = ["NUMERO_ADHESION", "NUMERO_OPERATION"]
+    detail = one_per_key(
+        tables["operation_detail"].filter(F.col("LIBELLE_TYPE_TRANSACTION").isin(*rb.SYSTEM3_FAMILIES)).join(header.select(*wanted), wanted, "left_semi"),
+        unique, ["NUMERO_CONTRAT", "CODE_SUPPORT", "CODE_UT", "DETAIL_TRANSACTION", "MONTANT", "CODE_CONVENTION_GESTION"],
+    ).withColumn("NUMERO_CONTRAT", pad_code("NUMERO_CONTRAT", 16))
     rows = header_driven(detail, header, operation)
     return rows.withColumns({
         "TYPE_SUPPORT": rb.SUPPORT_TYPE_3.column(),
@@ -103,7 +105,7 @@ def flows(tables: Mapping[str, DataFrame], period: Period, activity: str = "sign
         *rb.SYSTEM3_BUCKETS.sums(), *rb.SYSTEM3_FEES.sums(), F.max("LIBELLE_SUPPORT").alias("LIBELLE_SUPPORT"))
     derived = rb.SYSTEM3_BUCKETS.derive(summed)
     measures = ("Collecte_Brute_TOTALE", "Prestation_TOTALE", "Arbitrage_Entrant", "Arbitrage_Sortant", *FEES)
-    return drop_inactive(computed_once(derived, "flows3"), ["NUMERO_CONTRAT"], measures, activity, null_keys=False)
+    return drop_inactive(computed_once(derived, "flows3"), ["NUMERO_CONTRAT"], measures, activity)
 
 
 def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str = "signed") -> DataFrame:
@@ -112,7 +114,7 @@ def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str =
         (*rb.SYSTEM3_BUCKETS.names, *rb.SYSTEM3_FEES.names),
         attributes={"DT_VL_FIN": "max", "LIBELLE_SUPPORT": "max"},
     )
-    return drop_inactive(computed_once(combined, "ledger3"), ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity, null_keys=False)
+    return drop_inactive(computed_once(combined, "ledger3"), ["NUMERO_CONTRAT"], (*ACTIVITY, *FEES), activity)
 
 
 def contracts(table: DataFrame, persons: DataFrame, conventions: DataFrame, names: rb.Names) -> DataFrame:

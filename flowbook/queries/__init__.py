@@ -9,6 +9,7 @@ from . import (  # noqa: F401  (each module registers its queries)
     flow_queries,
     joins_and_stacking,
     reports_and_systems,
+    storage_queries,
 )
 from .registry import ORACLES, QUERIES
 

@@ -14,7 +14,7 @@ from ..sources.files import chosen_files, file_names, read_monthly_files
 from ..sources.tables import declared, read_day, read_month, write_month, write_partitions
 from . import standins as st
 from . import system_sql as sq
-from .registry import query, shown, table, wide_table
+from .registry import query, shown, table
 from .reports_and_systems import intermediate, network
 
 MONEY = "decimal(18,2)"
@@ -66,7 +66,7 @@ po AS (SELECT period, {sq.K1}, pm AS pd FROM p JOIN vd ON DT_POSITION < date_tru
 g AS (SELECT period, {sq.K1}, {sq.total(('vi', 'vc', 'pa', 'te', 'out', 'ae', 'sa', 'fees', 'pd', 'pf'))}
   FROM (SELECT * FROM f UNION ALL BY NAME SELECT * FROM pc UNION ALL BY NAME SELECT * FROM po) GROUP BY ALL),
 active AS (SELECT period, ID_CONTRAT FROM g GROUP BY ALL HAVING SUM(vi + vc + pa + te + out + ae + sa + fees + pd + pf) <> 0),
-lg AS (SELECT g.* FROM g JOIN active USING (period, ID_CONTRAT))
+lg AS (SELECT g.* FROM g JOIN active a ON a.period = g.period AND a.ID_CONTRAT IS NOT DISTINCT FROM g.ID_CONTRAT)
 """
 
 
@@ -123,7 +123,7 @@ def monthly_files(spark, sf_dir):
     A file of that name is a folder of part files, as Spark writes it.
     """
     def write(folder):
-        lines = wide_table(spark, sf_dir, "lineitem").withColumns({
+        lines = table(spark, sf_dir, "lineitem").withColumns({
             "d": F.col("l_shipdate").cast("date"), "amount": F.col("l_extendedprice").cast(MONEY)})
         common = {
             "NUMERO_CONTRAT": F.when(F.col("l_suppkey") % 10 == 0, "0").otherwise(F.concat(F.lit("C"), "l_orderkey")),

@@ -8,8 +8,6 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..sources.tables import spread
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -37,16 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _read(spark.sparkContext.applicationId, spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@lru_cache(maxsize=None)
-def _spread(application: str, spark: SparkSession, path: str) -> DataFrame:
-    return spread(_read(application, spark, path))
-
-
-def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table whose rows are spread over all cores, for plans that work hard before the first shuffle."""
-    return _spread(spark.sparkContext.applicationId, spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 def shown(df: DataFrame) -> DataFrame:
     """Decimals as double and integers as bigint, the types results are compared in."""
     def typed(field: T.StructField) -> str:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .registry import table, wide_table
+from .registry import table
 
 LINES_WITH_ORDERS = "lineitem JOIN orders ON l_orderkey = o_orderkey"
 
@@ -36,11 +36,10 @@ class StandIn:
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         if self.source == LINES_WITH_ORDERS:
-            lines, orders = wide_table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+            lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
             rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         else:
-            read = wide_table if self.source == "lineitem" else table
-            rows = read(spark, sf_dir, self.source)
+            rows = table(spark, sf_dir, self.source)
         if self.where:
             rows = rows.filter(self.where)
         named = {name: f"{expression} AS `{name}`" for name, expression in self.columns.items()}
@@ -131,13 +130,15 @@ SYSTEM1 = {
         "LB_STATUT": "CASE WHEN o_orderstatus = 'P' THEN 'En cours' ELSE 'Soldé' END",
         "LB_TYPE_MVT": "CASE o_orderpriority WHEN '1-URGENT' THEN 'RAG' WHEN '2-HIGH' THEN 'Désinvestissement échu' ELSE 'Standard' END",
     }),
+    # Some contracts are unknown, and many positions share a date: both must survive.
     "positions": StandIn(LINES_WITH_ORDERS, {
         **_S1_KEY,
+        "ID_CONTRAT": f"CASE WHEN o_custkey % 53 <> 0 THEN {contract(1, 'o_custkey')} END",
         "PM": money("l_extendedprice"),
         "NMBR_UC": "CAST(l_quantity AS DECIMAL(18,6))",
         "VL_RACHAT": "CAST(l_discount AS DECIMAL(18,6))",
         "MT_NON_INVESTI": f"CAST({TAX_STEP} AS DECIMAL(18,2))",
-        "DT_POSITION": SHIPPED,
+        "DT_POSITION": f"CASE WHEN l_suppkey % 3 = 0 THEN CAST(date_trunc('year', l_shipdate) AS DATE) ELSE {SHIPPED} END",
     }),
     "option_products": StandIn("lineitem", {
         "CD_OG": "concat('og', l_returnflag)", "LB_OG_AIA": "concat('Profil ', l_returnflag)", "LB_SOC_GESTION": "'SG'",

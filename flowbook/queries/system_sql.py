@@ -53,8 +53,10 @@ s1_f AS (SELECT {K1}, {_label('Prime comptant')} AS vi, {_label('Versement libre
   {_label('Arbitrage vente')} AS sa, {_label('Arbitrage vente', " AND LB_TYPE_MVT = 'RAG'")} AS sar,
   {_label('Frais de gestion')} AS fg, {_label('Frais sur investissement')} AS fa FROM s1_mv GROUP BY {K1}),
 s1_p AS (SELECT * REPLACE (COALESCE(CD_OG, 'libre') AS CD_OG) FROM s1_positions),
-s1_po AS (SELECT {K1}, PM AS pd FROM s1_p WHERE DT_POSITION <= DATE '1997-12-31' QUALIFY ROW_NUMBER() OVER (PARTITION BY {K1} ORDER BY DT_POSITION DESC, PM DESC) = 1),
-s1_pc AS (SELECT {K1}, PM AS pf, DT_POSITION AS dt FROM s1_p WHERE DT_POSITION <= DATE '1998-06-30' QUALIFY ROW_NUMBER() OVER (PARTITION BY {K1} ORDER BY DT_POSITION DESC, PM DESC) = 1),
+s1_po AS (SELECT {K1}, SUM(PM) AS pd FROM (SELECT *, MAX(DT_POSITION) OVER (PARTITION BY {K1}) AS newest FROM s1_p WHERE DT_POSITION <= DATE '1997-12-31')
+  WHERE DT_POSITION = newest GROUP BY {K1}),
+s1_pc AS (SELECT {K1}, SUM(PM) AS pf, MAX(DT_POSITION) AS dt FROM (SELECT *, MAX(DT_POSITION) OVER (PARTITION BY {K1}) AS newest FROM s1_p WHERE DT_POSITION <= DATE '1998-06-30')
+  WHERE DT_POSITION = newest GROUP BY {K1}),
 s1_g AS (SELECT {K1}, {total(ALL, ('fg', 'fa'))}, MAX(dt) AS dt FROM (SELECT * FROM s1_f UNION ALL BY NAME SELECT * FROM s1_po UNION ALL BY NAME SELECT * FROM s1_pc) GROUP BY {K1}),
 s1_on AS (SELECT ID_CONTRAT FROM s1_g GROUP BY 1 HAVING SUM({ACTIVE} + fg + fa) <> 0),
 s1_c AS (SELECT * FROM (SELECT *, 0 AS src FROM s1_contracts UNION ALL SELECT * REPLACE ('En erreur' AS LB_STATUS), 1 FROM s1_contracts_archive)
@@ -68,7 +70,7 @@ s1_rows AS (SELECT lpad(g.ID_CONTRAT, 16, '0') AS "NUMERO_CONTRAT", {padded('c.C
   lpad(c.CD_PTF_RDU, 10, '0') AS "CODE_PORTEFEUILLE", c.CD_UJ AS "UJ", lpad(COALESCE(p.REFERENCE_CLIENT, ''), 10, '0') AS "NUMERO_CLIENT", p.TYPE_PRSN AS "TYPE_PRSN",
   'SYS1' AS "SYSTEME", COALESCE(seg.segment, 'Inconnu') AS "SEGMENT",
   CASE WHEN c.LB_CADRE_FISCAL IN ('per', 'madelin') THEN 'RETRAITE' WHEN c.ID_CONTRAT IS NOT NULL THEN 'EPARGNE' END AS "TOP_RETRAITE", LB_RESEAU AS "LB_CANAL"
-  FROM s1_g g JOIN s1_on USING (ID_CONTRAT) LEFT JOIN s1_option_products USING (CD_OG) LEFT JOIN s1_option_packs USING (CD_OG)
+  FROM s1_g g JOIN s1_on o ON o.ID_CONTRAT IS NOT DISTINCT FROM g.ID_CONTRAT LEFT JOIN s1_option_products USING (CD_OG) LEFT JOIN s1_option_packs USING (CD_OG)
   LEFT JOIN s1_supports s ON s.CD_FUND = g.CD_FUND LEFT JOIN s1_c c ON c.ID_CONTRAT = g.ID_CONTRAT LEFT JOIN s1_products pr ON pr.CD_PROD = c.CD_PROD
   LEFT JOIN (SELECT * FROM s1_persons WHERE LB_ROLE = 'Souscripteur') p ON p.ID_CONTRAT = g.ID_CONTRAT
   LEFT JOIN s1_distributors d ON lpad(d.CD_DISTRIBUTEUR, 10, '0') = lpad(c.CD_PTF_RDU, 10, '0')
@@ -251,8 +253,8 @@ _Q = ", ".join(f'"{k}"' for k in BASE_KEYS)
 BASE = f"""
 {SEGMENTS}, {S1}, {S2}, {S3}, {NETWORK_ROWS}, {CLIENT_ROWS},
 b0 AS (SELECT * FROM s1_rows UNION ALL BY NAME SELECT * FROM s2_rows UNION ALL BY NAME SELECT * FROM s3_rows),
-b1 AS (SELECT * FROM b0 WHERE NUMERO_CONTRAT IN (SELECT NUMERO_CONTRAT FROM b0 GROUP BY 1
-  HAVING SUM(Collecte_Brute_TOTALE + Prestation_TOTALE + Arbitrage_Entrant + Arbitrage_Sortant + PM_DEBUT + PM_FIN) <> 0)),
+b1 AS (SELECT b0.* FROM b0 JOIN (SELECT NUMERO_CONTRAT AS live FROM b0 GROUP BY 1
+  HAVING SUM(Collecte_Brute_TOTALE + Prestation_TOTALE + Arbitrage_Entrant + Arbitrage_Sortant + PM_DEBUT + PM_FIN) <> 0) ON live IS NOT DISTINCT FROM NUMERO_CONTRAT),
 ch(code, network) AS (VALUES {_CHANNEL_VALUES}),
 b2 AS (SELECT b.* EXCLUDE (NUMERO_CLIENT, TYPE_PRSN), b.NUMERO_CLIENT AS client1, b.TYPE_PRSN AS type1, nw.LIBELLE_COMMERCIAL AS lc0, nw.CODE_DELEGATION, nw.DELEGATION, nw.CODE_REGION, nw.REGION,
     nw.CODE_GESTIONNAIRE, nw.CANAL_RDU_PRINCIPAL, ch.network AS raw, tg.TMGA, cl.* EXCLUDE (NUMERO_CONTRAT, CANAL_DISTRIBUTION, ITFAMPRO, ITFAMRIS, CDCATPR),

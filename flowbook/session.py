@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split hot partitions also where the next join reuses the key's partitioning (chains of lookups on one key).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A plan of the monthly base has more generated classes than the default cache of 100.
     "spark.sql.codegen.cache.maxEntries": "2000",
@@ -36,18 +37,27 @@ def build_session(app_name: str = "flowbook", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
-def working_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for intermediate tables.
-
-    It lies below the shared folder the cluster names in ``spark.checkpoint.dir``.
-    Only where that is unset (a single-machine test) a temporary folder is used.
-    """
+def _root(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``; where a local session has none, one below the JVM's folder is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="flowbook-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        temporary = spark._jvm.java.lang.System.getProperty("java.io.tmpdir")
+        root = f"{temporary.rstrip('/')}/flowbook-work"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def working_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder for an intermediate table, below the session's own part of the shared folder."""
+    return f"{_root(spark)}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_working_folder(spark: SparkSession) -> None:
+    """Delete this session's intermediate tables; frames that read them can no longer run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_root(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def computed_once(df: DataFrame, purpose: str) -> DataFrame:

@@ -44,14 +44,21 @@ def file_names(spark: SparkSession, root: str) -> DataFrame:
     ).filter(F.col("month").isNotNull()).distinct()
 
 
-def chosen_files(names: DataFrame, today: Period) -> DataFrame:
-    """Every December of past years; and, unless it is January, the newest month of this year."""
+def chosen_files(names: DataFrame, today: Period, legacy: bool = False) -> DataFrame:
+    """Every December of past years; and, unless it is January, the newest month of this year of each kind.
+
+    ``legacy`` takes the newest month over all kinds together: a kind that is a month behind is then left out.
+    """
     current = names.filter(F.col("year") == today.year)
     december = (F.col("year") < today.year) & (F.col("month") == 12)
     if today.month == 1:
         return names.filter(december)
-    newest = current.agg(F.max("month")).scalar()
-    return names.filter(december | ((F.col("year") == today.year) & (F.col("month") == newest)))
+    if legacy:
+        newest = current.agg(F.max("month")).scalar()
+        return names.filter(december | ((F.col("year") == today.year) & (F.col("month") == newest)))
+    newest = current.groupBy(F.col("kind").alias("__kind")).agg(F.max("month").alias("__newest"))
+    known = names.join(newest, F.col("kind") == F.col("__kind"), "left")
+    return known.filter(december | ((F.col("year") == today.year) & (F.col("month") == F.col("__newest")))).drop("__kind", "__newest")
 
 
 def read_monthly_files(spark: SparkSession, root: str, schemas: dict[str, T.StructType | str], today: Period) -> DataFrame:

@@ -32,16 +32,6 @@ def read_table(
     return as_of_snapshot(table, snapshot_col, limit or dt.date(9999, 12, 31))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan spread over all cores where its files give fewer splits than there are cores.
-
-    A file with one large row group is read by one task, and so is everything up to the
-    next shuffle.  Inputs with enough splits, as any large table has, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_day(spark: SparkSession, root: str, day: dt.date, columns: Sequence[str] = (
     "func_partitioning_year", "func_partitioning_month", "func_partitioning_day",
 )) -> DataFrame:
@@ -99,9 +89,9 @@ def _replace_partitions(df: DataFrame, root: str, columns: Sequence[str]) -> Non
     )
 
 
-def overwrite_report(df: DataFrame, path: str) -> None:
-    """Replace a reporting table together with its schema."""
-    df.write.mode("overwrite").parquet(path)
+def overwrite_report(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
+    """Replace a reporting table together with its schema; ``order_by`` sorts the whole table for presentation."""
+    (df.orderBy(*order_by) if order_by else df).write.mode("overwrite").parquet(path)
 
 
 def drop_month(spark: SparkSession, root: str, period: Period, target: str, column: str = "func_month") -> None:
@@ -110,8 +100,10 @@ def drop_month(spark: SparkSession, root: str, period: Period, target: str, colu
     kept.write.mode("overwrite").partitionBy(column).parquet(target)
 
 
-def export_csv(df: DataFrame, path: str, sep: str = ";") -> None:
-    """Export a result as CSV files, dates as dd/MM/yyyy."""
+def export_csv(df: DataFrame, path: str, sep: str = ";", order_by: Sequence[str] = ()) -> None:
+    """Export a result as CSV files, dates as dd/MM/yyyy; with ``order_by`` the files follow that order."""
+    if order_by:
+        df = df.orderBy(*order_by)
     dates = {f.name: F.date_format(f.name, "dd/MM/yyyy") for f in df.schema.fields if isinstance(f.dataType, T.DateType)}
     (df.withColumns(dates) if dates else df).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 

@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from flowbook.session import build_session
+    from flowbook.session import build_session, clear_working_folder
 
     session = build_session(
         "tests", "local[8]", spark_sql_shuffle_partitions="4", spark_ui_enabled="false", spark_driver_memory="6g",
@@ -16,6 +16,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_working_folder(session)
     session.stop()
 
 
