@@ -16,26 +16,26 @@ _NO_ID = -(1 << 63)
 
 
 def _keys(docs: DataFrame, text_hash: str | None = None) -> DataFrame:
-    """The rows with ``_k1, _k2``: the id and a hash of the text, never null."""
+    """``row`` (all columns as one struct) with ``_k1, _k2``: the id and a hash of the text, never null."""
     digest = F.xxhash64("text") if text_hash is None else F.col(text_hash)
-    return docs.withColumn("_k1", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))).withColumn("_k2", digest)
+    return docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("_k1"), digest.alias("_k2"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a base rule or score below the threshold go."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     kept = _keys(ngram_quality.judge(docs, labels).where("kept"), "_h").select("_k1", "_k2")
-    return _keys(docs).join(kept, ["_k1", "_k2"], "left_semi").select(*docs.columns)
+    return _keys(docs).join(kept, ["_k1", "_k2"], "left_semi").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked documents the one with the smallest id stays; documents without words stay."""
     found = _keys(chosen_path.join(docs).where("keeps"), "th")
-    chosen = found.where("tid IS NOT NULL").groupBy("tid").agg(F.min("_k1").alias("_k1"), F.min("_k2").alias("_k2")).select("_k1", "_k2", F.lit(True).alias("_one"))
-    wordless = found.where("tid IS NULL").select("_k1", "_k2", F.lit(False).alias("_one")).distinct()
+    chosen = found.where("row.tid IS NOT NULL").groupBy("row.tid").agg(F.min("_k1").alias("_k1"), F.min("_k2").alias("_k2")).select("_k1", "_k2", F.lit(True).alias("_one"))
+    wordless = found.where("row.tid IS NULL").select("_k1", "_k2", F.lit(False).alias("_one")).distinct()
     joined = _keys(docs).join(chosen.unionByName(wordless), ["_k1", "_k2"])
-    row = F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy(F.lit(1)))  # repeated rows are equal
-    return joined.withColumn("_row", row).where("_row = 1 OR NOT _one").select(*docs.columns)
+    number = F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy(F.lit(1)))  # repeated rows are equal
+    return joined.withColumn("_number", number).where("_number = 1 OR NOT _one").select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target rate gives it copies."""
-    mixed = entropy_balancing.mix(docs)
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    mixed = entropy_balancing.mix(docs.select("doc_id", "text", "source", F.struct("*").alias("row")), keep=["row"])
+    return mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,9 +89,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total: float = 1.
     added = ["size", "source_size", "target", "rate", "copies", "taken"]
     names = [c for c in (docs.columns if keep is None else keep) if c not in added]
     # Size classes a hundredth apart and hash buckets keep every ordered group small, also in a hot source.
-    line = docs.withColumn("_h", F.xxhash64("doc_id", "text")).withColumn("size", n_words(F.col("text"))).select(
-        *names, "size", "_h", F.col("source").alias("_s"), F.floor(F.log1p("size") * 100).alias("_class"),
-        F.pmod("_h", F.lit(BUCKETS)).alias("_bucket"),
+    # What is kept travels as one struct, so no name of its own can meet one of these.
+    kept = F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.struct(F.lit(None).alias("none"))
+    line = docs.select(kept.alias("kept"), F.xxhash64("doc_id", "text").alias("_h"), n_words(F.col("text")).alias("size"), F.col("source").alias("_s")).select(
+        "kept", "size", "_h", "_s", F.floor(F.log1p("size") * 100).alias("_class"), F.pmod("_h", F.lit(BUCKETS)).alias("_bucket"),
     )
     counts = computed_once(line.groupBy("_s", "_class", "_bucket").agg(F.count("*").alias("_n"), F.sum("size").alias("_words")), "size-classes")
     per_source = counts.groupBy(F.col("_s").alias("source")).agg(F.sum("_words").alias("source_size"))
@@ -108,7 +109,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total: float = 1.
         cells, F.col("_s").eqNullSafe(F.col("_s1")) & (F.col("_class") == F.col("_c1")) & (F.col("_bucket") == F.col("_b1")),
     )
     placed = computed_once(placed.select(
-        *names, "size", "_s", (F.col("_begin") + F.col("_row")).alias("_rank"), "source_size", "target", "rate",
+        "kept", "size", "_s", (F.col("_begin") + F.col("_row")).alias("_rank"), "source_size", "target", "rate",
     ), "placed")
 
     def copies(phase: Column) -> Column:
@@ -121,4 +122,4 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total: float = 1.
     misses = F.array(*[F.struct(F.abs(F.col(f"_p{k}") - F.col("_t")).alias("miss"), F.lit(k / PHASES).alias("phase")) for k in range(PHASES)])
     best = sums.select(F.col("_s").alias("_s2"), F.array_min(misses)["phase"].alias("_phase"))
     decided = placed.join(best, F.col("_s").eqNullSafe(F.col("_s2"))).withColumn("copies", copies(F.col("_phase")))
-    return decided.withColumn("taken", F.col("copies") * F.col("size")).select(*names, *added)
+    return decided.withColumn("taken", F.col("copies") * F.col("size")).select(*[F.col(f"kept.`{c}`").alias(c) for c in names], *added)

@@ -1,7 +1,7 @@
 """Empirical-Bayes reputation of hosts: labelled page outcomes shrunk from host to registered domain to suffix.
 
 The share of good pages has a beta prior at every level, centred on the level above (suffix on all pages, domain on
-its suffix, host on its domain).  How strong a prior is comes from the spread between the groups of that level
+the rest of its suffix, host on the rest of its domain: a group's own pages are not counted twice).  How strong a prior is comes from the spread between the groups of that level
 (method of moments).  A host is blocked when the upper bound of its posterior lies below the corpus's share.
 """
 
@@ -80,14 +80,17 @@ def reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
     def one_row(frame: DataFrame) -> DataFrame:
         return F.broadcast(frame)  # an aggregate without keys: exactly one row
 
-    def mean(k: Column, above: str) -> Column:
-        return (F.col("good") + k * F.col(above)) / (F.col("n") + k)
-
-    suffixes = suffixes.join(one_row(strengths[2])).join(one_row(corpus)).select("suffix", mean(F.col("k"), "corpus").alias("suffix_mean"))
-    domains = domains.join(suffixes, "suffix").join(one_row(strengths[1])).select("domain", mean(F.col("k"), "suffix_mean").alias("domain_mean"))
-    scored = hosts.join(domains, "domain").join(one_row(strengths[0])).join(one_row(corpus)).withColumns({
-        "mean": mean(F.col("k"), "domain_mean"), "weight": F.col("n") + F.col("k"),
-    })
+    # The single-row sides are joined once each to tables of hosts, domains and suffixes.
+    above = suffixes.join(one_row(strengths[2])).join(one_row(corpus)).select(
+        "suffix", F.col("good").alias("s_good"), F.col("n").alias("s_n"), F.col("k").alias("s_k"), "corpus")
+    middle = domains.join(above, "suffix").join(one_row(strengths[1])).select(
+        "domain", F.col("good").alias("d_good"), F.col("n").alias("d_n"), F.col("k").alias("d_k"), "corpus",
+        ((F.col("s_good") - F.col("good") + F.col("s_k") * F.col("corpus")) / (F.col("s_n") - F.col("n") + F.col("s_k"))).alias("s_mean"),
+    )
+    prior = (F.col("d_good") - F.col("good") + F.col("d_k") * F.col("s_mean")) / (F.col("d_n") - F.col("n") + F.col("d_k"))
+    scored = hosts.join(middle, "domain").join(one_row(strengths[0])).withColumn("weight", F.col("n") + F.col("k")).withColumn(
+        "mean", (F.col("good") + F.col("k") * prior) / F.col("weight"),
+    )
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return scored.select(
         "host", "domain", "suffix", "n", "good", "mean", (F.col("mean") + z * deviation).alias("upper"),

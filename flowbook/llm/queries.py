@@ -73,9 +73,9 @@ def _op4_sql() -> str:
     domains AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY ALL),
     suffixes AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM domains GROUP BY ALL),
     corpus AS (SELECT CASE WHEN sum(n) > 0 THEN sum(good)::DOUBLE / sum(n) ELSE 0.5 END AS corpus FROM suffixes),
-    s AS (SELECT suffix, (good + k * corpus) / (n + k) AS m FROM suffixes, {strength("suffixes")}, corpus),
-    d AS (SELECT domain, (good + k * s.m) / (n + k) AS m FROM domains JOIN s USING (suffix), {strength("domains")}),
-    h AS (SELECT host, (good + k * d.m) / (n + k) AS host_mean, n + k AS weight FROM hosts JOIN d USING (domain), {strength("hosts")})
+    s AS (SELECT suffix, good AS sg, n AS sn, k AS sk, corpus FROM suffixes, {strength("suffixes")}, corpus),
+    d AS (SELECT domain, good AS dg, n AS dn, k AS dk, (sg - good + sk * corpus) / (sn - n + sk) AS sm FROM domains JOIN s USING (suffix), {strength("domains")}),
+    h AS (SELECT host, (good + k * (dg - good + dk * sm) / (dn - n + dk)) / (n + k) AS host_mean, n + k AS weight FROM hosts JOIN d USING (domain), {strength("hosts")})
     SELECT page_id, host, path, rule,
       coalesce(CASE rule {verdicts} END, CASE WHEN host_mean + 1.645 * sqrt(host_mean * (1 - host_mean) / (weight + 1)) < corpus THEN 'block' ELSE 'allow' END) AS verdict,
       host_mean, host_mean + 1.645 * sqrt(host_mean * (1 - host_mean) / (weight + 1)) AS host_upper
