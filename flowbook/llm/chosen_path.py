@@ -16,12 +16,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import computed_once
 from .components import components
 from .flat import mix, rolling, slices, word_hashes
+from .repeats import name_filter, passes
 
 SHINGLE, SIMILARITY = 5, 0.8
 T = 128
@@ -87,22 +89,34 @@ def digest(items: np.ndarray) -> bytes:
     return np.array([mix(items + np.uint64(17)).sum(), mix(items ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()], np.uint64).tobytes()
 
 
-def _described(docs: DataFrame, sketches: bool) -> DataFrame:
-    """``doc_id, th, tid`` (hash of the text; digest of the shingle set, null without words) with the sketch, or with the text."""
+def _described(docs: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
+    """``doc_id, th, tid`` (hash of the text; digest of the shingle set, null without words) with the sketch.
+
+    With a filter of ``tid`` hashes as ``wanted``, only the rows it lets through come, with the text instead.
+    """
+    shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in slices(batch.column("text")):
                 sets = shingle_sets(data, offsets)
                 tids = pa.array([digest(s) if len(s) else None for s in sets], pa.binary())
-                more = pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary()) if sketches else batch.column("text").slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
+                if shared is None:
+                    more = pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())
+                else:
+                    more = batch.column("text").slice(lo, hi - lo)
+                out = pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), batch.column("th").slice(lo, hi - lo), tids, more], names=["doc_id", "th", "tid", "more"])
+                if shared is not None:
+                    # The same hash as Spark's xxhash64 of the digest.
+                    names = np.array([xxhash.xxh64_intdigest(digest(s), 42) for s in sets], np.uint64)
+                    out = out.filter(pa.array(passes(shared.value, names) & np.array([len(s) > 0 for s in sets], bool)))
+                yield out
 
-    kind = "binary" if sketches else "string"
+    kind = "binary" if wanted is None else "string"
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     named = lean.mapInArrow(describe, f"doc_id long, th long, tid binary, more {kind}")
-    return named.withColumnRenamed("more", "sketch" if sketches else "text")
+    return named.withColumnRenamed("more", "sketch" if wanted is None else "text")
 
 
 def _children(node: np.ndarray, sketches: np.ndarray, branch: int) -> np.ndarray:
@@ -159,32 +173,49 @@ def leaves(texts: DataFrame, recall: float = RECALL) -> DataFrame:
     return out.select(F.col("node").alias("leaf"), "size", "tid").distinct()
 
 
-def _candidates(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows that look alike by their sketches and whose smallest common leaf this is."""
-    sketches = np.frombuffer(b"".join(group["small"]), np.uint8).reshape(-1, T)
-    block, leaf = group["block"].to_numpy(), int(group["leaf"].iloc[0])
-    diagonal = group["bi"].iloc[0] == group["bj"].iloc[0]
-    lists = [np.sort(np.asarray(x, np.int64)) for x in group["leaves"]]
-    left, right = [], []
-    for i in range(len(group) - 1):
-        rest = np.arange(i + 1, len(group))
-        if not diagonal:
-            rest = rest[block[i + 1:] != block[i]]
-        agree = (sketches[rest] == sketches[i]).sum(axis=1)
-        for j in rest[agree >= SKETCH_CUT * T].tolist():
-            common = np.intersect1d(lists[i], lists[j], assume_unique=True)
-            if common[0] == leaf:
-                left.append(i)
-                right.append(j)
-    return np.array(left, np.int64), np.array(right, np.int64)
+def _groups(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, int, bool]]:
+    """Row numbers, leaf, and whether both blocks are one, of each brute-force group in a bucket of them."""
+    leaf, bi, bj = (pdf[c].to_numpy(np.int64) for c in ("leaf", "bi", "bj"))
+    order = np.lexsort((bj, bi, leaf))
+    new = np.r_[True, (np.diff(leaf[order]) != 0) | (np.diff(bi[order]) != 0) | (np.diff(bj[order]) != 0)]
+    cuts = np.r_[np.flatnonzero(new), len(order)]
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if hi - lo > 1:
+            yield order[lo:hi], int(leaf[order[lo]]), bool(bi[order[lo]] == bj[order[lo]])
+
+
+def _candidates(pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of each group that look alike by their sketches and whose smallest common leaf this is."""
+    sketches = np.frombuffer(b"".join(pdf["small"]), np.uint8).reshape(-1, T)
+    block = pdf["block"].to_numpy()
+    lists = [frozenset(x) for x in pdf["leaves"].map(lambda x: x.tolist())]
+    cut = SKETCH_CUT * T
+    for rows, leaf, diagonal in _groups(pdf):
+        left, right = [], []
+        for k in range(len(rows) - 1):
+            i, rest = rows[k], rows[k + 1:]
+            if not diagonal:
+                rest = rest[block[rest] != block[i]]
+            for j in rest[np.count_nonzero(sketches[rest] == sketches[i], axis=1) >= cut].tolist():
+                if min(lists[i] & lists[j]) == leaf:
+                    left.append(i)
+                    right.append(j)
+        if left:
+            yield np.array(left, np.int64), np.array(right, np.int64)
 
 
 _PLACE = "leaf long, bi int, bj int, block int, tid binary"
 
 
-def _flag(group: pd.DataFrame) -> pd.DataFrame:
-    left, right = _candidates(group)
-    return group.iloc[np.union1d(left, right)][["leaf", "bi", "bj", "block", "tid"]]
+def _flag(pdf: pd.DataFrame) -> pd.DataFrame:
+    found = [np.union1d(left, right) for left, right in _candidates(pdf)]
+    return pdf.iloc[np.concatenate(found) if found else []][["leaf", "bi", "bj", "block", "tid"]]
+
+
+def _in_buckets(frame: DataFrame, rows: int, per_bucket: int, function, schema: str) -> DataFrame:
+    """Apply a function to buckets of whole groups with about ``per_bucket`` rows: most groups have two or three."""
+    bucket = F.pmod(F.xxhash64("leaf", "bi", "bj"), F.lit(max(1, -(-rows // per_bucket))))
+    return frame.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(function, schema)
 
 
 def _sets_of(texts: list[str]) -> list[np.ndarray]:
@@ -218,37 +249,36 @@ def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np
 _LINKED = "tid binary, root binary, n_texts long, n_docs long"
 
 
-def _verify(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Exact similarities of the candidates: for each text its links and the smallest text it is connected to here."""
-    group = group.reset_index(drop=True)
-    left, right = _candidates(group)
-    sets = _sets_of(group["text"].tolist())
-    sizes = np.array([len(s) for s in sets])
-    common = _overlaps(sets, left, right) if len(left) else np.zeros(0, np.int64)
-    near = common >= similarity * (sizes[left] + sizes[right] - common) - 1e-9
-    left, right = left[near], right[near]
-    copies = group["n"].to_numpy(np.int64)
-    n_texts, n_docs = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
-    for a, b in ((left, right), (right, left)):
-        np.add.at(n_texts, a, 1)
-        np.add.at(n_docs, a, copies[b])
-    names = group["tid"].tolist()
-    rank = np.empty(len(names), np.int64)
-    rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
-    by_rank = sorted(names)
-    root = rank.copy()
-    while True:
-        low = np.minimum(root[left], root[right])
-        new = root.copy()
-        np.minimum.at(new, left, low)
-        np.minimum.at(new, right, low)
-        if (new == root).all():
-            break
-        root = new
-    linked = np.flatnonzero(n_texts)
-    return pd.DataFrame({
-        "tid": [names[i] for i in linked], "root": [by_rank[root[i]] for i in linked], "n_texts": n_texts[linked], "n_docs": n_docs[linked],
-    })
+def _verify(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Exact similarities of the candidates: for each text its links and the smallest text it is connected to in its group."""
+    names, at = np.unique(pdf["tid"].to_numpy(), return_inverse=True)
+    first = np.unique(at, return_index=True)[1]
+    sets = _sets_of(pdf["text"].iloc[first].tolist())
+    sizes = np.array([len(s) for s in sets], np.int64)
+    copies = pdf["n"].to_numpy(np.int64)[first]
+    parts = []
+    for left, right in _candidates(pdf):
+        left, right = at[left], at[right]
+        mine, back = np.unique(np.concatenate((left, right)), return_inverse=True)
+        a, b = back[:len(left)], back[len(left):]
+        common = _overlaps([sets[m] for m in mine], a, b)
+        near = common >= similarity * (sizes[left] + sizes[right] - common) - 1e-9
+        a, b = a[near], b[near]
+        n_texts, n_docs, root = np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int64), np.arange(len(mine))
+        for x, y in ((a, b), (b, a)):
+            np.add.at(n_texts, x, 1)
+            np.add.at(n_docs, x, copies[mine[y]])
+        while True:
+            low = np.minimum(root[a], root[b])
+            new = root.copy()
+            np.minimum.at(new, a, low)
+            np.minimum.at(new, b, low)
+            if (new == root).all():
+                break
+            root = new
+        linked = np.flatnonzero(n_texts)
+        parts.append(pd.DataFrame({"tid": names[mine[linked]], "root": names[mine[root[linked]]], "n_texts": n_texts[linked], "n_docs": n_docs[linked]}))
+    return pd.concat(parts) if parts else pd.DataFrame({"tid": [], "root": [], "n_texts": [], "n_docs": []}).astype({"n_texts": "int64", "n_docs": "int64"})
 
 
 def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -263,7 +293,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     rows count as copies.  An empty table gives no rows.  The sets are verified whole; the sketches only choose whom
     to compare, and miss a link with a probability of at most ``1 - recall``.
     """
-    described = computed_once(_described(docs, True), "sketches")
+    described = computed_once(_described(docs), "sketches")
     texts = computed_once(described.where("tid IS NOT NULL").groupBy("tid").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sketch").alias("sketch"),
     ), "texts")
@@ -278,16 +308,14 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     placed = met.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("tid", "leaf"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)),
     ).select("leaf", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "tid")
-    keys = ["leaf", "bi", "bj"]
-    flagged = computed_once(placed.join(known, "tid").groupBy(*keys).applyInPandas(_flag, _PLACE), "candidates")
-    wanted = flagged.select(F.col("tid").alias("tid_")).distinct()
+    flagged = computed_once(_in_buckets(placed.join(known, "tid"), placed.count(), 2000, _flag, _PLACE), "candidates")
+    wanted = computed_once(flagged.select("tid").distinct(), "wanted")
+    # The texts to verify are read again behind a filter of fixed size; what it lets through too much goes in the join.
+    passed = _described(docs, name_filter(wanted.select(F.xxhash64("tid").alias("name"))))
     content = computed_once(
-        _described(docs, False).select("tid", "text").join(wanted, F.col("tid") == F.col("tid_"), "left_semi").groupBy("tid").agg(F.first("text").alias("text")),
-        "candidate-texts",
-    )
+        passed.select("tid", "text").join(wanted, "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text")), "candidate-texts")
     linked = computed_once(
-        flagged.join(known, "tid").join(content, "tid").groupBy(*keys).applyInPandas(lambda g: _verify(g, similarity), _LINKED), "links",
-    )
+        _in_buckets(flagged.join(known, "tid").join(content, "tid"), flagged.count(), 500, lambda g: _verify(g, similarity), _LINKED), "links")
     counts = linked.groupBy("tid").agg(F.sum("n_texts").alias("n_texts"), F.sum("n_docs").alias("n_docs"))
     roots = components(linked.select(F.col("tid").alias("v"), F.col("root").alias("u")))
     named = texts.select("tid", "rep", "n").join(roots.select(F.col("v").alias("tid"), "root"), "tid", "left").withColumn("root", F.coalesce("root", "tid"))
