@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from ..session import computed_once
 from .flat import mix, rolling, slices, texts_of
-from .repeats import covered, keyed, name_filter, passes, segments, shared_names, with_spans
+from .repeats import covered, keyed, name_filter, once_per_text, passes, segments, shared_names, with_spans
 
 WINDOW = 50
-GRAM = 20
+GRAM = 32
 SHARD_BYTES = 1 << 19
 LOT_ROWS = 20_000
 BUCKET_ROWS = 4_000
@@ -77,7 +77,7 @@ def merged_blocks(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.
 
 
 def _repeated(group: pd.DataFrame, window: int) -> pd.DataFrame:
-    """``name, content, i, m``: windows that occur in another context of a smaller document."""
+    """``name, cd, i, m``: windows that occur in another context of a smaller document."""
     contents, docs = group["content"].tolist(), group["d0"].to_numpy(np.int64)
     part = group["part"].to_numpy()
     shards, rows, begins = [], [], []
@@ -112,13 +112,14 @@ def _repeated(group: pd.DataFrame, window: int) -> pd.DataFrame:
     o, a = owner[order], at[order]
     cut = np.flatnonzero(np.r_[True, (o[1:] != o[:-1]) | (a[1:] != a[:-1] + 1)]) if len(o) else np.zeros(0, np.int64)
     return pd.DataFrame({
-        "name": group["name"].to_numpy(np.int64)[o[cut]], "content": [contents[k] for k in o[cut].tolist()],
+        "name": group["name"].to_numpy(np.int64)[o[cut]], "cd": group["cd"].to_numpy(np.int64)[o[cut]],
         "i": a[cut].astype(np.int64), "m": np.diff(np.r_[cut, len(o)]).astype(np.int64),
     })
 
 
-def marks_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Name, first window, number of windows and text of each mark: runs of windows with one least ``gram`` (the last of equal ones)."""
+def marks_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Name, first window, number of windows and text of each mark: runs of windows with one least gram (the last of equal ones)."""
+    gram = min(GRAM, window)
     windows = len(data) - window + 1
     none = np.zeros(0, np.int64)
     if windows <= 0:
@@ -158,12 +159,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def name_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_ = batch.column("doc").to_numpy()
-            for lo, _, data, offsets in slices(batch.column("text")):
+            for _, _, data, offsets in slices(batch.column("text")):
                 name, _, _, text = marks_of(data, offsets, window)
-                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(docs_[lo + text])], names=["name", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(once_per_text(name, text))], names=["name"])
 
-    shared = spark.sparkContext.broadcast(name_filter(shared_names(live.select("doc", "text").mapInArrow(name_marks, "name long, doc long"))))
+    shared = spark.sparkContext.broadcast(name_filter(shared_names(live.select("text").mapInArrow(name_marks, "name long"))))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -188,11 +188,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         buckets = max(1, -(-rows // BUCKET_ROWS))
         dealt = contents.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(buckets)))
         lots = dealt.groupBy("bucket").agg(F.ceil(F.count("*") / LOT_ROWS).cast("int").alias("lots")).select(F.col("bucket").alias("b_"), "lots")
-        dealt = dealt.join(lots, F.col("bucket") == F.col("b_")).withColumn("part", F.pmod(F.xxhash64("content"), F.col("lots")).cast("int")).withColumn(
+        dealt = dealt.join(lots, F.col("bucket") == F.col("b_")).withColumn("part", F.pmod("cd", F.col("lots")).cast("int")).withColumn(
             "other", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)),
         )
-        pairs = dealt.select("bucket", F.least("part", "other").alias("bi"), F.greatest("part", "other").alias("bj"), "part", "name", "content", "d0")
-        return pairs.groupBy("bucket", "bi", "bj").applyInPandas(lambda g: _repeated(g, window), "name long, content binary, i long, m long")
+        pairs = dealt.select("bucket", F.least("part", "other").alias("bi"), F.greatest("part", "other").alias("bj"), "part", "name", "cd", "content", "d0")
+        return pairs.groupBy("bucket", "bi", "bj").applyInPandas(lambda g: _repeated(g, window), "name long, cd long, i long, m long")
 
     joined = with_spans(docs, covered(marks, look))
 

@@ -122,7 +122,9 @@ def rolling(values: np.ndarray, width: int, seed: int) -> np.ndarray:
     return total
 
 
-def runs_to_spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of each maximal run of true."""
-    edges = np.flatnonzero(np.diff(np.concatenate(([False], flags, [False])).astype(np.int8)))
-    return edges[::2], edges[1::2]
+def range_hashes(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of ``values[low:high]`` for each pair of bounds, from prefix sums of a polynomial."""
+    size = 1 << len(values).bit_length()
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(_BASE, size)[:len(values)], out=sums[1:])
+    return mix((sums[high] - sums[low]) * _powers(_INVERSE, size)[low] + (high - low).astype(np.uint64))

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import computed_once
-from .flat import mix, rolling, slices, word_hashes, word_spans
-from .repeats import covered, keyed, name_filter, owners, passes, segments, shared_names, with_spans
+from .flat import mix, range_hashes, rolling, slices, word_hashes, word_spans
+from .repeats import covered, keyed, name_filter, once_per_text, owners, passes, segments, shared_names, with_spans
 
 WINDOW = 50
 ROUNDS = 4
@@ -85,7 +85,9 @@ def marks_of(hashes: np.ndarray, text: np.ndarray, window: int = WINDOW) -> tupl
     where = np.concatenate((start[~alone], np.concatenate([np.zeros(0, np.int64)] + [np.arange(a, a + n) for a, n in zip(start[alone], size[alone])])))
     many = np.concatenate((size[~alone], np.ones(int(size[alone].sum()), np.int64)))
     content = rolling(hashes, window, 3)
-    name = np.concatenate((mix(names[first[~alone]]), mix(content[where[len(first) - int(alone.sum()):]] + _U(1))))
+    # The words a symbol depends on lie in each of its windows too, and make its mark's name hard to meet by chance.
+    of = first[~alone]
+    name = np.concatenate((mix(names[of] + range_hashes(hashes, low[of], high[of])), mix(content[where[len(first) - int(alone.sum()):]] + _U(1))))
     return name, where, many
 
 
@@ -104,14 +106,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] =
 
     def name_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs_ = batch.column("doc").to_numpy()
-            for lo, _, data, offsets in slices(batch.column("text")):
+            for _, _, data, offsets in slices(batch.column("text")):
                 hashes, _, _, text = word_hashes(data, offsets)
                 name, where, _ = marks_of(hashes, text, window)
-                pairs = np.unique(np.rec.fromarrays([name, text[where]], names="a,b"))
-                yield pa.RecordBatch.from_arrays([pa.array(pairs["a"].view(np.int64)), pa.array(docs_[lo + pairs["b"]])], names=["name", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(once_per_text(name, text[where]))], names=["name"])
 
-    shared = spark.sparkContext.broadcast(name_filter(shared_names(live.select("doc", "text").mapInArrow(name_marks, "name long, doc long"))))
+    shared = spark.sparkContext.broadcast(name_filter(shared_names(live.select("text").mapInArrow(name_marks, "name long"))))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -135,10 +135,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] =
     marks = computed_once(live.mapInArrow(emit, "name long, doc long, th long, p long, n long, content array<bigint>"), "marks")
 
     def look(contents: DataFrame) -> DataFrame:
-        at = contents.select("name", "content", "d0", F.posexplode("content").alias("i", "w"))
+        at = contents.select("name", "cd", "d0", F.posexplode("content").alias("i", "w"))
         least = at.groupBy("name", "w").agg(F.min("d0").alias("least")).select(F.col("name").alias("name_"), F.col("w").alias("w_"), "least")
         return at.join(least, (F.col("name") == F.col("name_")) & (F.col("w") == F.col("w_")) & (F.col("d0") > F.col("least"))).select(
-            "name", "content", F.col("i").cast("long").alias("i"), F.lit(1).cast("long").alias("m"),
+            "name", "cd", F.col("i").cast("long").alias("i"), F.lit(1).cast("long").alias("m"),
         )
 
     joined = with_spans(docs, covered(marks, look), carry)

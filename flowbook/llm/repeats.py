@@ -4,7 +4,7 @@ A *mark* is one place of a document whose name depends on the text around it alo
 on that belong to it: a window belongs to the same mark wherever it occurs.  So equal windows meet under one name,
 at the same number in their mark, and everything else is decided there:
 
-1. names in two documents at least are found by one aggregation of ``name, doc``;
+1. names in two documents at least are found by one count of names;
 2. a filter of fixed size lets the second pass over the texts emit only marks with such names, with their content;
 3. marks with equal content are settled by the smallest document that has it;
 4. only different contents of one name go on, one row each, to the method that looks into them.
@@ -24,9 +24,8 @@ FILTER_BITS = 1 << 25
 
 
 def shared_names(names: DataFrame) -> DataFrame:
-    """The names that occur in two documents at least, from ``name, doc``."""
-    ends = names.groupBy("name").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-    return computed_once(ends.where("lo < hi").select("name"), "shared-names")
+    """The names that occur in two rows of documents at least, from one ``name`` per row it occurs in."""
+    return computed_once(names.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name"), "shared-names")
 
 
 def name_filter(names: DataFrame) -> np.ndarray:
@@ -49,21 +48,24 @@ def keyed(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 def covered(marks: DataFrame, look: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``doc, th, p, n``: runs of windows that also start in a document with a smaller id.
 
-    ``marks`` has ``name, doc, th, p, n, content``.  ``look`` gets ``name, content, d0`` (the smallest document with
-    that content), for names with two contents at least, and returns ``name, content, i, m``: windows ``i`` to
-    ``i + m`` of the content that also occur in another content with a smaller ``d0``.
+    ``marks`` has ``name, doc, th, p, n, content``; equal contents of one name are told by a digest ``cd``.  ``look``
+    gets ``name, cd, content, d0`` (the smallest document with that content), for names with two contents at least,
+    and returns ``name, cd, i, m``: windows ``i`` to ``i + m`` of the content that also occur in another content with
+    a smaller ``d0``.  The contents themselves pass one shuffle, and only where ``look`` needs them.
     """
-    first = computed_once(marks.groupBy("name", "content").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")), "contents")
-    again = first.where("d0 < d1").select(F.col("name").alias("name_"), F.col("content").alias("content_"), "d0")
-    same = (F.col("name") == F.col("name_")) & (F.col("content") == F.col("content_"))
-    whole = marks.join(again, same & (F.col("doc") > F.col("d0"))).select("doc", "th", "p", "n")
-    several = first.groupBy("name").agg(F.count("*").alias("k"), F.min("d0").alias("lo"), F.max("d0").alias("hi")).where("k > 1 AND lo < hi")
-    inner = computed_once(look(first.join(several.select(F.col("name").alias("name_")), F.col("name") == F.col("name_")).select("name", "content", "d0")), "inner")
-    firsts = first.select(F.col("name").alias("n2"), F.col("content").alias("c2"), "d0")
-    inner = inner.join(firsts, (F.col("name") == F.col("n2")) & (F.col("content") == F.col("c2"))).select("n2", "c2", "d0", "i", "m")
-    part = marks.join(inner, (F.col("name") == F.col("n2")) & (F.col("content") == F.col("c2")) & (F.col("doc") == F.col("d0"))).select(
-        "doc", "th", (F.col("p") + F.col("i")).alias("p"), F.col("m").alias("n"),
-    )
+    digest = F.xxhash64("content").alias("cd")
+    lean = marks.select("name", digest, "doc", "th", "p", "n")
+    first = computed_once(lean.groupBy("name", "cd").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")), "contents")
+    again = first.where("d0 < d1").select(F.col("name").alias("n2"), F.col("cd").alias("c2"), "d0")
+    same = (F.col("name") == F.col("n2")) & (F.col("cd") == F.col("c2"))
+    whole = lean.join(again, same & (F.col("doc") > F.col("d0"))).select("doc", "th", "p", "n")
+    several = first.groupBy(F.col("name").alias("several")).agg(F.count("*").alias("k"), F.min("d0").alias("lo"), F.max("d0").alias("hi")).where("k > 1 AND lo < hi")
+    wanted = computed_once(first.join(several, F.col("name") == F.col("several")).select(F.col("name").alias("n2"), F.col("cd").alias("c2"), "d0"), "ambiguous")
+    contents = marks.select("name", digest, "doc", "content").join(wanted, same & (F.col("doc") == F.col("d0"))).select("name", "cd", "content", "d0")
+    inner = computed_once(look(contents.dropDuplicates(["name", "cd"])), "inner")
+    found = inner.select(F.col("name").alias("n3"), F.col("cd").alias("c3"), "i", "m").join(
+        wanted, (F.col("n3") == F.col("n2")) & (F.col("c3") == F.col("c2"))).select("n2", "c2", "d0", "i", "m")
+    part = lean.join(found, same & (F.col("doc") == F.col("d0"))).select("doc", "th", (F.col("p") + F.col("i")).alias("p"), F.col("m").alias("n"))
     return computed_once(whole.unionByName(part), "covered")
 
 
@@ -126,3 +128,11 @@ def segments(owner: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarra
     size = np.diff(np.r_[cut, len(owner)])
     live = text[cut] >= 0
     return cut[live], size[live]
+
+
+def once_per_text(names: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The names of each text once, as Spark's longs."""
+    order = np.lexsort((text, names))
+    names, text = names[order], text[order]
+    new = np.r_[True, (names[1:] != names[:-1]) | (text[1:] != text[:-1])] if len(names) else np.zeros(0, bool)
+    return names[new].view(np.int64)
