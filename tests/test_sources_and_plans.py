@@ -165,8 +165,8 @@ def test_budget_conserves_value(spark):
 
 def test_working_folder_follows_the_session(spark):
     assert working_folder(spark, "x") != working_folder(spark, "x")
-    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: "/shared/folder/"), sparkContext=SimpleNamespace(master="yarn"))
-    assert working_folder(cluster, "x").startswith("/shared/folder/x-")
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: "/shared/folder/"), sparkContext=SimpleNamespace(master="yarn", applicationId="app-1"))
+    assert working_folder(cluster, "x").startswith("/shared/folder/app-1/x-")
     unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(ValueError):
         working_folder(unset, "x")
