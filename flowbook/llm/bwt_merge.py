@@ -11,6 +11,7 @@ prefix: they are the repeated intervals, and the smallest document of each inter
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import computed_once
+from ..session import computed_once, working_folder
 from .flat import mix, rolling, slices, texts_of
 from .repeats import covered, keyed, name_filter, once_per_text, passes, segments, shared_names, with_spans
 
 WINDOW = 50
-GRAM = 32
+GRAM = 20
+CHUNK_MARKS = 32
 SHARD_BYTES = 1 << 19
 LOT_ROWS = 20_000
 BUCKET_ROWS = 4_000
@@ -145,6 +147,37 @@ def marks_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tup
     return mix(least[start]), start, size, text[start]
 
 
+def _chunks(window: int):
+    """A task that cuts texts into chunks of about ``CHUNK_MARKS`` marks, at marks whose names say so, with a digest of each."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs_, ths = batch.column("doc").to_numpy(), batch.column("th").to_numpy()
+            for lo, _, data, offsets in slices(batch.column("text")):
+                name, where, many, text = marks_of(data, offsets, window)
+                begins = (name % np.uint64(CHUNK_MARKS) == 0) | np.r_[True, text[1:] != text[:-1]] if len(name) else np.zeros(0, bool)
+                start, of = where[begins], text[begins]
+                n = np.add.reduceat(many, np.flatnonzero(begins)) if len(start) else start
+                raw = data.tobytes()
+                digests = b"".join(hashlib.blake2b(raw[a:a + k + window - 1], digest_size=16).digest() for a, k in zip(start.tolist(), n.tolist()))
+                key = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(docs_[lo + of]), pa.array(ths[lo + of]), pa.array(start - offsets[of]), pa.array(n.astype(np.int64)),
+                ], names=["c1", "c2", "doc", "th", "p", "n"])
+
+    return cut
+
+
+def _inside(where: np.ndarray, offsets: np.ndarray, spans: list[list[dict] | None]) -> np.ndarray:
+    """Which marks lie in a settled chunk; chunks begin at marks, so a mark lies in one whole or not at all."""
+    found = [(offsets[k] + s["p"], s["n"]) for k, runs in enumerate(spans) for s in runs or ()]
+    if not found or not len(where):
+        return np.zeros(len(where), bool)
+    begin, size = np.array(sorted(found), np.int64).T
+    k = np.searchsorted(begin, where, "right") - 1
+    return (k >= 0) & (where < begin[k] + size[k])
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, th, n_bytes, n_removed, n_spans, kept`` per document; ``kept`` is the rest of its UTF-8 bytes.
 
@@ -155,23 +188,36 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     gets its own result.  An empty table gives no rows.  What is kept of a text need not be valid UTF-8.
     """
     spark = docs.sparkSession
-    live = keyed(docs).where("doc IS NOT NULL")
+    # Long equal stretches are settled whole first: every window in one is covered by the smallest document that has it,
+    # so their places in later documents need no marks.
+    chunks = computed_once(keyed(docs).where("doc IS NOT NULL").mapInArrow(_chunks(window), "c1 long, c2 long, doc long, th long, p long, n long"), "chunks")
+    first = chunks.groupBy(F.col("c1").alias("d1"), F.col("c2").alias("d2")).agg(F.min("doc").alias("d0"), F.max("doc").alias("last")).where("d0 < last")
+    long_runs = computed_once(
+        chunks.join(first, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")) & (F.col("doc") > F.col("d0"))).select("doc", "th", "p", "n"), "long-runs")
+    texts = with_spans(keyed(docs), long_runs)
+    folder = working_folder(spark, "settled-texts")
+    texts.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+    texts = spark.read.schema(texts.schema).parquet(folder)
+    live = texts.where("doc IS NOT NULL")
 
     def name_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in slices(batch.column("text")):
-                name, _, _, text = marks_of(data, offsets, window)
+            spans = batch.column("spans").to_pylist()
+            for lo, hi, data, offsets in slices(batch.column("text")):
+                name, where, _, text = marks_of(data, offsets, window)
+                new = ~_inside(where, offsets, spans[lo:hi])
+                name, text = name[new], text[new]
                 yield pa.RecordBatch.from_arrays([pa.array(once_per_text(name, text))], names=["name"])
 
-    shared = spark.sparkContext.broadcast(name_filter(shared_names(live.select("text").mapInArrow(name_marks, "name long"))))
+    shared = spark.sparkContext.broadcast(name_filter(shared_names(live.select("text", "spans").mapInArrow(name_marks, "name long"))))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            docs_, ths = batch.column("doc").to_numpy(), batch.column("th").to_numpy()
-            for lo, _, data, offsets in slices(batch.column("text")):
+            docs_, ths, spans = batch.column("doc").to_numpy(), batch.column("th").to_numpy(), batch.column("spans").to_pylist()
+            for lo, hi, data, offsets in slices(batch.column("text")):
                 name, where, many, text = marks_of(data, offsets, window)
-                kept = passes(bits, name)
+                kept = passes(bits, name) & ~_inside(where, offsets, spans[lo:hi])
                 name, where, many, text = name[kept], where[kept], many[kept], text[kept]
                 raw = data.tobytes()
                 yield pa.RecordBatch.from_arrays([
@@ -194,17 +240,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         pairs = dealt.select("bucket", F.least("part", "other").alias("bi"), F.greatest("part", "other").alias("bj"), "part", "name", "cd", "content", "d0")
         return pairs.groupBy("bucket", "bi", "bj").applyInPandas(lambda g: _repeated(g, window), "name long, cd long, i long, m long")
 
-    joined = with_spans(docs, covered(marks, look))
+    joined = with_spans(texts.withColumnRenamed("spans", "long_runs"), covered(marks, look))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column("spans").to_pylist()
+            spans = [(a or []) + (b or []) for a, b in zip(batch.column("spans").to_pylist(), batch.column("long_runs").to_pylist())]
             data, offsets = texts_of(batch.column("text"))
             sizes, removed, runs, kept = [], [], [], []
             for k in range(batch.num_rows):
                 raw = data[offsets[k]:offsets[k + 1]]
                 gone = np.zeros(len(raw) + 1, np.int64)
-                for s in spans[k] or ():
+                for s in spans[k]:
                     gone[s["p"]] += 1
                     gone[s["p"] + s["n"] + window - 1] -= 1
                 stay = np.cumsum(gone[:-1]) == 0

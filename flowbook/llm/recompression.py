@@ -141,7 +141,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] =
             "name", "cd", F.col("i").cast("long").alias("i"), F.lit(1).cast("long").alias("m"),
         )
 
-    joined = with_spans(docs, covered(marks, look), carry)
+    joined = with_spans(keyed(docs, carry), covered(marks, look))
     carried = joined.select(*[f"`c_{c}`" for c in carry]).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,9 +12,10 @@ at the same number in their mark, and everything else is decided there:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,25 +57,45 @@ def covered(marks: DataFrame, look: Callable[[DataFrame], DataFrame]) -> DataFra
     digest = F.xxhash64("content").alias("cd")
     lean = marks.select("name", digest, "doc", "th", "p", "n")
     first = computed_once(lean.groupBy("name", "cd").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")), "contents")
-    again = first.where("d0 < d1").select(F.col("name").alias("n2"), F.col("cd").alias("c2"), "d0")
     same = (F.col("name") == F.col("n2")) & (F.col("cd") == F.col("c2"))
-    whole = lean.join(again, same & (F.col("doc") > F.col("d0"))).select("doc", "th", "p", "n")
     several = first.groupBy(F.col("name").alias("several")).agg(F.count("*").alias("k"), F.min("d0").alias("lo"), F.max("d0").alias("hi")).where("k > 1 AND lo < hi")
     wanted = computed_once(first.join(several, F.col("name") == F.col("several")).select(F.col("name").alias("n2"), F.col("cd").alias("c2"), "d0"), "ambiguous")
-    contents = marks.select("name", digest, "doc", "content").join(wanted, same & (F.col("doc") == F.col("d0"))).select("name", "cd", "content", "d0")
+    kept = passing(marks.select("name", digest, "doc", "content"), name_filter(wanted.select(F.col("n2").alias("name")).distinct()))
+    contents = kept.join(wanted, same & (F.col("doc") == F.col("d0"))).select("name", "cd", "content", "d0")
     inner = computed_once(look(contents.dropDuplicates(["name", "cd"])), "inner")
-    found = inner.select(F.col("name").alias("n3"), F.col("cd").alias("c3"), "i", "m").join(
-        wanted, (F.col("n3") == F.col("n2")) & (F.col("c3") == F.col("c2"))).select("n2", "c2", "d0", "i", "m")
-    part = lean.join(found, same & (F.col("doc") == F.col("d0"))).select("doc", "th", (F.col("p") + F.col("i")).alias("p"), F.col("m").alias("n"))
-    return computed_once(whole.unionByName(part), "covered")
+    runs = inner.groupBy(F.col("name").alias("n3"), F.col("cd").alias("c3")).agg(F.collect_list(F.struct("i", "m")).alias("runs"))
+    settled = first.join(runs, (F.col("name") == F.col("n3")) & (F.col("cd") == F.col("c3")), "left").where("d0 < d1 OR runs IS NOT NULL").select(
+        F.col("name").alias("n2"), F.col("cd").alias("c2"), "d0", "runs")
+    met = lean.join(settled, same)
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("i"), F.col("n").alias("m")))
+    run = F.explode(F.when(F.col("doc") > F.col("d0"), whole).otherwise(F.col("runs"))).alias("run")
+    return computed_once(met.select("doc", "th", "p", run).select("doc", "th", (F.col("p") + F.col("run.i")).alias("p"), F.col("run.m").alias("n")), "covered")
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """``doc, th, text, spans`` and the carried columns (as ``c_`` and their name): every document with the array of its covered runs."""
+def passing(frame: DataFrame, bits: np.ndarray, let_through: bool = True) -> DataFrame:
+    """The rows of a frame whose ``name`` the filter lets through, or those it stops."""
+    shared = frame.sparkSession.sparkContext.broadcast(bits)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column("name").to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(passes(shared.value, names) == let_through))
+
+    return frame.mapInArrow(keep, frame.schema)
+
+
+def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (as ``keyed`` gives them) with ``spans``, the array of their runs (null without one).
+
+    A filter of fixed size over the documents that have runs keeps the texts of most others out of the shuffle.
+    """
     held = spans.groupBy("doc", "th").agg(F.collect_set(F.struct("p", "n")).alias("spans"))
     held = held.select(F.col("doc").alias("doc_"), F.col("th").alias("th_"), "spans")
-    texts = keyed(docs, carry)
-    return texts.join(held, (F.col("doc") == F.col("doc_")) & (F.col("th") == F.col("th_")), "left").drop("doc_", "th_")
+    bits = name_filter(spans.select(F.xxhash64("doc").alias("name")).distinct())
+    named = texts.withColumn("name", F.xxhash64("doc"))
+    some = passing(named, bits).join(held, (F.col("doc") == F.col("doc_")) & (F.col("th") == F.col("th_")), "left").drop("doc_", "th_", "name")
+    none = F.lit(None).cast(held.schema["spans"].dataType).alias("spans")
+    return some.unionByName(passing(named, bits, False).drop("name").select("*", none))
 
 
 def owners(low: np.ndarray, high: np.ndarray, rank: np.ndarray, windows: int) -> np.ndarray:
