@@ -92,34 +92,33 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total: float = 1.
     # What is kept travels as one struct, so no name of its own can meet one of these.
     kept = F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.struct(F.lit(None).alias("none"))
     line = docs.select(kept.alias("kept"), F.xxhash64("doc_id", "text").alias("_h"), n_words(F.col("text")).alias("size"), F.col("source").alias("_s")).select(
-        "kept", "size", "_h", "_s", F.floor(F.log1p("size") * 100).alias("_class"), F.pmod("_h", F.lit(BUCKETS)).alias("_bucket"),
+        # A null source as two plain keys: the window and the join below then share one partitioning.
+        "kept", "size", "_h", F.coalesce("_s", F.lit("")).alias("_s"), F.col("_s").isNull().alias("_sn"), F.floor(F.log1p("size") * 100).alias("_class"), F.pmod("_h", F.lit(BUCKETS)).alias("_bucket"),
     )
-    counts = computed_once(line.groupBy("_s", "_class", "_bucket").agg(F.count("*").alias("_n"), F.sum("size").alias("_words")), "size-classes")
-    per_source = counts.groupBy(F.col("_s").alias("source")).agg(F.sum("_words").alias("source_size"))
+    counts = computed_once(line.groupBy("_s", "_sn", "_class", "_bucket").agg(F.count("*").alias("_n"), F.sum("size").alias("_words")), "size-classes")
+    per_source = counts.groupBy(F.when(~F.col("_sn"), F.col("_s")).alias("source")).agg(F.sum("_words").alias("source_size"))
     solved = multipliers(targets(per_source, weights, total, most)).select(
-        F.col("source").alias("_s2"), "source_size", "target",
+        F.coalesce("source", F.lit("")).alias("_s"), F.col("source").isNull().alias("_sn"), "source_size", "target",
         F.when((F.col("target") > 0) & (F.col("source_size") > 0), F.least(F.exp("multiplier"), F.lit(float(most)))).otherwise(0.0).alias("rate"),
     )
-    before = Window.partitionBy("_s").orderBy("_class", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cells = counts.withColumn("_begin", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(
-        solved, F.col("_s").eqNullSafe(F.col("_s2")),
-    ).select(F.col("_s").alias("_s1"), F.col("_class").alias("_c1"), F.col("_bucket").alias("_b1"), "_begin", "source_size", "target", "rate")
-    inside = Window.partitionBy("_s", "_class", "_bucket").orderBy("_h", "size")
-    placed = line.withColumn("_row", F.row_number().over(inside)).join(
-        cells, F.col("_s").eqNullSafe(F.col("_s1")) & (F.col("_class") == F.col("_c1")) & (F.col("_bucket") == F.col("_b1")),
-    )
+    before = Window.partitionBy("_s", "_sn").orderBy("_class", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cells = counts.withColumn("_begin", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(solved, ["_s", "_sn"])
+    cells = computed_once(cells.select("_s", "_sn", "_class", "_bucket", "_begin", "source_size", "target", "rate"), "cells")
+    inside = Window.partitionBy("_s", "_sn", "_class", "_bucket").orderBy("_h", "size")
+    placed = line.withColumn("_row", F.row_number().over(inside)).join(cells, ["_s", "_sn", "_class", "_bucket"])
     placed = computed_once(placed.select(
-        "kept", "size", "_s", (F.col("_begin") + F.col("_row")).alias("_rank"), "source_size", "target", "rate",
+        "kept", "size", "_s", "_sn", (F.col("_begin") + F.col("_row")).alias("_rank"), "source_size", "target", "rate",
     ), "placed")
 
     def copies(phase: Column) -> Column:
         return (F.floor(F.col("rate") * F.col("_rank") + phase) - F.floor(F.col("rate") * (F.col("_rank") - 1) + phase)).cast("long")
 
-    sums = placed.groupBy("_s").agg(
+    sums = placed.groupBy("_s", "_sn").agg(
         F.first("target").alias("_t"),
         *[F.sum(copies(F.lit(k / PHASES)) * F.col("size")).alias(f"_p{k}") for k in range(PHASES)],
     )
     misses = F.array(*[F.struct(F.abs(F.col(f"_p{k}") - F.col("_t")).alias("miss"), F.lit(k / PHASES).alias("phase")) for k in range(PHASES)])
-    best = sums.select(F.col("_s").alias("_s2"), F.array_min(misses)["phase"].alias("_phase"))
-    decided = placed.join(best, F.col("_s").eqNullSafe(F.col("_s2"))).withColumn("copies", copies(F.col("_phase")))
+    # Stored, so that Spark knows its size before it plans the join: a row per source.
+    best = computed_once(sums.select("_s", "_sn", F.array_min(misses)["phase"].alias("_phase")), "phases")
+    decided = placed.join(best, ["_s", "_sn"]).withColumn("copies", copies(F.col("_phase")))
     return decided.withColumn("taken", F.col("copies") * F.col("size")).select(*[F.col(f"kept.`{c}`").alias(c) for c in names], *added)
