@@ -137,7 +137,9 @@ def pack(docs: DataFrame, targets: Mapping[str | None, float] | None = None, win
     stored = computed_once(tokenized(docs, tokenizer_path, end_id), "packing-tokens")
     spent = stored.groupBy("part", "source").agg(F.sum("n").alias("n_part"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = spent.select(F.col("part").alias("part_"), F.col("source").alias("source_"), F.coalesce(F.sum("n_part").over(earlier), F.lit(0)).alias("begin"))
+    # Stored, so that Spark knows its size before it plans the join: a row per partition and source.
+    begins = computed_once(
+        spent.select(F.col("part").alias("part_"), F.col("source").alias("source_"), F.coalesce(F.sum("n_part").over(earlier), F.lit(0)).alias("begin")), "queue-begins")
     totals = spent.groupBy("source").agg(F.sum("n_part").alias("n")).collect()
     totals.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     names = [r["source"] for r in totals]
