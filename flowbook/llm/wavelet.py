@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import computed_once
 from .flat import slices
 from .tokens import END_ID, default_path, encoder
 
@@ -193,7 +194,8 @@ def read_tokens(spark, folder: str) -> DataFrame:
     stored = spark.read.schema(SEGMENT).parquet(folder)
     totals = stored.groupBy("shard").agg(F.sum("n").alias("_n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
-    starts = totals.select("shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("before_shard"))
+    # Stored, so that Spark knows its size before it plans the join.
+    starts = computed_once(totals.select("shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("before_shard")), "shard-starts")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
