@@ -31,7 +31,7 @@ BRANCH = 3
 SMALL = 64
 DEPTH = 6
 ALIKE = 0.4
-BLOCK = 256
+BLOCK = 1024
 RECALL = 0.9999
 SKETCH_CUT = 0.65
 
