@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import computed_once, working_folder
@@ -119,13 +119,13 @@ def _repeated(group: pd.DataFrame, window: int) -> pd.DataFrame:
     })
 
 
-def marks_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Name, first window, number of windows and text of each mark: runs of windows with one least gram (the last of equal ones)."""
+def marks_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, ...]:
+    """Name, first window, number of windows, text and anchor (from the first window on) of each mark: runs of windows with one least gram (the last of equal ones)."""
     gram = min(GRAM, window)
     windows = len(data) - window + 1
     none = np.zeros(0, np.int64)
     if windows <= 0:
-        return none.view(np.uint64), none, none, none
+        return none.view(np.uint64), none, none, none, none
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     inside = np.where(text[:windows] == text[window - 1:], text[:windows], -1)
     grams = rolling(_CODES[data], gram, 9)
@@ -144,7 +144,28 @@ def marks_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tup
     rest = wide - have
     least, at = lower(least[:windows], at[:windows], least[rest:rest + windows], at[rest:rest + windows])
     start, size = segments(at, inside)
-    return mix(least[start]), start, size, text[start]
+    return mix(least[start]), start, size, text[start], at[start] - start
+
+
+def _meeting(contents: DataFrame, window: int) -> DataFrame:
+    """``name, cd, content, d0`` of the contexts that can share a window with another one of their anchor.
+
+    A window holds the anchor and, on one side of it at least, half of the bytes it has beyond; contexts that share
+    neither half with another context share no window, and stay out of the transforms.
+    """
+    gram = min(GRAM, window)
+    half = (window - gram + 1) // 2
+    at, size = F.col("content.anchor"), F.length("content.bytes")
+
+    def part(side: int, fits: Column, start: Column) -> Column:
+        return F.when(fits, F.struct(F.lit(side).alias("side"), F.substring(F.col("content.bytes"), start, F.lit(gram + half)).alias("part")))
+
+    halves = F.array(part(0, at >= half, at + 1 - half), part(1, size - at >= gram + half, at + 1))
+    keys = contents.select("name", "cd", F.explode(F.filter(halves, lambda h: h.isNotNull())).alias("key"))
+    keys = keys.select("name", "cd", F.xxhash64("key").alias("key"))
+    shared = keys.groupBy("name", "key").agg(F.count("*").alias("k")).where("k > 1").select("name", "key")
+    met = keys.join(shared, ["name", "key"], "left_semi").select("name", "cd").distinct()
+    return contents.join(met, ["name", "cd"], "left_semi").select("name", "cd", F.col("content.bytes").alias("content"), "d0")
 
 
 def _chunks(window: int):
@@ -154,7 +175,7 @@ def _chunks(window: int):
         for batch in batches:
             docs_, ths = batch.column("doc").to_numpy(), batch.column("th").to_numpy()
             for lo, _, data, offsets in slices(batch.column("text")):
-                name, where, many, text = marks_of(data, offsets, window)
+                name, where, many, text, _ = marks_of(data, offsets, window)
                 begins = (name % np.uint64(CHUNK_MARKS) == 0) | np.r_[True, text[1:] != text[:-1]] if len(name) else np.zeros(0, bool)
                 start, of = where[begins], text[begins]
                 n = np.add.reduceat(many, np.flatnonzero(begins)) if len(start) else start
@@ -204,7 +225,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             spans = batch.column("spans").to_pylist()
             for lo, hi, data, offsets in slices(batch.column("text")):
-                name, where, _, text = marks_of(data, offsets, window)
+                name, where, _, text, _ = marks_of(data, offsets, window)
                 new = ~_inside(where, offsets, spans[lo:hi])
                 name, text = name[new], text[new]
                 yield pa.RecordBatch.from_arrays([pa.array(once_per_text(name, text))], names=["name"])
@@ -216,19 +237,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             docs_, ths, spans = batch.column("doc").to_numpy(), batch.column("th").to_numpy(), batch.column("spans").to_pylist()
             for lo, hi, data, offsets in slices(batch.column("text")):
-                name, where, many, text = marks_of(data, offsets, window)
+                name, where, many, text, anchor = marks_of(data, offsets, window)
                 kept = passes(bits, name) & ~_inside(where, offsets, spans[lo:hi])
-                name, where, many, text = name[kept], where[kept], many[kept], text[kept]
+                name, where, many, text, anchor = name[kept], where[kept], many[kept], text[kept], anchor[kept]
                 raw = data.tobytes()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(name.view(np.int64)), pa.array(docs_[lo + text]), pa.array(ths[lo + text]), pa.array(where - offsets[text]),
-                    pa.array(many.astype(np.int64)), pa.array([raw[a:a + n + window - 1] for a, n in zip(where.tolist(), many.tolist())], pa.binary()),
+                    pa.array(many.astype(np.int64)), pa.StructArray.from_arrays([
+                        pa.array([raw[a:a + n + window - 1] for a, n in zip(where.tolist(), many.tolist())], pa.binary()), pa.array(anchor.astype(np.int32)),
+                    ], names=["bytes", "anchor"]),
                 ], names=["name", "doc", "th", "p", "n", "content"])
 
-    marks = computed_once(live.mapInArrow(emit, "name long, doc long, th long, p long, n long, content binary"), "marks")
+    marks = computed_once(live.mapInArrow(emit, "name long, doc long, th long, p long, n long, content struct<bytes: binary, anchor: int>"), "marks")
 
     def look(contents: DataFrame) -> DataFrame:
-        contents = computed_once(contents, "contexts")
+        contents = computed_once(_meeting(contents, window), "contexts")
         # Buckets of about BUCKET_ROWS contexts; a bucket that one anchor fills is cut into lots that are merged two by two.
         rows = contents.count()
         buckets = max(1, -(-rows // BUCKET_ROWS))
