@@ -1,6 +1,7 @@
-"""Quality rules: base statistics of every text, and a length-normalised log-likelihood ratio of hashed n-grams.
+"""Quality rules: base statistics of every text, and a length-normalised log-likelihood ratio of n-grams.
 
-Words and word pairs are hashed into a fixed number of buckets.  The target multinomial is counted over one half of
+Every word and word pair has its own counts, by its 64-bit hash.  The most frequent ones, of a fixed number, are
+counted in place in each task and their ratios broadcast; all others are dealt by hash and counted there.  The target multinomial is counted over one half of
 the trusted documents (by hash of ``doc_id``), the raw one over the whole corpus.  The other half of the trusted
 documents and the labelled rejects set the threshold, so that it holds for documents the target has not seen.
 """
@@ -11,13 +12,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import computed_once
 from .flat import mix, rolling, slices, span_hashes, word_hashes
 
-BUCKETS = 1 << 18
+# Frequent n-grams have a place by the first bits of their hash; an n-gram that a chunk of a task has less often is none.
+_SLOT_BITS, WAYS = 19, 2
+SLOTS = 1 << _SLOT_BITS
+CHUNK_GRAMS, OFTEN = 1 << 23, 4
+PART_GRAMS = 1 << 21
+FEW_IDS = 1 << 20
+POINTS = 1 << 28
 PSEUDO = 2.0
 KEEP_TRUSTED = 0.995
 STEP, RANGE = 0.0005, 4.0
@@ -25,7 +32,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
-_STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, score double"
+_STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
 def _per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -74,50 +81,163 @@ def base_statistics(data: np.ndarray, offsets: np.ndarray, words: tuple[np.ndarr
     return out
 
 
-def buckets_of(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and text number of every word, then of every pair of neighbouring words."""
+def grams_of(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash and text number of every word, then of every pair of neighbouring words."""
     pairs = np.flatnonzero(owner[:-1] == owner[1:])
     both = mix(hashes[pairs] * np.uint64(0x9FB21C651E98DF25) + hashes[pairs + 1])
-    return (
-        np.concatenate((mix(hashes), both)) >> np.uint64(64 - (BUCKETS - 1).bit_length()),
-        np.concatenate((owner, owner[pairs])),
-    )
+    return np.concatenate((mix(hashes), both)), np.concatenate((owner, owner[pairs]))
+
+
+def no_keys() -> np.ndarray:
+    """A table of frequent n-grams without any: each place holds a value that belongs to another slot."""
+    return np.tile((np.arange(SLOTS, dtype=np.uint64) ^ np.uint64(1)) << np.uint64(64 - _SLOT_BITS), WAYS)
+
+
+def places_of(grams: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The place of each n-gram in the table of frequent ones, or -1."""
+    slot = (grams >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+    place = np.full(len(grams), -1, np.int64)
+    for way in range(WAYS):
+        at = slot + way * SLOTS
+        place = np.where(keys[at] == grams, at, place)
+    return place
+
+
+def frequent(docs: DataFrame) -> np.ndarray:
+    """The most frequent n-grams of each slot of hashes, at most ``WAYS`` each.
+
+    They only say which n-grams are counted in place and which are dealt by hash (they are the ones that would fill one
+    task); no score depends on the choice.
+    """
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def often() -> Iterator[pa.RecordBatch]:
+            grams, many = np.unique(np.concatenate(held), return_counts=True)
+            grams, many = grams[many >= OFTEN].view(np.int64), many[many >= OFTEN]
+            for lo in range(0, len(grams), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(grams[lo:lo + (1 << 16)]), pa.array(many[lo:lo + (1 << 16)])], names=["gram", "many"])
+
+        for batch in batches:
+            for _, _, data, offsets in slices(batch.column("text")):
+                hashes, _, _, owner = word_hashes(data, offsets)
+                held.append(grams_of(hashes, owner)[0])
+                size += len(held[-1])
+                if size >= CHUNK_GRAMS:
+                    yield from often()
+                    held, size = [], 0
+        if held:
+            yield from often()
+
+    found = docs.select("text").mapInArrow(find, "gram long, many long").groupBy("gram").agg(F.sum("many").alias("many"))
+    slot = F.shiftrightunsigned("gram", 64 - _SLOT_BITS)
+    first = Window.partitionBy("slot").orderBy(F.desc("many"), "gram")
+    rows = found.withColumn("slot", slot).withColumn("way", F.row_number().over(first)).where(F.col("way") <= WAYS).select("gram", "slot", "way").toPandas()
+    keys = no_keys()
+    keys[rows["slot"].to_numpy(np.int64) + (rows["way"].to_numpy(np.int64) - 1) * SLOTS] = rows["gram"].to_numpy(np.int64).view(np.uint64)
+    return keys
 
 
-def counted(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """``bucket, raw, target``: n-gram counts over all documents and over those whose ``doc_id`` is in ``target``."""
-    marked = target.select(F.col("doc_id").alias("_id")).distinct().withColumn("_in", F.lit(True))
-    joined = docs.select("doc_id", "text").join(marked, F.col("doc_id") == F.col("_id"), "left").select("text", F.col("_in").alias("in_target"))
+def marked(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """``ref, text, in_target``: whether the ``doc_id`` is in ``target``.  A list of ids that fits is broadcast, so that texts stay where they are."""
+    ids = target.select(F.col("doc_id").alias("_id")).distinct().withColumn("_in", F.lit(True))
+    if ids.limit(FEW_IDS + 1).count() <= FEW_IDS:
+        ids = F.broadcast(ids)
+    joined = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id"), "left")
+    return joined.select(_ref().alias("ref"), "text", F.col("_in").alias("in_target"))
+
+
+def _ref() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
+def counted(docs: DataFrame, target: DataFrame, keys: np.ndarray | None = None) -> DataFrame:
+    """``place, raw, target``: counts of the n-grams in ``keys`` over all documents and over those in ``target``; place -1 is all others together."""
+    shared = docs.sparkSession.sparkContext.broadcast(no_keys() if keys is None else keys)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        places = len(shared.value)
+        raw, good = np.zeros(places + 1, np.int64), np.zeros(places + 1, np.int64)
         for batch in batches:
             trusted = batch.column("in_target").is_valid().to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in slices(batch.column("text")):
                 hashes, _, _, owner = word_hashes(data, offsets)
-                bucket, owner = buckets_of(hashes, owner)
-                raw += np.bincount(bucket.astype(np.int64), minlength=BUCKETS)
-                good += np.bincount(bucket[trusted[lo:hi][owner]].astype(np.int64), minlength=BUCKETS)
+                grams, owner = grams_of(hashes, owner)
+                place = places_of(grams, shared.value) + 1
+                raw += np.bincount(place, minlength=places + 1)
+                good += np.bincount(place[trusted[lo:hi][owner]], minlength=places + 1)
         seen = np.flatnonzero(raw)
         for lo in range(0, len(seen), 1 << 16):
             part = seen[lo:lo + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(raw[part]), pa.array(good[part])], names=["bucket", "raw", "target"])
+            yield pa.RecordBatch.from_arrays([pa.array(part - 1), pa.array(raw[part]), pa.array(good[part])], names=["place", "raw", "target"])
+
+    parts = marked(docs, target).mapInArrow(count, "place long, raw long, target long")
+    return parts.groupBy("place").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+
+
+def log_ratios(raw: np.ndarray, target: np.ndarray, all_raw: int, all_target: int) -> np.ndarray:
+    """The log ratio of each n-gram in whole ``1 / POINTS``, so that sums do not depend on their order.
 
-    parts = joined.mapInArrow(count, "bucket long, raw long, target long")
-    return parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    Both multinomials get ``PSEUDO`` counts on the target's scale, so an n-gram with little evidence is near 0.
+    """
+    if not all_target:
+        return np.zeros(len(raw), np.int64)
+    return np.rint(np.log((target + PSEUDO) / (raw * (all_target / all_raw) + PSEUDO)) * POINTS).astype(np.int64)
 
 
-def log_ratios(counts: DataFrame) -> np.ndarray:
-    """The log ratio of each bucket: at most ``BUCKETS`` rows come to the driver, whatever the corpus.
+def rare_points(docs: DataFrame, target: DataFrame, keys: np.ndarray, rare: int, totals: tuple[int, int]) -> DataFrame:
+    """``ref, points``: the summed log ratios of the n-grams outside ``keys``, of all rows of one ``ref`` together.
 
-    Both multinomials get ``PSEUDO`` counts on the target's scale, so a bucket with little evidence is near 0.
+    The n-grams are dealt by hash to parts of about ``PART_GRAMS``, packed: a part counts each of its n-grams over the
+    whole corpus and returns one sum per document.
     """
-    rows = counts.toPandas()
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[rows["bucket"]], target[rows["bucket"]] = rows["raw"], rows["target"]
-    if not target.sum():
-        return np.zeros(BUCKETS)
-    return np.log((target + PSEUDO) / (raw * (target.sum() / raw.sum()) + PSEUDO))
+    shared = docs.sparkSession.sparkContext.broadcast(keys)
+    parts = max(1, -(-rare // PART_GRAMS))
+
+    def packed(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * values.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))],
+        ).cast(pa.binary())
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            trusted = batch.column("in_target").is_valid().to_numpy(zero_copy_only=False)
+            refs = batch.column("ref").to_numpy()
+            for lo, hi, data, offsets in slices(batch.column("text")):
+                hashes, _, _, owner = word_hashes(data, offsets)
+                grams, owner = grams_of(hashes, owner)
+                other = places_of(grams, shared.value) < 0
+                grams, owner = grams[other], owner[other]
+                part = (((grams & np.uint64(0xFFFFFFFF)) * np.uint64(parts)) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+                order = np.argsort(part, kind="stable")
+                grams, owner, part = grams[order], owner[order], part[order].astype(np.int64)
+                if not len(grams):
+                    continue
+                # A run is a stretch of one document in one part.
+                new = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1]))))
+                many = np.diff(np.concatenate((new, [len(grams)])))
+                head = np.flatnonzero(np.concatenate(([True], part[new][1:] != part[new][:-1])))
+                run_bounds = np.concatenate((head, [len(new)]))
+                gram_bounds = np.concatenate((new[head], [len(grams)]))
+                who = owner[new]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part[new][head]), packed(run_bounds, refs[lo:hi][who]),
+                    packed(run_bounds, (2 * many + trusted[lo:hi][who]).astype(np.int64)), packed(gram_bounds, grams),
+                ], names=["part", "refs", "runs", "grams"])
+
+    def add(table: pa.Table) -> pa.Table:
+        refs, runs, grams = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("refs", np.int64), ("runs", np.int64), ("grams", np.uint64)))
+        _, which, raw = np.unique(grams, return_inverse=True, return_counts=True)
+        good = np.bincount(which[np.repeat(runs & 1 == 1, runs >> 1)], minlength=len(raw))
+        sums = np.concatenate(([0], np.cumsum(log_ratios(raw, good, *totals)[which])))
+        ends = np.cumsum(runs >> 1)
+        ids, at = np.unique(refs, return_inverse=True)
+        points = np.zeros(len(ids), np.int64)
+        np.add.at(points, at, sums[ends] - sums[ends - (runs >> 1)])
+        return pa.table({"ref": ids, "points": points})
+
+    dealt = marked(docs, target).mapInArrow(deal, "part long, refs binary, runs binary, grams binary")
+    return dealt.groupBy("part").applyInArrow(add, "ref long, points long").groupBy("ref").agg(F.sum("points").alias("points"))
 
 
 def threshold(scores: DataFrame, labelled: DataFrame) -> float:
@@ -141,27 +261,43 @@ def threshold(scores: DataFrame, labelled: DataFrame) -> float:
     return float(bins["bin"].iloc[best]) * STEP if gain[best] > 0 else float("-inf")
 
 
-def score(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """Every document with its statistics and mean log ratio (null without words); ``doc_id`` and ``row`` in front."""
-    shared = docs.sparkSession.sparkContext.broadcast(ratios.astype(np.float64))
+def score(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """Every document with its statistics and mean log ratio (null without words); ``doc_id`` and ``_h`` in front."""
+    keys = frequent(docs)
+    rows = counted(docs, target, keys).toPandas()  # at most one row per place, whatever the corpus
+    place, raw, good = (rows[c].to_numpy(np.int64) for c in ("place", "raw", "target"))
+    totals = int(raw.sum()), int(good.sum())
+    weights = np.zeros(len(keys) + 1, np.int64)  # the last one is for place -1
+    weights[place[place >= 0]] = log_ratios(raw, good, *totals)[place >= 0]
+    shared = docs.sparkSession.sparkContext.broadcast((keys, weights))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = shared.value
+        keys, weights = shared.value
         for batch in batches:
             for lo, hi, data, offsets in slices(batch.column("text")):
                 words = word_hashes(data, offsets)
                 stats = base_statistics(data, offsets, words)
-                bucket, owner = buckets_of(words[0], words[3])
-                total = np.bincount(owner, weights[bucket.astype(np.int64)], hi - lo)
-                many = np.bincount(owner, minlength=hi - lo)
-                mean = pa.array(total / np.maximum(many, 1), mask=many == 0)
+                grams, owner = grams_of(words[0], words[3])
+                points = np.zeros(hi - lo, np.int64)
+                np.add.at(points, owner, weights[places_of(grams, keys)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), batch.column("_h").slice(lo, hi - lo), *[pa.array(v) for v in stats.values()], mean],
-                    names=["doc_id", "_h", *stats, "score"],
+                    [*[batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "_h", "ref")], *[pa.array(v) for v in stats.values()], pa.array(points)],
+                    names=["doc_id", "_h", "ref", *stats, "points"],
                 )
 
-    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_h"))
-    return lean.mapInArrow(measure, "doc_id long, _h long, " + _STATS)
+    lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_h"), _ref().alias("ref"))
+    stats = computed_once(lean.mapInArrow(measure, f"doc_id long, _h long, ref long, {_STATS}, points long"), "quality-statistics")
+    rare = int(raw[place < 0].sum()) if totals[1] else 0
+    if rare:
+        # Rows with equal id and text have equal sums.
+        copies = stats.groupBy("ref").agg(F.count("*").alias("copies"))
+        own = rare_points(docs, target, keys, rare, totals).join(copies, "ref").select("ref", F.expr("points div copies").alias("rare"))
+        stats = stats.join(own, "ref", "left")
+    else:
+        stats = stats.withColumn("rare", F.lit(0))
+    total = (F.col("points") + F.coalesce("rare", F.lit(0))).cast("double") / POINTS
+    mean = F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1))
+    return stats.withColumn("score", mean).drop("ref", "points", "rare")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -176,8 +312,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
         F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")).cast("boolean").alias("trusted"),
     ).withColumn("fit", F.col("trusted") & (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0))
-    counts = counted(docs, known.where("fit").select("doc_id"))
-    scores = computed_once(score(docs, log_ratios(counts)), "quality-scores")
+    scores = computed_once(score(docs, known.where("fit").select("doc_id")), "quality-scores")
     limit = threshold(scores, known.where("NOT fit").select("doc_id", "trusted"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return scores.withColumn("base_failed", failed).withColumn("threshold", F.lit(limit)).withColumn(

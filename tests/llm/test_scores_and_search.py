@@ -57,6 +57,28 @@ def test_scores_are_mean_log_ratios(spark, docs):
     assert total == words + pairs and all(r.target <= r.raw for r in rows)
 
 
+@pytest.mark.parametrize("part_grams", [1 << 21, 3000])
+def test_every_ngram_has_its_own_counts(spark, monkeypatch, part_grams):
+    monkeypatch.setattr(ngram_quality, "PART_GRAMS", part_grams)
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{int(w)}" for w in np.minimum(rng.zipf(1.2, 900), 10**9)) for _ in range(120)]
+    rows = [*enumerate(texts), (5, texts[5]), (5, texts[6]), (None, texts[7]), (None, texts[7]), (None, None), (200, "w1"), (201, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    fit = set(range(0, 120, 3))
+    parts = [(i, (ws := WORD.findall(t or "")), [*ws, *zip(ws, ws[1:])]) for i, t in rows]
+    raw, good = Counter(g for _, _, gs in parts for g in gs), Counter(g for i, _, gs in parts if i in fit for g in gs)
+    share = sum(good.values()) / sum(raw.values())
+    ratio = {g: math.log((good[g] + ngram_quality.PSEUDO) / (n * share + ngram_quality.PSEUDO)) for g, n in raw.items()}
+    want = sorted((repr(i), len(ws), sum(ratio[g] for g in gs) / len(gs) if gs else -9.0) for i, ws, gs in parts)
+    target = spark.createDataFrame([(i,) for i in fit], "doc_id long")
+    got = sorted((repr(r.doc_id), r.n_words, -9.0 if r.score is None else r.score) for r in ngram_quality.score(docs, target).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(math.isclose(g[2], w[2], abs_tol=1e-7) for g, w in zip(got, want))
+    keys = ngram_quality.frequent(docs)
+    counts = {r.place: (r.raw, r.target) for r in ngram_quality.counted(docs, target, keys).collect()}
+    assert 0 < counts[-1][0] < sum(raw.values())  # both ways are taken
+
+
 def test_token_counts_against_the_library(spark, docs, empty, awkward):
     from tokenizers import Tokenizer
     from tokenizers.models import Unigram
