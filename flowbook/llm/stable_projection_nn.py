@@ -65,6 +65,12 @@ def usable(vectors: DataFrame) -> DataFrame:
     return fine.where(F.size("embedding") == (common["d"] if common else 0)).dropDuplicates(["vec_id", "embedding"])
 
 
+def few_of_each(fine: DataFrame, k: int) -> DataFrame:
+    """The rows with the ``k + 1`` smallest ids of each vector.  Each input partition is cut before the shuffle, so a hot vector fills no task."""
+    few = Window.partitionBy("_v").orderBy("vec_id")
+    return fine.withColumn("_v", F.xxhash64("embedding")).withColumn("_row", F.row_number().over(few)).where(F.col("_row") <= k + 1).select("vec_id", "embedding")
+
+
 def _stack(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), float)
 
@@ -186,35 +192,32 @@ def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     length = math.sqrt(shape["most"])
     axes = np.random.default_rng(SEED).standard_normal((shape["d"] + 1, M))
 
-    def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lifted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             v = _stack(frame["embedding"])
             rest = np.sqrt(np.maximum(length * length - (v * v).sum(axis=1), 0))
+            yield frame.assign(projected=list(v @ axes[:-1] + rest[:, None] * axes[-1]))
+
+    def scaled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            v = _stack(frame["embedding"])
             scale = length / np.sqrt((v * v).sum(axis=1))
-            yield frame.assign(projected=list(v @ axes[:-1] + rest[:, None] * axes[-1]), asked=list((v * scale[:, None]) @ axes[:-1]))
+            yield frame.assign(projected=list((v * scale[:, None]) @ axes[:-1]))
 
-    few = Window.partitionBy("_v").orderBy("vec_id")
-    made = "vec_id long, embedding array<double>, keeps boolean, projected array<double>, asked array<double>"
-    marked = fine.withColumn("_v", F.xxhash64("embedding")).withColumn("_row", F.row_number().over(few)).select(
-        "vec_id", "embedding", (F.col("_row") <= k + 1).alias("keeps"),
-    ).where((F.col("vec_id") % every == 0) | F.col("keeps"))
-    placed = computed_once(marked.mapInPandas(project, made), "projected")
-    sample = placed.where("keeps").select("vec_id", "projected").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toPandas()
+    made = "vec_id long, embedding array<double>, projected array<double>"
+    kept = computed_once(few_of_each(fine, k).mapInPandas(lifted, made), "projected")
+    queries = fine.where(F.col("vec_id") % every == 0).mapInPandas(scaled, made)
+    sample = kept.select("vec_id", "projected").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toPandas()
     cells = 1 << min(MOST_CELLS.bit_length() - 1, max(0, math.ceil(math.log2(shape["n"] / CELL_ROWS))))
     splits = _top_of_tree(_stack(sample["projected"]), cells)
     low, high = _regions(splits)
 
-    def located(column: str):
-        def locate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                yield frame.assign(cell=_cell_of(_stack(frame[column]), splits))
-
-        return locate
+    def locate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(cell=_cell_of(_stack(frame["projected"]), splits))
 
-    data = placed.where("keeps").select("vec_id", "embedding", "projected").mapInPandas(
-        located("projected"), "vec_id long, embedding array<double>, projected array<double>, cell long")
-    asked = placed.where(F.col("vec_id") % every == 0).select("vec_id", "embedding", F.col("asked").alias("projected")).mapInPandas(
-        located("projected"), "vec_id long, embedding array<double>, projected array<double>, cell long")
+    data = kept.mapInPandas(locate, made + ", cell long")
+    asked = computed_once(queries.mapInPandas(locate, made + ", cell long"), "queries")
     held = {r["cell"]: r["count"] for r in data.groupBy("cell").count().collect()}
     parts = {c: -(-n // GROUP_ROWS) for c, n in held.items()}
 

@@ -144,6 +144,14 @@ def test_search_of_few_rows(spark):
     assert stable_projection_nn.search(df.limit(0)).count() == 0
 
 
+def test_hot_vectors_are_cut_before_the_shuffle(spark):
+    df = spark.createDataFrame([(k, [1.0, float(k % 3 == 0)]) for k in range(90)], "vec_id long, embedding array<double>").repartition(4)
+    few = stable_projection_nn.few_of_each(df, 4)
+    assert sorted(r.vec_id for r in few.collect()) == sorted([*range(0, 15, 3), 1, 2, 4, 5, 7])
+    plan = few._jdf.queryExecution().sparkPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
 def test_chi_square():
     assert math.isclose(stable_projection_nn.chi_square_cdf(15.507, 8), 0.95, abs_tol=1e-4)
     assert math.isclose(stable_projection_nn.chi_square_quantile(0.95, 8), 15.507, abs_tol=1e-3)
