@@ -26,7 +26,7 @@ M = 8
 CONFIDENCE = 0.99
 K = 20
 SEED = 20
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS, LEAST_SAMPLE = 20_000, 1024
 CELL_ROWS = 4096
 MOST_CELLS = 1024
 GROUP_ROWS, GROUP_QUERIES = 8192, 2048
@@ -53,28 +53,31 @@ STOP = chi_square_quantile(CONFIDENCE)
 def usable(vectors: DataFrame) -> DataFrame:
     """``vec_id, embedding`` (doubles) of the rows that take part, each different one once.
 
-    Out stay rows with a null id, and vectors null, empty, zero, with a null or non-finite component, or of another
-    length than the commonest one (of equally common lengths, the longest).
+    Out stay rows with a null id, and vectors null, empty, zero, or with a null or non-finite component.
     """
     v = F.col("embedding")
     fine = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding")).where(
         F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0),
     )
-    common = fine.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return fine.where(F.size("embedding") == (common["d"] if common else 0)).dropDuplicates(["vec_id", "embedding"])
+    return fine.dropDuplicates(["vec_id", "embedding"])
 
 
 def few_of_each(fine: DataFrame, k: int) -> DataFrame:
     """The rows with the ``k + 1`` smallest ids of each vector.  Each input partition is cut before the shuffle, so a hot vector fills no task."""
     few = Window.partitionBy("_v").orderBy("vec_id")
-    return fine.withColumn("_v", F.xxhash64("embedding")).withColumn("_row", F.row_number().over(few)).where(F.col("_row") <= k + 1).select("vec_id", "embedding")
+    return fine.withColumn("_v", F.xxhash64("embedding")).withColumn("_row", F.row_number().over(few)).where(F.col("_row") <= k + 1).select("vec_id", "_v", "embedding")
 
 
 def _stack(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), float)
 
 
+def _by_length(frame: pd.DataFrame) -> Iterator[tuple[int, pd.DataFrame]]:
+    """The rows of each vector length."""
+    yield from frame.groupby(frame["embedding"].map(len), sort=False)
+
+
 def _top_of_tree(points: np.ndarray, cells: int) -> list[tuple[int, float]]:
     """Splits of a complete tree in heap order: dimension and value, cut at the median of the widest dimension."""
     splits: list[tuple[int, float]] = []
@@ -141,15 +144,15 @@ def _buckets(points: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _search(pdf: pd.DataFrame, k: int, length: float) -> pd.DataFrame:
+def _search(pdf: pd.DataFrame, k: int, lengths: dict[int, float]) -> pd.DataFrame:
     """The ``k`` nearest of a group's vectors for each of its queries, by incremental visits to the tree's leaves."""
     data, queries = pdf[~pdf["is_query"]], pdf[pdf["is_query"]]
-    found: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+    found: dict[str, list] = {"query_id": [], "query_v": [], "vec_id": [], "score": []}
     if len(data) and len(queries):
         ids, vectors, points = data["vec_id"].to_numpy(np.int64), _stack(data["embedding"]), _stack(data["projected"])
-        leaves = _buckets(points)
+        length, leaves = lengths[vectors.shape[1]], _buckets(points)
         lo, hi = np.array([points[r].min(axis=0) for r in leaves]), np.array([points[r].max(axis=0) for r in leaves])
-        for own, vector, point, bound in zip(queries["vec_id"].tolist(), _stack(queries["embedding"]), _stack(queries["projected"]), queries["bound"].tolist()):
+        for own, own_v, vector, point, bound in zip(queries["vec_id"].tolist(), queries["_v"].tolist(), _stack(queries["embedding"]), _stack(queries["projected"]), queries["bound"].tolist()):
             gaps = _gaps(point, lo, hi)
             scale = length / math.sqrt(float((vector * vector).sum()))
             best_ids, best = np.zeros(0, np.int64), np.zeros(0)
@@ -164,57 +167,72 @@ def _search(pdf: pd.DataFrame, k: int, length: float) -> pd.DataFrame:
                 order = np.lexsort((best_ids, -best))[:k]
                 best_ids, best = best_ids[order], best[order]
             found["query_id"] += [own] * len(best)
+            found["query_v"] += [own_v] * len(best)
             found["vec_id"] += best_ids.tolist()
             found["score"] += best.tolist()
-    return pd.DataFrame(found).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+    return pd.DataFrame(found).astype({"query_id": "int64", "query_v": "int64", "vec_id": "int64", "score": "float64"})
 
 
 def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows of each row whose id is divisible by ``every``.
 
     Needs ``vec_id, embedding``; other columns are ignored.  ``usable`` says which rows take part.  Nearness is the
-    largest inner product, ties go to the smaller id; a query's own id is left out; with fewer than ``k`` others all
-    of them come.  An empty table gives no rows.
+    largest inner product, among vectors of the query's own number of components; ties go to the smaller id; a query's
+    own id is left out; with fewer than ``k`` others all of them come.  Rows of one id with different vectors are rows
+    of their own: each is answered with its own ranks, and each can be in a result.  An empty table gives no rows.
 
     Equal vectors have equal scores with any query, so only the ``k + 1`` smallest ids of each vector can be in a
     result; that keeps a vector with a large share of the rows from filling a cell.  Groups hold at most about
     ``GROUP_ROWS`` vectors and ``GROUP_QUERIES`` queries: larger cells are split by hash, and their queries go to
-    every part.  The tree's top comes from ``SAMPLE_ROWS`` rows with the smallest id hashes, and has at most
-    ``MOST_CELLS`` cells.
+    every part.  Each number of components has a tree of its own.  The trees' tops come from about ``SAMPLE_ROWS`` rows
+    with the smallest id hashes, and have at most ``MOST_CELLS`` cells each.
     """
     spark = vectors.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
     fine = computed_once(usable(vectors), "vectors")
     squares = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
-    shape = fine.agg(F.count("*").alias("n"), F.max(squares).alias("most"), F.max(F.size("embedding")).alias("d")).first()
-    if not shape["n"]:
+    shape = {r["d"]: r for r in fine.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"), F.max(squares).alias("most")).orderBy("d").collect()}
+    if not shape:
         return spark.createDataFrame([], out)
-    length = math.sqrt(shape["most"])
-    axes = np.random.default_rng(SEED).standard_normal((shape["d"] + 1, M))
+    lengths = {d: math.sqrt(r["most"]) for d, r in shape.items()}
+    axes = {d: np.random.default_rng(SEED).standard_normal((d + 1, M)) for d in shape}
 
     def lifted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            v = _stack(frame["embedding"])
-            rest = np.sqrt(np.maximum(length * length - (v * v).sum(axis=1), 0))
-            yield frame.assign(projected=list(v @ axes[:-1] + rest[:, None] * axes[-1]))
+            for d, part in _by_length(frame):
+                v = _stack(part["embedding"])
+                rest = np.sqrt(np.maximum(lengths[d] * lengths[d] - (v * v).sum(axis=1), 0))
+                yield part.assign(projected=list(v @ axes[d][:-1] + rest[:, None] * axes[d][-1]))
 
     def scaled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            v = _stack(frame["embedding"])
-            scale = length / np.sqrt((v * v).sum(axis=1))
-            yield frame.assign(projected=list((v * scale[:, None]) @ axes[:-1]))
+            for d, part in _by_length(frame):
+                v = _stack(part["embedding"])
+                scale = lengths[d] / np.sqrt((v * v).sum(axis=1))
+                yield part.assign(projected=list((v * scale[:, None]) @ axes[d][:-1]))
 
-    made = "vec_id long, embedding array<double>, projected array<double>"
+    made = "vec_id long, _v long, embedding array<double>, projected array<double>"
     kept = computed_once(few_of_each(fine, k).mapInPandas(lifted, made), "projected")
-    queries = fine.where(F.col("vec_id") % every == 0).mapInPandas(scaled, made)
-    sample = kept.select("vec_id", "projected").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toPandas()
-    cells = 1 << min(MOST_CELLS.bit_length() - 1, max(0, math.ceil(math.log2(shape["n"] / CELL_ROWS))))
-    splits = _top_of_tree(_stack(sample["projected"]), cells)
-    low, high = _regions(splits)
+    queries = fine.where(F.col("vec_id") % every == 0).select("vec_id", F.xxhash64("embedding").alias("_v"), "embedding").mapInPandas(scaled, made)
+    rows = sum(r["n"] for r in shape.values())
+    taken = {d: max(LEAST_SAMPLE, SAMPLE_ROWS * r["n"] // rows) for d, r in shape.items()}
+    cells = {d: 1 << min(MOST_CELLS.bit_length() - 1, (taken[d] // 8).bit_length() - 1, max(0, math.ceil(math.log2(r["n"] / CELL_ROWS)))) for d, r in shape.items()}
+    cut = [d for d in shape if cells[d] > 1]
+    points: dict[int, np.ndarray] = {d: np.zeros((0, M)) for d in shape}
+    if cut:
+        share = F.element_at(F.create_map(*[F.lit(x) for d in cut for x in (d, taken[d])]), F.col("d"))
+        first_ids = Window.partitionBy("d").orderBy(F.xxhash64("vec_id"), "vec_id", "_v")
+        few = kept.select("vec_id", "_v", "projected", F.size("embedding").alias("d")).where(F.col("d").isin(cut)).withColumn(
+            "_at", F.row_number().over(first_ids)).where((F.col("_at") <= max(taken.values())) & (F.col("_at") <= share))
+        points |= {d: _stack(part["projected"]) for d, part in few.select("d", "projected").toPandas().groupby("d")}
+    splits = {d: _top_of_tree(points[d], cells[d]) for d in shape}
+    low, high = ({d: edges[i] for d, edges in ((d, _regions(x)) for d, x in splits.items())} for i in (0, 1))
+    base = dict(zip(shape, np.cumsum([0, *cells.values()]).tolist()))
 
     def locate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield frame.assign(cell=_cell_of(_stack(frame["projected"]), splits))
+            for d, part in _by_length(frame):
+                yield part.assign(cell=base[d] + _cell_of(_stack(part["projected"]), splits[d]))
 
     data = kept.mapInPandas(locate, made + ", cell long")
     asked = computed_once(queries.mapInPandas(locate, made + ", cell long"), "queries")
@@ -230,31 +248,32 @@ def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
         many = {r["cell"]: -(-r["count"] // GROUP_QUERIES) for r in queries.groupBy("cell").count().collect()}
         salted = data.withColumn("part", F.pmod(F.xxhash64("vec_id"), by_cell(parts))).withColumn(
             "lot", F.explode(F.sequence(F.lit(0), F.greatest(by_cell(many), F.lit(1)) - 1)),
-        ).select("cell", "part", "lot", "vec_id", "embedding", "projected", F.lit(False).alias("is_query"), F.lit(None).cast("double").alias("bound"))
+        ).select("cell", "part", "lot", "vec_id", "_v", "embedding", "projected", F.lit(False).alias("is_query"), F.lit(None).cast("double").alias("bound"))
         spread = queries.withColumn("lot", F.pmod(F.xxhash64("vec_id"), by_cell(many))).where(by_cell(parts) > 0).withColumn(
             "part", F.explode(F.sequence(F.lit(0), by_cell(parts) - 1)),
-        ).select("cell", F.col("part").cast("long"), F.col("lot").cast("int"), "vec_id", "embedding", "projected", F.lit(True).alias("is_query"), "bound")
+        ).select("cell", F.col("part").cast("long"), F.col("lot").cast("int"), "vec_id", "_v", "embedding", "projected", F.lit(True).alias("is_query"), "bound")
         both = salted.unionByName(spread)
-        found = both.groupBy("cell", "part", "lot").applyInPandas(lambda pdf: _search(pdf, k, length), "query_id long, vec_id long, score double")
+        found = both.groupBy("cell", "part", "lot").applyInPandas(lambda pdf: _search(pdf, k, lengths), "query_id long, query_v long, vec_id long, score double")
         return computed_once(found, "found")
 
     def nearest(found: DataFrame) -> DataFrame:
-        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        best = Window.partitionBy("query_id", "query_v").orderBy(F.desc("score"), "vec_id")
         return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
     first = round_of(asked.withColumn("bound", F.lit(float("-inf"))))
-    reached = nearest(first).groupBy("query_id").agg(F.max(F.when(F.col("rank") == k, F.col("score"))).alias("reached"))
-    bounded = asked.join(reached, F.col("vec_id") == F.col("query_id"), "left").select(
-        "vec_id", "embedding", "projected", "cell", F.coalesce("reached", F.lit(float("-inf"))).alias("bound"),
+    reached = nearest(first).groupBy("query_id", "query_v").agg(F.max(F.when(F.col("rank") == k, F.col("score"))).alias("reached"))
+    bounded = asked.join(reached, (F.col("vec_id") == F.col("query_id")) & (F.col("_v") == F.col("query_v")), "left").select(
+        "vec_id", "_v", "embedding", "projected", "cell", F.coalesce("reached", F.lit(float("-inf"))).alias("bound"),
     )
 
     def others(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            v, p = _stack(frame["embedding"]), _stack(frame["projected"])
-            scale = length / np.sqrt((v * v).sum(axis=1))
-            far = np.maximum(2 * length * length - 2 * scale * frame["bound"].to_numpy(float), 0) * STOP + 1e-9 * length * length
-            cells = [[c for c in np.flatnonzero(_gaps(x, low, high) <= f).tolist() if c != own] for x, f, own in zip(p, far, frame["cell"].tolist())]
-            yield frame.assign(cell=cells).explode("cell").dropna(subset=["cell"]).astype({"cell": "int64"})
-
-    second = round_of(bounded.mapInPandas(others, "vec_id long, embedding array<double>, projected array<double>, cell long, bound double"))
+            for d, part in _by_length(frame):
+                v, p, length = _stack(part["embedding"]), _stack(part["projected"]), lengths[d]
+                scale = length / np.sqrt((v * v).sum(axis=1))
+                far = np.maximum(2 * length * length - 2 * scale * part["bound"].to_numpy(float), 0) * STOP + 1e-9 * length * length
+                near = [[base[d] + c for c in np.flatnonzero(_gaps(x, low[d], high[d]) <= f).tolist() if base[d] + c != own] for x, f, own in zip(p, far, part["cell"].tolist())]
+                yield part.assign(cell=near).explode("cell").dropna(subset=["cell"]).astype({"cell": "int64"})
+
+    second = round_of(bounded.mapInPandas(others, "vec_id long, _v long, embedding array<double>, projected array<double>, cell long, bound double"))
     return nearest(first.unionByName(second)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

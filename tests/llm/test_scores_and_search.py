@@ -144,6 +144,27 @@ def test_search_of_few_rows(spark):
     assert stable_projection_nn.search(df.limit(0)).count() == 0
 
 
+def test_every_length_and_every_row_is_answered(spark, monkeypatch):
+    monkeypatch.setattr(stable_projection_nn, "CELL_ROWS", 50)
+    rng = np.random.default_rng(8)
+    kinds = {d: [(k, rng.standard_normal(d).round(3).tolist()) for k in range(start, start + n)] for d, start, n in ((6, 0, 240), (9, 240, 160), (3, 400, 30))}
+    kinds[6] += [(20, rng.standard_normal(6).tolist()), (20, rng.standard_normal(6).tolist())]  # two more rows of one id
+    df = spark.createDataFrame([r for rows in kinds.values() for r in rows], "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in stable_projection_nn.search(df).collect():
+        got.setdefault((r.query_id, r["rank"]), []).append((r.score, r.vec_id))
+    want = {}
+    for rows in kinds.values():
+        for i, v in rows:
+            if i % 20 == 0:
+                best = sorted((-float(np.dot(v, w)), j) for j, w in rows if j != i)[:20]
+                for rank, (s, j) in enumerate(best, 1):
+                    want.setdefault((i, rank), []).append((-s, j))
+    assert {q: len(x) for q, x in got.items()} == {q: len(x) for q, x in want.items()}
+    hits = sum(len({j for _, j in got[q]} & {j for _, j in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(len({j for _, j in x}) for x in want.values())
+
+
 def test_hot_vectors_are_cut_before_the_shuffle(spark):
     df = spark.createDataFrame([(k, [1.0, float(k % 3 == 0)]) for k in range(90)], "vec_id long, embedding array<double>").repartition(4)
     few = stable_projection_nn.few_of_each(df, 4)
