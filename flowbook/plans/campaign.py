@@ -38,13 +38,14 @@ def campaign_history(
 ) -> DataFrame:
     """Gross inflow of the campaign funds by reporting month, network and fund.
 
-    Movements and positions are cut to contracts that ever moved a campaign fund before the ledger is built; all
-    funds of those stay, as the activity test is per contract.  The ledger is cut to the campaign funds and summed
+    Movements and positions are cut to contracts that ever moved or held a campaign fund before the ledger is built; all
+    funds of those stay, as the activity test is per contract.  A missing contract is a contract like any other.  The ledger is cut to the campaign funds and summed
     per contract before the contract and network lookups.
     """
-    detail = tables["movement_detail"]
-    holders = detail.filter(F.col("CD_FUND").isin(*funds)).select("ID_CONTRAT").distinct()
-    cut = {name: tables[name].join(holders, ["ID_CONTRAT"], "left_semi") for name in ("movement_detail", "positions")}
+    names = ("movement_detail", "positions")
+    moved, held = (tables[name].filter(F.col("CD_FUND").isin(*funds)).select(F.col("ID_CONTRAT").alias("_holder")) for name in names)
+    holders = moved.union(held).distinct()
+    cut = {name: tables[name].join(holders, F.col("ID_CONTRAT").eqNullSafe(F.col("_holder")), "left_semi") for name in names}
     months = ledger_by_month({**tables, **cut}, first, last, activity)
     inflow = (
         months.filter(F.col("CD_FUND").isin(*funds))

@@ -170,3 +170,27 @@ def test_working_folder_follows_the_session(spark):
     unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(ValueError):
         working_folder(unset, "x")
+
+
+def test_campaign_keeps_contracts_that_hold_without_moving(rows, values):
+    from flowbook.plans.campaign import campaign_history
+
+    day = dt.date(2024, 1, 15)
+    key = "ID_CONTRAT string, CD_FUND string, CD_SUPPORT string, CD_PACK string, CD_OG string"
+    contract = "ID_CONTRAT string, CD_PROD string, LB_CADRE_FISCAL string, LB_STATUS string, DT_SOUSCRIPTION date, DT_CLOTURE date, CD_PTF_RDU string, CD_UJ string"
+    person = "ID_CONTRAT string, LB_ROLE string, REFERENCE_CLIENT string, TYPE_PRSN string"
+    known = [(c, "P", "vie", "En cours", day, None, p, "SA") for c, p in (("moves", "1"), ("holds", "2"), ("other", "3"))]
+    tables = {
+        "movement_detail": rows(f"{key}, ID_MVT string, DT_INVEST date, MT_BRUT decimal(18,2), LB_TYPE_FLUX string",
+                                ("moves", "F", "s", "uc", None, "m1", day, Decimal("7.00"), "Versement libre")),
+        "movement_header": rows("ID_CONTRAT string, ID_MVT string, LB_STATUT string, LB_TYPE_MVT string", ("moves", "m1", "Soldé", "Standard")),
+        "positions": rows(f"{key}, PM decimal(18,2), DT_POSITION date", *[
+            (c, f, "s", "uc", None, Decimal("5.00"), day) for c, f in (("moves", "F"), ("holds", "F"), (None, "G"), ("other", "X"))]),
+        "contracts": rows(contract, *known), "contracts_archive": rows(contract, *known),
+        "products": rows("CD_PROD string, LB_PROD string", ("P", "Product")),
+        "persons": rows(person, ("moves", "Souscripteur", "1", "PHY")), "persons_archive": rows(person, ("moves", "Souscripteur", "1", "PHY")),
+    }
+    network = rows("CODE_PORTEFEUILLE string, CANAL_RDU_PRINCIPAL string", *[(p.zfill(10), c) for p, c in (("1", "010"), ("2", "013"), ("3", "011"))])
+    found = campaign_history(tables, network, {"F": "Fund F", "G": "Fund G"}, Period(2024, 1), Period(2024, 1))
+    assert values(found.select("annee", "mois", "reseau", "fonds_campagne", F.col("Collecte_Brute").cast("double"))) == [
+        (2024, 1, "1 : AGA", "Fund F", 7.0), (2024, 1, "3 : Salarié", "Fund F", 0.0), (2024, 1, "Autre", "Fund G", 0.0)]
