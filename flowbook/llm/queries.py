@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import working_folder
-from . import bwt_merge, chosen_path, entropy_balancing, host_reputation, mixture_packing, ngram_quality, recompression, stable_projection_nn, trie_counts, wavelet
+from . import bwt_merge, chosen_path, entropy_balancing, host_reputation, mixture_packing, ngram_quality, piece_table, recompression, stable_projection_nn, trie_counts, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,26 @@ def op8_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bwt_merge.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _op13_sql() -> str:
+    plain = " OR ".join(["t = ''", *[f"contains(t, '{s}')" for s in piece_table.SENTINELS], "h3 % 100 >= 100"])
+    return f"""
+    WITH drawn AS (
+      SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS s, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units FROM documents),
+    numbers AS (
+      SELECT doc_id, t, units, len(units) AS n, ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2, ('0x' || s[17:24])::BIGINT AS h3, ('0x' || s[25:32])::BIGINT AS h4 FROM drawn),
+    formed AS (
+      SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b, CASE WHEN {plain} THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+    parts AS (
+      SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix FROM formed)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+      sha256(t) AS restored_sha256
+    FROM parts"""
+
+
+@query("op13_piece_table", _op13_sql())
+def op13_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = piece_table.transform(table(spark, sf_dir, "documents")).drop("pieces")
+    return piece_table.restore(made).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
