@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import working_folder
-from . import bwt_merge, chosen_path, entropy_balancing, host_reputation, mixture_packing, ngram_quality, piece_table, recompression, spill_counts, stable_projection_nn, trie_counts, wavelet
+from . import bwt_merge, chosen_path, entropy_balancing, host_reputation, mixture_packing, ngram_quality, piece_table, pivot_distance, recompression, spill_counts, stable_projection_nn, trie_counts, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,6 +129,11 @@ def op10_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op11_pivot_distance")
+def op11_pivot_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_distance.search(table(spark, sf_dir, "embeddings"))
+
+
 @query("op12_spill_alignment")
 def op12_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spill_counts.align(table(spark, sf_dir, "documents"))
