@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 SLICE_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -59,6 +60,8 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
         yield lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         lo = hi
+    # Workers are kept for later stages; what Arrow holds in reserve goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,3 +131,14 @@ def range_hashes(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nd
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * _powers(_BASE, size)[:len(values)], out=sums[1:])
     return mix((sums[high] - sums[low]) * _powers(_INVERSE, size)[low] + (high - low).astype(np.uint64))
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of one length as bytes: each number's lowest bytes first, then the next ones, compressed by zstd."""
+    planes = b"".join(np.ascontiguousarray(c, np.dtype("<u8")).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def unpacked(block: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8).reshape(columns, 8, -1)
+    return [np.ascontiguousarray(p.T).view("<i8").ravel() for p in planes]

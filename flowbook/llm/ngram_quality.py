@@ -12,17 +12,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import computed_once
-from .flat import mix, rolling, slices, span_hashes, word_hashes
+from .flat import mix, packed, rolling, slices, span_hashes, unpacked, word_hashes
 
 # Frequent n-grams have a place by the first bits of their hash; an n-gram that a chunk of a task has less often is none.
 _SLOT_BITS, WAYS = 19, 2
 SLOTS = 1 << _SLOT_BITS
-CHUNK_GRAMS, OFTEN = 1 << 23, 4
-PART_GRAMS = 1 << 21
+CHUNK_GRAMS, OFTEN = 1 << 22, 4
+# Other n-grams leave a task by so many at a time and are counted in parts of about so many; beside the part's number so
+# many bits of the hash tell them apart.
+DEAL_GRAMS, DEAL_TEXTS, PART_GRAMS, PART_BITS = 1 << 20, 1 << 15, 1 << 21, 38
 FEW_IDS = 1 << 20
 POINTS = 1 << 28
 PSEUDO = 2.0
@@ -132,9 +135,10 @@ def frequent(docs: DataFrame) -> np.ndarray:
     found = docs.select("text").mapInArrow(find, "gram long, many long").groupBy("gram").agg(F.sum("many").alias("many"))
     slot = F.shiftrightunsigned("gram", 64 - _SLOT_BITS)
     first = Window.partitionBy("slot").orderBy(F.desc("many"), "gram")
-    rows = found.withColumn("slot", slot).withColumn("way", F.row_number().over(first)).where(F.col("way") <= WAYS).select("gram", "slot", "way").toPandas()
+    rows = found.withColumn("slot", slot).withColumn("way", F.row_number().over(first)).where(F.col("way") <= WAYS).select("gram", "slot", F.col("way").cast("long").alias("way")).toArrow()
+    gram, slot, way = (rows.column(c).to_numpy() for c in ("gram", "slot", "way"))
     keys = no_keys()
-    keys[rows["slot"].to_numpy(np.int64) + (rows["way"].to_numpy(np.int64) - 1) * SLOTS] = rows["gram"].to_numpy(np.int64).view(np.uint64)
+    keys[slot + (way - 1) * SLOTS] = gram.view(np.uint64)
     return keys
 
 
@@ -188,56 +192,79 @@ def log_ratios(raw: np.ndarray, target: np.ndarray, all_raw: int, all_target: in
 def rare_points(docs: DataFrame, target: DataFrame, keys: np.ndarray, rare: int, totals: tuple[int, int]) -> DataFrame:
     """``ref, points``: the summed log ratios of the n-grams outside ``keys``, of all rows of one ``ref`` together.
 
-    The n-grams are dealt by hash to parts of about ``PART_GRAMS``, packed: a part counts each of its n-grams over the
-    whole corpus and returns one sum per document.
+    A chunk of texts sends its n-grams, sorted by hash, to parts of about ``PART_GRAMS``: the steps between hashes and
+    the text's number in the chunk.  A part counts each of its n-grams over the whole corpus and sends one sum per text
+    back to the chunk, which adds them up.
     """
     shared = docs.sparkSession.sparkContext.broadcast(keys)
     parts = max(1, -(-rare // PART_GRAMS))
-
-    def packed(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
-        return pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * values.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))],
-        ).cast(pa.binary())
+    drop = np.uint64(max(0, 64 - PART_BITS - parts.bit_length()))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        refs, grams, texts, size, count = [], [], [], 0, 0
+
+        def sent() -> pa.RecordBatch:
+            # The lowest bit of a text's number says whether it is in the target.
+            hashes, numbers = np.concatenate(grams), np.concatenate(texts)
+            order = np.argsort(hashes)
+            hashes, numbers = hashes[order], numbers[order]
+            part = ((hashes >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+            steps = (hashes >> drop).view(np.int64)
+            head = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else part
+            rows = [
+                (int(part[a]), chunk, packed(np.diff(steps[a:b], prepend=0), numbers[a:b]), None) for a, b in zip(head.tolist(), np.r_[head[1:], len(part)].tolist())
+            ]
+            rows.append((chunk % parts, chunk, None, np.concatenate(refs).tobytes()))
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["part", "chunk", "grams", "refs"])
+
         for batch in batches:
             trusted = batch.column("in_target").is_valid().to_numpy(zero_copy_only=False)
-            refs = batch.column("ref").to_numpy()
+            own = batch.column("ref").to_numpy()
             for lo, hi, data, offsets in slices(batch.column("text")):
                 hashes, _, _, owner = word_hashes(data, offsets)
-                grams, owner = grams_of(hashes, owner)
-                other = places_of(grams, shared.value) < 0
-                grams, owner = grams[other], owner[other]
-                part = (((grams & np.uint64(0xFFFFFFFF)) * np.uint64(parts)) >> np.uint64(32)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
-                order = np.argsort(part, kind="stable")
-                grams, owner, part = grams[order], owner[order], part[order].astype(np.int64)
-                if not len(grams):
-                    continue
-                # A run is a stretch of one document in one part.
-                new = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1]))))
-                many = np.diff(np.concatenate((new, [len(grams)])))
-                head = np.flatnonzero(np.concatenate(([True], part[new][1:] != part[new][:-1])))
-                run_bounds = np.concatenate((head, [len(new)]))
-                gram_bounds = np.concatenate((new[head], [len(grams)]))
-                who = owner[new]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(part[new][head]), packed(run_bounds, refs[lo:hi][who]),
-                    packed(run_bounds, (2 * many + trusted[lo:hi][who]).astype(np.int64)), packed(gram_bounds, grams),
-                ], names=["part", "refs", "runs", "grams"])
+                found, owner = grams_of(hashes, owner)
+                other = places_of(found, shared.value) < 0
+                grams.append(found[other])
+                texts.append((count + owner[other]) * 2 + trusted[lo:hi][owner[other]])
+                refs.append(own[lo:hi])
+                size, count = size + len(grams[-1]), count + hi - lo
+                if size >= DEAL_GRAMS or count >= DEAL_TEXTS:
+                    yield sent()
+                    refs, grams, texts, size, count, chunk = [], [], [], 0, 0, chunk + 1
+        if count:
+            yield sent()
+
+    def count(table: pa.Table) -> pa.Table:
+        held = [(c, *unpacked(g, 2)) for c, g in zip(table.column("chunk").to_pylist(), table.column("grams").to_pylist()) if g is not None]
+        rows = [(c, None, r) for c, r in zip(table.column("chunk").to_pylist(), table.column("refs").to_pylist()) if r is not None]
+        if held:
+            _, which, raw = np.unique(np.concatenate([np.cumsum(steps) for _, steps, _ in held]), return_inverse=True, return_counts=True)
+            numbers = np.concatenate([n for _, _, n in held])
+            ratios = log_ratios(raw, np.bincount(which[numbers & 1 == 1], minlength=len(raw)), *totals)[which]
+            at = 0
+            for chunk, _, own in held:
+                order = np.argsort(own, kind="stable")
+                first = np.flatnonzero(np.r_[True, own[order][1:] != own[order][:-1]])
+                points = np.add.reduceat(ratios[at:at + len(own)][order], first)
+                rows.append((chunk, packed(np.diff(own[order][first] >> 1, prepend=0), points), None))
+                at += len(own)
+        types = (pa.int64(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["chunk", "points", "refs"])
 
     def add(table: pa.Table) -> pa.Table:
-        refs, runs, grams = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("refs", np.int64), ("runs", np.int64), ("grams", np.uint64)))
-        _, which, raw = np.unique(grams, return_inverse=True, return_counts=True)
-        good = np.bincount(which[np.repeat(runs & 1 == 1, runs >> 1)], minlength=len(raw))
-        sums = np.concatenate(([0], np.cumsum(log_ratios(raw, good, *totals)[which])))
-        ends = np.cumsum(runs >> 1)
-        ids, at = np.unique(refs, return_inverse=True)
-        points = np.zeros(len(ids), np.int64)
-        np.add.at(points, at, sums[ends] - sums[ends - (runs >> 1)])
-        return pa.table({"ref": ids, "points": points})
+        refs = np.frombuffer(next(r for r in table.column("refs").to_pylist() if r is not None), np.int64)
+        points = np.zeros(len(refs), np.int64)
+        for block in table.column("points").to_pylist():
+            if block is not None:
+                steps, more = unpacked(block, 2)
+                points[np.cumsum(steps)] += more
+        return pa.table({"ref": refs, "points": points})
 
-    dealt = marked(docs, target).mapInArrow(deal, "part long, refs binary, runs binary, grams binary")
-    return dealt.groupBy("part").applyInArrow(add, "ref long, points long").groupBy("ref").agg(F.sum("points").alias("points"))
+    dealt = marked(docs, target).mapInArrow(deal, "part long, chunk long, grams binary, refs binary")
+    back = dealt.groupBy("part").applyInArrow(count, "chunk long, points binary, refs binary")
+    return back.groupBy("chunk").applyInArrow(add, "ref long, points long").groupBy("ref").agg(F.sum("points").alias("points"))
 
 
 def threshold(scores: DataFrame, labelled: DataFrame) -> float:
@@ -264,8 +291,8 @@ def threshold(scores: DataFrame, labelled: DataFrame) -> float:
 def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     """Every document with its statistics and mean log ratio (null without words); ``doc_id`` and ``_h`` in front."""
     keys = frequent(docs)
-    rows = counted(docs, target, keys).toPandas()  # at most one row per place, whatever the corpus
-    place, raw, good = (rows[c].to_numpy(np.int64) for c in ("place", "raw", "target"))
+    rows = counted(docs, target, keys).toArrow()  # at most one row per place, whatever the corpus
+    place, raw, good = (rows.column(c).to_numpy() for c in ("place", "raw", "target"))
     totals = int(raw.sum()), int(good.sum())
     weights = np.zeros(len(keys) + 1, np.int64)  # the last one is for place -1
     weights[place[place >= 0]] = log_ratios(raw, good, *totals)[place >= 0]

@@ -34,9 +34,9 @@ def name_filter(names: DataFrame) -> np.ndarray:
     # Names are hashes already: their top bits are the place.
     at = F.shiftrightunsigned("name", 64 - (FILTER_BITS - 1).bit_length())
     placed = names.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("bit"))
-    rows = placed.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    rows = placed.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
     return out
 
 

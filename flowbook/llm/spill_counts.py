@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import computed_once
 from .alignment import aligner, default_paths
-from .flat import slices
+from .flat import packed, slices, unpacked
 
 RADIX = 16
 FAN_IN = 64
@@ -36,21 +36,6 @@ _ARROW = pa.schema([
 ])
 
 
-def packed(*columns: np.ndarray) -> bytes:
-    """Columns of one length as bytes: each number's lowest bytes first, then the next ones, compressed by zstd."""
-    import zstandard
-
-    planes = b"".join(np.ascontiguousarray(c, np.dtype("<u8")).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
-    return zstandard.ZstdCompressor(level=1).compress(planes)
-
-
-def unpacked(block: bytes, columns: int) -> list[np.ndarray]:
-    import zstandard
-
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8).reshape(columns, 8, -1)
-    return [np.ascontiguousarray(p.T).view("<i8").ravel() for p in planes]
-
-
 def in_blocks(keys: np.ndarray, counts: np.ndarray) -> list[bytes]:
     """Ascending keys, as steps within a block, with their counts."""
     return [packed(np.diff(keys[k:k + BLOCK], prepend=0), counts[k:k + BLOCK]) for k in range(0, len(keys), BLOCK)]
