@@ -105,7 +105,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str | None = None, end_id: int =
         had: dict[str | None, int] = {}
         for batch in batches:
             sources = batch.column("source").to_pylist()
-            for lo, hi, data, offsets in slices(batch.column("text"), 8 << 20):
+            for lo, hi, data, offsets in slices(batch.column("text"), 2 << 20):
                 found, ends = enc.encode(data, offsets, end_id)
                 found, at = found.astype("<u4"), []
                 for k in range(hi - lo):

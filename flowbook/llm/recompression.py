@@ -24,6 +24,8 @@ from .repeats import covered, keyed, name_filter, once_per_text, owners, passes,
 
 WINDOW = 50
 ROUNDS = 4
+# Marks hold several numbers for each window, so texts are taken in smaller slices than elsewhere.
+SLICE = 1 << 19
 _U = np.uint64
 
 
@@ -106,7 +108,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] =
 
     def name_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in slices(batch.column("text")):
+            for _, _, data, offsets in slices(batch.column("text"), SLICE):
                 hashes, _, _, text = word_hashes(data, offsets)
                 name, where, _ = marks_of(hashes, text, window)
                 yield pa.RecordBatch.from_arrays([pa.array(once_per_text(name, text[where]))], names=["name"])
@@ -117,7 +119,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] =
         bits = shared.value
         for batch in batches:
             docs_, ths = batch.column("doc").to_numpy(), batch.column("th").to_numpy()
-            for lo, hi, data, offsets in slices(batch.column("text")):
+            for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
                 hashes, _, _, text = word_hashes(data, offsets)
                 name, where, many = marks_of(hashes, text, window)
                 kept = passes(bits, name)
@@ -147,7 +149,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = batch.column("spans").to_pylist()
-            for lo, hi, data, offsets in slices(batch.column("text")):
+            for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
                 first, end, text = word_spans(data, offsets)
                 bounds = np.searchsorted(text, np.arange(hi - lo + 1))
                 raw = data.tobytes()
