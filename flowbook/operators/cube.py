@@ -2,7 +2,7 @@
 
 ``CubeSpec`` is an immutable specification.  Every method returns a changed copy, so two
 queries that differ in one criterion share the rest, and ``run`` compiles it to one star
-join and one aggregate.
+join and one aggregate.  ``run_levels`` does so for several specifications at once.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,35 +83,6 @@ class CubeSpec:
         found = self.dims[name].table.select(column).distinct()
         return found if like is None else found.filter(F.upper(column).like(like.upper()))
 
-    def joined(self) -> DataFrame:
-        """The filtered star join, before aggregation."""
-        rows = self.fact
-        if self.month_filter is not None:
-            rows = rows.filter(F.col(self.month_col).isin(*self.month_filter))
-        if self.window is not None:
-            rows = rows.filter(F.col(self.month_col).between(day(self.window[0]), day(self.window[1])))
-        if self.grain in self.filters:
-            level, values = self.filters[self.grain]
-            rows = rows.filter(F.col(level).isin(*values))
-        shown = {f"{self.grain}_{c}": F.col(c) for c in self.shown.get(self.grain, ())}
-        rows = rows.withColumns(shown)
-        for name, dim in self.dims.items():
-            columns = self.shown.get(name, ())
-            restricted = name in self.filters
-            if not columns and not restricted:
-                continue
-            table = dim.table
-            if restricted:
-                level, values = self.filters[name]
-                table = table.filter(F.col(level).isin(*values))
-            side = table.select(F.col(dim.key).alias("__key"), *[F.col(c).alias(f"{name}_{c}") for c in columns])
-            how = ("inner" if columns else "left_semi") if restricted else "left"
-            if columns:
-                # A repeated member would multiply the value, so it fails.
-                side = unique_dimension(side, ["__key"])
-            rows = rows.join(side, rows[dim.fact_key] == side["__key"], how).drop("__key")
-        return rows.withColumns({f"indicateur_{n}": r.column() for n, r in self.indicators.items()})
-
     @property
     def output_keys(self) -> list[str]:
         keys = [f"{self.grain}_{c}" for c in self.shown.get(self.grain, ())]
@@ -119,5 +91,101 @@ class CubeSpec:
 
     def run(self, having: Column | None = None) -> DataFrame:
         """Sum of the value per shown column, as ``Value``; ``having`` filters shown columns."""
-        result = self.joined().groupBy(*self.output_keys).agg(F.sum(self.value).alias("Value"))
+        result = run_levels({"": self}).drop("level")
         return result if having is None else result.filter(having)
+
+    def _on_fact(self) -> tuple:
+        """The criteria that the fact itself answers, comparable between specifications."""
+        return self.month_filter, self.window, self.filters.get(self.grain)
+
+    def _fact_condition(self) -> Column:
+        kept = F.lit(True)
+        if self.month_filter is not None:
+            kept = kept & F.col(self.month_col).isin(*self.month_filter)
+        if self.window is not None:
+            kept = kept & F.col(self.month_col).between(day(self.window[0]), day(self.window[1]))
+        if self.grain in self.filters:
+            level, values = self.filters[self.grain]
+            kept = kept & F.col(level).isin(*values)
+        return kept
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+
+
+def run_levels(levels: Mapping[str, CubeSpec], name: str = "level") -> DataFrame:
+    """Several specifications of one cube from one scan, one star join and one aggregate.
+
+    ``levels`` names them; the result has the name in the column ``name``, the shown columns of all of them (null where a
+    level does not show one) and ``Value``.  A filter that every level has cuts the fact or the dimension before the join;
+    one that only some have becomes a flag beside the dimension's columns.  A joined row is repeated once for each level
+    it belongs to, with the other levels' columns null, so the aggregate works like grouping sets with a filter for each set.
+    """
+    specs = list(levels.values())
+    base = specs[0]
+    if any(s.fact is not base.fact or s.dims != base.dims or (s.value, s.month_col, s.grain) != (base.value, base.month_col, base.grain) for s in specs):
+        raise ValueError("levels of one run share the fact, the dimensions, the value and the month column")
+    member: list[list[Column]] = [[] for _ in specs]
+    rows = base.fact
+
+    wanted = {s._on_fact(): s._fact_condition() for s in specs}
+    rows = rows.filter(_any(list(wanted.values())))
+    if len(wanted) > 1:
+        flags = {criteria: f"__fact{n}" for n, criteria in enumerate(wanted)}
+        rows = rows.withColumns({flags[criteria]: F.coalesce(condition, F.lit(False)) for criteria, condition in wanted.items()})
+        for own, spec in zip(member, specs):
+            own.append(F.col(flags[spec._on_fact()]))
+
+    grain = dict.fromkeys(c for s in specs for c in s.shown.get(base.grain, ()))
+    rows = rows.withColumns({f"{base.grain}_{c}": F.col(c) for c in grain})
+    for dim_name, dim in base.dims.items():
+        columns = dict.fromkeys(c for s in specs for c in s.shown.get(dim_name, ()))
+        tests = dict.fromkeys(s.filters[dim_name] for s in specs if dim_name in s.filters)
+        if not columns and not tests:
+            continue
+        every = all(dim_name in s.filters for s in specs)
+        kept = {test: F.col(test[0]).isin(*test[1]) for test in tests}
+        table = dim.table.filter(_any(list(kept.values()))) if every else dim.table
+        flags = {} if every and len(tests) == 1 else {test: f"__{dim_name}{n}" for n, test in enumerate(tests)}
+        side = table.select(
+            F.col(dim.key).alias("__key"), *[F.col(c).alias(f"{dim_name}_{c}") for c in columns],
+            *[F.coalesce(kept[test], F.lit(False)).alias(flag) for test, flag in flags.items()],
+        )
+        if columns or flags:
+            # A repeated member would multiply the value, so it fails.
+            side = unique_dimension(side, ["__key"])
+        how = ("inner" if columns or flags else "left_semi") if every else "left"
+        rows = rows.join(side, rows[dim.fact_key] == side["__key"], how).drop("__key")
+        for own, spec in zip(member, specs):
+            if dim_name in spec.filters and flags:
+                own.append(F.coalesce(F.col(flags[spec.filters[dim_name]]), F.lit(False)))
+
+    if len(specs) > 1:
+        numbers = F.array(*[F.when(_all(own), F.lit(n)) for n, own in enumerate(member)])
+        rows = rows.withColumn("__level", F.explode(F.array_compact(numbers)))
+    else:
+        rows = rows.withColumn("__level", F.lit(0))
+
+    def of_level(showing: Sequence[int], column: Column) -> Column:
+        return column if len(showing) == len(specs) else F.when(F.col("__level").isin(*showing), column)
+
+    keys: dict[str, Column] = {}
+    for key in dict.fromkeys(k for s in specs for k in s.output_keys):
+        showing = [n for n, s in enumerate(specs) if key in s.output_keys]
+        if key.startswith("indicateur_") and key.removeprefix("indicateur_") in specs[showing[0]].indicators:
+            rules = {n: specs[n].indicators[key.removeprefix("indicateur_")] for n in showing}
+            same = all(r is rules[showing[0]] for r in rules.values())
+            column = rules[showing[0]].column() if same else F.coalesce(*[F.when(F.col("__level") == n, r.column()) for n, r in rules.items()])
+        else:
+            column = F.col(key)
+        keys[key] = of_level(showing, column)
+    shown = rows.select("__level", *[c.alias(k) for k, c in keys.items()], F.col(base.value).alias("__value"))
+    by = [k for k in keys] if len(specs) == 1 else ["__level", *keys]
+    summed = shown.groupBy(*by).agg(F.sum("__value").alias("Value"))
+    number = F.lit(0) if len(specs) == 1 else F.col("__level")
+    return summed.select(F.element_at(F.array(*[F.lit(n) for n in levels]), number + 1).alias(name), *keys, "Value")

@@ -10,20 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_DEAL = "__deal"
+
 
 def unique_dimension(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The dimension with one row per key; a run-time error if a key has two different rows.
 
     A lookup on a repeated key would multiply facts, so the check is part of the plan.
-    Repeats of the same row count as that row.
+    Repeats of the same row count as that row; rows with a null key never match and go.
+
+    Rows are dealt by key once.  Grouping them by all columns and counting rows per key are
+    hash aggregates on that partitioning, and so is the join behind it; nothing is sorted here.
+    The count is a scalar subquery that shares the exchange.
     """
-    others = [c for c in dim.columns if c not in keys]
-    row = F.struct(*others) if others else F.struct(F.lit(1))
-    ends = dim.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(row).alias("__row"), F.max(row).alias("__other"))
+    dealt = dim.dropna(subset=list(keys)).repartition(*keys)
+    rows = dealt.distinct()
     message = F.concat(F.lit(f"repeated key {list(keys)}: "), F.to_json(F.struct(*keys)))
-    # A filter leaves the keys untouched, so the join can use the aggregate's partitioning.
-    checked = F.when(~F.col("__row").eqNullSafe(F.col("__other")), F.raise_error(message).cast("boolean")).otherwise(True)
-    return ends.filter(checked).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*dim.columns)
+    once = F.when(F.col("__rows") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    checked = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(once).agg(F.count(F.lit(1)).alias("__keys"))
+    return rows.filter(checked.scalar() >= 0)
 
 
 def lookup(
@@ -34,16 +39,28 @@ def lookup(
     fill: Mapping[str, object] | None = None,
     *,
     unique: bool = False,
+    spread_nulls: bool = False,
 ) -> DataFrame:
     """Left join to a dimension with one row per key.
 
     ``unique`` says the dimension was already reduced to one row per key; otherwise the
     plan checks it.  No broadcast is forced: Spark broadcasts a side whose measured size
     is below the threshold and shuffles it otherwise.
+
+    Rows with a null key match nothing, yet a shuffled join sends them all to one partition.
+    ``spread_nulls`` gives both sides a hash of the key as a further join column, and rows without a
+    key a hash of their other columns, so they are dealt like any other rows.
     """
     wanted = list(cols) if cols is not None else [c for c in dim.columns if c not in keys]
     side = dim.select(*keys, *wanted)
-    joined = df.join(side if unique else unique_dimension(side, keys), list(keys), "left")
+    on = list(keys)
+    if spread_nulls:
+        own = [c for c in df.columns if c not in keys] or on
+        missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        df = df.withColumn(_DEAL, F.when(missing, F.xxhash64(*own)).otherwise(F.xxhash64(*keys)))
+        side = side.dropna(subset=on).withColumn(_DEAL, F.xxhash64(*keys))
+        on = [*on, _DEAL]
+    joined = df.join(side if unique else unique_dimension(side, on), on, "left").drop(_DEAL)
     if fill:
         joined = joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
     return joined
@@ -58,11 +75,12 @@ class Lookup:
     cols: Sequence[str] | None = None
     fill: Mapping[str, object] = field(default_factory=dict)
     unique: bool = False
+    spread_nulls: bool = False
 
 
 def lookup_chain(df: DataFrame, steps: Sequence[Lookup]) -> DataFrame:
     """Successive lookups on different keys; a later key may come from an earlier step."""
-    return reduce(lambda d, s: lookup(d, s.dim, s.keys, s.cols, s.fill, unique=s.unique), steps, df)
+    return reduce(lambda d, s: lookup(d, s.dim, s.keys, s.cols, s.fill, unique=s.unique, spread_nulls=s.spread_nulls), steps, df)
 
 
 def inline_lookup(spark, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import week_of_quarter, week_of_quarter_iso
-from ..operators.cube import CubeSpec
+from ..operators.cube import CubeSpec, run_levels
 from ..operators.flows import period_columns
-from ..operators.joins import stack_missing
 from ..operators.rules import RuleSet, relabel
 from . import rulebook as rb
 
@@ -58,20 +57,18 @@ def surrender_study(cube: CubeSpec, months: Sequence, names: rb.Names = rb.DEFAU
     keys = ["maille_fine_DATE_COMPTABLE", "maille_fine_DATE_EFFET", "maille_fine_func_month", "source_L2_OBJ_COD"]
     savings = F.col("produits_L5_SUPPORT_LBR") == SAVINGS_SUPPORT
 
-    def total(spec: CubeSpec, *more: str) -> DataFrame:
-        rows = spec.run(having=savings).withColumn("RESEAU", rb.cube_network(names).column())
-        return rows.groupBy(*keys, *more).agg(F.sum("Value").alias("MONTANT"))
-
-    amounts = total(
-        common.show("indicateurs", "L5_LBR_DESC", "L8_LBR_DESC").where("indicateurs", "L5_LBR_DESC", SURRENDER_AMOUNTS),
-        "indicateurs_L5_LBR_DESC", "indicateurs_L8_LBR_DESC", "RESEAU",
-    )
-    counts = total(
-        common.show("indicateurs", "L6_LBR_DESC", "L8_LBR_DESC").where("indicateurs", "L6_LBR_DESC", SURRENDER_COUNTS),
-        "indicateurs_L6_LBR_DESC", "indicateurs_L8_LBR_DESC",
-    )
+    levels = {
+        "amounts": common.show("indicateurs", "L5_LBR_DESC", "L8_LBR_DESC").where("indicateurs", "L5_LBR_DESC", SURRENDER_AMOUNTS),
+        "counts": common.show("indicateurs", "L6_LBR_DESC", "L8_LBR_DESC").where("indicateurs", "L6_LBR_DESC", SURRENDER_COUNTS),
+    }
+    rows = run_levels(levels).filter(savings)
+    # Counts are not told apart by network.
+    network = F.when(F.col("level") == "amounts", rb.cube_network(names).column())
+    studied = rows.withColumn("RESEAU", network).groupBy(
+        "level", *keys, "indicateurs_L5_LBR_DESC", "indicateurs_L6_LBR_DESC", "indicateurs_L8_LBR_DESC", "RESEAU",
+    ).agg(F.sum("Value").alias("MONTANT")).drop("level")
     date = F.col("maille_fine_DATE_EFFET")
-    return stack_missing([amounts, counts]).withColumns({
+    return studied.withColumns({
         "mois": F.month(date),
         "annee": F.year(date),
         "trimestre": F.quarter(date),
@@ -102,11 +99,12 @@ def budget_rows(cube: CubeSpec, months: Sequence, ape: RuleSet, names: rb.Names
         .show("pyramide", "port_cod", "Portefeuille", "PP_1_Delegation", "PP_2_Circonsription")
         .show("indicateurs", "L2_LBR_DESC", "L4_LBR_DESC", "L6_LBR_DESC", "L7_LBR_DESC", "L9_LBR_DESC")
         .where("indicateurs", "L7_LBR_DESC", BUDGET_INDICATORS)
-        .run()
     )
-    derived = shared.show("pyramide", "port_cod", "Portefeuille", "PP_1_Delegation").indicator("APE", ape).run()
-    derived = derived.withColumn("indicateurs_L7_LBR_DESC", rb.APE_ROLL_UP.column()).drop("indicateur_APE")
-    dated = stack_missing([standard, derived]).withColumn("maille_fine_func_month", F.col("maille_fine_func_month").cast("date"))
+    derived = shared.show("pyramide", "port_cod", "Portefeuille", "PP_1_Delegation").indicator("APE", ape)
+    both = run_levels({"standard": standard, "derived": derived})
+    family = F.when(F.col("level") == "derived", rb.APE_ROLL_UP.column()).otherwise(F.col("indicateurs_L7_LBR_DESC"))
+    stacked = both.withColumn("indicateurs_L7_LBR_DESC", family).drop("level", "indicateur_APE")
+    dated = stacked.withColumn("maille_fine_func_month", F.col("maille_fine_func_month").cast("date"))
     labelled = relabel(
         dated.withColumns({"MOIS": F.month("maille_fine_func_month"), "ANNEE": F.year("maille_fine_func_month")}), [
             ("RESEAU", rb.cube_network(names)),

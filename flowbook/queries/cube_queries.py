@@ -7,8 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.codes import pad_code
-from ..operators.cube import CubeSpec, Dimension
-from ..operators.joins import stack_missing
+from ..operators.cube import CubeSpec, Dimension, run_levels
 from ..operators.rules import FromColumn, RuleSet
 from ..plans.cube_studies import budget_study, contract_lookup, surrender_study
 from .registry import query, shown, table
@@ -51,7 +50,8 @@ def cube(spark, sf_dir) -> CubeSpec:
         F.col("l_extendedprice").cast(MONEY).alias("value"),
     )
     parts, suppliers = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
-    source = lines.select("l_returnflag").distinct().select(
+    # The small dimensions' members are fixed by the tables' definition, so the fact is not scanned for them.
+    source = spark.createDataFrame([("A",), ("N",), ("R",)], "l_returnflag string").select(
         "l_returnflag",
         F.col("l_returnflag").alias("L2_OBJ_COD"),
         RuleSet([("l_returnflag = 'A'", "Saisie manuelle HOUSELUX")], FromColumn("concat('Source ', l_returnflag)")).column().alias("L2_OBJ_LBR"),
@@ -67,7 +67,7 @@ def cube(spark, sf_dir) -> CubeSpec:
         RuleSet([("s_nationkey % 3 = 0", "HOUSE Partenaires")], "Autres").column().alias("Region_Com_Niv_2_Detail_Cube"),
     )
     market = parts.select("p_partkey", RuleSet([("p_size <= 45", "Total Marché HOUSE France")], "Hors marché").column().alias("L4_OBJ_LBR"))
-    entity = lines.select("l_linestatus").distinct().select(
+    entity = spark.createDataFrame([("F",), ("O",)], "l_linestatus string").select(
         "l_linestatus", F.lit("Total UJ HOUSE France").alias("L6_UJ_PRISM_LBR"),
         RuleSet([("l_linestatus = 'O'", "HOUSE France VIE SA")], "Autres SA").column().alias("L3_UJ_PRISM_LBR"),
     )
@@ -81,7 +81,7 @@ def cube(spark, sf_dir) -> CubeSpec:
         F.col("p_type").alias("L5_PRISM_LBR"),
         RuleSet([("p_type = 'LARGE'", "Retraite aidée sous objectif")], "-").column().alias("L4_PILOTECO_AGA_LBR"),
     )
-    indicators = lines.select("l_linenumber").distinct().select(
+    indicators = spark.range(1, 8).select(F.col("id").cast(lines.schema["l_linenumber"].dataType).alias("l_linenumber")).select(
         "l_linenumber",
         F.concat(F.lit("I"), "l_linenumber").alias("L2_LBR_DESC"),
         pick(DETAILS, "l_linenumber").alias("L4_LBR_DESC"),
@@ -161,9 +161,10 @@ UNION ALL SELECT NULL, l6, l_returnflag, CAST(SUM(v) AS DOUBLE) FROM cube WHERE
 def cube_two_levels(spark, sf_dir):
     """One specification executed at two levels of a dimension, stacked."""
     common = cube(spark, sf_dir).show("source", "L2_OBJ_COD")
-    amounts = common.show("indicateurs", "L5_LBR_DESC").where("indicateurs", "L5_LBR_DESC", ["Rachat total", "Rachat partiel", "Rachat programmé"])
-    counts = common.show("indicateurs", "L6_LBR_DESC").where("indicateurs", "L6_LBR_DESC", ["Nombre de rachats totaux", "Nombre de rachats partiels"])
-    return shown(stack_missing([amounts.run(), counts.run()]))
+    return shown(run_levels({
+        "amounts": common.show("indicateurs", "L5_LBR_DESC").where("indicateurs", "L5_LBR_DESC", ["Rachat total", "Rachat partiel", "Rachat programmé"]),
+        "counts": common.show("indicateurs", "L6_LBR_DESC").where("indicateurs", "L6_LBR_DESC", ["Nombre de rachats totaux", "Nombre de rachats partiels"]),
+    }).drop("level"))
 
 
 @query("cube_members", "SELECT DISTINCT p_brand AS \"L2_PRODUIT_LBR\" FROM part WHERE upper(p_brand) LIKE '%#1%'")

@@ -37,6 +37,19 @@ def lookup_chain_query(spark, sf_dir):
     return shown(described.groupBy("n_name", "r_name", "brand").agg(F.count(F.lit(1)).alias("movements"), F.sum("v").alias("amount")))
 
 
+@query("lookup_null_keys", """
+SELECT l_returnflag, COALESCE(p_brand, 'none') AS brand, COUNT(*) AS movements, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
+FROM lineitem LEFT JOIN part ON p_partkey = CASE WHEN l_orderkey % 10 = 0 THEN l_partkey END GROUP BY ALL
+""")
+def lookup_null_keys(spark, sf_dir):
+    """A lookup in which nine of ten rows have no key; they are dealt by their other columns."""
+    facts = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 10 == 0, F.col("l_partkey")).alias("p_partkey"), "l_returnflag", "l_orderkey", F.col("l_extendedprice").cast(MONEY).alias("v"))
+    brands = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand"))
+    found = lookup_chain(facts, [Lookup(brands, ["p_partkey"], fill={"brand": "none"}, spread_nulls=True)])
+    return shown(found.groupBy("l_returnflag", "brand").agg(F.count(F.lit(1)).alias("movements"), F.sum("v").alias("amount")))
+
+
 @query("composite_lookup", """
 WITH s AS (SELECT DISTINCT s_nationkey || '-' || s_suppkey % 10 AS k, CAST('seg' || s_nationkey AS VARCHAR) AS segment FROM supplier)
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, COALESCE(segment, 'Inconnu') AS segment

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flowbook.functions.calendar import Period
 from flowbook.operators import backfill as bf
 from flowbook.operators import checks, dedupe, flows, joins, positions
-from flowbook.operators.cube import CubeSpec, Dimension
+from flowbook.operators.cube import CubeSpec, Dimension, run_levels
 from flowbook.operators.rules import RuleSet
 
 D = dt.date
@@ -104,6 +104,23 @@ def test_repeated_dimension_key_fails(rows):
     assert same_row.agg(F.sum("v")).first()[0] == 60
 
 
+def test_rows_without_a_key_are_spread(spark, rows, values):
+    facts = spark.range(4000).select((F.when(F.col("id") % 10 == 0, F.col("id") % 7)).alias("k"), "id")
+    dim = rows("k bigint, n string", *[(k, f"n{k}") for k in range(7)], (None, "none"))
+    plain, spread = (joins.lookup(facts, dim, ["k"], spread_nulls=s) for s in (False, True))
+    assert values(plain) == values(spread) and spread.columns == ["k", "id", "n"]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        most = [max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("part")).count().collect()) for df in (plain, spread)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert most[0] >= 3600 and most[1] < 1200
+
+
 def test_stack_checks_names_and_types(rows):
     a, b = rows("x int, y string", (1, "a")), rows("y string, x int", ("b", 2))
     assert [tuple(r) for r in joins.stack([a, b], ["x", "y"]).collect()] == [(1, "a"), (2, "b")]
@@ -156,6 +173,28 @@ def test_cube_specification_is_immutable_and_strict(rows):
     assert spec.reset().filters == {} and spec.reset().shown == {}
 
 
+def test_cube_levels_come_from_one_aggregate(rows, values):
+    spec = cube(rows)
+    levels = {
+        "all": spec.show("p", "L1"),
+        "x": spec.show("p", "L2").where("s", "N", ["x"]).where("p", "L1", ["a", "b"]),
+        "feb": spec.show("maille_fine", "pk").months([D(2024, 2, 1)]).indicator("BIG", RuleSet([("v > 30", "big")], "small")),
+    }
+    out = {tuple(r) for r in run_levels(levels).select("level", "maille_fine_pk", "p_L1", "p_L2", "indicateur_BIG", "Value").collect()}
+    assert out == {
+        ("all", None, "a", None, None, 30), ("all", None, "b", None, None, 40), ("all", None, None, None, None, 80), ("x", None, None, "all", None, 50),
+        ("feb", 1, None, None, "small", 20), ("feb", 2, None, None, "big", 40),
+    }
+    for name, one in levels.items():
+        own = one.run()
+        assert values(own) == sorted((tuple(r[c] for c in own.columns) for r in run_levels(levels).filter(F.col("level") == name).collect()), key=repr)
+    shared = {"a": spec.where("s", "N", ["x"]).show("p", "L1"), "b": spec.where("s", "N", ["x"]).show("s", "N")}
+    assert {(r["level"], r["p_L1"], r["s_N"], r["Value"]) for r in run_levels(shared).collect()} == {
+        ("a", "a", None, 10), ("a", "b", None, 40), ("a", None, None, 80), ("b", None, "x", 130)}
+    with pytest.raises(ValueError, match="share the fact"):
+        run_levels({"a": spec, "b": cube(rows)})
+
+
 def test_backfill_equals_one_run_per_month(spark, values):
     import random
 

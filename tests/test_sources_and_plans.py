@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -194,3 +195,23 @@ def test_campaign_keeps_contracts_that_hold_without_moving(rows, values):
     found = campaign_history(tables, network, {"F": "Fund F", "G": "Fund G"}, Period(2024, 1), Period(2024, 1))
     assert values(found.select("annee", "mois", "reseau", "fonds_campagne", F.col("Collecte_Brute").cast("double"))) == [
         (2024, 1, "1 : AGA", "Fund F", 7.0), (2024, 1, "3 : Salarié", "Fund F", 0.0), (2024, 1, "Autre", "Fund G", 0.0)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["surrender_study", "cube_budget", "cube_two_levels"])
+def test_cube_levels_scan_the_fact_once_and_sort_nothing(spark, name):
+    from flowbook.queries import QUERIES
+
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert len(re.findall(r"FileScan parquet \[[^\]]*l_extendedprice", plan)) == 1 and plan.count("lineitem.parquet") == 1
+    assert "SortAggregate" not in plan
+
+
+def test_lookups_check_keys_without_sorting(spark):
+    from flowbook.queries import QUERIES
+
+    for name in ("lookup_chain", "lookup_null_keys", "composite_lookup"):
+        assert "SortAggregate" not in plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
