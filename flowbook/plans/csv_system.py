@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import pad_code, parse_number, parsed_date, truncated
 from ..operators.flows import scaled, sign_normalised, switch_nature
 from ..operators.joins import lookup
+from ..sources.files import RowRules
 from . import rulebook as rb
 
 AMOUNTS = ("MONTANT_BRUT", "MONTANT_NET", "PM_FIN")
 INTERNATIONAL_RANGE = (9990000, 9999999)
 
 
+def row_rules(columns: Sequence[str]) -> RowRules:
+    """What a monthly file's lines must hold, for the columns its kind has."""
+    return RowRules(
+        amounts=[c for c in AMOUNTS if c in columns],
+        dates={c: "dd/MM/yyyy" for c in ("DATE_EFFET_FLUX", "DATE_EFFET_CONTRAT") if c in columns},
+        required=[c for c in ("NUMERO_CONTRAT", "SITUATION_CONTRAT") if c in columns],
+        domains={c: values for c, values in (("TYPE_SUPPORT", ("EURO", "UC")),) if c in columns},
+    )
+
+
 def clean(df: DataFrame, names: rb.Names = rb.DEFAULT_NAMES) -> DataFrame:
     """Shared cleaning: sentinel rows and repeated rows out, codes padded, network named, amounts read.
 

@@ -7,10 +7,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Period
+from ..functions.codes import parse_number
 from ..operators.backfill import carried_forward, year_to_date
+from ..operators.checks import Controls, written_with_controls
 from ..plans import csv_system
 from ..plans.campaign import campaign_history, ledger_by_month
-from ..sources.files import chosen_files, file_names, read_monthly_files
+from ..session import working_folder
+from ..sources.files import chosen_files, file_names, read_csv_lines, read_monthly_files, reject_counts, split_lines
 from ..sources.tables import declared, read_day, read_month, write_month, write_partitions
 from . import standins as st
 from . import system_sql as sq
@@ -191,6 +194,52 @@ def chosen_files_query(spark, sf_dir):
     return shown(chosen_files(file_names(spark, monthly_files(spark, sf_dir)), TODAY).drop("path"))
 
 
+@query("read_files", """
+WITH m AS (SELECT DISTINCT year(l_shipdate) AS y, month(l_shipdate) AS m FROM lineitem WHERE (month(l_shipdate) = 12 AND year(l_shipdate) < 2000)
+  OR (year(l_shipdate) = 2000 AND month(l_shipdate) = (SELECT MAX(month(l_shipdate)) FROM lineitem WHERE year(l_shipdate) = 2000)))
+SELECT kind || '_' || m || '_' || y || '.csv' AS file_name FROM m, (VALUES ('PM'), ('FLUX')) k(kind)
+""")
+def read_files(spark, sf_dir):
+    """Which monthly files were read, observed while their cleaned rows are written."""
+    rows = chosen_rows(spark, sf_dir)
+    _, (_, seen), _ = written_with_controls(rows, csv_system.clean, working_folder(spark, "cleaned-files"), Controls(file_column="periode"))
+    return spark.createDataFrame([(name,) for name in seen.get["files"]], "file_name string")
+
+
+_LINE_COLUMNS = ("NUMERO_CONTRAT", "SITUATION_CONTRAT", "TYPE_SUPPORT", "MONTANT_BRUT", "DATE_EFFET_FLUX", "NOM_PRODUIT")
+
+
+@query("rejected_rows", """
+WITH l AS (SELECT CAST(l_extendedprice AS DECIMAL(18,2)) AS v, l_partkey % 17 = 0 AS blank, CASE WHEN l_suppkey % 11 = 0 OR l_suppkey % 13 = 0 THEN ['field_count'] ELSE list_filter([
+    CASE WHEN l_orderkey % 10 = 0 THEN 'missing:NUMERO_CONTRAT' END, CASE WHEN l_partkey % 7 = 0 AND l_partkey % 17 <> 0 THEN 'unreadable:MONTANT_BRUT' END,
+    CASE WHEN l_partkey % 9 = 0 THEN 'unreadable:DATE_EFFET_FLUX' END, CASE WHEN l_partkey % 5 = 0 AND l_returnflag = 'R' THEN 'outside:TYPE_SUPPORT' END], lambda x: x IS NOT NULL) END AS reasons
+  FROM lineitem)
+SELECT reason, COUNT(*) AS rows, NULL::DOUBLE AS amount FROM (SELECT unnest(reasons) AS reason FROM l) GROUP BY 1
+UNION ALL SELECT 'good', COUNT(*), CAST(SUM(CASE WHEN NOT blank THEN v END) AS DOUBLE) FROM l WHERE len(reasons) = 0
+UNION ALL SELECT 'rejected', COUNT(*), NULL FROM l WHERE len(reasons) > 0
+""")
+def rejected_rows(spark, sf_dir):
+    """Lines with a wrong number of fields, unreadable amounts and dates, missing contracts and unknown supports, from one scan."""
+    def when(condition, value, text):
+        return F.when(F.expr(condition), F.lit(value)).otherwise(text)
+
+    def write(folder):
+        fields = [
+            when("l_orderkey % 10 = 0", "", F.concat(F.lit("C"), "l_orderkey")), F.lit("En cours"),
+            when("l_partkey % 5 = 0 AND l_returnflag = 'R'", "ACTIONS", F.lit("UC")),
+            when("l_partkey % 17 = 0", "", when("l_partkey % 7 = 0", "12,3x", _written(F.col("l_extendedprice").cast(MONEY)))),
+            when("l_partkey % 9 = 0", "31/02/1998", F.date_format("l_shipdate", "dd/MM/yyyy")),
+        ]
+        last = F.when(F.expr("l_suppkey % 11 = 0"), F.lit("P;one too many")).when(F.expr("l_suppkey % 13 = 0"), F.lit(None)).otherwise(F.lit("P"))
+        table(spark, sf_dir, "lineitem").select(F.concat_ws(";", *fields, last).alias("value")).write.mode("overwrite").text(folder)
+
+    lines = read_csv_lines(spark, intermediate(spark, sf_dir, "lines", write), declared({c: "string" for c in _LINE_COLUMNS}), header=False)
+    good, rejected = split_lines(lines, csv_system.row_rules(_LINE_COLUMNS), working_folder(spark, "split-lines"))
+    amount = F.sum(parse_number("MONTANT_BRUT")).alias("amount")
+    counted = reject_counts(rejected).unionByName(good.agg(F.lit("good").alias("reason"), F.count("*").alias("rows"), amount), allowMissingColumns=True)
+    return shown(counted.unionByName(rejected.agg(F.lit("rejected").alias("reason"), F.count("*").alias("rows")), allowMissingColumns=True))
+
+
 @query("csv_report", f"""
 WITH {_FILES}, {sq.NETWORK_ROWS},
 r AS (SELECT year(d2) AS y, CASE WHEN nature = 'Encours' AND year(d2) < 2000 THEN 12 WHEN nature <> 'Encours' THEN month(COALESCE(moved, d2)) ELSE 9 END AS m,

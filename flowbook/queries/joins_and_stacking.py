@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.codes import composite_key, pad_code
-from ..operators.checks import control_totals, domain_check, unclassified
+from ..operators.checks import Controls, observed_totals, unclassified, written_with_controls
 from ..operators.joins import Lookup, header_driven, inline_lookup, lookup, lookup_chain, stack, stack_missing
 from ..operators.rules import RuleSet
 from ..plans import rulebook as rb
+from ..session import working_folder
 from .registry import query, shown, table
 
 MONEY = "decimal(18,2)"
@@ -158,17 +159,23 @@ SELECT y, CAST(SUM(v) AS DOUBLE) AS total_before, CAST(COALESCE(SUM(v) FILTER (l
 FROM b GROUP BY y
 """)
 def control_totals_query(spark, sf_dir):
-    """Totals by year before and after a cleaning step, in one frame."""
+    """Totals by year before and after a cleaning step, observed while the cleaned rows are written."""
     rows = table(spark, sf_dir, "lineitem").select(F.date_format("l_shipdate", "yyyy").alias("y"), "l_returnflag", F.col("l_extendedprice").alias("v"))
-    return shown(control_totals(rows, rows.filter("l_returnflag <> 'R'"), ["y"], "v"))
+    years = Controls(measure="v", key="y", members=[str(y) for y in range(1990, 2010)])
+    _, before, after = written_with_controls(rows, lambda df: df.filter("l_returnflag <> 'R'"), working_folder(spark, "cleaned"), years)
+    return shown(observed_totals(spark, "y", before, after))
 
 
 @query("domain_check", """
 SELECT c_mktsegment, COUNT(*) AS rows FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') GROUP BY c_mktsegment
 """)
 def domain_check_query(spark, sf_dir):
-    """Values outside the allowed list."""
-    return domain_check(table(spark, sf_dir, "customer"), "c_mktsegment", ["BUILDING", "MACHINERY", "HOUSEHOLD"])
+    """Values outside the allowed list, observed while the table is written."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    controls = Controls(domains={"c_mktsegment": ["BUILDING", "MACHINERY", "HOUSEHOLD"]})
+    _, (known, seen), _ = written_with_controls(customers, lambda df: df, working_folder(spark, "checked"), controls)
+    found = [(value, rows) for _, value, rows in known.violations(seen)]
+    return spark.createDataFrame(found, "c_mktsegment string, rows long")
 
 
 @query("unclassified", """

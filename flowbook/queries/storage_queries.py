@@ -46,14 +46,14 @@ SELECT CAST(strftime(date_trunc('month', o_orderdate), '%Y%m') AS VARCHAR) AS mo
 WHERE date_trunc('month', o_orderdate) IN (DATE '1997-01-01', DATE '1997-03-01') GROUP BY 1
 """)
 def removed_month(spark, sf_dir):
-    """Three months stored, the second removed."""
-    root, target = working_folder(spark, "months"), working_folder(spark, "months-kept")
+    """Three months stored, the second removed in place."""
+    root = working_folder(spark, "months")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
     for month in (1, 2, 3):
         period = Period(1997, month)
         write_month(orders.filter(F.trunc("day", "month") == F.make_date(F.lit(1997), F.lit(month), F.lit(1))), root, period)
-    drop_month(spark, root, Period(1997, 2), target)
-    kept = spark.read.parquet(target)
+    drop_month(spark, root, Period(1997, 2))
+    kept = spark.read.parquet(root)
     return shown(kept.groupBy(F.regexp_replace(F.col("func_month").cast("string"), "-", "").alias("month")).agg(F.count("*").alias("orders")))
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import Period
+from ..functions.codes import parse_number, parsed_date
 
 # Fixed pattern of a monthly file name: kind, month, year.  The name may be a file, or a folder
 # of part files as Spark writes them.
@@ -28,6 +30,70 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     )
 
 
+CORRUPT, REASONS = "_corrupt_line", "_reasons"
+
+
+@dataclass(frozen=True)
+class RowRules:
+    """What a line must hold: readable amounts and dates, filled columns, values of a list.
+
+    An empty or null amount or date is missing, not unreadable; name it in ``required`` if it must be there.
+    """
+
+    amounts: Sequence[str] = ()
+    dates: Mapping[str, str] = field(default_factory=dict)
+    required: Sequence[str] = ()
+    domains: Mapping[str, Sequence[str]] = field(default_factory=dict)
+
+    def reasons(self) -> Column:
+        """The reason codes of a row in a fixed order; empty for a good one.
+
+        A line with a wrong number of fields has that one reason: its columns are not where they belong.
+        """
+        def said(column: str) -> Column:
+            return F.coalesce(F.trim(column) != "", F.lit(False))
+
+        found = [F.when(~said(c), F.lit(f"missing:{c}")) for c in self.required]
+        found += [F.when(said(c) & parse_number(c).isNull(), F.lit(f"unreadable:{c}")) for c in self.amounts]
+        found += [F.when(said(c) & parsed_date(c, pattern).isNull(), F.lit(f"unreadable:{c}")) for c, pattern in self.dates.items()]
+        found += [F.when(said(c) & ~F.col(c).isin(*values), F.lit(f"outside:{c}")) for c, values in self.domains.items()]
+        own = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+        return F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit("field_count"))).otherwise(own)
+
+
+def read_csv_lines(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, sep: str = ";", header: bool = True) -> DataFrame:
+    """CSV as ``read_csv`` gives it, with the whole line in ``_corrupt_line`` where its number of fields is not the schema's."""
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    paths = [path] if isinstance(path, str) else list(path)
+    reader = spark.read.schema(T.StructType([*declared.fields, T.StructField(CORRUPT, T.StringType())]))
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("sep", sep)
+    return (reader.option("header", True).option("enforceSchema", False) if header else reader.option("header", False)).csv(paths)
+
+
+def split_lines(lines: DataFrame, rules: RowRules, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Good rows and rejected rows of ``read_csv_lines``, from one scan of the files.
+
+    Both are written to ``folder`` in one job, parted by whether a row has a reason, and read back from there.
+    Good rows have the file's columns; rejected ones ``file_name, line, reasons`` too (``line`` is the text itself where
+    its number of fields is wrong, else the row written out again).
+    """
+    columns = [c for c in lines.columns if c != CORRUPT]
+    judged = lines.select("*", F.col("_metadata.file_name").alias("_file"), rules.reasons().alias(REASONS)).withColumn("_rejected", F.size(REASONS) > 0)
+    judged.write.mode("overwrite").partitionBy("_rejected").parquet(folder)
+    stored = lines.sparkSession.read.schema(judged.schema).parquet(folder)
+    again = F.to_csv(F.struct(*columns), {"sep": ";"})
+    good = stored.filter(~F.col("_rejected")).select(*columns)
+    rejected = stored.filter("_rejected").select(
+        F.col("_file").alias("file_name"), F.coalesce(CORRUPT, again).alias("line"), F.col(REASONS).alias("reasons"), *columns,
+    )
+    return good, rejected
+
+
+def reject_counts(rejected: DataFrame, *keys: str) -> DataFrame:
+    """Rows per reason (a row with two reasons counts under both)."""
+    return rejected.select(*keys, F.explode("reasons").alias("reason")).groupBy(*keys, "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def file_names(spark: SparkSession, root: str) -> DataFrame:
     """The monthly files under a folder, with kind, month and year.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,14 +91,56 @@ def _replace_partitions(df: DataFrame, root: str, columns: Sequence[str]) -> Non
 
 
 def overwrite_report(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
-    """Replace a reporting table together with its schema; ``order_by`` sorts the whole table for presentation."""
-    (df.orderBy(*order_by) if order_by else df).write.mode("overwrite").parquet(path)
+    """Replace a reporting table together with its schema; ``order_by`` sorts the whole table for presentation.
+
+    The new files are written beside the table and take its place by two renames, so a reader lists either the old table
+    or the new one, and a job that fails leaves the old one as it was.
+    """
+    staged, retired = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}", f"{path.rstrip('/')}.retired-{uuid.uuid4().hex}"
+    (df.orderBy(*order_by) if order_by else df).write.parquet(staged)
+    if _moved(df.sparkSession, path, retired):
+        try:
+            _moved(df.sparkSession, staged, path, needed=True)
+        except Exception:
+            _moved(df.sparkSession, retired, path)
+            raise
+        _removed(df.sparkSession, retired)
+    else:
+        _moved(df.sparkSession, staged, path, needed=True)
+
+
+def drop_month(spark: SparkSession, root: str, period: Period, column: str = "func_month") -> bool:
+    """Remove one month of a store; whether it was there.  No file of another month is read or written.
+
+    The month's folder first gets a hidden name, which readers skip, so no reader lists half of it.
+    """
+    hidden = f"{root.rstrip('/')}/_removed-{uuid.uuid4().hex}"
+    if not _moved(spark, f"{root.rstrip('/')}/{column}={period.key}", hidden):
+        return False
+    _removed(spark, hidden)
+    return True
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _moved(spark: SparkSession, source: str, target: str, needed: bool = False) -> bool:
+    """Rename a folder; whether it was there."""
+    at, files = _file_system(spark, source)
+    if not files.exists(at):
+        if needed:
+            raise FileNotFoundError(source)
+        return False
+    if not files.rename(at, _file_system(spark, target)[0]):
+        raise OSError(f"could not rename {source} to {target}")
+    return True
 
 
-def drop_month(spark: SparkSession, root: str, period: Period, target: str, column: str = "func_month") -> None:
-    """Write the store without one month to a new place."""
-    kept = spark.read.parquet(root).filter(F.col(column).cast("string") != period.key)
-    kept.write.mode("overwrite").partitionBy(column).parquet(target)
+def _removed(spark: SparkSession, path: str) -> None:
+    at, files = _file_system(spark, path)
+    files.delete(at, True)
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ";", order_by: Sequence[str] = ()) -> None:

@@ -27,8 +27,63 @@ def test_month_is_replaced_not_doubled_and_read_pruned(spark, rows, tmp_path, va
     plan = month._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(func_month" in plan
     assert values(tables.read_month(spark, root, Period(2024, 2)).select("k")) == [(9,)]
-    tables.drop_month(spark, root, Period(2024, 1), str(tmp_path / "kept"))
-    assert spark.read.parquet(str(tmp_path / "kept")).count() == 1
+    others = {f: f.stat().st_mtime_ns for f in (tmp_path / "store" / "func_month=202402").iterdir()}
+    assert tables.drop_month(spark, root, Period(2024, 1)) and not tables.drop_month(spark, root, Period(2024, 1))
+    assert spark.read.parquet(root).count() == 1
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "store" / "func_month=202402").iterdir()} == others
+    assert sorted(f.name for f in (tmp_path / "store").iterdir() if "SUCCESS" not in f.name) == ["func_month=202402"]
+
+
+def test_a_report_is_replaced_as_a_whole(spark, rows, tmp_path, values):
+    path = str(tmp_path / "report")
+    tables.overwrite_report(rows("k int, v int", (2, 1), (1, 2)), path, order_by=["k"])
+    tables.overwrite_report(rows("name string", ("new",)), path)
+    assert values(spark.read.parquet(path)) == [("new",)]
+    broken = rows("k int", (1,), (0,)).select(F.when(F.col("k") == 0, F.raise_error("broken")).otherwise("x").alias("name"))
+    with pytest.raises(Exception, match="broken"):
+        tables.overwrite_report(broken, path)
+    assert values(spark.read.parquet(path)) == [("new",)]
+    assert not [f.name for f in tmp_path.iterdir() if "retired" in f.name]
+
+
+def test_lines_are_good_or_rejected_with_reasons(spark, tmp_path, values):
+    folder = tmp_path / "FLUX_1_2024.csv"
+    folder.mkdir()
+    (folder / "part-1.csv").write_text("NUMERO_CONTRAT;MONTANT_BRUT;DATE_EFFET_FLUX;TYPE_SUPPORT\nC1;1 234,50;31/01/2024;UC\nC2;;;\nC3;1;2;3;4\nC4\n;12,x;31/02/2024;ACTIONS\n")
+    (folder / "part-2.csv").write_text("NUMERO_CONTRAT;MONTANT_BRUT;DATE_EFFET_FLUX;TYPE_SUPPORT\nC9;-5;01/02/2024;EURO\n")
+    names = ["NUMERO_CONTRAT", "MONTANT_BRUT", "DATE_EFFET_FLUX", "TYPE_SUPPORT"]
+    lines = files.read_csv_lines(spark, str(folder), tables.declared({n: "string" for n in names}))
+    good, rejected = files.split_lines(lines, csv_system.row_rules(names), str(tmp_path / "split"))
+    assert good.columns == names
+    assert values(good.select("NUMERO_CONTRAT", "MONTANT_BRUT")) == [("C1", "1 234,50"), ("C2", None), ("C9", "-5")]
+    assert values(rejected.select("line", "reasons")) == [
+        ("C3;1;2;3;4", ["field_count"]), ("C4", ["field_count"]),
+        (";12,x;31/02/2024;ACTIONS", ["missing:NUMERO_CONTRAT", "unreadable:MONTANT_BRUT", "unreadable:DATE_EFFET_FLUX", "outside:TYPE_SUPPORT"]),
+    ][2:] + [("C3;1;2;3;4", ["field_count"]), ("C4", ["field_count"])]
+    assert values(rejected.select("file_name").distinct()) == [("part-1.csv",)]
+    assert dict((r["reason"], r["rows"]) for r in files.reject_counts(rejected).collect())["field_count"] == 2
+    other = tmp_path / "other.csv"
+    other.write_text("A;B\n1;2\n")
+    with pytest.raises(Exception, match="header|Header"):
+        files.read_csv_lines(spark, str(other), "x string, y string").collect()
+    assert "Filter" in plan_of(good) and len(re.findall("FileScan", plan_of(good))) == 1
+
+
+def test_controls_are_observed_in_the_writing_job(spark, rows, tmp_path):
+    from flowbook.operators import checks
+
+    df = rows("y string, c string, v double, f string", ("1998", "a", 1.5, "one"), ("1999", "b", 2.0, "two"), (None, "c", 3.0, "two"), ("2005", None, 1.0, "one"), ("1998", "", 4.0, "one"))
+    controls = checks.Controls("v", "y", ["1998", "1999", "2000"], {"c": ["a"]}, "f")
+    stored, before, after = checks.written_with_controls(df, lambda d: d.filter("v <> 2"), str(tmp_path / "out"), controls)
+    assert stored.count() == 4 and sorted(before[1].get["files"]) == ["one", "two"]
+    assert before[0].totals(before[1]) == {"1998": (Decimal("5.50"), 2), "1999": (Decimal("2.00"), 1), None: (Decimal("4.00"), 2)}
+    assert sorted(before[0].violations(before[1]), key=repr) == [("c", "", 1), ("c", "b", 1), ("c", "c", 1), ("c", None, 1)]
+    report = {r["y"]: (r["rows_before"], r["rows_after"], r["total_change"]) for r in checks.observed_totals(spark, "y", before, after).collect()}
+    assert report == {"1998": (2, 2, 0), "1999": (1, 0, -2), None: (2, 2, 0)}
+    same = {r["y"]: (r["rows_before"], r["rows_after"], r["total_change"]) for r in checks.control_totals(df.filter("y < '2000'"), df.filter("v <> 2 AND y < '2000'"), ["y"], "v").collect()}
+    assert same == {k: v for k, v in report.items() if k}
+    _, before, after = checks.written_with_controls(df.filter("false"), lambda d: d, str(tmp_path / "none"), controls)
+    assert checks.observed_totals(spark, "y", before, after).count() == 0 and before[0].violations(before[1]) == []
 
 
 def test_daily_partition_and_snapshots(spark, rows, tmp_path, values):
