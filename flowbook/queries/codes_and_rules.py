@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.codes import (
     blank_to, coalesced_name, composite_key, filled, pad_code, parse_number, repaired_contract, split_item, truncated,
 )
-from ..operators.rules import FromColumn, RuleSet, none_of, one_of, relabel
+from ..operators.joins import stack
+from ..operators.rules import FromColumn, RuleSet, none_of, one_of, relabel, rule_hits, with_each_literal
 from ..plans import rulebook as rb
 from .registry import query, shown, table
 
@@ -261,3 +262,81 @@ def rule_nested(spark, sf_dir):
     return shown(coded.withColumn("type_code", rb.SYSTEM3_TYPES.column()).groupBy(
         F.col("LIBELLE_TYPE_TRANSACTION").alias("family"), F.col("DETAIL_TRANSACTION").alias("detail"), "type_code",
     ).agg(F.count(F.lit(1)).alias("n"), F.sum("MONTANT").alias("montant")))
+
+
+# The rules once more, as plain SQL: label, condition, number of values named.
+_ACTS = ("VI", "CC", "RN", "SE", "VC", "PA", "QT", "QH", "AE", "QR", "TA", "TE", "VP", "VT", "EA", "SA", "RT", "RP", "RG", "AP", "AT", "AX", "EX", "RE", "AH", "SI", "TP",
+         "TT", "AV", "AQ", "FR", "PB")
+_RAG = "(coalesce(motif = 'RAG', false) OR coalesce(complement = 'RAG', false))"
+_SQL_RULES_2 = (
+    ("Versement_Initial", "code IN ('VI', 'CC') AND te = 0", 2), ("-Versement_Initial", "code IN ('RN', 'SE')", 2), ("Versement_Complementaire", "code = 'VC'", 1),
+    ("Prelevement_Automatique", "code IN ('PA', 'QT', 'QH')", 3), ("-Prelevement_Automatique", "code IN ('AE', 'QR')", 2),
+    ("Transfert_Entrant", "(code IN ('VI', 'CC') AND te = 1) OR code IN ('TA', 'TE', 'VP', 'VT')", 6),
+    ("Arbitrage_Entrant_RAG", f"code = 'EA' AND {_RAG}", 3), ("Arbitrage_Sortant_RAG", f"code = 'SA' AND {_RAG}", 3),
+    ("Arbitrage_Entrant_Client", f"code = 'EA' AND NOT {_RAG}", 3), ("Arbitrage_Sortant_Client", f"code = 'SA' AND NOT {_RAG}", 3),
+    ("Rachat", "code IN ('RT', 'RP', 'RG') AND ts = 0", 3), ("-Rachat", "code IN ('AP', 'AT', 'AX')", 3), ("Echu", "code IN ('EX', 'RE')", 2), ("-Echu", "code = 'AH'", 1),
+    ("Sinistre", "code = 'SI'", 1), ("Transfert_Sortant", "(code IN ('RT', 'RP', 'RG') AND ts = 1) OR code IN ('TP', 'TT')", 5), ("-Transfert_Sortant", "code IN ('AV', 'AQ')", 2),
+    ("Frais_de_gestion", "code = 'FR'", 1), ("Participation_aux_benefices", "code = 'PB'", 1),
+)
+_NETWORKS = (
+    "A2P", "AEP", "AEP MUTUELLE", "SALARIES", "AGENTS GENERAUX", "AGA", "GESTION PRIVEE", "Gestion Privée Directe", "Partenariats Bancaires", "PARTENAIRE BANCAIRE",
+    "Partenariats Distribution", "PARTENAIRE ASSURANCE", "Courtiers Spécialistes", "CGPI", "COURTIERS HOUSE FRANCE", "Courtiers Généralistes", "AUTRE DOM", "ESPACE CONSEIL DOM",
+    "AGENT HOUSE PARTENAIRE", "SALARIES HOUSE PARTENA", "PLATEFORMES MUTUELLE",
+)
+_SQL_RULES_NETWORK = (
+    ("A2P", "contains(network, 'A2P')", 1), ("AEP", "network IN ('AEP', 'AEP MUTUELLE', 'SALARIES')", 3), ("AGA", "network IN ('AGENTS GENERAUX', 'AGA')", 2),
+    ("GESTION PRIVEE DIRECTE", "network IN ('GESTION PRIVEE', 'Gestion Privée Directe')", 2), ("PARTENAIRE BANCAIRE", "network IN ('Partenariats Bancaires', 'PARTENAIRE BANCAIRE')", 2),
+    ("PARTENAIRE DISTRIBUTION", "network IN ('Partenariats Distribution', 'PARTENAIRE ASSURANCE')", 2), ("CGPI", "network IN ('Courtiers Spécialistes', 'CGPI')", 2),
+    ("COURTIERS GENERALISTES", "network IN ('COURTIERS HOUSE FRANCE', 'Courtiers Généralistes')", 2), ("DOM-TOM", "network IN ('AUTRE DOM', 'ESPACE CONSEIL DOM')", 2),
+    ("HOUSE PARTENAIRE", "network IN ('AGENT HOUSE PARTENAIRE', 'SALARIES HOUSE PARTENA')", 2), ("MUTUELLE", "network = 'PLATEFORMES MUTUELLE'", 1),
+)
+_FLOWS = ("Prime comptant", "Transfert externe entrant", "Versement libre", "Versement libre programmé", "Transfert interne entrant", "Arbitrage achat", "Arbitrage vente", "Rachat partiel",
+          "Rachat total", "rachat programmé", "Transfert externe sortant", "Paiement dossier sinistre", "Transfert interne sortant", "Frais de mandat", "Frais de gestion conseillée",
+          "Frais sur investissement", "Frais de gestion", "Frais Rachat")
+_SQL_RULES_1 = (
+    ("Versement_Initial", "flow IN ('Prime comptant', 'Transfert externe entrant')", 2), ("Versement_Complementaire", "flow = 'Versement libre'", 1),
+    ("Prelevement_Automatique", "flow = 'Versement libre programmé'", 1), ("Transfert_Entrant", "flow = 'Transfert interne entrant'", 1), ("Arbitrage_Entrant", "flow = 'Arbitrage achat'", 1),
+    ("Arbitrage_Entrant_RAG", "flow = 'Arbitrage achat' AND act IN ('RAGALD', 'RAG')", 3), ("Arbitrage_Sortant", "flow = 'Arbitrage vente'", 1),
+    ("Arbitrage_Sortant_RAG", "flow = 'Arbitrage vente' AND act IN ('RAGALD', 'RAG')", 3),
+    ("Rachat", "flow IN ('Rachat partiel', 'Rachat total', 'rachat programmé', 'Transfert externe sortant')", 4),
+    ("Sinistre", "flow = 'Paiement dossier sinistre' AND act <> 'Désinvestissement échu'", 1), ("Echu", "flow = 'Paiement dossier sinistre' AND act = 'Désinvestissement échu'", 2),
+    ("Transfert_Sortant", "flow = 'Transfert interne sortant'", 1), ("Frais_Mandat", "flow IN ('Frais de mandat', 'Frais de gestion conseillée')", 2),
+    ("Frais_Acquisition", "flow = 'Frais sur investissement'", 1), ("Frais_Gestion", "flow = 'Frais de gestion'", 1), ("Frais_Rachat", "contains(flow, 'Frais Rachat')", 1),
+)
+_MOVEMENTS = ("RAGALD", "RAG", "Désinvestissement échu")
+
+
+def _in_turn(values, number):
+    return f"([{', '.join(repr(v) for v in values)}, NULL])[CAST({number} AS BIGINT) % {len(values) + 1} + 1]"
+
+
+def _rule_rows(name, rules):
+    """Disjoint rules: what a rule matches, it decides."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS rules, '{n}' AS rule, '{label}' AS label, COUNT(*) FILTER ({condition}) AS matched, COUNT(*) FILTER ({condition}) AS won, "
+        f"CAST({count} AS BIGINT) AS literals, CAST([] AS VARCHAR[]) AS unseen FROM acts" for n, (label, condition, count) in enumerate(rules, 1))
+
+
+@query("rule_hits", f"""
+WITH acts AS (SELECT {_in_turn(_ACTS, 'l_partkey')} AS code, l_linenumber % 2 AS te, l_suppkey % 2 AS ts, CASE l_orderkey % 4 WHEN 0 THEN 'RAG' WHEN 1 THEN 'x' END AS motif,
+  CASE l_orderkey % 7 WHEN 0 THEN 'RAG' WHEN 1 THEN 'x' END AS complement, {_in_turn(_NETWORKS, 'l_partkey')} AS network, {_in_turn(_FLOWS, 'l_partkey')} AS flow,
+  {_in_turn((*_MOVEMENTS, 'autre'), 'l_orderkey')} AS act FROM lineitem)
+{_rule_rows('system 1 flows', _SQL_RULES_1)} UNION ALL {_rule_rows('system 2 flows', _SQL_RULES_2)} UNION ALL {_rule_rows('network', _SQL_RULES_NETWORK)}
+""")
+def rule_hits_query(spark, sf_dir):
+    """Rows per rule of three rule tables, on stand-in rows that hold every value the rules name; ``unseen`` is empty for all."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    acts = F.element_at(F.array(*[F.lit(v) for v in (*_MOVEMENTS, "autre")], F.lit(None).cast("string")), (F.col("l_orderkey") % 5 + 1).cast("int"))
+
+    def marked(column, number):
+        return F.when(F.col(column) % number == 0, "RAG").when(F.col(column) % number == 1, "x")
+
+    tables = {
+        "system 1 flows": (rb.SYSTEM1_BUCKETS, {"LB_TYPE_MVT": acts}),
+        "system 2 flows": (rb.system2_buckets(), {
+            "TOP_TE": F.col("l_linenumber") % 2, "TOP_TS": F.col("l_suppkey") % 2, "LIBELLE_MOTIF_ACTE": marked("l_orderkey", 4), "LIBELLE_ACTE_COMPLEMENT": marked("l_orderkey", 7)}),
+        "network": (rb.canonical_network(rb.DEFAULT_NAMES), {}),
+    }
+    return shown(stack([
+        rule_hits(with_each_literal(lines, rules, F.col("l_partkey"), fixed), rules, name) for name, (rules, fixed) in tables.items()
+    ], ["rules", "rule", "label", "matched", "won", "literals", "unseen"]))

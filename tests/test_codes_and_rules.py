@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowbook.functions import codes
-from flowbook.operators.rules import BucketSet, FromColumn, RuleSet, none_of, one_of, relabel
+from flowbook.operators.rules import BucketSet, FromColumn, RuleSet, both, either, has_text, literals, none_of, one_of, relabel, rule_hits, with_each_literal
 from flowbook.plans import rulebook as rb
 
 
@@ -109,3 +109,35 @@ def test_channel_table_and_lists():
 def test_text_label_and_default_do_not_mix_types(rows):
     df = rows("indicateurs_L4_LBR_DESC string", ("Emissions Vie VLP",), ("x",), (None,))
     assert [r[0] for r in df.select(rb.ISSUE_DETAIL.column()).collect()] == ["Emissions Vie VLP", "0", "0"]
+
+
+def test_literals_of_predicates():
+    text = both(one_of("c", ["a (b)", "it's"]), either("d = 'x'", has_text("e", "y)")), "n > 3")
+    assert [(x.column, x.value) for x in literals(text)] == [("c", "a (b)"), ("c", "it's"), ("d", "x"), ("e", "y)")]
+    assert literals("n > 3") == [] and [x.value for x in literals(none_of("c", ["z"]))] == ["z"]
+
+
+def test_rule_hits_tell_dead_rules_and_unseen_values(rows):
+    inner = RuleSet([("v > 1", "big"), (one_of("c", ["b", "q"]), "other")], "small")
+    rules = RuleSet([(one_of("c", ["a", "b"]), inner), ("c = 'b'", "behind"), ("c = 'z'", "nothing"), ("c IS NULL", "none")], "rest")
+    df = rows("c string, v int", ("a", 1), ("a", 2), ("b", 1), ("b", None), (None, 1), ("w", 9))
+    found = {r["rule"]: (r["label"], r["matched"], r["won"], r["unseen"]) for r in rule_hits(df, rules).collect()}
+    assert found == {
+        "1": ("", 4, 4, []), "1.1": ("big", 1, 1, []), "1.2": ("other", 2, 2, ["q"]), "2": ("behind", 2, 0, []), "3": ("nothing", 0, 0, ["z"]), "4": ("none", 1, 1, []),
+    }
+    buckets = BucketSet([("A", "c = 'a'", 1), ("A", "v = 2", -1), ("B", "c = 'a'", 1)], "v")
+    assert [(r["rule"], r["label"], r["matched"], r["won"]) for r in rule_hits(df, buckets).collect()] == [("1", "A", 2, 2), ("2", "-A", 1, 0), ("3", "B", 2, 2)]
+    assert [r["matched"] for r in rule_hits(df.filter("false"), buckets).collect()] == [0, 0, 0]
+
+
+def test_every_rule_of_the_rulebook_can_be_hit(spark):
+    """Stand-in rows made from the tables themselves: each value occurs and each rule of these tables decides a row."""
+    numbers = spark.range(4000)
+    sets = {"segments": rb.SEGMENT_PRIORITY, "mandate": rb.MANDATE, "convention": rb.CONVENTION, "file": rb.FILE_NETWORK, "campaign": rb.CAMPAIGN_NETWORK, "title": rb.TITLE_3,
+            "network": rb.canonical_network(rb.DEFAULT_NAMES), "system1": rb.SYSTEM1_BUCKETS}
+    fixed = {"mandate": {"LB_PACK": F.lit(None).cast("string")}, "file": {"RESEAU": F.element_at(F.array(*[F.lit(x) for x in (
+        "AEP", "AGA", "Agents LU", "A2P", "CGP", "Direct", "#NA", "xPart.")]), (F.col("id") % 8 + 1).cast("int"))},
+        "system1": {"LB_TYPE_MVT": F.element_at(F.array(F.lit("RAG"), F.lit("RAGALD"), F.lit("Désinvestissement échu"), F.lit("x")), (F.expr("id div 40") % 4 + 1).cast("int"))}}
+    for name, rules in sets.items():
+        hits = rule_hits(with_each_literal(numbers, rules, F.col("id"), fixed.get(name, {})), rules).collect()
+        assert all(r["won"] > 0 and r["unseen"] == [] for r in hits), name
