@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import day
+from ..session import computed_once
 from .dedupe import all_newest, null_safe_join, one_per_key
 
 
-
 def as_of(
     df: DataFrame,
     keys: Sequence[str],
@@ -35,7 +35,7 @@ def as_of(
     return one_per_key(known, keys, [newest, *tiebreak])
 
 
-def as_of_snapshot(df: DataFrame, snapshot_col: str, limit: dt.date | str) -> DataFrame:
+def as_of_snapshot(df: DataFrame, snapshot_col: str, limit: dt.date | str | Column) -> DataFrame:
     """All rows of the newest whole-table snapshot on or before the limit.
 
     The newest snapshot is a scalar subquery: one number, and a partition column is pruned by it.
@@ -113,6 +113,23 @@ def snapshot_pair(
     return dated.groupBy(*keys).agg(*newest(opening, opening_cols), *newest(closing, closing_cols))
 
 
+def newest_pair(
+    df: DataFrame, keys: Sequence[str], date_col: str, opening: dt.date, closing: dt.date, flags: tuple[str, str] = ("is_opening", "is_closing"),
+) -> DataFrame:
+    """Every row of a key's newest date on or before each of two limits, ties kept; two flags say for which limit.
+
+    One aggregate finds both dates and is joined back once.  It holds two dates per key and combines on the map side, so
+    no window gathers a key's history.  The rows are stored first, cut to the later limit: their source is read once.
+    """
+    known = computed_once(df.filter(F.col(date_col) <= day(closing)), "valued-rows")
+    opened = F.when(F.col(date_col) <= day(opening), F.col(date_col))
+    dates = known.groupBy(*keys).agg(F.max(opened).alias("__opening"), F.max(date_col).alias("__closing"))
+    met = null_safe_join(known, dates, keys, "inner")
+    own = [F.coalesce(F.col(date_col) == F.col(c), F.lit(False)) for c in ("__opening", "__closing")]
+    flagged = met.withColumns(dict(zip(flags, own))).filter(F.col(flags[0]) | F.col(flags[1]))
+    return flagged.drop("__opening", "__closing")
+
+
 def open_close_as_of(
     df: DataFrame,
     keys: Sequence[str],

@@ -12,7 +12,7 @@ from ..functions.codes import blank_to, filled, pad_code, split_item
 from ..operators.dedupe import group_totals, one_per_key
 from ..operators.flows import motive_flags, units_times_price
 from ..operators.joins import Lookup, lookup, lookup_chain, unique_dimension
-from ..operators.positions import drop_empty_rows, drop_inactive, ledger, open_close
+from ..operators.positions import as_of_snapshot, drop_empty_rows, drop_inactive, ledger, open_close
 from ..session import computed_once
 from . import rulebook as rb
 from .canonical import ACTIVITY, canonical
@@ -20,6 +20,11 @@ from .canonical import ACTIVITY, canonical
 KEYS = ("NUMERO_CONTRAT", "CODE_UT", "CODE_UC", "CODE_ISIN", "TYPE_SUPPORT", "CODE_PROFIL", "SUPPORT_SPECIFIQUE")
 ACT = ("NUMERO_CONTRAT", "NUMERO_ACTE", "SENS_ACTE", "CODE_ACTE_COURT")
 FEES = ("Frais_de_gestion", "Participation_aux_benefices")
+# What is read of a movement on a support, besides the act.
+MOVED = (
+    *ACT, "CODE_UT", "CODE_UC", "CODE_ISIN", "CODE_PROFIL", "TOP_EUROCROISSANCE", "LIBELLE_TYPE_SUPPORT", "SUPPORT_CONVENTION", "NB_PART_SUPPORT_MVT", "VL_SUPPORT",
+)
+VERSION = "DATE_VERSION"
 TRANSFER_MOTIVES = ("A", "F", "S")
 ROLES = ("Souscripteur", "Assuré", "modalité à traduire", "Autre")
 
@@ -65,7 +70,9 @@ def movements(supports: DataFrame, acts: DataFrame, contracts: DataFrame, period
 
     The net total of an act covers both directions, so it is taken before the direction filter.
     """
-    dated = supports.filter(F.col("DATE_CREATION_ACTE").between(F.lit(period.start), F.lit(period.end)))
+    # The period's rows are needed for the totals, for the rows they are joined to and for two cuts, so they are stored once.
+    dated = computed_once(
+        supports.filter(F.col("DATE_CREATION_ACTE").between(F.lit(period.start), F.lit(period.end))).select(*MOVED), "dated2")
     priced = dated.withColumns({
         "MONTANT_NET": units_times_price("NB_PART_SUPPORT_MVT", "VL_SUPPORT").cast("decimal(18,2)"), **_support_keys(),
     })
@@ -93,11 +100,25 @@ def valued(table: DataFrame) -> DataFrame:
     return table.withColumns(_support_keys())
 
 
+def snapshots(tables: Mapping[str, DataFrame], period: Period) -> tuple[DataFrame, DataFrame]:
+    """The positions at the opening and at the closing of the period.
+
+    ``positions`` is the versioned table, whole snapshots under ``DATE_VERSION``: the newest version on or before the
+    last weekday of the previous year, and the newest on or before the period's end.  Each version is found by a scalar
+    subquery on the partition column, so two partitions are read.  Two ready frames, ``positions_opening`` and
+    ``positions_closing``, are taken instead where there is no such table.
+    """
+    if "positions" not in tables:
+        return tables["positions_opening"], tables["positions_closing"]
+    versions = tables["positions"]
+    return as_of_snapshot(versions, VERSION, opening_date(period)), as_of_snapshot(versions, VERSION, period.end)
+
+
 def base_ledger(tables: Mapping[str, DataFrame], period: Period, activity: str = "signed", legacy_switches: bool = False) -> DataFrame:
-    """``tables``: positions_opening and positions_closing are the two snapshots (S2)."""
+    opening, closing = snapshots(tables, period)
     held = open_close(
-        valued(tables["positions_opening"]),
-        valued(tables["positions_closing"]).withColumnsRenamed({"DATE_VALEUR_UC": "DT_VL_FIN", "LIBELLE_SUPPORT": "NOM_SUPPORT"}),
+        valued(opening),
+        valued(closing).withColumnsRenamed({"DATE_VALEUR_UC": "DT_VL_FIN", "LIBELLE_SUPPORT": "NOM_SUPPORT"}),
         KEYS, "PM_SUPPORT", attributes={"DT_VL_FIN": "max", "NOM_SUPPORT": "max"},
     )
     moved = flows(tables["support_flows"], tables["act_flows"], tables["contracts"], period, legacy_switches)
@@ -145,7 +166,7 @@ def system2(
 ) -> DataFrame:
     """Canonical rows of system 2.
 
-    ``tables``: positions_opening, positions_closing, support_flows, act_flows, contracts
+    ``tables``: positions (versioned; or positions_opening and positions_closing), support_flows, act_flows, contracts
     (history), persons (history), profiles.  Contracts drive: one without facts stays only
     if it has a label, as empty rows without support or person type are dropped.
     """

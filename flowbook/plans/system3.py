@@ -7,11 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import Period, cutoff_date, day, working_day_before, year_end_before
+from ..functions.calendar import Period, cutoff_date, working_day_before, year_end_before
 from ..functions.codes import filled, pad_code
 from ..operators.dedupe import one_per_key
 from ..operators.joins import Lookup, header_driven, lookup, lookup_chain
-from ..operators.positions import as_of, drop_inactive, ledger, live_only, open_close
+from ..operators.positions import drop_inactive, ledger, live_only, newest_pair, summed
 from ..session import computed_once
 from . import rulebook as rb
 from .canonical import ACTIVITY, canonical
@@ -31,17 +31,19 @@ def flow_window(period: Period):
     return working_day_before(year_end_before(end), 4), cutoff_date(end)
 
 
-def valuations(table: DataFrame, contracts: DataFrame, limit, name: str) -> DataFrame:
-    """All amounts of the newest valuation date of each contract x unit, live contracts only."""
+def valuations(table: DataFrame, contracts: DataFrame, period: Period) -> DataFrame:
+    """All amounts of the newest valuation date of each contract x unit, at the opening and at the closing, live contracts only.
+
+    Equal amounts of one support and date are one position.
+    """
     rows = table.filter(F.col("LIBELLE_TYPE_MONTANT") == VALUED_TYPE).select(
         pad_code("NUMERO_CONTRAT", 16).alias("NUMERO_CONTRAT"),
         filled("CODE_ISIN", UNKNOWN).alias("CODE_ISIN"),
-        "CODE_SUPPORT", "CODE_UT", "LIBELLE_SUPPORT", "CODE_TYPE_CONTRAT",
-        F.col("MONTANT").alias(name), "DATE_VALORISATION",
-    ).distinct()
-    newest = as_of(rows, ["NUMERO_CONTRAT", "CODE_UT"], "DATE_VALORISATION", day(limit), keep_ties=True)
+        "CODE_SUPPORT", "CODE_UT", "LIBELLE_SUPPORT", "CODE_TYPE_CONTRAT", "MONTANT", "DATE_VALORISATION",
+    )
+    newest = newest_pair(rows, ["NUMERO_CONTRAT", "CODE_UT"], "DATE_VALORISATION", period.previous_year_end, period.end)
     status = contracts.select(pad_code("NUMERO_CONTRAT", 16).alias("NUMERO_CONTRAT"), "STATUT")
-    return live_only(newest, status, ["NUMERO_CONTRAT"], F.col("STATUT") == "En cours")
+    return live_only(newest.distinct(), status, ["NUMERO_CONTRAT"], F.col("STATUT") == "En cours")
 
 
 def positions(tables: Mapping[str, DataFrame], period: Period) -> DataFrame:
@@ -60,15 +62,15 @@ def positions(tables: Mapping[str, DataFrame], period: Period) -> DataFrame:
         tables["catalogue_supports"].select("CODE_SUPPORT", rb.SUPPORT_TYPE_3.column().alias("TYPE_SUPPORT")),
         ["CODE_SUPPORT"], ["TYPE_SUPPORT"],
     )
-
-    def side(limit, name: str) -> DataFrame:
-        return lookup_chain(valuations(tables["valuations"], tables["contracts"], limit, name), [
-            Lookup(catalogue, catalogue_keys, unique=True), Lookup(types, ["CODE_SUPPORT"], unique=True),
-        ]).withColumnRenamed("DATE_VALORISATION", "DT_VL_FIN")
-
-    return open_close(
-        side(period.previous_year_end, "__value"), side(period.end, "__value"), KEYS, "__value",
-        attributes={"DT_VL_FIN": "max", "LIBELLE_SUPPORT": "max"},
+    described = lookup_chain(valuations(tables["valuations"], tables["contracts"], period), [
+        Lookup(catalogue, catalogue_keys, unique=True), Lookup(types, ["CODE_SUPPORT"], unique=True),
+    ])
+    closing = F.col("is_closing")
+    return summed(
+        described.withColumns({
+            "PM_DEBUT": F.when(F.col("is_opening"), F.col("MONTANT")), "PM_FIN": F.when(closing, F.col("MONTANT")),
+            "DT_VL_FIN": F.when(closing, F.col("DATE_VALORISATION")), "LIBELLE_SUPPORT": F.when(closing, F.col("LIBELLE_SUPPORT")),
+        }), KEYS, ("PM_DEBUT", "PM_FIN"), {"DT_VL_FIN": "max", "LIBELLE_SUPPORT": "max"},
     )
 
 

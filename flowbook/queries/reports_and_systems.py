@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import Period
 from ..session import working_folder
-from ..sources.tables import read_month
+from ..sources.tables import read_month, write_partitions
 from ..plans import base as base_plan
 from ..plans import dimensions, reports
 from ..plans.system1 import system1
@@ -47,8 +47,15 @@ def rows1(spark, sf_dir):
     return system1(st.frames(spark, sf_dir, st.SYSTEM1), PERIOD, segments(spark, sf_dir))
 
 
+def positions2(spark, sf_dir):
+    """The versioned positions of system 2, stored by version."""
+    folder = intermediate(spark, sf_dir, "versions2", lambda f: write_partitions(st.system2_versions(spark, sf_dir), f, ["DATE_VERSION"]))
+    return spark.read.parquet(folder)
+
+
 def rows2(spark, sf_dir):
-    return system2(st.frames(spark, sf_dir, st.SYSTEM2), PERIOD, segments(spark, sf_dir))
+    tables = {name: frame for name, frame in st.frames(spark, sf_dir, st.SYSTEM2).items() if not name.startswith("positions_")}
+    return system2({**tables, "positions": positions2(spark, sf_dir)}, PERIOD, segments(spark, sf_dir))
 
 
 def rows3(spark, sf_dir):

@@ -237,6 +237,18 @@ SYSTEM2 = {
     }),
 }
 
+# The versions of system 2's positions, whole snapshots.
+SYSTEM2_VERSIONS = ("1996-12-31", "1997-12-31", "1998-06-30")
+
+
+def system2_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All snapshots of system 2's positions under one version column, each from one scan of the lines."""
+    lines = table(spark, sf_dir, "lineitem").filter(f"{SHIPPED} <= {date(SYSTEM2_VERSIONS[-1])}")
+    dates = F.array(*[F.expr(date(v)) for v in SYSTEM2_VERSIONS])
+    return lines.selectExpr(*[f"{expression} AS `{name}`" for name, expression in _S2_POSITION.items()], f"{SHIPPED} AS __shipped").select(
+        "*", F.explode(F.filter(dates, lambda v: F.col("__shipped") <= v)).alias("DATE_VERSION")).drop("__shipped")
+
+
 # --- system 3: a contract per part, an operation per order -----------------------------------
 
 _S3_ISIN = f"CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE {fund('l_suppkey')} END"

@@ -270,3 +270,38 @@ def test_lookups_check_keys_without_sorting(spark):
 
     for name in ("lookup_chain", "lookup_null_keys", "composite_lookup"):
         assert "SortAggregate" not in plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_system2_reads_two_versions_of_its_positions(spark, rows, tmp_path, values):
+    versions = rows("NUMERO_CONTRAT string, PM_SUPPORT int, DATE_VERSION date", *[
+        ("c", n, dt.date(2023, month, 28)) for n, month in enumerate((6, 9, 12), 1)], ("c", 9, dt.date(2024, 6, 28)), ("d", 9, dt.date(2024, 6, 28)), ("c", 99, dt.date(2024, 7, 31)))
+    root = str(tmp_path / "versions")
+    tables.write_partitions(versions, root, ["DATE_VERSION"])
+    stored = spark.read.parquet(root)
+    opening, closing = system2.snapshots({"positions": stored}, Period(2024, 6))
+    assert values(opening.select("PM_SUPPORT")) == [(3,)] and values(closing.select("NUMERO_CONTRAT", "PM_SUPPORT")) == [("c", 9), ("d", 9)]
+    for frame in (opening, closing):
+        assert "PartitionFilters: [isnotnull(DATE_VERSION" in plan_of(frame) and frame.select(F.col("_metadata.file_path")).distinct().count() == len(frame.inputFiles()[:1])
+    ready = {"positions_opening": closing, "positions_closing": opening}
+    assert system2.snapshots(ready, Period(2024, 6)) == (closing, opening)
+
+
+def test_newest_rows_at_two_dates_with_ties(spark, rows, values):
+    from flowbook.operators.positions import newest_pair
+
+    d = dt.date
+    df = rows("k string, u int, v int, d date", ("a", 1, 1, d(2023, 5, 1)), ("a", 1, 2, d(2023, 12, 1)), ("a", 1, 3, d(2023, 12, 1)), ("a", 1, 4, d(2024, 3, 1)), ("a", 1, 9, d(2024, 9, 1)),
+              ("b", None, 5, d(2023, 1, 1)), ("b", None, 5, d(2023, 1, 1)), (None, 1, 6, d(2024, 1, 1)), ("c", 1, 7, d(2024, 9, 1)), ("e", 1, 8, None))
+    out = newest_pair(df, ["k", "u"], "d", d(2023, 12, 31), d(2024, 6, 30))
+    assert values(out.select("v", "is_opening", "is_closing")) == sorted(
+        [(2, True, False), (3, True, False), (4, False, True), (5, True, True), (5, True, True), (6, False, True)], key=repr)
+    assert "Window" not in plan_of(out)
+    assert newest_pair(df.filter("false"), ["k", "u"], "d", d(2023, 12, 31), d(2024, 6, 30)).count() == 0
+
+
+def test_system3_scans_its_valuations_once(spark):
+    from flowbook.queries import standins as st
+
+    frames = st.frames(spark, "/root/testdata/sf0.001", st.SYSTEM3)
+    plan = plan_of(system3.positions(frames, Period(1998, 6)))
+    assert plan.count("valued-rows") == 2 and "l_extendedprice" not in plan  # the stored rows twice, their source not at all
