@@ -9,14 +9,15 @@ reporting months.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Period
 from ..session import computed_once
+from ..sources.tables import drop_month, exists, overwrite_report, write_partitions
 from .positions import stacked_sum
 
 
@@ -95,3 +96,65 @@ def backfill(
     )
     ytd = year_to_date(flows, keys, flow_date, measures, first, last)
     return stacked_sum([ytd, opening, closing], ["period", *keys], [*measures, *names])
+
+
+def source_fingerprints(spark: SparkSession, root: str, column: str = "func_month") -> DataFrame:
+    """``month, files, mark`` of every month of a store, from the listing of its files alone: names, sizes and times."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+    month = F.regexp_extract("path", f"/{column}=([^/]+)/", 1)
+    file = F.xxhash64(F.element_at(F.split("path", "/"), -1), "length", "modificationTime").cast("decimal(38,0)")
+    return listing.select(month.alias("month"), file.alias("file")).filter("month <> ''").groupBy("month").agg(
+        F.count("*").alias("files"), F.sum("file").alias("mark"))
+
+
+def changed_months(now: DataFrame, before: DataFrame) -> DataFrame:
+    """Months that are new, gone, or hold other files than before."""
+    old = before.select("month", F.col("files").alias("__files"), F.col("mark").alias("__mark"))
+    joined = now.join(old, "month", "full")
+    return joined.filter(~(F.col("files").eqNullSafe(F.col("__files")) & F.col("mark").eqNullSafe(F.col("__mark")))).select("month")
+
+
+def later_in_year(changed: Sequence[Period], first: Period, last: Period) -> list[Period]:
+    """The reporting months whose year-to-date figures a changed month touches: itself and the later ones of its year."""
+    start: dict[int, int] = {}
+    for p in changed:
+        start[p.year] = min(p.month, start.get(p.year, 12))
+    found = [Period(year, month) for year, low in start.items() for month in range(low, 13)]
+    return sorted((p for p in found if first.key <= p.key <= last.key), key=lambda p: p.key)
+
+
+def refresh(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    state: str,
+    build: Callable[[DataFrame, Period, Period], DataFrame],
+    first: Period,
+    last: Period,
+    column: str = "func_month",
+) -> list[Period]:
+    """Bring a stored backfill up to date with its monthly source; the reporting months that were computed again.
+
+    ``target`` is stored by ``period``.  ``state`` keeps the source's fingerprints of the last refresh.  Only years with a
+    changed month are read, from January to the last touched reporting month, and only touched reporting months are
+    replaced: ``build(rows, from, to)`` gives their rows with ``period``.  A touched month that has no rows any more is
+    removed.  The state is written last, so a refresh that fails is repeated as a whole.  The list of months is as long
+    as the backfill, so it may come to the driver.
+    """
+    now = computed_once(source_fingerprints(spark, source, column), "fingerprints")
+    known = exists(spark, state)
+    changed = changed_months(now, spark.read.parquet(state)) if known else now.select("month")
+    touched = later_in_year([Period.parse(r["month"]) for r in changed.collect()], first, last)
+    for year in sorted({p.year for p in touched}):
+        own = [p for p in touched if p.year == year]
+        table = spark.read.parquet(source)
+        months = [F.lit(Period(year, m).key).cast(table.schema[column].dataType) for m in range(1, own[-1].month + 1)]
+        rows = build(table.filter(F.col(column).isin(*months)).drop(column), own[0], own[-1])
+        stored = computed_once(rows.withColumn("period", F.date_format("period", "yyyyMM")), "refreshed")
+        write_partitions(stored, target, ["period"])
+        filled = {r["period"] for r in stored.select("period").distinct().collect()}
+        for p in own:
+            if p.key not in filled:
+                drop_month(spark, target, p, "period")
+    overwrite_report(now, state)
+    return touched

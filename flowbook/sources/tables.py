@@ -121,6 +121,11 @@ def drop_month(spark: SparkSession, root: str, period: Period, column: str = "fu
     return True
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at, files = _file_system(spark, path)
+    return files.exists(at)
+
+
 def _file_system(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark._jsc.hadoopConfiguration())

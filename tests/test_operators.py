@@ -233,3 +233,46 @@ def test_checks(rows, values):
     df = rows("c string, v int", ("a", 1), ("z", 2), (None, 3))
     assert values(checks.domain_check(df, "c", ["a"])) == [("z", 1), (None, 1)]
     assert values(checks.unclassified(df, "c", ["z"], "v")) == [("z", 1, 2)]
+
+
+def test_refresh_computes_touched_months_only(spark, rows, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("source", "target", "state"))
+    first, last = Period(2023, 11), Period(2024, 4)
+
+    def add(mode, *data):
+        df = rows("k int, m int, d date", *data).withColumn("func_month", F.date_format("d", "yyyyMM"))
+        df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("func_month").parquet(source)
+
+    reads = []
+
+    def build(df, low, high):
+        reads.append({r["d"].strftime("%Y%m") for r in df.select("d").distinct().collect()})
+        return bf.year_to_date(df, ["k"], "d", ["m"], low, high)
+
+    def update():
+        return [p.key for p in bf.refresh(spark, source, target, state, build, first, last)]
+
+    def stored():
+        return sorted((str(r["period"]), r["k"], r["m"]) for r in spark.read.parquet(target).collect())
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "target").glob("period=*/*.parquet")}
+
+    add("overwrite", (1, 1, D(2023, 2, 1)), (1, 2, D(2023, 11, 5)), (1, 4, D(2024, 1, 9)), (2, 8, D(2024, 3, 1)), (9, 9, D(2022, 1, 1)), (9, 9, D(2024, 8, 1)))
+    assert update() == ["202311", "202312", "202401", "202402", "202403", "202404"]
+    whole = [("202311", 1, 3), ("202312", 1, 3), ("202401", 1, 4), ("202402", 1, 4), ("202403", 1, 4), ("202403", 2, 8), ("202404", 1, 4), ("202404", 2, 8)]
+    assert stored() == whole and update() == []
+    before = files()
+    reads.clear()
+    add("append", (1, 100, D(2024, 3, 7)))
+    assert update() == ["202403", "202404"]
+    assert reads == [{"202401", "202403"}]
+    assert stored() == [(p, k, m + 100 * (p >= "202403" and k == 1)) for p, k, m in whole]
+    kept = {n: t for n, t in files().items() if n in before}
+    assert kept == {n: t for n, t in before.items() if n in kept} and len(kept) == 4
+    # A month that loses its rows is removed.
+    for month in ("202401", "202403"):
+        for f in (tmp_path / "source" / f"func_month={month}").glob("*"):
+            f.unlink()
+        (tmp_path / "source" / f"func_month={month}").rmdir()
+    assert update() == ["202401", "202402", "202403", "202404"] and stored() == whole[:2]
