@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -153,3 +153,25 @@ def contract_lookup(
         .where("indicateurs", level, members)
     )
     return spec.run(having=F.col("indicateurs_L9_LBR_DESC").isin(*families)).drop("indicateurs_L9_LBR_DESC")
+
+
+def contract_levels(
+    cube: CubeSpec,
+    date: dt.date,
+    contracts: Sequence[str],
+    levels: Mapping[str, Sequence[str]],
+    names: rb.Names = rb.DEFAULT_NAMES,
+) -> DataFrame:
+    """Year-to-date values of given contracts at several levels of the indicators, one scan for all.
+
+    ``levels``: level column -> members wanted at that level.  Each result row has its level's name in ``level`` and its
+    member in that level's column.
+    """
+    common = (
+        standard_filters(cube, names)
+        .ytd(date)
+        .show("maille_fine", "CTA_NUMERO")
+        .where("maille_fine", "CTA_NUMERO", contracts)
+        .where("produits", "L7_PRODUIT_LBR", [SAVINGS])
+    )
+    return run_levels({column: common.show("indicateurs", column).where("indicateurs", column, members) for column, members in levels.items()})

@@ -74,3 +74,14 @@ def clients(table: DataFrame, contracts: DataFrame, repaired_channels: Sequence[
     )
     joined = single.join(contract, ["NUMERO_CLIENT_2"], "left")
     return one_per_key(joined, ["NUMERO_CONTRAT"], ["NUMERO_CLIENT_2", "CDCATPR"])
+
+
+def holder_names_2(persons: DataFrame) -> DataFrame:
+    """Display name of a person of system 2: name and first name, or the quality where there is no name (companies)."""
+    named = F.concat_ws(" ", "NOM", "PRENOM")
+    return persons.withColumn("NOM_PRENOM_SOUSCRIPTEUR", F.when(F.col("NOM").isNull(), F.col("QUALITE")).otherwise(named))
+
+
+def holder_names_3(persons: DataFrame) -> DataFrame:
+    """Title and display name of a person of system 3; a company has its legal form for a title."""
+    return persons.withColumns({"CIVILITE": rb.TITLE_3.column(), "NOM_PRENOM_SOUSCRIPTEUR": F.concat_ws(" ", "NOM_CLIENT", "PRENOM_CLIENT")})

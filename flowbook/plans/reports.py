@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Period, contract_age
-from ..functions.codes import filled
 from ..operators.dedupe import null_safe_join, one_per_key
 from ..operators.flows import net_inflow, new_contract, status_count
 from ..operators.positions import stacked_sum
@@ -98,7 +97,3 @@ def portfolio_cut(base: DataFrame, portfolios: Sequence[str]) -> DataFrame:
         .groupBy("TOP_ONE", "CODE_PORTEFEUILLE", "TYPE_SUPPORT", "APPORTEUR", "SYSTEME")
         .agg(*[F.sum(c).alias(c) for c in ("Collecte_Brute_TOTALE", "Prestation_TOTALE", "Arbitrage_Entrant", "Arbitrage_Sortant", "PM_FIN")])
     )
-
-
-def retirement_only(rows: DataFrame, kept: Sequence[str] = ("RETRAITE", "EPARGNE"), label: str = "TOP_EPAR_RET_PREV") -> DataFrame:
-    return rows.filter(filled(label, "").isin(*kept))

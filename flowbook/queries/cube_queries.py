@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import pad_code
 from ..operators.cube import CubeSpec, Dimension, run_levels
 from ..operators.rules import FromColumn, RuleSet
-from ..plans.cube_studies import budget_study, contract_lookup, surrender_study
+from ..plans.cube_studies import budget_study, contract_levels, contract_lookup, surrender_study
 from .registry import query, shown, table
 
 MONEY = "decimal(18,2)"
@@ -242,3 +242,19 @@ def cube_contract_lookup(spark, sf_dir):
     return shown(contract_lookup(
         cube(spark, sf_dir), dt.date(1998, 12, 31), contracts, "L7_LBR_DESC",
         ["Prestations y compris acceptations", "Emissions Totales"], ["> Autres indicateurs (Montant)"]))
+
+
+_LOOKED_UP = f"""src6 = 'VIE_SOC' AND in_network AND p_size <= 45 AND p_type <> 'PROMO' AND year(fm) = 1998 AND cta IN (SELECT lpad(CAST(n AS VARCHAR), 16, '0') FROM range(0, 400) r(n))"""
+
+
+@query("cube_contract_levels", f"""
+WITH {CUBE}
+SELECT 'L5_LBR_DESC' AS level, cta AS "maille_fine_CTA_NUMERO", l5 AS "indicateurs_L5_LBR_DESC", NULL AS "indicateurs_L6_LBR_DESC", NULL AS "indicateurs_L7_LBR_DESC", CAST(SUM(v) AS DOUBLE) AS "Value"
+FROM cube WHERE {_LOOKED_UP} AND l5 IN ('Rachat total', 'Rachat partiel') GROUP BY ALL
+UNION ALL SELECT 'L6_LBR_DESC', cta, NULL, l6, NULL, CAST(SUM(v) AS DOUBLE) FROM cube WHERE {_LOOKED_UP} AND l6 = 'Nombre de rachats totaux' GROUP BY ALL
+UNION ALL SELECT 'L7_LBR_DESC', cta, NULL, NULL, l7, CAST(SUM(v) AS DOUBLE) FROM cube WHERE {_LOOKED_UP} AND l7 IN ('Apport Net', 'Emissions Totales') GROUP BY ALL
+""")
+def cube_contract_levels(spark, sf_dir):
+    """Given contracts at three levels of the indicators at once."""
+    levels = {"L5_LBR_DESC": ["Rachat total", "Rachat partiel"], "L6_LBR_DESC": ["Nombre de rachats totaux"], "L7_LBR_DESC": ["Apport Net", "Emissions Totales"]}
+    return shown(contract_levels(cube(spark, sf_dir), dt.date(1998, 12, 31), [f"{n:016d}" for n in range(400)], levels))

@@ -14,7 +14,7 @@ from ..plans.system2 import system2
 from ..plans.system3 import system3
 from . import standins as st
 from . import system_sql as sq
-from .registry import query, shown
+from .registry import query, shown, table
 
 PERIOD = Period(1998, 6)
 _FOLDERS: dict[tuple[str, str, str], str] = {}
@@ -53,9 +53,13 @@ def positions2(spark, sf_dir):
     return spark.read.parquet(folder)
 
 
+def tables2(spark, sf_dir):
+    ready = {name: frame for name, frame in st.frames(spark, sf_dir, st.SYSTEM2).items() if not name.startswith("positions_")}
+    return {**ready, "positions": positions2(spark, sf_dir)}
+
+
 def rows2(spark, sf_dir):
-    tables = {name: frame for name, frame in st.frames(spark, sf_dir, st.SYSTEM2).items() if not name.startswith("positions_")}
-    return system2({**tables, "positions": positions2(spark, sf_dir)}, PERIOD, segments(spark, sf_dir))
+    return system2(tables2(spark, sf_dir), PERIOD, segments(spark, sf_dir))
 
 
 def rows3(spark, sf_dir):
@@ -74,6 +78,36 @@ def system2_base(spark, sf_dir):
     return shown(rows2(spark, sf_dir))
 
 
+@query("extra_measures", f"""
+WITH {sq.SEGMENTS}, {sq.S2.replace(sq.measures() + ',', sq.measures() + ', ae - sa AS net_switch, fr, pb,')}
+SELECT "TYPE_SUPPORT" AS "TYPE_SUPPORT", "SEGMENT" AS "SEGMENT", CAST(SUM(net_switch) AS DOUBLE) AS "Arbitrage_Net", CAST(SUM(fr) AS DOUBLE) AS "Frais_de_gestion",
+  CAST(SUM(pb) AS DOUBLE) AS "Participation_aux_benefices", COUNT(*) AS rows FROM s2_rows GROUP BY ALL
+""")
+def extra_measures(spark, sf_dir):
+    """System 2 with the measures that the canonical row leaves out: net of switches, fees and profit shares."""
+    extra = ("Arbitrage_Net", "Frais_de_gestion", "Participation_aux_benefices")
+    rows = system2(tables2(spark, sf_dir), PERIOD, segments(spark, sf_dir), extra=extra)
+    return shown(rows.groupBy("TYPE_SUPPORT", "SEGMENT").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in extra], F.count(F.lit(1)).alias("rows")))
+
+
+@query("titles", """
+WITH p AS (SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS name, CASE WHEN c_custkey % 7 <> 0 THEN 'P' || c_nationkey END AS first, c_mktsegment AS quality,
+  CASE c_nationkey % 4 WHEN 0 THEN 'Madame' WHEN 1 THEN 'Monsieur' WHEN 2 THEN '' END AS polite, CASE WHEN c_custkey % 3 = 0 THEN 'SARL' END AS form FROM customer)
+SELECT c_custkey, CASE polite WHEN 'Madame' THEN 'Mme' WHEN 'Monsieur' THEN 'M.' ELSE form END AS title, concat_ws(' ', name, first) AS name_3,
+  CASE WHEN name IS NULL THEN quality ELSE concat_ws(' ', name, first) END AS name_2 FROM p
+""")
+def titles(spark, sf_dir):
+    """Titles and display names of the persons of systems 2 and 3."""
+    key = F.col("c_custkey")
+    persons = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(key % 5 != 0, F.col("c_name")).alias("NOM"), F.when(key % 7 != 0, F.concat(F.lit("P"), "c_nationkey")).alias("PRENOM"),
+        F.col("c_mktsegment").alias("QUALITE"), F.when(key % 3 == 0, "SARL").alias("LIBELLE_TYPE_SOCIETE"),
+        F.when(F.col("c_nationkey") % 4 == 0, "Madame").when(F.col("c_nationkey") % 4 == 1, "Monsieur").when(F.col("c_nationkey") % 4 == 2, "").alias("LIBELLE_POLITESSE"))
+    second = dimensions.holder_names_2(persons).withColumnRenamed("NOM_PRENOM_SOUSCRIPTEUR", "name_2")
+    third = dimensions.holder_names_3(second.withColumnsRenamed({"NOM": "NOM_CLIENT", "PRENOM": "PRENOM_CLIENT"}))
+    return third.select("c_custkey", F.col("CIVILITE").alias("title"), F.col("NOM_PRENOM_SOUSCRIPTEUR").alias("name_3"), "name_2")
+
+
 @query("system3_base", sq.system_sql(3, sq.S3))
 def system3_base(spark, sf_dir):
     """Canonical rows of system 3."""
