@@ -5,6 +5,7 @@ A word is a maximal run of bytes other than space and 0x09-0x0D, which is ``[^\\
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,13 +42,30 @@ def _powers(base: int, size: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+@lru_cache(maxsize=1)
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library keeps what it has
+        return None
+
+
+def give_back() -> None:
+    """Return memory that is free to the system: a Python worker lives on for later stages, beside other workers."""
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None:
+        _libc().malloc_trim(0)
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts and the n + 1 offsets into them; a null text is empty."""
+    """The bytes of all texts and the n + 1 offsets into them; a null text is empty.  Texts are not copied where none is null."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_string())
+    if column.null_count:
+        column = column.fill_null("")
+    width = np.int64 if column.type in (pa.large_string(), pa.large_binary()) else np.int32
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if len(column) else np.zeros(1, np.int64)
+    offsets = np.frombuffer(offsets, width, len(column) + 1, column.offset * width().itemsize).astype(np.int64) if len(column) else np.zeros(1, np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
@@ -60,8 +78,7 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
         yield lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         lo = hi
-    # Workers are kept for later stages; what Arrow holds in reserve goes back.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import computed_once
-from .flat import slices
-from .tokens import END_ID, default_path, encoder
+from .flat import give_back, slices
+from .tokens import END_ID, default_path, encoder, forget_encoders
 
 WINDOW = 4096
 PIECE = (
@@ -116,6 +116,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str | None = None, end_id: int =
                     pa.array(at, pa.int64()), pa.array(np.diff(ends)),
                     pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(found)]),
                 ], names=["part", "source", "doc_id", "at", "n", "ids"])
+        del enc
+        forget_encoders()
 
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text"]
     return docs.select(*columns).mapInArrow(encode, "part int, source string, doc_id long, at long, n long, ids binary")
@@ -152,6 +154,8 @@ def pack(docs: DataFrame, targets: Mapping[str | None, float] | None = None, win
                 name = None if pd.isna(name) else name
                 for lo in range(0, len(rows), 256):
                     yield _pieces(rows.iloc[lo:lo + 256], name, number[name], schedule, window)
+            del frame, rows
+            give_back()
 
     joined = stored.join(begins, (F.col("part") == F.col("part_")) & F.col("source").eqNullSafe(F.col("source_"))).select(
         "doc_id", "source", (F.col("at") + F.col("begin")).alias("queued"), "n", "ids",

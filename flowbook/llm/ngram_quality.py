@@ -25,8 +25,9 @@ SLOTS = 1 << _SLOT_BITS
 CHUNK_GRAMS, OFTEN = 1 << 22, 4
 # Other n-grams leave a task by so many at a time and are counted in parts of about so many; beside the part's number so
 # many bits of the hash tell them apart.
-DEAL_GRAMS, DEAL_TEXTS, PART_GRAMS, PART_BITS = 1 << 20, 1 << 15, 1 << 21, 38
+DEAL_GRAMS, DEAL_TEXTS, PART_GRAMS, PART_BITS = 1 << 19, 1 << 15, 1 << 21, 38
 FEW_IDS = 1 << 20
+SLICE = 1 << 20
 POINTS = 1 << 28
 PSEUDO = 2.0
 KEEP_TRUSTED = 0.995
@@ -116,13 +117,17 @@ def frequent(docs: DataFrame) -> np.ndarray:
         held, size = [], 0
 
         def often() -> Iterator[pa.RecordBatch]:
-            grams, many = np.unique(np.concatenate(held), return_counts=True)
-            grams, many = grams[many >= OFTEN].view(np.int64), many[many >= OFTEN]
+            grams = np.concatenate(held)
+            held.clear()
+            grams.sort()  # in place: a chunk is the largest array of the task
+            at = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]]) if len(grams) else np.zeros(0, np.int64)
+            many = np.diff(np.r_[at, len(grams)])
+            grams, many = grams[at[many >= OFTEN]].view(np.int64), many[many >= OFTEN]
             for lo in range(0, len(grams), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(grams[lo:lo + (1 << 16)]), pa.array(many[lo:lo + (1 << 16)])], names=["gram", "many"])
 
         for batch in batches:
-            for _, _, data, offsets in slices(batch.column("text")):
+            for _, _, data, offsets in slices(batch.column("text"), SLICE):
                 hashes, _, _, owner = word_hashes(data, offsets)
                 held.append(grams_of(hashes, owner)[0])
                 size += len(held[-1])
@@ -164,7 +169,7 @@ def counted(docs: DataFrame, target: DataFrame, keys: np.ndarray | None = None)
         raw, good = np.zeros(places + 1, np.int64), np.zeros(places + 1, np.int64)
         for batch in batches:
             trusted = batch.column("in_target").is_valid().to_numpy(zero_copy_only=False)
-            for lo, hi, data, offsets in slices(batch.column("text")):
+            for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
                 hashes, _, _, owner = word_hashes(data, offsets)
                 grams, owner = grams_of(hashes, owner)
                 place = places_of(grams, shared.value) + 1
@@ -222,7 +227,7 @@ def rare_points(docs: DataFrame, target: DataFrame, keys: np.ndarray, rare: int,
         for batch in batches:
             trusted = batch.column("in_target").is_valid().to_numpy(zero_copy_only=False)
             own = batch.column("ref").to_numpy()
-            for lo, hi, data, offsets in slices(batch.column("text")):
+            for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
                 hashes, _, _, owner = word_hashes(data, offsets)
                 found, owner = grams_of(hashes, owner)
                 other = places_of(found, shared.value) < 0
@@ -301,7 +306,7 @@ def score(docs: DataFrame, target: DataFrame) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, weights = shared.value
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column("text")):
+            for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
                 words = word_hashes(data, offsets)
                 stats = base_statistics(data, offsets, words)
                 grams, owner = grams_of(words[0], words[3])

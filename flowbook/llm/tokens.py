@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -10,7 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from .flat import word_hashes
+from .flat import give_back, word_hashes
 
 END_ID = 2
 # Python takes these for white space and the tokenizers library does not; texts with them go to the library whole.
@@ -153,5 +154,12 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each Python worker."""
+    """One encoder for each task of a Python worker; ``forget_encoders`` ends its life."""
     return Encoder(path)
+
+
+def forget_encoders() -> None:
+    """To be called at the end of a task: the next stage's tasks may need the memory for something else."""
+    encoder.cache_clear()
+    gc.collect()
+    give_back()
