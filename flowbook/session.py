@@ -54,10 +54,15 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     return f"{_root(spark)}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_working_folder(spark: SparkSession) -> None:
     """Delete this session's intermediate tables; frames that read them can no longer run."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_root(spark)}/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove_folder(spark, f"{_root(spark)}/{spark.sparkContext.applicationId}")
 
 
 def computed_once(df: DataFrame, purpose: str) -> DataFrame:
