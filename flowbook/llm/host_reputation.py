@@ -37,9 +37,39 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return rule, verdict
 
 
-def levels(host: Column) -> tuple[Column, Column]:
-    """Registered domain (the last two labels) and suffix (the last label) of a host."""
-    return F.substring_index(host, ".", -2), F.substring_index(host, ".", -1)
+IPV4 = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
+
+
+def site(host: Column) -> Column:
+    """The name of a host as the levels take it: without user part and port."""
+    return F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":[0-9]*$", "")
+
+
+def _last_labels(name: Column, count: Column) -> Column:
+    return F.call_function("substring_index", name, F.lit("."), -count)
+
+
+def levels(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """The hosts with ``domain`` and ``suffix``: the public suffix of the name, and one label more.
+
+    ``suffixes`` is a table of public suffixes of several labels (``suffix``: ``co.uk``, ``github.io``, ...); the longest
+    one that a name ends in counts, without one the last label.  A name that is itself a suffix is its own domain.
+    Addresses (IPv4, or in brackets) have no suffix above them: both levels are the address.
+    """
+    named = hosts.withColumn("_site", site(F.col("host")))
+    address_ = F.col("_site").rlike(IPV4) | F.col("_site").startswith("[")
+    if suffixes is None:
+        named = named.withColumn("_labels", F.lit(1))
+    else:
+        known = suffixes.select(F.translate(F.col("suffix"), UPPER, LOWER).alias("_tail")).where("_tail IS NOT NULL").distinct()
+        tails = named.select("host", F.posexplode(F.transform(
+            F.sequence(F.lit(1), F.size(F.split("_site", "\\."))), lambda k: _last_labels(F.col("_site"), k))).alias("_at", "_tail"))
+        longest = tails.join(known, "_tail").groupBy(F.col("host").alias("_host")).agg((F.max("_at") + 1).alias("_found"))
+        named = named.join(longest, F.col("host") == F.col("_host"), "left").withColumn("_labels", F.coalesce("_found", F.lit(1))).drop("_host", "_found")
+    return named.withColumns({
+        "domain": F.when(address_, F.col("_site")).otherwise(_last_labels(F.col("_site"), F.col("_labels") + 1)),
+        "suffix": F.when(address_, F.col("_site")).otherwise(_last_labels(F.col("_site"), F.col("_labels"))),
+    }).drop("_site", "_labels")
 
 
 def _strength(groups: DataFrame, prior: str) -> DataFrame:
@@ -58,7 +88,7 @@ def _strength(groups: DataFrame, prior: str) -> DataFrame:
     return live.select(strength.alias(prior))
 
 
-def reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
+def reputation(outcomes: DataFrame, z: float = Z, public_suffixes: DataFrame | None = None) -> DataFrame:
     """``host, domain, suffix, n, good, mean, upper, lower, corpus`` for every host from ``host, good`` rows.
 
     ``good`` is true, false or null (a page without an outcome counts for no level, its host still gets a posterior).
@@ -66,10 +96,9 @@ def reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
     the order of rows.  Each level is one aggregation of the one below, started by one partial aggregation per task,
     which a hot host does not skew.
     """
-    domain, suffix = levels(F.col("host"))
-    hosts = outcomes.groupBy("host").agg(
+    hosts = levels(outcomes.groupBy("host").agg(
         F.sum(F.when(F.col("good").isNotNull(), 1).otherwise(0)).alias("n"), F.sum(F.when(F.col("good"), 1).otherwise(0)).alias("good"),
-    ).withColumns({"domain": domain, "suffix": suffix})
+    ), public_suffixes)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     strengths = [_strength(hosts, "k"), _strength(domains, "k"), _strength(suffixes, "k")]
@@ -98,19 +127,23 @@ def reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
     )
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]], z: float = Z) -> DataFrame:
+def judge(
+    pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]], z: float = Z, public_suffixes: DataFrame | None = None,
+) -> DataFrame:
     """``page_id, host, path, rule, verdict, host_mean, host_upper`` for every page.
 
     Needs ``page_id, url`` of pages and ``page_id, good`` of outcomes; other columns are ignored.  The longest fitting
     rule decides; without one, the page is blocked if its host's upper bound lies below the corpus's share of good
     pages, else allowed.  Pages without a host are judged together as the host ``''``.  Repeated page rows are judged
     each; outcomes of a page id count for each page row and outcome row that meet.  Null outcomes count for nothing.
+    A page with a null ``page_id`` is judged and has no outcome; a very long url is one value like any other; an empty
+    table gives no rows.  ``public_suffixes`` are described at ``levels``.
     """
     host, path = address(F.col("url"))
     seen = pages.select("page_id", host.alias("host"), path.alias("path"))
     known = outcomes.where("page_id IS NOT NULL AND good IS NOT NULL").select(F.col("page_id").alias("id_"), F.col("good").alias("good_"))
     joined = seen.join(known, F.col("page_id") == F.col("id_"), "left").select("host", F.col("good_").alias("good"))
-    scores = reputation(joined, z).select(F.col("host").alias("host_"), "mean", "upper", "corpus")
+    scores = reputation(joined, z, public_suffixes).select(F.col("host").alias("host_"), "mean", "upper", "corpus")
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     by_host = F.when(F.col("upper") < F.col("corpus"), "block").otherwise("allow")
     return seen.join(scores, F.col("host") == F.col("host_")).select(

@@ -67,9 +67,11 @@ def _op4_sql() -> str:
              regexp_extract(coalesce(url, ''), '^(?:.|\\n)*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
     ruled AS (SELECT *, CASE {fits} END AS rule FROM seen),
     hosts AS (
-      SELECT host, CASE WHEN contains(host, '.') THEN split_part(host, '.', -2) || '.' || split_part(host, '.', -1) ELSE host END AS domain,
-             split_part(host, '.', -1) AS suffix, count(quality) AS n, coalesce(sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END), 0) AS good
-      FROM seen LEFT JOIN (SELECT * FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL) ON page_id = doc_id GROUP BY host),
+      SELECT host, CASE WHEN address OR NOT contains(site, '.') THEN site ELSE split_part(site, '.', -2) || '.' || split_part(site, '.', -1) END AS domain,
+             CASE WHEN address THEN site ELSE split_part(site, '.', -1) END AS suffix, count(quality) AS n, coalesce(sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END), 0) AS good
+      FROM (SELECT *, regexp_matches(site, '^[0-9]{{1,3}}(\\.[0-9]{{1,3}}){{3}}$') OR starts_with(site, '[') AS address FROM (
+        SELECT *, regexp_replace(regexp_replace(host, '^(?:.|\\n)*@', ''), ':[0-9]*$', '') AS site FROM seen))
+      LEFT JOIN (SELECT * FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL) ON page_id = doc_id GROUP BY host, site, address),
     domains AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY ALL),
     suffixes AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM domains GROUP BY ALL),
     corpus AS (SELECT CASE WHEN sum(n) > 0 THEN sum(good)::DOUBLE / sum(n) ELSE 0.5 END AS corpus FROM suffixes),

@@ -202,6 +202,31 @@ def test_a_bad_host_is_blocked_and_a_small_one_is_shrunk(spark):
     assert found["new.site0.net"].host_mean < found["h1.site1.net"].host_mean  # its domain has a bad host
 
 
+def test_levels_of_hosts(spark):
+    hosts = ["a.co.uk", "x.b.co.uk", "co.uk", "u@x.com:8080", "www.x.com", "10.0.0.1:80", "[::1]:8080", "", "localhost", "me.github.io", "b:", "k.www.ck"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    table = spark.createDataFrame([("CO.UK",), ("github.io",), ("co.uk",), (None,), ("www.ck",)], "suffix string")
+    got = {r.host: (r.domain, r.suffix) for r in host_reputation.levels(df, table).collect()}
+    assert got == {
+        "a.co.uk": ("a.co.uk", "co.uk"), "x.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "u@x.com:8080": ("x.com", "com"), "www.x.com": ("x.com", "com"),
+        "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "[::1]:8080": ("[::1]", "[::1]"), "": ("", ""), "localhost": ("localhost", "localhost"), "me.github.io": ("me.github.io", "github.io"),
+        "b:": ("b", "b"), "k.www.ck": ("k.www.ck", "www.ck"),
+    }
+    plain = {r.host: (r.domain, r.suffix) for r in host_reputation.levels(df).collect()}
+    assert plain["a.co.uk"] == ("co.uk", "uk") and plain["10.0.0.1:80"] == ("10.0.0.1", "10.0.0.1") and plain["u@x.com:8080"] == ("x.com", "com")
+
+
+def test_sites_below_one_public_suffix_do_not_share_a_domain(spark):
+    pages = [(k, f"http://{'bad' if k < 200 else 'fine'}.co.uk/{k}") for k in range(400)] + [(k, f"http://s{k % 9}.com:{k}/") for k in range(400, 500)] + [(500, "http://new.co.uk/")]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    outcomes = spark.createDataFrame([(k, k >= 200) for k in range(500)], "page_id long, good boolean")
+    suffixes = spark.createDataFrame([("co.uk",)], "suffix string")
+    found = {r.host: r for r in host_reputation.judge(df, outcomes, (), public_suffixes=suffixes).collect()}
+    assert found["bad.co.uk"].verdict == "block" and found["fine.co.uk"].verdict == "allow" and found["new.co.uk"].verdict == "allow"
+    known = host_reputation.reputation(spark.createDataFrame([("bad.co.uk", False), ("fine.co.uk", True)], "host string, good boolean"), public_suffixes=suffixes)
+    assert {r.domain for r in known.collect()} == {"bad.co.uk", "fine.co.uk"}
+
+
 def test_water_filling(spark):
     df = spark.createDataFrame([("b", 10), ("a", 100), ("c", 1000), (None, 0), ("d", 50)], "source string, source_size long")
     got = {r.source: r.target for r in entropy_balancing.targets(df).collect()}
