@@ -21,60 +21,92 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import computed_once, working_folder
-from .flat import mix, rolling, slices, texts_of
-from .repeats import covered, keyed, name_filter, once_per_text, passes, segments, shared_names, with_spans
+from .flat import mix, powers, range_hashes, slices, texts_of
+from .repeats import covered, keyed, once_per_text, packed_names, passes, segments, shared_filter, with_spans
 
 WINDOW = 50
 GRAM = 20
 CHUNK_MARKS = 32
-SHARD_BYTES = 1 << 19
+# A bucket's contexts make so many shards at least; the merge alone decides what two shards share.
+SHARD_BYTES, SHARDS = 1 << 17, 4
 LOT_ROWS = 20_000
+SLICE = 1 << 20
 BUCKET_ROWS = 4_000
-_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _END = 0
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of ``text`` in the order of their first ``depth`` symbols at least (ends are smaller and all different)."""
     ends = text == _END
-    rank = np.where(ends, np.cumsum(ends) - 1, text.astype(np.int64) + int(ends.sum()))
-    order, have = np.argsort(rank, kind="stable"), 1
-    while have < depth:
-        key = rank * np.int64(int(rank.max()) + 2)
+    # Seven symbols in one number first; behind an end everything is 0, and ends are told apart by their place.
+    symbols = text.astype(np.int64)
+    rank, open_ = symbols << 56 - 8, ~ends
+    for k in range(1, 7):
+        rank[:-k] |= np.where(open_[:-k], symbols[k:], 0) << 48 - 8 * k
+        open_[:-k] &= ~ends[k:]
+        open_[-k:] = False
+    order, have = np.argsort(rank), 7
+    placed = rank[order]
+    new = np.r_[False, placed[1:] != placed[:-1]]
+    # The number of a suffix's end: equal numbers that hold an end are different strings.
+    which = np.cumsum(ends) - ends
+    length = _to_end(ends)
+    short = length[order] < have
+    if short.any():
+        order = np.lexsort((np.where(length < have, which, 0), rank))
+        placed, many = rank[order], np.where(length < have, which + 1, 0)[order]
+        new = np.r_[False, (placed[1:] != placed[:-1]) | (many[1:] != many[:-1])]
+    rank = np.empty(len(text), np.int64)
+    rank[order] = np.cumsum(new)
+    while have < depth and int(rank.max()) < len(text) - 1:
+        key = rank * np.int64(len(text) + 1)
         key[:-have] += rank[have:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         placed = key[order]
-        rank = np.empty(len(text), np.int64)
-        rank[order] = np.cumsum(np.r_[0, placed[1:] != placed[:-1]])
-        if int(rank.max()) == len(text) - 1:
-            break
+        rank[order] = np.cumsum(np.r_[False, placed[1:] != placed[:-1]])
         have *= 2
     return order
 
 
+def _to_end(ends: np.ndarray) -> np.ndarray:
+    """How many symbols stand before the next end, for each place (0 at an end)."""
+    at = np.flatnonzero(ends)
+    places = np.arange(len(ends))
+    return at[np.searchsorted(at, places)] - places if len(at) else places[::-1] + 1
+
+
 def merged_blocks(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shard and place in its text of every suffix in merged order, and the block of suffixes with ``depth`` common symbols."""
+    """Shard and place in its text of every suffix in merged order, and the block of suffixes with ``depth`` common symbols.
+
+    No suffix is compared with another: step ``k`` deals the suffixes, as they lie, by the symbol before them, which each
+    shard's transform gives in its own order.
+    """
     orders = [suffix_order(s, 2 * depth) for s in shards]
+    kind = np.uint8 if max(int(s.max(initial=0)) for s in shards) < 256 else np.uint16
     # The symbol before each suffix; before a string's first one stands its end.
-    transform = np.concatenate([np.where(o > 0, s[o - 1], _END) for s, o in zip(shards, orders)]).astype(np.uint16)
+    transforms = [np.where(o > 0, s[o - 1], _END).astype(kind) for s, o in zip(shards, orders)]
     sizes = np.array([len(s) for s in shards])
-    z = np.repeat(np.arange(len(shards)), sizes).astype(np.uint16)
+    z = np.repeat(np.arange(len(shards), dtype=np.uint8 if len(shards) <= 256 else np.uint16), sizes)
     ends = np.array([int((s == _END).sum()) for s in shards])
-    end_block = np.repeat(np.arange(len(shards)), ends).astype(np.uint16)
+    end_block = np.repeat(np.arange(len(shards), dtype=z.dtype), ends)
     total = len(end_block)
-    block = np.zeros(len(z), np.int64)
+    block = np.zeros(len(z), np.int32)
+    before = np.empty(len(z), kind)
     for _ in range(depth):
-        before = np.empty(len(z), np.uint16)
-        before[np.argsort(z, kind="stable")] = transform
+        for s, symbols in enumerate(transforms):
+            before[z == s] = symbols
         order = np.argsort(before, kind="stable")
-        char, block = before[order], block[order]
-        z = z[order]
+        char, block, z = before[order], block[order], z[order]
         z[:total] = end_block  # the ends keep the order of their strings
-        new = np.r_[True, (char[1:] != char[:-1]) | (block[1:] != block[:-1])]
-        new[:total + 1] = True
-        block = np.cumsum(new) - 1
+        new = np.r_[False, (char[1:] != char[:-1]) | (block[1:] != block[:-1])]
+        new[1:total + 1] = True
+        block = np.cumsum(new, dtype=np.int32)
     place = np.empty(len(z), np.int64)
-    place[np.argsort(z, kind="stable")] = np.concatenate(orders)
+    for s, own in enumerate(orders):
+        place[z == s] = own
     return z, place, block
 
 
@@ -82,6 +114,7 @@ def _repeated(group: pd.DataFrame, window: int) -> pd.DataFrame:
     """``name, cd, i, m``: windows that occur in another context of a smaller document."""
     contents, docs = group["content"].tolist(), group["d0"].to_numpy(np.int64)
     part = group["part"].to_numpy()
+    limit = min(SHARD_BYTES, max(1, sum(map(len, contents)) // SHARDS))
     shards, rows, begins = [], [], []
     for value in np.unique(part):
         size, texts, which = 0, [], []
@@ -90,7 +123,7 @@ def _repeated(group: pd.DataFrame, window: int) -> pd.DataFrame:
             texts.append(np.zeros(1, np.uint16))
             which.append(k)
             size += len(contents[k]) + 1
-            if size >= SHARD_BYTES:
+            if size >= limit:
                 shards.append(texts), rows.append(which)
                 size, texts, which = 0, [], []
         if texts:
@@ -119,6 +152,14 @@ def _repeated(group: pd.DataFrame, window: int) -> pd.DataFrame:
     })
 
 
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A 64-bit hash of every ``gram`` consecutive bytes, from prefix sums of a polynomial."""
+    size = 1 << len(data).bit_length()
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_CODES[data] * powers(_BASE, size)[:len(data)], out=sums[1:])
+    return mix((sums[gram:] - sums[:-gram]) * powers(_INVERSE, size)[:len(data) - gram + 1])
+
+
 def marks_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Name, first window, number of windows and text of each mark: runs of windows with one least gram (the last of equal ones)."""
     gram = min(GRAM, window)
@@ -128,23 +169,19 @@ def marks_of(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW) -> tup
         return none.view(np.uint64), none, none, none
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     inside = np.where(text[:windows] == text[window - 1:], text[:windows], -1)
-    grams = rolling(_CODES[data], gram, 9)
+    grams = _gram_hashes(data, gram)
     wide = window - gram + 1
-    # The least gram of each window and where it is, by doubling.
-    least, at, have = grams, np.arange(len(grams)), 1
-
-    def lower(a, pa_, b, pb):
-        take = b <= a
-        return np.where(take, b, a), np.where(take, pb, pa_)
-
+    # The least gram of each window and where it is, by doubling: half a hash and the place in one number, so that the
+    # last of equal ones is the least.
+    least = (grams & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - np.arange(len(grams), dtype=np.uint64))
+    have = 1
     while 2 * have <= wide:
-        n = len(least) - have
-        least, at = lower(least[:n], at[:n], least[have:], at[have:])
+        least = np.minimum(least[:-have], least[have:])
         have *= 2
     rest = wide - have
-    least, at = lower(least[:windows], at[:windows], least[rest:rest + windows], at[rest:rest + windows])
+    at = (np.uint64(0xFFFFFFFF) - (np.minimum(least[:windows], least[rest:rest + windows]) & np.uint64(0xFFFFFFFF))).astype(np.int64)
     start, size = segments(at, inside)
-    return mix(least[start]), start, size, text[start]
+    return mix(grams[at[start]]), start, size, text[start]
 
 
 def _chunks(window: int):
@@ -153,7 +190,7 @@ def _chunks(window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs_, ths = batch.column("doc").to_numpy(), batch.column("th").to_numpy()
-            for lo, _, data, offsets in slices(batch.column("text")):
+            for lo, _, data, offsets in slices(batch.column("text"), SLICE):
                 name, where, many, text = marks_of(data, offsets, window)
                 begins = (name % np.uint64(CHUNK_MARKS) == 0) | np.r_[True, text[1:] != text[:-1]] if len(name) else np.zeros(0, bool)
                 start, of = where[begins], text[begins]
@@ -201,31 +238,51 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     live = texts.where("doc IS NOT NULL")
 
     def name_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = batch.column("spans").to_pylist()
-            for lo, hi, data, offsets in slices(batch.column("text")):
-                name, where, _, text = marks_of(data, offsets, window)
-                new = ~_inside(where, offsets, spans[lo:hi])
-                name, text = name[new], text[new]
-                yield pa.RecordBatch.from_arrays([pa.array(once_per_text(name, text))], names=["name"])
-
-    shared = spark.sparkContext.broadcast(name_filter(shared_names(live.select("text", "spans").mapInArrow(name_marks, "name long"))))
+        def names() -> Iterator[np.ndarray]:
+            for batch in batches:
+                spans = batch.column("spans").to_pylist()
+                for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
+                    name, where, _, text = marks_of(data, offsets, window)
+                    new = ~_inside(where, offsets, spans[lo:hi])
+                    yield once_per_text(name[new], text[new])
+
+        return packed_names(names())
+
+    shared = spark.sparkContext.broadcast(shared_filter(live.select("text", "spans").mapInArrow(name_marks, "part int, names binary")))
+
+    def found(batch: pa.RecordBatch, bits: np.ndarray):
+        """The marks of a batch that pass a filter, slice by slice, with a digest of their bytes."""
+        spans = batch.column("spans").to_pylist()
+        for lo, hi, data, offsets in slices(batch.column("text"), SLICE):
+            name, where, many, text = marks_of(data, offsets, window)
+            kept = passes(bits, name) & ~_inside(where, offsets, spans[lo:hi])
+            name, where, many, text = name[kept], where[kept], many[kept], text[kept]
+            digest = range_hashes(_CODES[data], where, where + many + window - 1).view(np.int64)
+            yield name.view(np.int64), digest, where, many.astype(np.int64), lo + text, where - offsets[text], data
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
-            docs_, ths, spans = batch.column("doc").to_numpy(), batch.column("th").to_numpy(), batch.column("spans").to_pylist()
-            for lo, hi, data, offsets in slices(batch.column("text")):
-                name, where, many, text = marks_of(data, offsets, window)
-                kept = passes(bits, name) & ~_inside(where, offsets, spans[lo:hi])
-                name, where, many, text = name[kept], where[kept], many[kept], text[kept]
-                raw = data.tobytes()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(name.view(np.int64)), pa.array(docs_[lo + text]), pa.array(ths[lo + text]), pa.array(where - offsets[text]),
-                    pa.array(many.astype(np.int64)), pa.array([raw[a:a + n + window - 1] for a, n in zip(where.tolist(), many.tolist())], pa.binary()),
-                ], names=["name", "doc", "th", "p", "n", "content"])
+            docs_, ths = batch.column("doc").to_numpy(), batch.column("th").to_numpy()
+            for name, digest, _, many, row, p, _ in found(batch, shared.value):
+                columns = [name, digest, docs_[row], ths[row], p, many]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["name", "cd", "doc", "th", "p", "n"])
+
+    marks = computed_once(live.mapInArrow(emit, "name long, cd long, doc long, th long, p long, n long"), "marks")
+
+    def contents_of(bits: np.ndarray) -> DataFrame:
+        wanted = spark.sparkContext.broadcast(bits)
+
+        def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                docs_ = batch.column("doc").to_numpy()
+                for name, digest, where, many, row, _, data in found(batch, wanted.value & shared.value):
+                    # Equal contexts of one document are sent once.
+                    _, first = np.unique(np.stack((name, digest, docs_[row])), axis=1, return_index=True)
+                    raw = data.tobytes()
+                    texts = pa.array([raw[a:a + n + window - 1] for a, n in zip(where[first].tolist(), many[first].tolist())], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(name[first]), pa.array(digest[first]), pa.array(docs_[row][first]), texts], names=["name", "cd", "doc", "content"])
 
-    marks = computed_once(live.mapInArrow(emit, "name long, doc long, th long, p long, n long, content binary"), "marks")
+        return live.mapInArrow(contents, "name long, cd long, doc long, content binary")
 
     def look(contents: DataFrame) -> DataFrame:
         contents = computed_once(contents, "contexts")
@@ -240,7 +297,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         pairs = dealt.select("bucket", F.least("part", "other").alias("bi"), F.greatest("part", "other").alias("bj"), "part", "name", "cd", "content", "d0")
         return pairs.groupBy("bucket", "bi", "bj").applyInPandas(lambda g: _repeated(g, window), "name long, cd long, i long, m long")
 
-    joined = with_spans(texts.withColumnRenamed("spans", "long_runs"), covered(marks, look))
+    joined = with_spans(texts.withColumnRenamed("spans", "long_runs"), covered(marks, look, contents_of))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

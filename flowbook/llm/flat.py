@@ -36,7 +36,7 @@ def _byte_codes() -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def _powers(base: int, size: int) -> np.ndarray:
+def powers(base: int, size: int) -> np.ndarray:
     out = np.full(size, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
@@ -107,9 +107,9 @@ def span_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray, limit: int
         base, stop = int(first[lo]), int(end[hi - 1])
         size = 1 << max(limit.bit_length(), (stop - base).bit_length())
         sums = np.zeros(stop - base + 1, np.uint64)
-        np.cumsum(_byte_codes()[data[base:stop]] * _powers(_BASE, size)[:stop - base], out=sums[1:])
+        np.cumsum(_byte_codes()[data[base:stop]] * powers(_BASE, size)[:stop - base], out=sums[1:])
         a, b = first[lo:hi] - base, end[lo:hi] - base
-        out[lo:hi] = mix((sums[b] - sums[a]) * _powers(_INVERSE, size)[a] + (b - a).astype(np.uint64))
+        out[lo:hi] = mix((sums[b] - sums[a]) * powers(_INVERSE, size)[a] + (b - a).astype(np.uint64))
         lo = hi
     return out
 
@@ -146,8 +146,8 @@ def range_hashes(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nd
     """A 64-bit hash of ``values[low:high]`` for each pair of bounds, from prefix sums of a polynomial."""
     size = 1 << len(values).bit_length()
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _powers(_BASE, size)[:len(values)], out=sums[1:])
-    return mix((sums[high] - sums[low]) * _powers(_INVERSE, size)[low] + (high - low).astype(np.uint64))
+    np.cumsum(values * powers(_BASE, size)[:len(values)], out=sums[1:])
+    return mix((sums[high] - sums[low]) * powers(_INVERSE, size)[low] + (high - low).astype(np.uint64))
 
 
 def packed(*columns: np.ndarray) -> bytes:

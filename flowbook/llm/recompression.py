@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..session import computed_once
 from .flat import mix, range_hashes, rolling, slices, word_hashes, word_spans
-from .repeats import covered, keyed, name_filter, once_per_text, owners, passes, segments, shared_names, with_spans
+from .repeats import covered, keyed, once_per_text, owners, packed_names, passes, segments, shared_filter, with_spans
 
 WINDOW = 50
 ROUNDS = 4
@@ -107,13 +107,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] =
     live = texts.where("doc IS NOT NULL")
 
     def name_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, offsets in slices(batch.column("text"), SLICE):
-                hashes, _, _, text = word_hashes(data, offsets)
-                name, where, _ = marks_of(hashes, text, window)
-                yield pa.RecordBatch.from_arrays([pa.array(once_per_text(name, text[where]))], names=["name"])
+        def names() -> Iterator[np.ndarray]:
+            for batch in batches:
+                for _, _, data, offsets in slices(batch.column("text"), SLICE):
+                    hashes, _, _, text = word_hashes(data, offsets)
+                    name, where, _ = marks_of(hashes, text, window)
+                    yield once_per_text(name, text[where])
+
+        return packed_names(names())
 
-    shared = spark.sparkContext.broadcast(name_filter(shared_names(live.select("text").mapInArrow(name_marks, "name long"))))
+    shared = spark.sparkContext.broadcast(shared_filter(live.select("text").mapInArrow(name_marks, "part int, names binary")))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value

@@ -20,13 +20,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import computed_once
+from .flat import packed, unpacked
 
 FILTER_BITS = 1 << 25
 
 
-def shared_names(names: DataFrame) -> DataFrame:
-    """The names that occur in two rows of documents at least, from one ``name`` per row it occurs in."""
-    return computed_once(names.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name"), "shared-names")
+NAME_BITS, NAME_PARTS = 40, 64
+CHUNK_NAMES = 1 << 20
+
+
+def packed_names(batches: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Names (each once per text) as rows ``part, names``: the sorted first ``NAME_BITS`` bits, as steps, by their highest ones."""
+    held, size = [], 0
+
+    def sent() -> pa.RecordBatch:
+        names = np.concatenate(held) >> np.uint64(64 - NAME_BITS)
+        names.sort()
+        edges = np.searchsorted(names, np.arange(NAME_PARTS + 1, dtype=np.uint64) << np.uint64(NAME_BITS - (NAME_PARTS - 1).bit_length()))
+        rows = [(k, packed(np.diff(names[lo:hi].view(np.int64), prepend=0))) for k, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if hi > lo]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "names"])
+
+    for names in batches:
+        held.append(names.view(np.uint64))
+        size += len(names)
+        if size >= CHUNK_NAMES:
+            yield sent()
+            held, size = [], 0
+    if size:
+        yield sent()
+
+
+def shared_filter(packed_rows: DataFrame) -> np.ndarray:
+    """The filter over all names that two texts have at least, from rows of ``packed_names``.
+
+    Two names with equal first bits pass as shared: then a name too many passes the filter, never one too few.  A part of
+    names is merged in slices of its range, so that no task holds more than one slice of all names.
+    """
+    shift = NAME_BITS - (FILTER_BITS - 1).bit_length()
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            held += batch.column("names").to_pylist()
+        # Stretches of a few filter words each, one after the other: of every run only what lies there is open.
+        runs = [np.cumsum(unpacked(block, 1)[0]) for block in held]
+        if not runs:
+            return
+        low, high = min(int(r[0]) for r in runs), max(int(r[-1]) for r in runs)
+        step = max(1 << shift, -(-(high - low + 1) // max(1, sum(map(len, runs)) // CHUNK_NAMES + 1)))
+        step = -(-step >> shift) << shift
+        for start in range(low >> shift << shift, high + 1, step):
+            names = np.concatenate([r[np.searchsorted(r, start):np.searchsorted(r, start + step)] for r in runs])
+            names.sort()
+            at = np.unique(names[1:][names[1:] == names[:-1]] >> shift)
+            words, first = np.unique(at >> 6, return_index=True)
+            bits = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first).view(np.int64) if len(at) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits)], names=["word", "bits"])
+
+    dealt = packed_rows.repartition(NAME_PARTS, "part")
+    return _bits(dealt.mapInArrow(mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")))
+
+
+def _bits(rows: DataFrame) -> np.ndarray:
+    """Filter words as one array; at most ``FILTER_BITS / 64`` rows."""
+    found = rows.toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out
 
 
 def name_filter(names: DataFrame) -> np.ndarray:
@@ -34,10 +94,8 @@ def name_filter(names: DataFrame) -> np.ndarray:
     # Names are hashes already: their top bits are the place.
     at = F.shiftrightunsigned("name", 64 - (FILTER_BITS - 1).bit_length())
     placed = names.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("bit"))
-    rows = placed.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
-    return out
+    rows = placed.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return _bits(rows)
 
 
 def keyed(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -46,21 +104,25 @@ def keyed(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), "text", *kept)
 
 
-def covered(marks: DataFrame, look: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def covered(marks: DataFrame, look: Callable[[DataFrame], DataFrame], contents_of: Callable[[np.ndarray], DataFrame] | None = None) -> DataFrame:
     """``doc, th, p, n``: runs of windows that also start in a document with a smaller id.
 
     ``marks`` has ``name, doc, th, p, n, content``; equal contents of one name are told by a digest ``cd``.  ``look``
     gets ``name, cd, content, d0`` (the smallest document with that content), for names with two contents at least,
     and returns ``name, cd, i, m``: windows ``i`` to ``i + m`` of the content that also occur in another content with
     a smaller ``d0``.  The contents themselves pass one shuffle, and only where ``look`` needs them.
+
+    With ``contents_of``, marks have the digest ``cd`` in place of the content, and contents are taken from the texts again:
+    it gets a filter and returns ``name, cd, doc, content`` of the marks whose names pass it.
     """
-    digest = F.xxhash64("content").alias("cd")
+    digest = F.col("cd") if contents_of else F.xxhash64("content").alias("cd")
     lean = marks.select("name", digest, "doc", "th", "p", "n")
     first = computed_once(lean.groupBy("name", "cd").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")), "contents")
     same = (F.col("name") == F.col("n2")) & (F.col("cd") == F.col("c2"))
     several = first.groupBy(F.col("name").alias("several")).agg(F.count("*").alias("k"), F.min("d0").alias("lo"), F.max("d0").alias("hi")).where("k > 1 AND lo < hi")
     wanted = computed_once(first.join(several, F.col("name") == F.col("several")).select(F.col("name").alias("n2"), F.col("cd").alias("c2"), "d0"), "ambiguous")
-    kept = passing(marks.select("name", digest, "doc", "content"), name_filter(wanted.select(F.col("n2").alias("name")).distinct()))
+    bits = name_filter(wanted.select(F.col("n2").alias("name")).distinct())
+    kept = contents_of(bits) if contents_of else passing(marks.select("name", digest, "doc", "content"), bits)
     contents = kept.join(wanted, same & (F.col("doc") == F.col("d0"))).select("name", "cd", "content", "d0")
     inner = computed_once(look(contents.dropDuplicates(["name", "cd"])), "inner")
     runs = inner.groupBy(F.col("name").alias("n3"), F.col("cd").alias("c3")).agg(F.collect_list(F.struct("i", "m")).alias("runs"))
