@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import computed_once, working_folder
-from .flat import mix, powers, range_hashes, slices, texts_of
+from .flat import mix, powers, range_hashes, slices, small_batches, texts_of
 from .repeats import covered, keyed, once_per_text, packed_names, passes, segments, shared_filter, with_spans
 
 WINDOW = 50
@@ -225,6 +225,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     gets its own result.  An empty table gives no rows.  What is kept of a text need not be valid UTF-8.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     # Long equal stretches are settled whole first: every window in one is covered by the smallest document that has it,
     # so their places in later documents need no marks.
     chunks = computed_once(keyed(docs).where("doc IS NOT NULL").mapInArrow(_chunks(window), "c1 long, c2 long, doc long, th long, p long, n long"), "chunks")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import computed_once
 from .components import components
-from .flat import mix, rolling, slices, word_hashes
+from .flat import mix, rolling, slices, small_batches, word_hashes
 from .repeats import name_filter, passes
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -293,6 +293,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     rows count as copies.  An empty table gives no rows.  The sets are verified whole; the sketches only choose whom
     to compare, and miss a link with a probability of at most ``1 - recall``.
     """
+    small_batches(docs.sparkSession)
     described = computed_once(_described(docs), "sketches")
     texts = computed_once(described.where("tid IS NOT NULL").groupBy("tid").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sketch").alias("sketch"),

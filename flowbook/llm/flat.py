@@ -12,6 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -50,6 +51,15 @@ def _libc():
         return None
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand texts to Python a few MB at a time, not ten thousand rows; a setting of the session's own stays."""
+    if BATCH not in dict(spark.conf.getAll):
+        spark.conf.set(BATCH, "4m")
+
+
 def give_back() -> None:
     """Return memory that is free to the system: a Python worker lives on for later stages, beside other workers."""
     pa.default_memory_pool().release_unused()

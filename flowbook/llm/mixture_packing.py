@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import computed_once
-from .flat import give_back, slices
+from .flat import give_back, slices, small_batches
 from .tokens import END_ID, default_path, encoder, forget_encoders
 
 WINDOW = 4096
@@ -135,6 +135,7 @@ def pack(docs: DataFrame, targets: Mapping[str | None, float] | None = None, win
 
     The driver holds one total per source: the list of sources is the mixture's own setting, not data that grows.
     """
+    small_batches(docs.sparkSession)
     # Written once: the second pass needs the same ids, and a lost executor must not renumber queues.
     stored = computed_once(tokenized(docs, tokenizer_path, end_id), "packing-tokens")
     spent = stored.groupBy("part", "source").agg(F.sum("n").alias("n_part"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import computed_once
-from .flat import mix, packed, rolling, slices, span_hashes, unpacked, word_hashes
+from .flat import mix, packed, rolling, slices, small_batches, span_hashes, unpacked, word_hashes
 
 # Frequent n-grams have a place by the first bits of their hash; an n-gram that a chunk of a task has less often is none.
 _SLOT_BITS, WAYS = 19, 2
@@ -341,6 +341,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labels of both kinds nothing is dropped beyond the base rules.  ``_h`` is a hash of the text, to tell rows with one
     ``doc_id`` apart.
     """
+    small_batches(docs.sparkSession)
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
         F.min(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")).cast("boolean").alias("trusted"),
     ).withColumn("fit", F.col("trusted") & (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0))

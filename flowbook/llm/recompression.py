@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import computed_once
-from .flat import mix, range_hashes, rolling, slices, word_hashes, word_spans
+from .flat import mix, range_hashes, rolling, slices, small_batches, word_hashes, word_spans
 from .repeats import covered, keyed, once_per_text, owners, packed_names, passes, segments, shared_filter, with_spans
 
 WINDOW = 50
@@ -103,6 +103,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] =
     empty table gives no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = keyed(docs)
     live = texts.where("doc IS NOT NULL")
 
