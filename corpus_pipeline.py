@@ -69,7 +69,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is a source of its own; a document without words takes no words, and copies by the rate of its source
     like any other (none where the source has no words).  Repeated rows get copies each.
     """
-    mixed = entropy_balancing.mix(docs.select("doc_id", "text", "source", F.struct("*").alias("row")), keep=["row"])
+    mixed = entropy_balancing.mix(docs.select("doc_id", "text", "source", "lang", F.struct("*").alias("row")), keep=["row"])
     return mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 

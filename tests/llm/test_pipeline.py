@@ -127,15 +127,13 @@ def test_mixing_repeats_whole_documents(spark, labels_dir):
     rows = [(k, "w " * (k % 37), f"s{k % 3}") for k in range(900)] + [(901, None, None), (902, "x y", None), (902, "x y", None)]
     df = frame(spark, rows)
     got = identity(pipeline.mixing(spark, df, labels_dir))
-    sizes, targets = Counter(), {r.source: r.target for r in entropy_balancing.mix(df).select("source", "target").distinct().collect()}
-    for _, t, s in rows:
-        sizes[s] += len(WORD.findall(t or ""))
-    words = Counter()
+    targets, rates, words = {}, {}, Counter()
+    for r in entropy_balancing.mix(df).collect():
+        targets[r.source], rates[r.doc_id, r.text, r.source] = r.target, r.rate
     for (i, t, s), n in got.items():
         words[s] += n * len(WORD.findall(t or ""))
-        rate = targets[s] / sizes[s]
-        assert math.floor(rate) <= n / Counter(rows)[i, t, s] <= math.ceil(rate)
-    assert set(got) <= set(rows) and all(abs(words[s] - targets[s]) <= 40 for s in sizes)
+        assert math.floor(rates[i, t, s]) <= n / Counter(rows)[i, t, s] <= math.ceil(rates[i, t, s])
+    assert set(got) <= set(rows) and all(abs(words[s] - targets[s]) <= 40 for s in targets)
     decided = Counter()
     for r in entropy_balancing.mix(df).collect():
         decided[r.doc_id, r.text, r.source] += r.copies

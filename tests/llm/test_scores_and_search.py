@@ -243,6 +243,52 @@ def test_water_filling(spark):
     assert all(math.isclose(got[s], want[s], abs_tol=1e-9) for s in sizes)
 
 
+def test_newton_against_a_dense_solver(spark):
+    """The multipliers of the dual, against many small gradient steps in plain Python."""
+    rng = np.random.default_rng(6)
+    cells = [([f"s{a}", f"l{b}", f"n{c}"], float(rng.integers(1, 400))) for a in range(3) for b in range(2) for c in range(4) if rng.random() < 0.9]
+    hard = {f"s{a}": sum(w for g, w in cells if g[0] == f"s{a}") * f for a, f in enumerate((0.4, 1.3, 1.9))}
+    everything, wanted = sum(w for _, w in cells), sum(hard.values())
+    soft = {g: wanted * sum(w for own, w in cells if g in own) / everything for g in ("l0", "l1", "n0", "n1", "n2", "n3")}
+    found = entropy_balancing.multipliers(spark.createDataFrame(cells, "groups array<string>, words double"), hard, soft, 2.0)
+    at = dict.fromkeys(found, 0.0)
+    goal = {**hard, **soft}
+    for _ in range(60_000):
+        taken = dict.fromkeys(at, 0.0)
+        for own, w in cells:
+            rate = min(2.0, math.exp(sum(at[g] for g in own)))
+            for g in own:
+                taken[g] += w * rate
+        for g in at:
+            at[g] += 0.05 * (1 - taken[g] / goal[g] - (entropy_balancing.PENALTY * at[g] if g in soft else 0))
+    # One direction of the multipliers of capped cells is flat, so rates are compared.
+    for own, w in cells:
+        rates = [min(2.0, math.exp(sum(m[g] for g in own))) for m in (found, at)]
+        assert math.isclose(*rates, abs_tol=1e-4)
+    with pytest.raises(ArithmeticError):
+        entropy_balancing.multipliers(spark.createDataFrame(cells, "groups array<string>, words double"), {"s0": 1e9}, {}, 2.0, rounds=5)
+
+
+def test_rates_differ_inside_a_source_and_keep_the_languages(spark):
+    rows = []
+    for k in range(1200):
+        source, lang = "abc"[k % 3], "en" if k % 3 == 1 and k % 5 else "fr" if k % 7 else None
+        rows.append((k, "w " * (5 + k % 90), source, lang))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    with_, without = (entropy_balancing.mix(df, balance=b).collect() for b in (("lang",), ()))
+    assert len({round(r.rate, 9) for r in with_ if r.source == "b"}) > 2
+
+    def share(found, lang):
+        return sum(r.taken for r in found if r.lang == lang) / sum(r.taken for r in found)
+
+    before = {lang: sum(5 + k % 90 for k, _, _, own in rows if own == lang) / sum(5 + k % 90 for k in range(1200)) for lang in ("en", "fr", None)}
+    assert sum(abs(share(with_, lang) - p) for lang, p in before.items()) < sum(abs(share(without, lang) - p) for lang, p in before.items())
+    for found in (with_, without):
+        for source in "abc":
+            mine = [r for r in found if r.source == source]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= 100 and all(r.taken <= 2 * r.size for r in mine)
+
+
 def test_mix_meets_targets(spark, docs, empty, awkward):
     rows = [(k, "w " * (k % 37), f"s{k % 3}") for k in range(900)] + [(901, None, None), (902, "x y", None), (902, "x y", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -251,7 +297,7 @@ def test_mix_meets_targets(spark, docs, empty, awkward):
     for source in ("s0", "s1", "s2"):
         mine = [r for r in found if r.source == source]
         assert abs(sum(r.taken for r in mine) - mine[0].target) <= 40
-        assert math.isclose(mine[0].rate, mine[0].target / mine[0].source_size, rel_tol=1e-9)
+        assert math.isclose(sum(r.rate * r.size for r in mine), mine[0].target, rel_tol=1e-6) and all(r.copies in (math.floor(r.rate), math.ceil(r.rate)) for r in mine)
     again = entropy_balancing.mix(df.repartition(7)).collect()
     assert Counter((r.doc_id, r.copies) for r in again) == Counter((r.doc_id, r.copies) for r in found)
     odd = entropy_balancing.mix(docs)
