@@ -78,35 +78,55 @@ def _to_end(ends: np.ndarray) -> np.ndarray:
     return at[np.searchsorted(at, places)] - places if len(at) else places[::-1] + 1
 
 
+def _before(text: np.ndarray, order: np.ndarray, count: int) -> np.ndarray:
+    """The ``count`` symbols before each suffix, as one number; before a string's first symbol stands its end."""
+    ends = np.flatnonzero(text == _END)
+    size = np.diff(np.r_[-1, ends])
+    start, length = np.repeat(ends + 1 - size, size), np.repeat(size, size)
+    place = np.arange(len(text)) - start
+    out = np.zeros(len(text), np.int64)
+    for k in range(count, 0, -1):
+        out = out << 8 * (text.dtype.itemsize if count > 1 else 1) | text[start + (place - k) % length]
+    return out[order]
+
+
 def merged_blocks(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shard and place in its text of every suffix in merged order, and the block of suffixes with ``depth`` common symbols.
 
-    No suffix is compared with another: step ``k`` deals the suffixes, as they lie, by the symbol before them, which each
-    shard's transform gives in its own order.
+    Shards are strings, each closed by an end.  No suffix is compared with another: a step deals the suffixes, as they lie,
+    by the symbols before them, which each shard's transform gives in its own order.  Steps take two symbols at once,
+    so that 25 of them make 50; the last one takes a single symbol where ``depth`` is odd.
     """
+    wide = max(int(s.max(initial=0)) for s in shards) > 255
+    shards = [s.astype(np.uint16 if wide else np.uint8) for s in shards]
     orders = [suffix_order(s, 2 * depth) for s in shards]
-    kind = np.uint8 if max(int(s.max(initial=0)) for s in shards) < 256 else np.uint16
-    # The symbol before each suffix; before a string's first one stands its end.
-    transforms = [np.where(o > 0, s[o - 1], _END).astype(kind) for s, o in zip(shards, orders)]
-    sizes = np.array([len(s) for s in shards])
-    z = np.repeat(np.arange(len(shards), dtype=np.uint8 if len(shards) <= 256 else np.uint16), sizes)
-    ends = np.array([int((s == _END).sum()) for s in shards])
-    end_block = np.repeat(np.arange(len(shards), dtype=z.dtype), ends)
-    total = len(end_block)
+    steps = [1] * depth if wide else [2] * (depth // 2) + [1] * (depth % 2)
+    transforms = {n: [_before(s, o, n).astype(np.uint16) for s, o in zip(shards, orders)] for n in set(steps)}
+    z = np.repeat(np.arange(len(shards), dtype=np.uint8 if len(shards) <= 256 else np.uint16), [len(s) for s in shards])
+    # Ends are all different, in the order of their strings: their shards, and the shards of last symbols followed by an end.
+    end_shard = np.concatenate([np.full(int((s == _END).sum()), k, z.dtype) for k, s in enumerate(shards)])
+    lasts = np.concatenate([np.r_[s[:1], s[:-1]][s == _END] for s in shards])
+    last_shard = end_shard[np.argsort(lasts, kind="stable")]
+    total = len(end_shard)
     block = np.zeros(len(z), np.int32)
-    before = np.empty(len(z), kind)
-    for _ in range(depth):
-        for s, symbols in enumerate(transforms):
-            before[z == s] = symbols
+    before = np.empty(len(z), np.uint16)
+    for n in steps:
+        for k, symbols in enumerate(transforms[n]):
+            before[z == k] = symbols
         order = np.argsort(before, kind="stable")
         char, block, z = before[order], block[order], z[order]
-        z[:total] = end_block  # the ends keep the order of their strings
+        z[:total] = end_shard
         new = np.r_[False, (char[1:] != char[:-1]) | (block[1:] != block[:-1])]
         new[1:total + 1] = True
+        if n == 2:
+            closed = np.flatnonzero(char[total:] & 0xFF == _END) + total
+            z[closed] = last_shard
+            new[closed] = True
+            new[np.minimum(closed + 1, len(new) - 1)] = True
         block = np.cumsum(new, dtype=np.int32)
     place = np.empty(len(z), np.int64)
-    for s, own in enumerate(orders):
-        place[z == s] = own
+    for k, own in enumerate(orders):
+        place[z == k] = own
     return z, place, block
 
 
