@@ -2,9 +2,10 @@
 
 Largest inner product is nearest distance once every vector is lifted to one length (one more component) and the
 query is scaled to that length.  Gaussian projections to ``M`` dimensions keep distances up to a factor whose square
-is chi-square with ``M`` degrees of freedom.  Cells of a kd-tree over the projected space are visited from the nearest
-on, their vectors are verified in double precision, and the search ends when a vector as near as the current last
-neighbour would, with probability ``CONFIDENCE``, have had a nearer projection than any left.
+is chi-square with ``M`` degrees of freedom.  Cells of a kd-tree over the projected space whose boxes are near enough are
+opened, their vectors are verified one after the other in the order of their projected distance, in double precision,
+and the search ends when a vector as near as the current last neighbour would, with probability ``CONFIDENCE``, have
+had a nearer projection than any left.  A true neighbour is missed with a chance of ``1 - CONFIDENCE`` at most.
 
 The top of the tree divides the table into cells that Spark groups by; each group builds the lower levels itself.
 Round one searches a query's own cell, which bounds round two to the cells the test does not rule out.
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from ..session import computed_once
 
-M = 8
-CONFIDENCE = 0.99
+M = 32
+CONFIDENCE = 0.999
 K = 20
 SEED = 20
 SAMPLE_ROWS, LEAST_SAMPLE = 20_000, 1024
@@ -31,6 +32,7 @@ CELL_ROWS = 4096
 MOST_CELLS = 1024
 GROUP_ROWS, GROUP_QUERIES = 8192, 2048
 BUCKET = 64
+BLOCK, CHUNK = 64, 128
 
 
 def chi_square_cdf(x: np.ndarray, m: int = M) -> np.ndarray:
@@ -145,32 +147,58 @@ def _buckets(points: np.ndarray) -> list[np.ndarray]:
 
 
 def _search(pdf: pd.DataFrame, k: int, lengths: dict[int, float]) -> pd.DataFrame:
-    """The ``k`` nearest of a group's vectors for each of its queries, by incremental visits to the tree's leaves."""
+    """The ``k`` nearest of a group's vectors for each of its queries; ``verified`` says how many were looked at."""
     data, queries = pdf[~pdf["is_query"]], pdf[pdf["is_query"]]
-    found: dict[str, list] = {"query_id": [], "query_v": [], "vec_id": [], "score": []}
+    found: dict[str, list] = {"query_id": [], "query_v": [], "vec_id": [], "score": [], "verified": []}
     if len(data) and len(queries):
         ids, vectors, points = data["vec_id"].to_numpy(np.int64), _stack(data["embedding"]), _stack(data["projected"])
         length, leaves = lengths[vectors.shape[1]], _buckets(points)
         lo, hi = np.array([points[r].min(axis=0) for r in leaves]), np.array([points[r].max(axis=0) for r in leaves])
-        for own, own_v, vector, point, bound in zip(queries["vec_id"].tolist(), queries["_v"].tolist(), _stack(queries["embedding"]), _stack(queries["projected"]), queries["bound"].tolist()):
-            gaps = _gaps(point, lo, hi)
-            scale = length / math.sqrt(float((vector * vector).sum()))
-            best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-            for leaf in np.argsort(gaps, kind="stable"):
-                last = max(bound, best[-1] if len(best) >= k else -np.inf)
-                # Squared distance to the last neighbour after lifting; rounding may push it below 0.
-                if gaps[leaf] > STOP * max(2 * length * length - 2 * scale * last, 0.0) + 1e-9 * length * length:
-                    break
-                rows = leaves[leaf]
-                rows = rows[ids[rows] != own]
-                best_ids, best = np.concatenate((best_ids, ids[rows])), np.concatenate((best, (vectors[rows] * vector).sum(axis=1)))
-                order = np.lexsort((best_ids, -best))[:k]
-                best_ids, best = best_ids[order], best[order]
-            found["query_id"] += [own] * len(best)
-            found["query_v"] += [own_v] * len(best)
-            found["vec_id"] += best_ids.tolist()
-            found["score"] += best.tolist()
-    return pd.DataFrame(found).astype({"query_id": "int64", "query_v": "int64", "vec_id": "int64", "score": "float64"})
+        leaf_of = np.empty(len(points), np.int64)
+        for n, rows in enumerate(leaves):
+            leaf_of[rows] = n
+        squares = (points * points).sum(axis=1)
+        for at in range(0, len(queries), CHUNK):
+            part = queries.iloc[at:at + CHUNK]
+            projected = _stack(part["projected"])
+            apart = np.maximum((projected * projected).sum(axis=1)[:, None] + squares - 2 * projected @ points.T, 0)
+            for own, own_v, vector, point, bound, far in zip(
+                part["vec_id"].tolist(), part["_v"].tolist(), _stack(part["embedding"]), projected, part["bound"].tolist(), apart,
+            ):
+                best_ids, best, verified = _nearest(own, vector, bound, far, _gaps(point, lo, hi)[leaf_of], ids, vectors, k, length)
+                found["query_id"] += [own] * len(best)
+                found["query_v"] += [own_v] * len(best)
+                found["vec_id"] += best_ids.tolist()
+                found["score"] += best.tolist()
+                found["verified"] += [verified] * len(best)
+    return pd.DataFrame(found).astype({"query_id": "int64", "query_v": "int64", "vec_id": "int64", "score": "float64", "verified": "int64"})
+
+
+def _nearest(
+    own: int, vector: np.ndarray, bound: float, far: np.ndarray, gaps: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, length: float,
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Ids and scores of the best of a group's vectors, by increasing projected distance ``far``; ``gaps`` are those of their boxes."""
+    scale = length / math.sqrt(float((vector * vector).sum()))
+
+    def limit(last: float) -> float:
+        # Squared distance to the last neighbour after lifting; rounding may push it below 0.
+        return STOP * max(2 * length * length - 2 * scale * last, 0.0) + 1e-9 * length * length if last > -np.inf else np.inf
+
+    rows = np.flatnonzero((gaps <= limit(bound)) & (far <= limit(bound)) & (ids != own))
+    rows = rows[np.argsort(far[rows], kind="stable")]
+    best_ids, best, at, size = np.zeros(0, np.int64), np.zeros(0), 0, max(BLOCK, k)
+    while at < len(rows):
+        last = max(bound, best[-1] if len(best) >= k else -np.inf)
+        if far[rows[at]] > limit(last):
+            break
+        # Of the next block, too, only what the test still leaves open.
+        block = rows[at:at + size][far[rows[at:at + size]] <= limit(last)]
+        best_ids, best = np.concatenate((best_ids, ids[block])), np.concatenate((best, (vectors[block] * vector).sum(axis=1)))
+        order = np.lexsort((best_ids, -best))[:k]
+        best_ids, best = best_ids[order], best[order]
+        at += len(block)
+        size *= 2
+    return best_ids, best, at
 
 
 def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
@@ -253,7 +281,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
             "part", F.explode(F.sequence(F.lit(0), by_cell(parts) - 1)),
         ).select("cell", F.col("part").cast("long"), F.col("lot").cast("int"), "vec_id", "_v", "embedding", "projected", F.lit(True).alias("is_query"), "bound")
         both = salted.unionByName(spread)
-        found = both.groupBy("cell", "part", "lot").applyInPandas(lambda pdf: _search(pdf, k, lengths), "query_id long, query_v long, vec_id long, score double")
+        found = both.groupBy("cell", "part", "lot").applyInPandas(lambda pdf: _search(pdf, k, lengths), "query_id long, query_v long, vec_id long, score double, verified long")
         return computed_once(found, "found")
 
     def nearest(found: DataFrame) -> DataFrame:

@@ -165,6 +165,23 @@ def test_every_length_and_every_row_is_answered(spark, monkeypatch):
     assert hits >= 0.9 * sum(len({j for _, j in x}) for x in want.values())
 
 
+def test_the_search_stops_before_the_end(spark):
+    """Most vectors of clustered tables, and a good part of unclustered ones, are never verified; recall stays."""
+    rng = np.random.default_rng(11)
+    for spread, most in ((0.3, 0.2), (3.0, 0.8)):
+        centres = rng.standard_normal((20, 64))
+        v = centres[np.arange(4000) % 20] + spread * rng.standard_normal((4000, 64))
+        v /= np.linalg.norm(v, axis=1)[:, None]
+        axes = rng.standard_normal((65, stable_projection_nn.M))
+        points, ids, hits, seen = v @ axes[:-1], np.arange(4000), 0, 0
+        for q in range(0, 4000, 200):
+            far = ((points - v[q] @ axes[:-1]) ** 2).sum(axis=1)
+            found, _, verified = stable_projection_nn._nearest(q, v[q], -np.inf, far, np.zeros(4000), ids, v, 20, 1.0)
+            hits += len(set(found.tolist()) & set(np.argsort(-(v @ v[q]) + 9.0 * (ids == q))[:20].tolist()))
+            seen += verified
+        assert hits >= 0.95 * 20 * 20 and seen < most * 20 * 4000
+
+
 def test_hot_vectors_are_cut_before_the_shuffle(spark):
     df = spark.createDataFrame([(k, [1.0, float(k % 3 == 0)]) for k in range(90)], "vec_id long, embedding array<double>").repartition(4)
     few = stable_projection_nn.few_of_each(df, 4)
@@ -175,6 +192,7 @@ def test_hot_vectors_are_cut_before_the_shuffle(spark):
 
 def test_chi_square():
     assert math.isclose(stable_projection_nn.chi_square_cdf(15.507, 8), 0.95, abs_tol=1e-4)
+    assert math.isclose(stable_projection_nn.chi_square_quantile(0.95, 32), 46.194, abs_tol=1e-2)
     assert math.isclose(stable_projection_nn.chi_square_quantile(0.95, 8), 15.507, abs_tol=1e-3)
 
 
