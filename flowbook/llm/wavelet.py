@@ -7,7 +7,7 @@ the number of ones before each block of 512 bits (rank) and the number of zeros
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +100,19 @@ class WaveletMatrix:
             at = self._place(level, at - self.zeros[level] if one else at, one)
         return at
 
+    def places(self, value: int) -> np.ndarray:
+        """The places of all occurrences of ``value``, ascending: one select for all of them, plane by plane."""
+        if not 0 <= value < 1 << self.bits:
+            return np.zeros(0, np.int64)
+        at = np.arange(*self._interval(value, 0, self.n))
+        for level in reversed(range(self.bits)):
+            if not len(at):
+                break
+            one = value >> (self.bits - 1 - level) & 1
+            row = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
+            at = np.flatnonzero(row == one)[at - (self.zeros[level] if one else 0)]
+        return at
+
     def _place(self, level: int, k: int, one: int) -> int:
         """The place of the ``k``-th (from 0) one or zero of a plane."""
         ranks = self.ranks[level].astype(np.int64)
@@ -186,16 +199,63 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str | None = None
     ranged.mapInArrow(build, SEGMENT).write.mode("overwrite").option("compression", "zstd").parquet(folder)
 
 
+def _shard_starts(spark, folder: str) -> DataFrame:
+    """``shard, before_shard``: the ids of all shards before one, from one total per shard."""
+    totals = spark.read.schema(SEGMENT).parquet(folder).groupBy("shard").agg(F.sum("n").alias("_n"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
+    # Stored, so that Spark knows its size before it plans the join.
+    return computed_once(totals.select("shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("before_shard")), "shard-starts")
+
+
+def count_tokens(spark, folder: str, values: Sequence[int]) -> DataFrame:
+    """``value, n``: how often each of the given ids occurs in all files, by rank on the planes; nothing is decoded.
+
+    An id that does not occur, or is none of the vocabulary, has 0; a repeated one is counted once.
+    """
+    wanted = sorted(set(values))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[m.count(v) for v in wanted] for m in (WaveletMatrix(r["n"], r["bits"], r["zeros"], r["planes"], r["ranks"]) for r in batch.to_pylist())]
+            sums = np.array(found, np.int64).reshape(len(found), len(wanted)).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array(sums)], names=["value", "n"])
+
+    stored = spark.read.schema(SEGMENT).parquet(folder).select("n", "bits", "zeros", "planes", "ranks")
+    named = spark.createDataFrame([(v, 0) for v in wanted], "value long, n long")
+    return stored.mapInArrow(count, "value long, n long").unionByName(named).groupBy("value").agg(F.sum("n").alias("n"))
+
+
+def find_tokens(spark, folder: str, values: Sequence[int]) -> DataFrame:
+    """``value, place, doc_id, at``: every occurrence of the given ids, by select on the planes.
+
+    ``place`` counts the ids of all documents in order, ``at`` those of its own document.  Segments are looked up where
+    they lie; of one segment, the places of one id are held at a time.
+    """
+    wanted = sorted(set(values))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                matrix = WaveletMatrix(r["n"], r["bits"], r["zeros"], r["planes"], r["ranks"])
+                begins = np.cumsum([0, *r["counts"]])
+                for value in wanted:
+                    places = matrix.places(value)
+                    doc = np.searchsorted(begins, places, "right") - 1
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(places), value, np.int64)), pa.array(places + r["shard_start"] + r["before_shard"]),
+                        pa.array(r["doc_ids"], pa.int64()).take(pa.array(doc)), pa.array(places - begins[doc]),
+                    ], names=["value", "place", "doc_id", "at"])
+
+    stored = spark.read.schema(SEGMENT).parquet(folder).join(_shard_starts(spark, folder), "shard")
+    return stored.mapInArrow(find, "value long, place long, doc_id long, at long")
+
+
 def read_tokens(spark, folder: str) -> DataFrame:
     """Every document read back from the files: ``doc_id, start, n_tokens, ids`` (ids as little-endian 32-bit values).
 
     ``start`` is the number of ids of all documents before it.  The order of shards comes from one total per shard.
     """
-    stored = spark.read.schema(SEGMENT).parquet(folder)
-    totals = stored.groupBy("shard").agg(F.sum("n").alias("_n"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
-    # Stored, so that Spark knows its size before it plans the join.
-    starts = computed_once(totals.select("shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("before_shard")), "shard-starts")
+    stored, starts = spark.read.schema(SEGMENT).parquet(folder), _shard_starts(spark, folder)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -35,7 +35,7 @@ def test_wavelet_matrix_against_the_plain_list():
         assert [m.access(i) for i in range(0, n, 7)] == ids[::7].tolist()
         for value in (0, 5, 36, 50, 64):
             places = np.flatnonzero(ids == value).tolist()
-            assert m.count(value) == len(places)
+            assert m.count(value) == len(places) and m.places(value).tolist() == places
             assert [m.select(value, k) for k in range(len(places))] == places
             assert m.count(value, n // 3, n // 2) == sum(n // 3 <= p < n // 2 for p in places)
         with pytest.raises(IndexError):
@@ -65,6 +65,20 @@ def test_shards_round_trip(spark, docs, empty, awkward):
     assert wavelet.read_tokens(spark, none).count() == 0
 
 
+def test_counts_and_places_over_all_shards(spark, docs, empty):
+    folder = working_folder(spark, "found")
+    wavelet.write_shards(docs, folder, segment_tokens=300)
+    whole = sorted(((r.start, r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in wavelet.read_tokens(spark, folder).collect()), key=lambda r: r[0])
+    flat = [x for *_, ids in whole for x in ids]
+    values = [2, 2, max(flat), flat[len(flat) // 2], 49_000, -1, 1 << 20]
+    assert {r.value: r.n for r in wavelet.count_tokens(spark, folder, values).collect()} == {v: flat.count(v) for v in values}
+    want = {(x, start + k, doc, k) for start, doc, ids in whole for k, x in enumerate(ids) if x in values}
+    assert {tuple(r) for r in wavelet.find_tokens(spark, folder, values).collect()} == want and len(want) == sum(x in values for x in flat)
+    none = working_folder(spark, "none")
+    wavelet.write_shards(empty, none)
+    assert [tuple(r) for r in wavelet.count_tokens(spark, none, [5]).collect()] == [(5, 0)] and wavelet.find_tokens(spark, none, [5]).count() == 0
+
+
 def check_pieces(rows, awkward, window):
     total = sum(len(e) for e in encoded(awkward))
     windows = {}
