@@ -134,30 +134,27 @@ def _repeated(group: pd.DataFrame, window: int) -> pd.DataFrame:
     """``name, cd, i, m``: windows that occur in another context of a smaller document."""
     contents, docs = group["content"].tolist(), group["d0"].to_numpy(np.int64)
     part = group["part"].to_numpy()
-    limit = min(SHARD_BYTES, max(1, sum(map(len, contents)) // SHARDS))
-    shards, rows, begins = [], [], []
+    sizes = np.fromiter(map(len, contents), np.int64, len(contents)) + 1
+    limit = min(SHARD_BYTES, max(1, int(sizes.sum()) // SHARDS))
+    shards, rows = [], []
     for value in np.unique(part):
-        size, texts, which = 0, [], []
-        for k in np.flatnonzero(part == value).tolist():
-            texts.append(np.frombuffer(contents[k], np.uint8).astype(np.uint16) + 1)
-            texts.append(np.zeros(1, np.uint16))
-            which.append(k)
-            size += len(contents[k]) + 1
-            if size >= limit:
-                shards.append(texts), rows.append(which)
-                size, texts, which = 0, [], []
-        if texts:
-            shards.append(texts), rows.append(which)
-    lengths = [np.array([len(contents[k]) + 1 for k in which]) for which in rows]
-    begins = [np.cumsum(n) - n for n in lengths]
-    z, place, block = merged_blocks([np.concatenate(s) for s in shards], window)
+        mine = np.flatnonzero(part == value)
+        # A shard ends with the context that fills it.
+        number = (np.cumsum(sizes[mine]) - sizes[mine]) // limit
+        for which in np.split(mine, np.flatnonzero(np.diff(number)) + 1):
+            text = np.zeros(int(sizes[which].sum()), np.uint16)
+            inside = np.ones(len(text), bool)
+            inside[np.cumsum(sizes[which]) - 1] = False
+            text[inside] = np.frombuffer(b"".join([contents[k] for k in which.tolist()]), np.uint8).astype(np.uint16) + 1
+            shards.append(text), rows.append(which)
+    begins = [np.cumsum(sizes[which]) - sizes[which] for which in rows]
+    z, place, block = merged_blocks(shards, window)
     owner, at = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
     for s in range(len(shards)):
         here = np.flatnonzero(z == s)
         k = np.searchsorted(begins[s], place[here], "right") - 1
-        owner[here], at[here] = np.array(rows[s])[k], place[here] - begins[s][k]
-    sizes = np.array([len(c) for c in contents])
-    whole = at + window <= sizes[owner]
+        owner[here], at[here] = rows[s][k], place[here] - begins[s][k]
+    whole = at + window < sizes[owner]
     owner, at, block = owner[whole], at[whole], block[whole]
     starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, np.int64)
     least = np.minimum.reduceat(docs[owner], starts) if len(starts) else docs[:0]
@@ -298,7 +295,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 docs_ = batch.column("doc").to_numpy()
                 for name, digest, where, many, row, _, data in found(batch, wanted.value & shared.value):
                     # Equal contexts of one document are sent once.
-                    _, first = np.unique(np.stack((name, digest, docs_[row])), axis=1, return_index=True)
+                    order = np.lexsort((docs_[row], digest, name))
+                    a, b, c = name[order], digest[order], docs_[row][order]
+                    first = order[np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])]] if len(order) else order
                     raw = data.tobytes()
                     texts = pa.array([raw[a:a + n + window - 1] for a, n in zip(where[first].tolist(), many[first].tolist())], pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(name[first]), pa.array(digest[first]), pa.array(docs_[row][first]), texts], names=["name", "cd", "doc", "content"])
