@@ -14,11 +14,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.calendar import Period
 from ..session import computed_once
 from ..sources.tables import drop_month, exists, overwrite_report, write_partitions
-from .positions import stacked_sum
 
 
 def _month(date: Column) -> Column:
@@ -69,6 +69,69 @@ def carried_forward(positions: DataFrame, keys: Sequence[str], date_col: str, va
     )
 
 
+FLOWS, VALUES = "__flows", "__values"
+
+
+def histories(
+    flows: DataFrame,
+    flow_date: str,
+    measures: Sequence[str],
+    positions: DataFrame,
+    position_date: str,
+    value: str,
+    keys: Sequence[str],
+    first: Period,
+    last: Period,
+) -> DataFrame:
+    """One row per key with its monthly flows and its newest valuation of each valued month, both as arrays.
+
+    It is what ``reported_months`` needs of a key: as long as the months in which something happened, whatever the
+    number of reporting months.
+    """
+    moved = (
+        flows.filter(F.col(flow_date).between(F.lit(first.start), F.lit(last.end)))
+        .groupBy(*keys, _month(F.col(flow_date)).alias("__m"))
+        .agg(*[F.sum(m).alias(m) for m in measures])
+    )
+    daily = positions.filter(F.col(position_date) <= F.lit(last.end)).groupBy(*keys, position_date).agg(F.sum(value).alias("__v"))
+    valued = daily.groupBy(*keys, _month(F.col(position_date)).alias("__m")).agg(F.max_by("__v", position_date).alias("__v"))
+    stacked = moved.select(*keys, F.struct("__m", *measures).alias("__flow")).unionByName(
+        valued.select(*keys, F.struct("__m", "__v").alias("__value")), allowMissingColumns=True)
+    return stacked.groupBy(*keys).agg(F.collect_list("__flow").alias(FLOWS), F.collect_list("__value").alias(VALUES))
+
+
+def reported_months(
+    history: DataFrame, measures: Sequence[str], keys: Sequence[str], first: Period, last: Period, names: tuple[str, str] = ("PM_DEBUT", "PM_FIN"),
+) -> DataFrame:
+    """The reporting months of each row of ``histories``: year-to-date flows, opening and closing value.
+
+    Every month comes from its key's own row, so the repeated rows pass no shuffle and need not be stored.  ``keys`` are
+    the columns kept beside them.
+    """
+    period = F.col("period")
+    year = F.trunc("period", "year")
+    months = history.withColumn("period", F.explode(F.sequence(_first(first), _first(last), F.expr("interval 1 month"))))
+    known = months.withColumns({
+        "__mine": F.filter(FLOWS, lambda e: (e["__m"] >= year) & (e["__m"] <= period)),
+        "__opening": F.array_max(F.filter(VALUES, lambda e: e["__m"] < year)),
+        "__closing": F.array_max(F.filter(VALUES, lambda e: e["__m"] <= period)),
+    }).filter((F.size("__mine") > 0) | F.col("__closing").isNotNull())
+
+    def total(measure: str) -> Column:
+        kind = _sum_type(history.select(F.explode(FLOWS).alias("e")).select(f"e.{measure}"), measure)
+        zero = F.lit(0).cast(kind)
+        added = F.aggregate("__mine", zero, lambda sum_, e: (sum_ + F.coalesce(e[measure], F.lit(0))).cast(kind))
+        return F.when(F.size("__mine") > 0, added).otherwise(zero)
+
+    kind = _sum_type(history.select(F.explode(VALUES).alias("e")).select("e.__v"), "__v")
+    held = [F.coalesce(F.col(c)["__v"].cast(kind), F.lit(0).cast(kind)).alias(n) for c, n in zip(("__opening", "__closing"), names)]
+    return known.select("period", *keys, *[total(m).alias(m) for m in measures], *held)
+
+
+def _sum_type(df: DataFrame, column: str) -> T.DataType:
+    return df.agg(F.sum(column).alias(column)).schema[column].dataType
+
+
 def backfill(
     flows: DataFrame,
     flow_date: str,
@@ -85,17 +148,8 @@ def backfill(
 
     The opening value of a month is the closing value of the December before its year.
     """
-    opening_from = Period(first.year - 1, 12)
-    held = computed_once(carried_forward(positions, keys, position_date, value, opening_from, last), "held")
-    closing = held.filter(F.col("period") >= _first(first)).withColumnRenamed(value, names[1])
-    december = held.filter(F.month("period") == 12)
-    starts = F.greatest(F.add_months("period", 1), _first(first))
-    ends = F.least(F.add_months("period", 12), _first(last))
-    opening = december.withColumn("__p", _expand(starts, ends)).select(
-        F.col("__p").alias("period"), *keys, F.col(value).alias(names[0])
-    )
-    ytd = year_to_date(flows, keys, flow_date, measures, first, last)
-    return stacked_sum([ytd, opening, closing], ["period", *keys], [*measures, *names])
+    history = histories(flows, flow_date, measures, positions, position_date, value, keys, first, last)
+    return reported_months(history, measures, keys, first, last, names)
 
 
 def source_fingerprints(spark: SparkSession, root: str, column: str = "func_month") -> DataFrame:

@@ -169,6 +169,14 @@ def live_only(positions: DataFrame, contracts: DataFrame, keys: Sequence[str], l
     return positions.join(contracts.filter(live).select(*keys), list(keys), "left_semi")
 
 
+def activity_total(measures: Sequence[str], mode: str = "signed") -> str:
+    """A row's share of its group's activity, as SQL; see ``drop_inactive``."""
+    if mode not in ("signed", "absolute"):
+        raise ValueError(f"unknown mode {mode!r}")
+    terms = [f"coalesce(`{m}`, 0)" for m in measures]
+    return " + ".join(f"abs({t})" for t in terms) if mode == "absolute" else " + ".join(terms)
+
+
 def drop_inactive(
     df: DataFrame, group: Sequence[str], measures: Sequence[str], mode: str = "signed"
 ) -> DataFrame:
@@ -177,10 +185,7 @@ def drop_inactive(
     ``signed`` keeps the inherited rule: a group whose amounts cancel out to 0 is dropped.
     ``absolute`` drops only groups in which every amount is 0.  Rows with a null key are a group like any other.
     """
-    if mode not in ("signed", "absolute"):
-        raise ValueError(f"unknown mode {mode!r}")
-    terms = [f"coalesce(`{m}`, 0)" for m in measures]
-    total = " + ".join(f"abs({t})" for t in terms) if mode == "absolute" else " + ".join(terms)
+    total = activity_total(measures, mode)
     active = df.groupBy(*group).agg(F.expr(f"sum({total}) AS __total")).filter("__total <> 0").drop("__total")
     return null_safe_join(df, active, group, "left_semi")
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import Period
 from ..functions.codes import filled
-from ..operators.backfill import backfill
+from ..operators.backfill import histories, reported_months
+from ..operators.dedupe import null_safe_join
 from ..operators.joins import lookup
-from ..operators.positions import drop_inactive
+from ..operators.positions import activity_total
 from ..session import computed_once
 from . import rulebook as rb
 from .canonical import ACTIVITY
@@ -19,13 +20,25 @@ from .system1 import FEES, FREE, KEYS, contracts, movements
 
 
 def ledger_by_month(tables: Mapping[str, DataFrame], first: Period, last: Period, activity: str = "signed") -> DataFrame:
-    """The system-1 ledger of each reporting month, without contracts inactive in that month."""
+    """The system-1 ledger of each reporting month, without contracts inactive in that month.
+
+    Stored is one row per key with its history; the months in which a contract is active are joined to those rows, and the
+    ledger's rows come from them last, so nothing stored or shuffled grows with the number of reporting months.
+    """
     detail = tables["movement_detail"].filter(F.col("DT_INVEST").between(F.lit(first.start), F.lit(last.end)))
     classified = movements(detail, tables["movement_header"]).withColumns(rb.SYSTEM1_BUCKETS.columns())
     valued = tables["positions"].withColumn("CD_OG", filled("CD_OG", FREE))
-    months = backfill(
-        classified, "DT_INVEST", rb.SYSTEM1_BUCKETS.buckets, valued, "DT_POSITION", "PM", KEYS, first, last)
-    return drop_inactive(computed_once(rb.SYSTEM1_BUCKETS.derive(months), "ledger-months"), ["period", "ID_CONTRAT"], (*ACTIVITY, *FEES), activity)
+    buckets = rb.SYSTEM1_BUCKETS.buckets
+    history = computed_once(histories(classified, "DT_INVEST", buckets, valued, "DT_POSITION", "PM", KEYS, first, last), "ledger-keys")
+
+    def months(rows: DataFrame, *more: str) -> DataFrame:
+        return rb.SYSTEM1_BUCKETS.derive(reported_months(rows, buckets, (*KEYS, *more), first, last))
+
+    total = F.expr(f"sum({activity_total((*ACTIVITY, *FEES), activity)}) AS __total")
+    active = months(history).groupBy("period", "ID_CONTRAT").agg(total).filter("__total <> 0").groupBy("ID_CONTRAT").agg(
+        F.collect_list("period").alias("__active"))
+    kept = null_safe_join(history, active, ["ID_CONTRAT"], "inner")
+    return months(kept, "__active").filter(F.array_contains("__active", F.col("period"))).drop("__active")
 
 
 def campaign_history(

@@ -276,3 +276,19 @@ def test_refresh_computes_touched_months_only(spark, rows, tmp_path):
             f.unlink()
         (tmp_path / "source" / f"func_month={month}").rmdir()
     assert update() == ["202401", "202402", "202403", "202404"] and stored() == whole[:2]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_backfill_shuffles_keys_not_months(spark):
+    """Rows repeated for each reporting month pass no shuffle, so none is dealt by period; the stored history has a row per key."""
+    f = spark.createDataFrame([("a", D(2024, 1, 5), 1), (None, D(2024, 2, 1), 2), ("b", D(2023, 12, 31), 4)], "k string, d date, m int")
+    p = spark.createDataFrame([("a", D(2020, 1, 1), 7), ("a", D(2024, 2, 9), None), (None, D(2024, 3, 1), 9)], "k string, d date, v int")
+    first, last = Period(2024, 1), Period(2024, 3)
+    out = bf.backfill(f, "d", ["m"], p, "d", "v", ["k"], first, last)
+    assert "period" not in " ".join(line for line in plan_of(out).split("\n") if "Exchange" in line)
+    assert bf.histories(f, "d", ["m"], p, "d", "v", ["k"], first, last).count() == 2
+    assert sorted(((r.period.month, r.k, r.m, r.PM_DEBUT, r.PM_FIN) for r in out.collect()), key=repr) == sorted([
+        (1, "a", 1, 7, 7), (2, "a", 1, 7, 0), (3, "a", 1, 7, 0), (2, None, 2, 0, 0), (3, None, 2, 0, 9)], key=repr)
