@@ -292,3 +292,27 @@ def test_backfill_shuffles_keys_not_months(spark):
     assert bf.histories(f, "d", ["m"], p, "d", "v", ["k"], first, last).count() == 2
     assert sorted(((r.period.month, r.k, r.m, r.PM_DEBUT, r.PM_FIN) for r in out.collect()), key=repr) == sorted([
         (1, "a", 1, 7, 7), (2, "a", 1, 7, 0), (3, "a", 1, 7, 0), (2, None, 2, 0, 0), (3, None, 2, 0, 9)], key=repr)
+
+
+def test_counted_row_drops_inactive_keys_in_one_join(spark):
+    rows = [("a", 1, 5), ("a", 2, -5), ("b", 1, 3), ("b", 2, None), (None, 7, 1), (None, 8, 1), ("c", 1, None)]
+    df = spark.createDataFrame(rows, "k string, o int, v int")
+    found = dedupe.flag_one_per_key(df, ["k"], ["o"], "f", "coalesce(v, 0)")
+    assert sorted(((r.k, r.o, r.f) for r in found.collect()), key=repr) == sorted([("b", 1, 1), ("b", 2, 0), (None, 7, 1), (None, 8, 0)], key=repr)
+    kept = dedupe.flag_one_per_key(df, ["k"], ["o"], "f")
+    assert kept.count() == 7 and kept.filter("f = 1").count() == 4
+
+
+def test_null_safe_lookup_matches_no_null_and_uses_the_exchange(spark):
+    rows = spark.createDataFrame([("a", 1), (None, 2), ("c", 3)], "k string, v int")
+    once = spark.createDataFrame([("a", 10), (None, 20)], "k string, w int")
+    assert sorted(map(tuple, joins.lookup(rows, once, ["k"], unique=True, null_safe=True).collect()), key=repr) == sorted(
+        [("a", 1, 10), (None, 2, None), ("c", 3, None)], key=repr)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = dedupe.flag_one_per_key(rows, ["k"], ["v"], "f", "v")
+        dealt = [plan_of(joins.lookup(flagged, once, ["k"], unique=True, null_safe=n)).count("Exchange hashpartitioning") for n in (True, False)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert dealt[0] == dealt[1] - 1
