@@ -134,10 +134,12 @@ def system1(
         tables["distributors"].select(pad_code("CD_DISTRIBUTEUR", 10).alias("CODE_PORTEFEUILLE"), F.col("LB_RESEAU").alias("LB_CANAL")),
         ["CODE_PORTEFEUILLE"], ["LB_CANAL"],
     )
+    # Few options, found in large tables: stored, so that Spark knows their size and the facts are not dealt by option.
+    option_labels = computed_once(options(tables["option_products"], tables["option_packs"]), "options1")
     described = lookup_chain(base_ledger(tables, period, activity), [
-        Lookup(options(tables["option_products"], tables["option_packs"]), ["CD_OG"], unique=True),
+        Lookup(option_labels, ["CD_OG"], unique=True),
         Lookup(supports(tables["supports"]), ["CD_FUND"], unique=True),
-        Lookup(contracts(tables), ["ID_CONTRAT"], unique=True),
+        Lookup(contracts(tables), ["ID_CONTRAT"], unique=True, spread_nulls=True),
         Lookup(distributors, ["CODE_PORTEFEUILLE"], unique=True),
     ])
     coded = described.withColumns({

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowbook.functions.calendar import Period
 from flowbook.operators.rules import relabel
-from flowbook.plans import base, csv_system, dimensions, reports, system2, system3
+from flowbook.plans import base, csv_system, dimensions, reports, system1, system2, system3
 from flowbook.plans import rulebook as rb
 from flowbook.plans.canonical import COLUMNS, MEASURES
 from flowbook.queries.cube_queries import APE, cube, month_list
@@ -305,3 +305,37 @@ def test_system3_scans_its_valuations_once(spark):
     frames = st.frames(spark, "/root/testdata/sf0.001", st.SYSTEM3)
     plan = plan_of(system3.positions(frames, Period(1998, 6)))
     assert plan.count("valued-rows") == 2 and "l_extendedprice" not in plan  # the stored rows twice, their source not at all
+
+
+def test_system1_does_not_deal_facts_by_option(spark, monkeypatch):
+    """Options are few but come from large tables; contracts without a number are spread."""
+    many = spark.range(3000)
+    names = [*rb.SYSTEM1_BUCKETS.names, "MT_NON_INVESTI", "PM_DEBUT", "PM_FIN"]
+    own = many.selectExpr(
+        "if(id % 3 = 0, null, concat('c', id)) ID_CONTRAT", "concat('f', id % 5) CD_FUND", "'s' CD_SUPPORT", "'p' CD_PACK", "concat('o', id % 3) CD_OG",
+        "date'2024-05-01' DT_VL_FIN", *[f"cast({1 if n == 'PM_FIN' else 0} as decimal(28,2)) {n}" for n in names])
+    monkeypatch.setattr(system1, "base_ledger", lambda *_: own)
+    persons = many.selectExpr("concat('c', id) ID_CONTRAT", "'Souscripteur' LB_ROLE", "cast(id as string) REFERENCE_CLIENT", "'PHY' TYPE_PRSN")
+    held = many.selectExpr(
+        "concat('c', id) ID_CONTRAT", "'1' CD_PROD", "'vie' LB_CADRE_FISCAL", "'En cours' LB_STATUS", "date'2020-01-01' DT_SOUSCRIPTION", "cast(null as date) DT_CLOTURE",
+        "'7' CD_PTF_RDU", "'SA' CD_UJ")
+    given = {
+        "option_products": many.selectExpr("concat('o', id % 2) CD_OG", "'Profil' LB_OG_AIA", "'SG' LB_SOC_GESTION"),
+        "option_packs": many.selectExpr("concat('o', id % 2) CD_OG", "'Pack' LB_PACK"),
+        "supports": many.selectExpr("concat('f', id) CD_FUND", "'n' NOM", "'UC' LB_TYPE", "'1' CD_INTERNE", "date'2000-01-01' DT_SITUATION"),
+        "persons": persons, "persons_archive": persons, "contracts": held, "contracts_archive": held,
+        "products": spark.range(1).selectExpr("'1' CD_PROD", "'P' LB_PROD"),
+        "distributors": spark.range(1).selectExpr("'7' CD_DISTRIBUTEUR", "'L' LB_RESEAU"),
+    }
+    segments = spark.range(1).selectExpr("'00001' CODE_PRODUIT", "'00001' CODE_UT", "'S' SEGMENT")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        out = system1.system1(given, Period(2024, 6), segments)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        found = {tuple(r) for r in out.groupBy("PROFIL_GESTION", "TYPE_PRSN").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "hashpartitioning(CD_OG" not in plan
+    assert "__deal" in plan
+    assert sum(n for *_, n in found) == 3000 and {(p, t) for p, t, _ in found} == {("Profil", "PHY"), ("Profil", None), ("Gestion Libre", "PHY")}
