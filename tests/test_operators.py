@@ -316,3 +316,14 @@ def test_null_safe_lookup_matches_no_null_and_uses_the_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert dealt[0] == dealt[1] - 1
+
+
+def test_grouped_sides_meet_in_a_join_and_give_the_ledger(rows, values):
+    f = rows("k string, j int, m decimal(18,2), l string", ("a", 1, Decimal(3), "x"), (None, 1, Decimal(4), "z"), ("c", None, None, None))
+    p = rows("k string, j int, m decimal(18,2), pm decimal(18,2), l string", ("a", 1, Decimal(1), Decimal(7), "y"), (None, 1, None, None, "b"), (None, None, None, Decimal(9), "w"))
+    wide = dict(flow_measures=["m"], position_measures=["pm"], attributes={"l": "max"})
+    joined = positions.ledger_of_groups(f, p, ["k", "j"], ["m", "pm"], {"l": "max"})
+    assert joined.columns == ["k", "j", "m", "pm", "l"] and "Aggregate" not in plan_of(joined)
+    assert values(joined) == values(positions.ledger(f, p, ["k", "j"], **wide)) == sorted([
+        ("a", 1, Decimal(4), Decimal(7), "y"), (None, 1, Decimal(4), Decimal(0), "z"), ("c", None, Decimal(0), Decimal(0), None), (None, None, Decimal(0), Decimal(9), "w"),
+    ], key=repr)
