@@ -12,7 +12,7 @@ from ..operators.backfill import carried_forward, refresh, year_to_date
 from ..operators.checks import Controls, written_with_controls
 from ..plans import csv_system
 from ..plans.campaign import campaign_history, ledger_by_month
-from ..session import working_folder
+from ..session import remove_folder, working_folder
 from ..sources.files import chosen_files, file_names, read_csv_lines, read_monthly_files, reject_counts, split_lines
 from ..sources.tables import declared, read_day, read_month, write_month, write_partitions
 from . import standins as st
@@ -148,11 +148,16 @@ def _written(amount):
 def monthly_files(spark, sf_dir):
     """The order lines written as monthly CSV files ``<kind>_<month>_<year>.csv``.
 
-    A file of that name is a folder of part files, as Spark writes it.
+    A file of that name is a folder of part files, as Spark writes it.  The lines are dealt by month once, before their
+    texts are made, and stored so; both kinds are written from there without a further shuffle.
     """
     def write(folder):
-        lines = table(spark, sf_dir, "lineitem").withColumns({
-            "d": F.col("l_shipdate").cast("date"), "amount": F.col("l_extendedprice").cast(MONEY)})
+        dealt = table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").alias("d"),
+            F.col("l_extendedprice").cast(MONEY).alias("amount")).withColumn("month", F.date_format("d", "yyyyMM"))
+        stored = working_folder(spark, "lines-by-month")
+        write_partitions(dealt, stored, ["month"])
+        lines = spark.read.schema(dealt.schema).parquet(stored).drop("month")
         common = {
             "NUMERO_CONTRAT": F.when(F.col("l_suppkey") % 10 == 0, "0").otherwise(F.concat(F.lit("C"), "l_orderkey")),
             "SITUATION_CONTRAT": F.when(F.col("l_linenumber") == 7, "0").otherwise("En cours"),
@@ -174,7 +179,8 @@ def monthly_files(spark, sf_dir):
         for kind, columns, own in (("PM", RESERVE_COLUMNS, reserve), ("FLUX", FLOW_COLUMNS, flow)):
             name = F.concat(F.lit(f"{kind}_"), F.month("d"), F.lit("_"), F.year("d"), F.lit(".csv"))
             rows = lines.withColumns({**common, **own}).select(name.alias("file"), *columns)
-            rows.hint("rebalance", "file").write.partitionBy("file").mode("overwrite").option("header", True).option("sep", ";").csv(f"{folder}/{kind}")
+            rows.write.partitionBy("file").mode("overwrite").option("header", True).option("sep", ";").csv(f"{folder}/{kind}")
+        remove_folder(spark, stored)
 
     return intermediate(spark, sf_dir, "files", write)
 
