@@ -339,3 +339,22 @@ def test_system1_does_not_deal_facts_by_option(spark, monkeypatch):
     assert "hashpartitioning(CD_OG" not in plan
     assert "__deal" in plan
     assert sum(n for *_, n in found) == 3000 and {(p, t) for p, t, _ in found} == {("Profil", "PHY"), ("Profil", None), ("Gestion Libre", "PHY")}
+
+
+def test_monthly_files_deal_lines_once_before_their_texts(spark, rows, tmp_path, monkeypatch):
+    from flowbook.queries import files_and_backfill as fb
+
+    t = dt.datetime
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    lines = [(1, 4, 3, 1, 1234.5, "A", "O", t(1999, 12, 3)), (1, 4, 3, 1, 1234.5, "A", "O", t(1999, 12, 3)), (2, 5, None, 3, None, "R", "F", t(2000, 9, 1)), (3, 6, 7, 2, 2.0, "N", "O", None)]
+    rows(schema, *lines).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    dealt = []
+    monkeypatch.setattr(fb, "write_partitions", lambda df, folder, columns: (dealt.append((df.columns, columns, folder)), tables.write_partitions(df, folder, columns)))
+    folder = fb.monthly_files(spark, str(tmp_path))
+    assert len(dealt) == 1 and dealt[0][1] == ["month"] and not set(dealt[0][0]) & set(fb.FLOW_COLUMNS)
+    assert not tables.exists(spark, dealt[0][2])
+    for kind, amount in (("PM", "PM_FIN"), ("FLUX", "MONTANT_NET")):
+        found = spark.read.option("header", True).option("sep", ";").csv(f"{folder}/{kind}")
+        assert sorted((r.file, r.NUMERO_CONTRAT, r[amount]) for r in found.filter("file is not null").collect()) == [
+            (f"{kind}_12_1999.csv", "C1", "1 234,50"), (f"{kind}_12_1999.csv", "C1", "1 234,50"), (f"{kind}_9_2000.csv", "C2", None)]
+        assert found.count() == 4
