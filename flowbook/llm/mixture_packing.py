@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -69,14 +68,34 @@ class Schedule:
         return out
 
     def window_of(self, queue: int, token: np.ndarray, window: int) -> np.ndarray:
-        """The window that each token (by its number in the queue) falls in, by binary search."""
-        lo, hi = np.zeros(len(token), np.int64), np.full(len(token), (self.total - 1) // window, np.int64)
-        while (lo < hi).any():
-            mid = (lo + hi) // 2
-            inside = self.given(np.minimum((mid + 1) * window, self.total))[:, queue] > token
-            hi, lo = np.where(inside, mid, hi), np.where(inside, lo, np.minimum(mid + 1, hi))
+        """The window that each token (by its number in the queue) falls in.
+
+        A queue gives about evenly within a phase, so the window is guessed from that; binary search goes between the
+        guess's neighbours where they hold the token between them, and over all windows elsewhere.
+        """
+        last = (self.total - 1) // window
+        lo, hi = np.zeros(len(token), np.int64), np.full(len(token), last, np.int64)
+        guess, before = np.zeros(len(token), np.int64), 0
+        for start, give in self.phases:
+            own = int(give[queue])
+            inside = (token >= before) & (token < before + own)
+            guess[inside] = (start + (token[inside] - before) * (int(give.sum()) / max(own, 1))) // window
+            before += own
+        low, high = np.clip(guess - 1, 0, last), np.clip(guess + 1, 0, last)
+        above = self._passed(queue, low - 1, window) <= token
+        below = self._passed(queue, high, window) > token
+        lo[above], hi[below] = low[above], high[below]
+        while (rows := np.flatnonzero(lo < hi)).size:
+            mid = (lo[rows] + hi[rows]) // 2
+            inside = self._passed(queue, mid, window) > token[rows]
+            hi[rows], lo[rows] = np.where(inside, mid, hi[rows]), np.where(inside, lo[rows], mid + 1)
         return lo
 
+    def _passed(self, queue: int, number: np.ndarray, window: int) -> np.ndarray:
+        """The queue's tokens given by the end of each window."""
+        ends, back = np.unique(np.minimum((number + 1) * window, self.total), return_inverse=True)
+        return self.given(ends)[back, queue]
+
 
 def _webster(m: np.ndarray, give: np.ndarray, size: int) -> np.ndarray:
     """``m`` tokens dealt to queues in proportion to ``give``, so that no queue ever gives a token back as ``m`` grows."""
@@ -149,23 +168,41 @@ def pack(docs: DataFrame, targets: Mapping[str | None, float] | None = None, win
     number = {name: k for k, name in enumerate(names)}
     schedule = Schedule(np.array([r["n"] for r in totals], np.int64), None if targets is None else np.array([targets[n] for n in names], float))
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for name, rows in frame.groupby("source", dropna=False, sort=False):
-                name = None if pd.isna(name) else name
-                for lo in range(0, len(rows), 256):
-                    yield _pieces(rows.iloc[lo:lo + 256], name, number[name], schedule, window)
-            del frame, rows
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2048):
+                yield _pieces(batch.slice(lo, 2048), number, schedule, window)
+            del batch
             give_back()
 
     joined = stored.join(begins, (F.col("part") == F.col("part_")) & F.col("source").eqNullSafe(F.col("source_"))).select(
         "doc_id", "source", (F.col("at") + F.col("begin")).alias("queued"), "n", "ids",
     )
-    return joined.mapInPandas(cut, PIECE)
-
-
-def _pieces(rows: pd.DataFrame, name: str | None, queue: int, schedule: Schedule, window: int) -> pd.DataFrame:
-    first, size = rows["queued"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    return joined.mapInArrow(cut, PIECE)
+
+
+def _pieces(batch: pa.RecordBatch, number: Mapping[str | None, int], schedule: Schedule, window: int) -> pa.RecordBatch:
+    """The pieces of a batch of documents, in the documents' order; their ids are the documents' own bytes, cut at other offsets."""
+    first, size = batch.column("queued").to_numpy(), batch.column("n").to_numpy()
+    queues = np.array([number[name] for name in batch.column("source").to_pylist()], np.int64)
+    found = [_cuts(np.flatnonzero(queues == q), first, size, int(q), schedule, window) for q in np.unique(queues)]
+    doc, at, begin, end, offset = (np.concatenate(parts) for parts in zip(*found))
+    order = np.lexsort((begin, doc))
+    doc, at, begin, end, offset = doc[order], at[order], begin[order], end[order], offset[order]
+    _, places, data = batch.column("ids").buffers()
+    places = np.frombuffer(places, np.int32, batch.num_rows + 1, batch.column("ids").offset * 4)
+    # A document's pieces tile it, so each begins where the one before it ends.
+    cuts = np.concatenate((places[:1], places[0] + 4 * np.cumsum(end - begin))).astype(np.int32)
+    rows = pa.array(doc)
+    return pa.RecordBatch.from_arrays([
+        batch.column("doc_id").take(rows), batch.column("source").take(rows), pa.array(begin - first[doc]), pa.array(end - begin),
+        pa.array(size[doc]), pa.array(at), pa.array(offset), pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(cuts), data]),
+    ], names=["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+
+
+def _cuts(rows: np.ndarray, queued: np.ndarray, sizes: np.ndarray, queue: int, schedule: Schedule, window: int) -> tuple[np.ndarray, ...]:
+    """Row, window, first and end token in the queue, and offset in the window, of the pieces of one queue's ``rows``."""
+    first, size = queued[rows], sizes[rows]
     lo = schedule.window_of(queue, first, window)
     hi = schedule.window_of(queue, first + size - 1, window)
     # A document of a rare source may span more windows than it has tokens: then each token is looked up.
@@ -189,14 +226,7 @@ def _pieces(rows: pd.DataFrame, name: str | None, queue: int, schedule: Schedule
     end = np.minimum(first[doc] + size[doc], after[back, queue])
     kept = end > begin
     doc, at, begin, end, back = doc[kept], at[kept], begin[kept], end[kept], back[kept]
-    ids = rows["ids"].tolist()
-    start = begin - first[doc]
-    return pd.DataFrame({
-        "doc_id": rows["doc_id"].astype("Int64").to_numpy()[doc] if rows["doc_id"].isna().any() else rows["doc_id"].to_numpy()[doc],
-        "source": pd.Series([name] * len(doc), dtype=object), "start": start, "length": end - begin, "doc_tokens": size[doc], "sequence_id": at,
-        "offset": ahead[back] + begin - before[back, queue],
-        "ids": [ids[d][4 * a:4 * (a + n)] for d, a, n in zip(doc.tolist(), start.tolist(), (end - begin).tolist())],
-    })
+    return rows[doc], at, begin, end, ahead[back] + begin - before[back, queue]
 
 
 def sequences(pieces: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Token ids of whole texts by a public tokenizer file, with a bounded memory of pieces already encoded."""
+"""Token ids of whole texts by a public tokenizer file, with a bounded memory of words already encoded."""
 
 from __future__ import annotations
 
@@ -16,6 +16,8 @@ from .flat import give_back, word_hashes
 END_ID = 2
 # Python takes these for white space and the tokenizers library does not; texts with them go to the library whole.
 _UNLIKE = re.compile("[\x1c-\x1f]")
+# Characters that byte-level models write as others.
+_WRITTEN = re.compile(r"[^\n!-~]")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 # 1: ASCII letters, 2: ASCII marks but the apostrophe.  A piece never spans both.
@@ -44,12 +46,12 @@ class Encoder:
     """Ids of texts, as the tokenizers library gives them without special tokens added.
 
     Where the file normalises by NFC, white space and lower case and splits by a pattern into byte-level pieces
-    (``default_path`` does), each different word of a batch is encoded once, from pieces that the library's model
-    encodes; about ``remembered`` pieces are kept for the next batches.  Whole texts go to the library for any other file, and where a text holds a
-    special token's string or a separator character.
+    (``default_path`` does), each different word is encoded once, from pieces that the library's model
+    encodes; about ``remembered`` words are kept for the next batches, by their hashes.  Whole texts go to the library for any other file, and where a
+    text holds a special token's string or a separator character.
     """
 
-    def __init__(self, path: str, remembered: int = 100_000):
+    def __init__(self, path: str, remembered: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -78,20 +80,18 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces by the model and put their ids at the end of the pool."""
-        tokenize, letters = self.model.tokenize, self.letters
-        found = [tokenize(p.translate(letters)) for p in pieces]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((x.id for one in found for x in one), self.dtype, int(sizes.sum()))
-        self.known.update(zip(pieces, range(len(self.starts), len(self.starts) + len(pieces))))
-        self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes) - sizes))
-        self.sizes = np.concatenate((self.sizes, sizes))
+    def _learn(self, hashes: np.ndarray, words: list[bytes], plain: bool) -> None:
+        """Encode new words and put their ids at the end of the pool; ``hashes`` stay ascending."""
+        ids, sizes = self._words(words, plain)
+        merged = np.concatenate((self.hashes, hashes))
+        order = np.argsort(merged, kind="stable")
+        self.hashes = merged[order]
+        self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(sizes) - sizes))[order]
+        self.sizes = np.concatenate((self.sizes, sizes))[order]
         self.pool = np.concatenate((self.pool, ids))
 
     def _forget(self) -> None:
-        self.known = {"\n": -1}
-        self.starts, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        self.hashes, self.starts, self.sizes, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
 
     def _words(self, words: list[bytes], plain: bool) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words one after the other, and how many each has."""
@@ -103,15 +103,20 @@ class Encoder:
             text = unicodedata.normalize("NFC", text)
         # The library lowers each character alone, so a sigma at a word's end stays an ordinary one.
         pieces = self.pieces.findall(text.replace("Σ", "σ").lower())
-        if len(self.known) > self.remembered:
-            self._forget()
-        self._learn(list(set(pieces).difference(self.known)))
-        index = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        new = list(set(pieces).difference("\n"))
+        tokenize, letters = self.model.tokenize, self.letters
+        found = [tokenize(p.translate(letters)) for p in new] if _WRITTEN.search(text) else list(map(tokenize, new))
+        own = np.fromiter(map(len, found), np.int64, len(found))
+        pool = np.array([x.id for one in found for x in one], self.dtype)
+        at = np.cumsum(own) - own
+        known = dict(zip(new, range(len(new))))
+        known["\n"] = -1
+        index = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
         word = np.cumsum(index < 0)[index >= 0]
         index = index[index >= 0]
-        sizes = self.sizes[index]
+        sizes = own[index]
         ends = np.cumsum(sizes)
-        ids = self.pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[index] - (ends - sizes), sizes)]
+        ids = pool[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(at[index] - (ends - sizes), sizes)]
         return ids, np.bincount(word, sizes, len(words)).astype(np.int64)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -122,6 +127,7 @@ class Encoder:
             parts = [self._whole(raw[a:b].decode()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             owner = which = np.arange(texts)
             pool, sizes = np.concatenate([np.zeros(0, self.dtype), *parts]), np.array([len(p) for p in parts], np.int64)
+            starts = np.cumsum(sizes) - sizes
         else:
             # Words are lowered and cut between letters and marks before they are told apart, where that is safe.
             cuts, text = None, raw.decode()
@@ -134,10 +140,15 @@ class Encoder:
                 cuts = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
                 data, raw = low, lowered
             hashes, first, end, owner = word_hashes(data, offsets, cuts)
-            _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-            words = [raw[a:b] for a, b in zip(first[at].tolist(), end[at].tolist())]
-            pool, sizes = self._words(words, plain) if words else (np.zeros(0, self.dtype), np.zeros(0, np.int64))
-        starts = np.cumsum(sizes) - sizes
+            hashes, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+            if len(self.hashes) > self.remembered:
+                self._forget()
+            # A word's ids do not depend on its text, so words of earlier batches are found by their hashes.
+            new = ~np.isin(hashes, self.hashes, assume_unique=True)
+            if new.any():
+                self._learn(hashes[new], [raw[a:b] for a, b in zip(first[at[new]].tolist(), end[at[new]].tolist())], plain)
+            found = np.searchsorted(self.hashes, hashes)
+            pool, starts, sizes = self.pool, self.starts[found], self.sizes[found]
         counts = sizes[which]
         ends = np.cumsum(counts)
         out_offsets = np.zeros(texts + 1, np.int64)

@@ -26,6 +26,17 @@ def test_encoder_gives_the_library_s_ids():
             assert ids[at[k]:at[k + 1]].tolist() == [*enc.tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_encoder_learns_a_word_once_over_batches(monkeypatch):
+    enc, learned = Encoder(default_path()), []
+    words = enc._words
+    monkeypatch.setattr(enc, "_words", lambda new, plain: learned.extend(new) or words(new, plain))
+    for text in ("one two one", "two ONE three", "É one", "four"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = enc.encode(data, np.array([0, len(data)]))
+        assert ids.tolist() == [*enc.tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    assert len(learned) == len(set(learned)) and learned.count(b"one") == 1 and learned.count(b"two") == 1
+
+
 def test_wavelet_matrix_against_the_plain_list():
     rng = np.random.default_rng(3)
     for n in (0, 1, 63, 512, 513, 3000):
@@ -137,6 +148,20 @@ def test_schedule_never_takes_a_token_back():
         assert (s.window_of(q, tokens, 10) == want // 10).all()
 
 
+def test_windows_are_guessed_not_searched(monkeypatch):
+    for totals, weights in (([3_000_000, 1, 900_000, 40_000_000], None), ([3_000_000, 70, 900_000], [1.0, 5.0, 2.0])):
+        s = mixture_packing.Schedule(np.array(totals), None if weights is None else np.array(weights))
+        for q in range(len(totals)):
+            tokens = np.unique(np.linspace(0, totals[q] - 1, 50).astype(np.int64))
+            asked = []
+            with monkeypatch.context() as m:
+                m.setattr(mixture_packing.Schedule, "given", lambda self, at, f=mixture_packing.Schedule.given: asked.append(len(at)) or f(self, at))
+                found = s.window_of(q, tokens, 4096)
+            assert len(asked) <= 4 or totals[q] < 4096
+            assert (s.given(found * 4096)[:, q] <= tokens).all()
+            assert (s.given(np.minimum((found + 1) * 4096, s.total))[:, q] > tokens).all()
+
+
 def test_crc_columns(spark):
     from pyspark.sql import functions as F
 
