@@ -50,8 +50,9 @@ def cube(spark, sf_dir) -> CubeSpec:
         F.col("l_extendedprice").cast(MONEY).alias("value"),
     )
     parts, suppliers = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
-    # The small dimensions' members are fixed by the tables' definition, so the fact is not scanned for them.
-    source = spark.createDataFrame([("A",), ("N",), ("R",)], "l_returnflag string").select(
+    # The small dimensions' members are fixed by the tables' definition, so the fact is not scanned for them.  They are
+    # broadcast: Spark does not know their sizes, and would deal the fact by two or three values to join them.
+    source = F.broadcast(spark.createDataFrame([("A",), ("N",), ("R",)], "l_returnflag string")).select(
         "l_returnflag",
         F.col("l_returnflag").alias("L2_OBJ_COD"),
         RuleSet([("l_returnflag = 'A'", "Saisie manuelle HOUSELUX")], FromColumn("concat('Source ', l_returnflag)")).column().alias("L2_OBJ_LBR"),
@@ -67,7 +68,7 @@ def cube(spark, sf_dir) -> CubeSpec:
         RuleSet([("s_nationkey % 3 = 0", "HOUSE Partenaires")], "Autres").column().alias("Region_Com_Niv_2_Detail_Cube"),
     )
     market = parts.select("p_partkey", RuleSet([("p_size <= 45", "Total Marché HOUSE France")], "Hors marché").column().alias("L4_OBJ_LBR"))
-    entity = spark.createDataFrame([("F",), ("O",)], "l_linestatus string").select(
+    entity = F.broadcast(spark.createDataFrame([("F",), ("O",)], "l_linestatus string")).select(
         "l_linestatus", F.lit("Total UJ HOUSE France").alias("L6_UJ_PRISM_LBR"),
         RuleSet([("l_linestatus = 'O'", "HOUSE France VIE SA")], "Autres SA").column().alias("L3_UJ_PRISM_LBR"),
     )
@@ -81,7 +82,7 @@ def cube(spark, sf_dir) -> CubeSpec:
         F.col("p_type").alias("L5_PRISM_LBR"),
         RuleSet([("p_type = 'LARGE'", "Retraite aidée sous objectif")], "-").column().alias("L4_PILOTECO_AGA_LBR"),
     )
-    indicators = spark.range(1, 8).select(F.col("id").cast(lines.schema["l_linenumber"].dataType).alias("l_linenumber")).select(
+    indicators = F.broadcast(spark.range(1, 8)).select(F.col("id").cast(lines.schema["l_linenumber"].dataType).alias("l_linenumber")).select(
         "l_linenumber",
         F.concat(F.lit("I"), "l_linenumber").alias("L2_LBR_DESC"),
         pick(DETAILS, "l_linenumber").alias("L4_LBR_DESC"),

@@ -327,3 +327,24 @@ def test_grouped_sides_meet_in_a_join_and_give_the_ledger(rows, values):
     assert values(joined) == values(positions.ledger(f, p, ["k", "j"], **wide)) == sorted([
         ("a", 1, Decimal(4), Decimal(7), "y"), (None, 1, Decimal(4), Decimal(0), "z"), ("c", None, Decimal(0), Decimal(0), None), (None, None, Decimal(0), Decimal(9), "w"),
     ], key=repr)
+
+
+def test_cube_deals_the_fact_by_no_flag(spark, tmp_path):
+    from flowbook.queries.cube_queries import cube_budget
+
+    spark.createDataFrame([(1, 1, 1, n, "A", "O", 0.01, "1998-03-02", 10.0) for n in (3, 4, 7)], (
+        "l_orderkey long, l_suppkey long, l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_tax double, "
+        "l_shipdate string, l_extendedprice double")).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "S", 0)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1, "LARGE", 20, "B")], "p_partkey long, p_type string, p_size int, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    # As over large tables: what Spark has no size for is not broadcast by itself.
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = cube_budget(spark, str(tmp_path))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
+        assert joins and not [line for line in joins if "l_returnflag" in line or "l_linestatus" in line or "l_linenumber" in line]
+        assert rows.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
