@@ -49,7 +49,7 @@ def rows1(spark, sf_dir):
 
 def positions2(spark, sf_dir):
     """The versioned positions of system 2, stored by version."""
-    folder = intermediate(spark, sf_dir, "versions2", lambda f: write_partitions(st.system2_versions(spark, sf_dir), f, ["DATE_VERSION"]))
+    folder = intermediate(spark, sf_dir, "versions2", lambda f: write_partitions(st.system2_versions(spark, sf_dir), f, ["DATE_VERSION"], ["NUMERO_CONTRAT"]))
     return spark.read.parquet(folder)
 
 

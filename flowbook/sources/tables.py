@@ -72,13 +72,15 @@ def write_month(df: DataFrame, root: str, period: Period, column: str = "func_mo
     _replace_partitions(tagged, root, [column])
 
 
-def write_partitions(df: DataFrame, root: str, columns: Sequence[str]) -> None:
+def write_partitions(df: DataFrame, root: str, columns: Sequence[str], spread: Sequence[str] = ()) -> None:
     """Write partitions, replacing exactly those that the frame has.
 
     Rows are rebalanced by partition first: small partitions get one file, and a partition
-    that holds most of the rows is split over several tasks.
+    that holds most of the rows is split over several tasks.  It is split between the tasks that made its rows; what
+    one of them made stays together.  For a few large partitions, ``spread`` names columns by which the rows of a
+    partition are dealt too, so that no task sorts all that one task made; each task may then write every partition.
     """
-    _replace_partitions(df.hint("rebalance", *columns), root, columns)
+    _replace_partitions(df.hint("rebalance", *columns, *spread), root, columns)
 
 
 def _replace_partitions(df: DataFrame, root: str, columns: Sequence[str]) -> None:

@@ -348,3 +348,20 @@ def test_cube_deals_the_fact_by_no_flag(spark, tmp_path):
         assert rows.count() > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_rows_of_one_task_are_spread_within_a_partition(spark, tmp_path):
+    import glob
+
+    from flowbook.sources.tables import write_partitions
+
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "32k")
+    try:
+        df = spark.range(0, 60_000, 1, 1).selectExpr("id AS contract", "uuid() AS label", "'a' AS version")
+        write_partitions(df, f"{tmp_path}/spread", ["version"], ["contract"])
+    finally:
+        spark.conf.unset(size)
+    assert len(glob.glob(f"{tmp_path}/spread/version=a/*.parquet")) > 1
+    back = spark.read.parquet(f"{tmp_path}/spread")
+    assert back.count() == back.select("contract").distinct().count() == 60_000
