@@ -68,6 +68,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def null_safe_order(keys: Sequence[str]) -> list[Column]:
+    """The order of text keys in which Spark merges the sides of ``null_safe_join``: a null stands behind the empty text."""
+    return [c for k in keys for c in (F.coalesce(k, F.lit("")), F.isnull(k))]
+
+
 def group_totals(df: DataFrame, keys: Sequence[str], totals: dict[str, Column]) -> DataFrame:
     """Attach aggregates of a group to each of its rows (a whole-partition window).
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import Period
 from ..functions.codes import composite_key, pad_code
-from ..operators.dedupe import flag_one_per_key, one_per_key
+from ..operators.dedupe import flag_one_per_key, null_safe_order, one_per_key
 from ..operators.flows import new_business, split_by_label
 from ..operators.joins import Lookup, inline_lookup, lookup, lookup_chain, stack
 from ..operators.positions import activity_total, drop_inactive, summed
@@ -127,5 +127,9 @@ def monthly_base(
 
 
 def store(base: DataFrame, root: str, period: Period) -> None:
-    """Store the month, replacing an earlier run of it."""
-    write_month(base, root, period, within=["NUMERO_CONTRAT"])
+    """Store the month, replacing an earlier run of it.
+
+    Files are in the order of contracts that the null-safe lookups by contract leave (a missing contract stands with an
+    empty one), so the wide rows are not sorted again where no later lookup deals them anew.
+    """
+    write_month(base, root, period, within=null_safe_order(["NUMERO_CONTRAT"]))

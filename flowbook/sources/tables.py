@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,7 +60,7 @@ def write_table(df: DataFrame, name: str) -> None:
     df.write.format("parquet").mode("overwrite").saveAsTable(name)
 
 
-def write_month(df: DataFrame, root: str, period: Period, column: str = "func_month", within: Sequence[str] = ()) -> None:
+def write_month(df: DataFrame, root: str, period: Period, column: str = "func_month", within: Sequence[Column | str] = ()) -> None:
     """Store a month; a second run replaces that month and no other.
 
     Rows are sorted inside each written file by ``within``, which keeps later reads on

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowbook.functions.calendar import Period
+from flowbook.operators.dedupe import null_safe_join, null_safe_order
 from flowbook.operators.rules import relabel
 from flowbook.plans import base, csv_system, dimensions, reports, system1, system2, system3
 from flowbook.plans import rulebook as rb
@@ -358,3 +359,21 @@ def test_monthly_files_deal_lines_once_before_their_texts(spark, rows, tmp_path,
         assert sorted((r.file, r.NUMERO_CONTRAT, r[amount]) for r in found.filter("file is not null").collect()) == [
             (f"{kind}_12_1999.csv", "C1", "1 234,50"), (f"{kind}_12_1999.csv", "C1", "1 234,50"), (f"{kind}_9_2000.csv", "C2", None)]
         assert found.count() == 4
+
+
+def test_month_is_stored_in_the_order_that_the_joins_by_contract_leave(spark, rows, tmp_path):
+    left = rows("NUMERO_CONTRAT string, v int", ("b", 1), (None, 2), ("a", 3), ("", 4), ("b", 5))
+    right = rows("NUMERO_CONTRAT string, w int", ("b", 7), (None, 8))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = null_safe_join(left, right, ["NUMERO_CONTRAT"], "left").coalesce(1)
+        by_name = joined.sortWithinPartitions("NUMERO_CONTRAT")
+        ordered = null_safe_join(left, right, ["NUMERO_CONTRAT"], "left").sortWithinPartitions(*null_safe_order(["NUMERO_CONTRAT"]))
+        sorts = [df._jdf.queryExecution().executedPlan().toString().count("Sort [") for df in (by_name, ordered)]
+        assert sorts == [3, 2]
+        base.store(joined, f"{tmp_path}/base", Period(2024, 6))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    stored = tables.read_month(spark, f"{tmp_path}/base", Period(2024, 6)).coalesce(1)
+    assert [(r.NUMERO_CONTRAT, r.w) for r in stored.collect()] == [("", None), (None, 8), ("a", None), ("b", 7), ("b", 7)]
