@@ -13,7 +13,7 @@ from ..operators.checks import Controls, written_with_controls
 from ..plans import csv_system
 from ..plans.campaign import campaign_history, ledger_by_month
 from ..session import remove_folder, working_folder
-from ..sources.files import chosen_files, file_names, read_csv_lines, read_monthly_files, reject_counts, split_lines
+from ..sources.files import chosen_files, file_names, read_csv_lines, read_monthly_files, reject_counts, split_lines, write_by_file
 from ..sources.tables import declared, read_day, read_month, write_month, write_partitions
 from . import standins as st
 from . import system_sql as sq
@@ -179,7 +179,7 @@ def monthly_files(spark, sf_dir):
         for kind, columns, own in (("PM", RESERVE_COLUMNS, reserve), ("FLUX", FLOW_COLUMNS, flow)):
             name = F.concat(F.lit(f"{kind}_"), F.month("d"), F.lit("_"), F.year("d"), F.lit(".csv"))
             rows = lines.withColumns({**common, **own}).select(name.alias("file"), *columns)
-            rows.write.partitionBy("file").mode("overwrite").option("header", True).option("sep", ";").csv(f"{folder}/{kind}")
+            write_by_file(rows, f"{folder}/{kind}")
         remove_folder(spark, stored)
 
     return intermediate(spark, sf_dir, "files", write)

@@ -30,6 +30,25 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     )
 
 
+# A writing task keeps so many files open.
+OPEN_FILES = 128
+
+
+def write_by_file(df: DataFrame, root: str, column: str = "file", sep: str = ";") -> None:
+    """CSV with a header, one folder for each value of ``column``.
+
+    Rows are not sorted by ``column`` for it: a task has a writer for each file it meets, so its memory does not grow with
+    its rows and it does not spill.  Only the rows of files beyond ``OPEN_FILES`` in one task are sorted, by Spark.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, str(OPEN_FILES))
+    try:
+        df.write.partitionBy(column).mode("overwrite").option("header", True).option("sep", sep).csv(root)
+    finally:
+        conf.set(name, before)
+
+
 CORRUPT, REASONS = "_corrupt_line", "_reasons"
 
 

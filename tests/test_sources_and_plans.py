@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from flowbook.functions.calendar import Period
 from flowbook.operators.dedupe import null_safe_join, null_safe_order
@@ -377,3 +378,16 @@ def test_month_is_stored_in_the_order_that_the_joins_by_contract_leave(spark, ro
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     stored = tables.read_month(spark, f"{tmp_path}/base", Period(2024, 6)).coalesce(1)
     assert [(r.NUMERO_CONTRAT, r.w) for r in stored.collect()] == [("", None), (None, 8), ("a", None), ("b", 7), ("b", 7)]
+
+
+def test_files_by_name_are_written_without_a_sort(spark, rows, tmp_path, monkeypatch):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    write = DataFrameWriter.csv
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, path: (seen.append(spark.conf.get(name)), write(self, path))[1])
+    monkeypatch.setattr(files, "OPEN_FILES", 2)
+    given = [("PM_1_2024.csv", str(k), None) if k % 4 else (f"PM_{k % 3 + 2}_2024.csv", str(k), "x;y") for k in range(12)]
+    before = spark.conf.get(name)
+    files.write_by_file(rows("file string, a string, b string", *given).coalesce(1), f"{tmp_path}/files")
+    assert seen == ["2"] and spark.conf.get(name) == before
+    read = files.read_csv(spark, f"{tmp_path}/files/*", "a string, b string").select(F.regexp_extract(F.col("_metadata.file_path"), r"file=([^/]+)/", 1), "a", "b")
+    assert sorted(map(tuple, read.collect()), key=repr) == sorted(given, key=repr)
