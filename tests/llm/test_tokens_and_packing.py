@@ -167,3 +167,13 @@ def test_crc_columns(spark):
 
     df = spark.createDataFrame([(bytearray(b"\x01\x00\x00\x00"),)], "b binary")
     assert df.select(F.crc32("b")).first()[0] == zlib.crc32(b"\x01\x00\x00\x00")
+
+
+def test_words_of_a_large_batch_are_encoded_once(monkeypatch):
+    words = [f"{k:x}".translate(str.maketrans("0123456789", "ghijklmnop")) for k in range(250_000)]
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    enc = Encoder(default_path())
+    first, _ = enc.encode(data, np.array([0, len(data)]))
+    monkeypatch.setattr(enc, "_words", lambda *_: pytest.fail("a known word is encoded again"))
+    again, _ = enc.encode(data, np.array([0, len(data)]))
+    assert (first == again).all()
