@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from ..session import computed_once
 from .flat import packed, unpacked
 
-FILTER_BITS = 1 << 25
-
-
+# A name has two places in a filter: its first bits, and the last of its first ``NAME_BITS``.  It passes if both are marked.
+FILTER_BITS = 1 << 26
 NAME_BITS, NAME_PARTS = 40, 64
 CHUNK_NAMES = 1 << 20
 
@@ -72,7 +71,8 @@ def shared_filter(packed_rows: DataFrame) -> np.ndarray:
         for start in range(low >> shift << shift, high + 1, step):
             names = np.concatenate([r[np.searchsorted(r, start):np.searchsorted(r, start + step)] for r in runs])
             names.sort()
-            at = np.unique(names[1:][names[1:] == names[:-1]] >> shift)
+            again = names[1:][names[1:] == names[:-1]].astype(np.int64)
+            at = np.unique(np.concatenate((again >> shift, again & (FILTER_BITS - 1))))
             words, first = np.unique(at >> 6, return_index=True)
             bits = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first).view(np.int64) if len(at) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits)], names=["word", "bits"])
@@ -90,10 +90,10 @@ def _bits(rows: DataFrame) -> np.ndarray:
 
 
 def name_filter(names: DataFrame) -> np.ndarray:
-    """A bit per hashed name, ``FILTER_BITS`` in all whatever the input; it may pass a name too many, never too few."""
-    # Names are hashes already: their top bits are the place.
-    at = F.shiftrightunsigned("name", 64 - (FILTER_BITS - 1).bit_length())
-    placed = names.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("bit"))
+    """Two bits per hashed name, ``FILTER_BITS`` in all whatever the input; it may pass a name too many, never too few."""
+    # Names are hashes already: their bits are the places.
+    at = F.array(F.shiftrightunsigned("name", 64 - (FILTER_BITS - 1).bit_length()), F.shiftrightunsigned("name", 64 - NAME_BITS).bitwiseAND(FILTER_BITS - 1))
+    placed = names.select(F.explode(at).alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT))").alias("bit"))
     rows = placed.groupBy("word").agg(F.bit_or("bit").alias("bits"))
     return _bits(rows)
 
@@ -200,7 +200,12 @@ def owners(low: np.ndarray, high: np.ndarray, rank: np.ndarray, windows: int) ->
 def passes(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
     """Which names the filter lets through."""
     at = (names >> np.uint64(64 - (FILTER_BITS - 1).bit_length())).astype(np.int64)
-    return (bits[at >> 6] >> (at & 63)) & 1 == 1
+    passed = (bits[at >> 6] >> (at & 63)) & 1 == 1
+    # Few names get to the second look.
+    some = np.flatnonzero(passed)
+    at = (names[some] >> np.uint64(64 - NAME_BITS)).astype(np.int64) & (FILTER_BITS - 1)
+    passed[some] = (bits[at >> 6] >> (at & 63)) & 1 == 1
+    return passed
 
 
 def segments(owner: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

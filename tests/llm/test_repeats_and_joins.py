@@ -162,3 +162,17 @@ def test_components_of_a_long_path(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
     found = components.components(spark.createDataFrame(edges, "v long, u long")).collect()
     assert sorted((r.v, r.root) for r in found) == [*[(k, 0) for k in range(41)], (100, 100), (101, 100)]
+
+
+def test_name_filters_pass_every_shared_name_and_few_others(spark):
+    rng = np.random.default_rng(5)
+    names = np.unique(rng.integers(0, 1 << 64, 1_100_000, np.uint64))
+    shared, others = names[::2], names[1::2]
+    blocks = [r for texts in (names, shared) for b in repeats.packed_names(iter([texts.view(np.int64)])) for r in zip(b.column("part").to_pylist(), b.column("names").to_pylist())]
+    bits = repeats.shared_filter(spark.createDataFrame(blocks, "part int, names binary"))
+    assert repeats.passes(bits, shared).all() and repeats.passes(bits, others).mean() < 0.005
+    hashed = spark.range(800_000).selectExpr("xxhash64(id) AS name")
+    own = hashed.toArrow().column("name").to_numpy().view(np.uint64)
+    bits = repeats.name_filter(hashed.limit(0).union(hashed.where("name % 2 = 0")))
+    even = own.view(np.int64) % 2 == 0
+    assert repeats.passes(bits, own[even]).all() and repeats.passes(bits, own[~even]).mean() < 0.005
