@@ -365,3 +365,40 @@ def test_rows_of_one_task_are_spread_within_a_partition(spark, tmp_path):
     assert len(glob.glob(f"{tmp_path}/spread/version=a/*.parquet")) > 1
     back = spark.read.parquet(f"{tmp_path}/spread")
     assert back.count() == back.select("contract").distinct().count() == 60_000
+
+
+def test_summed_repeats_adds_up_what_repeats_and_deals_only_that(rows, values):
+    from flowbook.operators.positions import summed, summed_repeats
+
+    df = rows(
+        "a string, b date, x decimal(28,2), y decimal(28,2)",
+        ("p", None, Decimal("1.10"), None), ("p", None, Decimal("2.20"), Decimal("3")), (None, None, None, None), (None, None, None, Decimal("-4")),
+        ("q", dt.date(2024, 1, 1), None, Decimal("5")), ("q", dt.date(2024, 1, 2), Decimal("6"), None), ("", None, Decimal("7"), None), (None, dt.date(2024, 1, 1), None, None),
+    )
+    found, wanted = summed_repeats(df, ["a", "b"], ["x", "y"]), summed(df, ["a", "b"], ["x", "y"])
+    assert found.dtypes == wanted.dtypes
+    assert values(found) == values(wanted)
+    alone = summed_repeats(df.filter("a = 'q'"), ["a", "b"], ["x", "y"])
+    assert values(alone) == values(summed(df.filter("a = 'q'"), ["a", "b"], ["x", "y"]))
+    alone.collect()
+    final = alone._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "isFinalPlan=true" in final and "hashpartitioning(a" not in final
+    assert values(summed_repeats(df.limit(0), ["a", "b"], ["x", "y"])) == []
+
+
+def test_first_per_key_gives_the_first_row_with_nulls_last(rows, values):
+    df = rows("k string, o string, p int, v int", ("a", None, 1, 1), ("a", "x", 2, 1), ("a", "x", 1, 3), (None, None, None, 2), ("b", "y", 1, 1), ("b", "z", 1, -1))
+    found = dedupe.first_per_key(df, ["k"], ["o", "p"], "v").selectExpr("k", "__first.o", "__first.p")
+    assert values(found) == sorted([("a", "x", 1), (None, None, None)], key=repr)
+
+
+def test_the_functions_of_the_base_are_small_enough_to_be_compiled(spark):
+    """The last joins, labels and columns of the base: the JVM does not compile a function of more than 8,000 bytes."""
+    import __spark_entry__
+
+    base = __spark_entry__.queries()["monthly_base"](spark, "/root/testdata/sf0.001")
+    plan = base._jdf.queryExecution()
+    plan.toRdd().count()
+    stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan.executedPlan())
+    sizes = [stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())]
+    assert sizes and max(sizes) <= 8000
