@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Period
-from ..session import working_folder
+from ..session import shuffles_released, working_folder
 from ..sources.tables import read_month, write_partitions
 from ..plans import base as base_plan
 from ..plans import dimensions, reports
@@ -29,7 +29,8 @@ def intermediate(spark, sf_dir, name, write):
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _FOLDERS:
         folder = working_folder(spark, name)
-        write(folder)
+        with shuffles_released(spark):
+            write(folder)
         _FOLDERS[key] = folder
     return _FOLDERS[key]
 

@@ -402,3 +402,21 @@ def test_the_functions_of_the_base_are_small_enough_to_be_compiled(spark):
     stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan.executedPlan())
     sizes = [stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())]
     assert sizes and max(sizes) <= 8000
+
+
+def test_a_stored_frame_leaves_no_shuffle_files(spark, rows, values):
+    import time
+
+    from flowbook.session import CLEANUP, computed_once
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = lambda: {f for f in (str(x) for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles())) if "shuffle_" in f}
+    before, setting = names(), spark.conf.get(CLEANUP)
+    stored = computed_once(rows("k string, v int", ("a", 1), ("a", 2), (None, 3)).groupBy("k").agg(F.sum("v").alias("v")), "test")
+    for _ in range(50):
+        if not names() - before:
+            break
+        time.sleep(0.2)
+    assert not names() - before
+    assert spark.conf.get(CLEANUP) == setting
+    assert values(stored) == [("a", 3), (None, 3)]
