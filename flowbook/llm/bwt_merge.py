@@ -30,7 +30,8 @@ CHUNK_MARKS = 32
 # A bucket's contexts make so many shards at least; the merge alone decides what two shards share.
 SHARD_BYTES, SHARDS = 1 << 17, 4
 LOT_ROWS = 20_000
-SLICE = 1 << 20
+# Small enough that the arrays over a slice stay in a core's cache.
+SLICE = 1 << 17
 BUCKET_ROWS = 4_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -110,13 +111,16 @@ def merged_blocks(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.
     total = len(end_shard)
     block = np.zeros(len(z), np.int32)
     before = np.empty(len(z), np.uint16)
+    new = np.zeros(len(z), bool)
+    transforms = {n: np.concatenate(own) for n, own in transforms.items()}
     for n in steps:
-        for k, symbols in enumerate(transforms[n]):
-            before[z == k] = symbols
+        # The places of one shard after the other, each in its own order, as the transforms stand.
+        before[np.argsort(z, kind="stable")] = transforms[n]
         order = np.argsort(before, kind="stable")
         char, block, z = before[order], block[order], z[order]
         z[:total] = end_shard
-        new = np.r_[False, (char[1:] != char[:-1]) | (block[1:] != block[:-1])]
+        np.not_equal(char[1:], char[:-1], out=new[1:])
+        new[1:] |= block[1:] != block[:-1]
         new[1:total + 1] = True
         if n == 2:
             closed = np.flatnonzero(char[total:] & 0xFF == _END) + total
